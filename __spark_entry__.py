@@ -175,36 +175,33 @@ def cohorts(b: Book) -> DataFrame:
 
 def plan_table(b: Book) -> DataFrame:
     table = dashboard.plan_churn_table(dashboard.export_plans(b.dim_customer))
-    return table.withColumn("churn_pct", finite(F.col("churn_pct")))
+    return table.selectExpr("* EXCEPT (churn_pct)", f"{finite('churn_pct')} AS churn_pct")
 
 
 def ltv(b: Book) -> DataFrame:
     table = analyses.ltv_by_plan(
         b.plans,
-        analyses.customer_months_by_plan(b.dim_customer, b.fct_subscription_events),
-        analyses.cancellations_by_plan(b.fct_subscription_events),
-        b.dim_customer,
+        analyses.customer_months_by_plan(b.stored_customers, b.stored_events),
+        analyses.cancellations_by_plan(b.stored_events),
+        b.stored_customers,
     )
     measures = ("monthly_churn_pct", "expected_lifetime_months", "expected_ltv")
-    return table.withColumn("is_infinite", F.col("expected_ltv") == float("inf")).withColumns(
-        {m: finite(F.col(m)) for m in measures}
+    others = [c for c in table.columns if c not in measures]
+    return table.selectExpr(
+        *others, "expected_ltv = double('Infinity') AS is_infinite", *[f"{finite(m)} AS {m}" for m in measures]
     )
 
 
 def payload(b: Book) -> DataFrame:
     return dashboard.dashboard_payload(
         "2026-11-28T06:00:00+00:00",
-        dashboard.export_mrr_series(b.mrr_monthly),
-        dashboard.export_plans(b.dim_customer),
-        cohorts(b),
+        dashboard.export_mrr_series(revenue.mrr_monthly(b.stg_customers, b.stored_events)),
+        dashboard.export_plans(b.stored_customers),
+        dashboard.export_cohorts(dashboard.cohort_retention(b.stored_customers, b.stored_events)),
         dashboard.export_unpaid(b.fct_invoices),
     )
 
 
-def crosstab_pivot(b: Book) -> DataFrame:
-    return analyses.cohort_pivot(b.retention)
-
-
 # --- quality ----------------------------------------------------------------------------------
 
 
@@ -287,8 +284,8 @@ def queries() -> dict[str, Query]:
         "fct_subscription_events": book(lambda b: b.fct_subscription_events),
         "mrr_segments": book(lambda b: marts.mrr_segments(b.fct_subscription_events)),
         "month_spine": book(lambda b: revenue.month_spine(b.fct_subscription_events)),
-        "customer_month_grid": book(lambda b: revenue.customer_month_grid(b.stg_customers, b.fct_subscription_events)),
-        "month_end_mrr": book(lambda b: revenue.month_end_mrr(b.stg_customers, b.fct_subscription_events)),
+        "customer_month_grid": book(lambda b: revenue.customer_month_grid(b.stg_customers, b.stored_events)),
+        "month_end_mrr": book(lambda b: revenue.month_end_mrr(b.stg_customers, b.stored_events)),
         "mrr_customer_monthly": book(lambda b: b.mrr_customer_monthly),
         "mrr_monthly": book(lambda b: b.mrr_monthly),
         "scd2_incremental": scd2_incremental,
@@ -309,9 +306,9 @@ def queries() -> dict[str, Query]:
         "monthly_churn_rate": book(lambda b: analyses.monthly_churn_rate(b.mrr_monthly)),
         "plan_status_crosstab": book(lambda b: analyses.plan_status_crosstab(b.dim_customer)),
         "plan_reason_crosstab": book(lambda b: analyses.plan_reason_crosstab(b.dim_customer)),
-        "cohort_pivot": book(crosstab_pivot),
+        "cohort_pivot": book(lambda b: analyses.cohort_pivot(b.stored_retention)),
         "customer_months_by_plan": book(
-            lambda b: analyses.customer_months_by_plan(b.dim_customer, b.fct_subscription_events)
+            lambda b: analyses.customer_months_by_plan(b.dim_customer, b.stored_events)
         ),
         "cancellations_by_plan": book(lambda b: analyses.cancellations_by_plan(b.fct_subscription_events)),
         "ltv_by_plan": book(ltv),

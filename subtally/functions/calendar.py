@@ -1,24 +1,17 @@
-"""Month arithmetic on DATE columns that hold the first day of a month."""
+"""SQL expressions for month arithmetic on DATE columns that hold the first day of a month."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def month_of(ts: str) -> str:
+    return f"trunc({ts}, 'MM')"
 
-def month_of(ts: Column) -> Column:
-    return F.trunc(ts, "MM")
 
+def months_between(start: str, end: str) -> str:
+    """Whole months from one month to another."""
+    return f"((year({end}) - year({start})) * 12 + month({end}) - month({start}))"
 
-def month_index(month: Column) -> Column:
-    """Months since year 0; the difference of two indexes is a count of months."""
-    return F.year(month) * 12 + F.month(month)
 
-
-def months_between(start: Column, end: Column) -> Column:
-    return month_index(end) - month_index(start)
-
-
-def month_range(start: Column, end: Column) -> Column:
-    """All months from start to end inclusive; empty when start is later (``sequence`` raises)."""
-    return F.when(start <= end, F.sequence(start, end, F.expr("INTERVAL 1 MONTH")))
+def month_range(start: str, end: str) -> str:
+    """All months from start to end inclusive; NULL when start is later (``sequence`` raises)."""
+    return f"if({start} <= {end}, sequence({start}, {end}, INTERVAL 1 MONTH), NULL)"

@@ -1,24 +1,18 @@
-"""Readers for values inside billing documents.
-
-Leaves are declared as STRING in every ``from_json`` schema and cast here, so a number, a quoted
-number and a boolean all read the same way and bad input raises under ANSI.
-"""
+"""SQL expressions that read values inside parsed billing documents."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
-def epoch_to_timestamp(text: Column) -> Column:
-    return F.timestamp_seconds(text.cast("bigint"))
+def epoch(text: str) -> str:
+    """Epoch seconds to a UTC timestamp."""
+    return f"timestamp_seconds(cast({text} AS bigint))"
 
 
-def cents_to_money(text: Column) -> Column:
+def cents(text: str) -> str:
     """Integer cents to DECIMAL(12,2) without passing through a double."""
-    return (text.cast("int").cast("decimal(18,2)") / F.lit(100)).cast("decimal(12,2)")
+    return f"cast(cast(cast({text} AS int) AS decimal(18,2)) / 100 AS decimal(12,2))"
 
 
-def first_item(items: Column) -> Column:
+def first_item(items: str) -> str:
     """Element 0, or NULL for an empty or missing array (plain indexing raises under ANSI)."""
-    return F.get(items, F.lit(0))
+    return f"get({items}, 0)"

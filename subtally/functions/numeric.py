@@ -1,34 +1,28 @@
-"""Ratios and rounding whose edge cases have to match other engines."""
+"""SQL expressions for ratios and rounding whose edge cases have to match other engines."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def ratio(numerator: Column, denominator: Column) -> Column:
+def ratio(numerator: str, denominator: str) -> str:
     """IEEE division: x/0 is infinite and 0/0 is NaN, where ANSI Spark would raise; NULL stays NULL."""
-    n, d = numerator.cast("double"), denominator.cast("double")
+    n, d = f"cast({numerator} AS double)", f"cast({denominator} AS double)"
     return (
-        F.when(d.isNull(), F.lit(None).cast("double"))
-        .when(d != 0, n / d)
-        .when(n == 0, F.lit(float("nan")))
-        .when(n > 0, F.lit(float("inf")))
-        .when(n < 0, F.lit(float("-inf")))
+        f"CASE WHEN {d} <> 0 THEN {n} / {d} WHEN {d} = 0 AND {n} = 0 THEN double('NaN') "
+        f"WHEN {d} = 0 THEN signum({n}) * double('Infinity') END"
     )
 
 
-def round_scaled(value: Column, digits: int) -> Column:
+def round_scaled(value: str, digits: int) -> str:
     """Round a double by scaling first, so 1.005 gives 1.0; Spark's own ``round`` gives 1.01."""
     scale = float(10**digits)
-    return F.round(value.cast("double") * scale, 0) / scale
+    return f"round(cast({value} AS double) * double({scale}), 0) / double({scale})"
 
 
-def round_half_even(value: Column, digits: int) -> Column:
+def round_half_even(value: str, digits: int) -> str:
     scale = float(10**digits)
-    return F.rint(value.cast("double") * scale) / scale
+    return f"rint(cast({value} AS double) * double({scale})) / double({scale})"
 
 
-def finite(value: Column) -> Column:
+def finite(value: str) -> str:
     """NULL in place of NaN and the infinities."""
-    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+    return f"if(isnan({value}) OR abs({value}) = double('Infinity'), NULL, {value})"

@@ -6,21 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 10_000
+SMALL_INPUT_BYTES = 16 << 20
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the tables a plan reads, as the optimizer knows it from file listings."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Evaluate a side expected to be tiny once and broadcast it; above the bound leave it alone.
+    """Broadcast a side expected to be tiny, once that is proven; above the bound leave it alone.
 
-    At most ``max_rows + 1`` rows reach the driver. A larger side comes back unchanged and joins
-    by shuffle, where AQE picks the strategy from measured sizes and splits hot keys.
+    Proof is either that all tables behind it are small, or a count: at most ``max_rows + 1`` rows
+    are fetched, and they become the side, so it is not computed again. A larger side comes back
+    unchanged and joins by shuffle, where AQE picks the strategy and splits hot keys.
     """
+    if input_bytes(df) <= SMALL_INPUT_BYTES:
+        return F.broadcast(df)
     head = df.limit(max_rows + 1).toArrow()
     if head.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Total size of the leaves of the plan, as the optimizer knows it from file listings."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtally.functions.calendar import months_between
 from subtally.functions.numeric import ratio, round_half_even
 from subtally.operators.quality import SUBSCRIPTION_STATUSES
-from subtally.plans.revenue import MOVEMENTS, bound, customer_month_deltas, with_movement
+from subtally.plans.revenue import MOVEMENTS, bounds, customer_month_deltas, with_movement
 
 # The reasons the billing API gives for a cancellation.
 CANCELLATION_REASONS = ("cancellation_requested", "payment_disputed", "payment_failed")
@@ -21,30 +21,31 @@ def waterfall_long(mrr_monthly: DataFrame) -> DataFrame:
 
 
 def monthly_churn_rate(mrr_monthly: DataFrame) -> DataFrame:
-    active_before = F.lag("active_customers").over(Window.orderBy("month"))  # one row per month
-    return mrr_monthly.select("month", ratio(F.col("churned_customers"), active_before).alias("churn_rate"))
+    # The window holds one row per calendar month.
+    before = mrr_monthly.selectExpr("month", "churned_customers", "lag(active_customers) OVER (ORDER BY month) AS active")
+    return before.selectExpr("month", f"{ratio('churned_customers', 'active')} AS churn_rate")
 
 
 def plan_status_crosstab(dim_customer: DataFrame, statuses: Sequence[str] = SUBSCRIPTION_STATUSES) -> DataFrame:
     """Customers per plan and status; the share canceled is of all statuses, to one digit."""
+    share = f"({ratio('canceled', 'total')}) * 100"
     return (
-        dim_customer.filter(F.col("current_plan_key").isNotNull() & F.col("subscription_status").isNotNull())
+        dim_customer.filter("current_plan_key IS NOT NULL AND subscription_status IS NOT NULL")
         .groupBy("current_plan_key")
         .agg(
-            *[F.count_if(F.col("subscription_status") == s).alias(s) for s in statuses],
-            round_half_even(
-                ratio(F.count_if(F.col("subscription_status") == "canceled"), F.count("*")) * 100, 1
-            ).alias("churn_pct"),
+            *[F.expr(f"count_if(subscription_status = '{s}')").alias(s) for s in statuses],
+            F.count("*").alias("total"),
         )
+        .selectExpr("* EXCEPT (total)", f"{round_half_even(share, 1)} AS churn_pct")
         .orderBy(F.col("churn_pct").desc())
     )
 
 
 def plan_reason_crosstab(dim_customer: DataFrame, reasons: Sequence[str] = CANCELLATION_REASONS) -> DataFrame:
     return (
-        dim_customer.filter(F.col("current_plan_key").isNotNull() & F.col("cancellation_reason").isNotNull())
+        dim_customer.filter("current_plan_key IS NOT NULL AND cancellation_reason IS NOT NULL")
         .groupBy("current_plan_key")
-        .agg(*[F.count_if(F.col("cancellation_reason") == r).alias(r) for r in reasons])
+        .agg(*[F.expr(f"count_if(cancellation_reason = '{r}')").alias(r) for r in reasons])
     )
 
 
@@ -56,9 +57,13 @@ def cohort_pivot(retention: DataFrame, months: Sequence[int] | None = None) -> D
     if months is None:
         longest = retention.agg(F.max("months_since")).first()[0]
         months = range((longest if longest is not None else -1) + 1)
-    share = ratio(F.col("n_active"), F.col("n_customers"))
-    cells = [F.max(F.when(F.col("months_since") == m, share)).alias(f"m{m}") for m in months]
-    return retention.groupBy(F.date_format("cohort_month", "yyyy-MM").alias("cohort")).agg(*cells)
+    cells = retention.selectExpr(
+        "date_format(cohort_month, 'yyyy-MM') AS cohort",
+        "months_since",
+        f"{ratio('n_active', 'n_customers')} AS share",
+    )
+    pivoted = cells.groupBy("cohort").pivot("months_since", list(months)).agg(F.max("share"))
+    return pivoted.select("cohort", *[F.col(str(m)).alias(f"m{m}") for m in months])
 
 
 def customer_months_by_plan(dim_customer: DataFrame, fct_events: DataFrame) -> DataFrame:
@@ -66,21 +71,23 @@ def customer_months_by_plan(dim_customer: DataFrame, fct_events: DataFrame) -> D
 
     Counted as the length of each paying stretch, so the customer x month table is not built.
     """
-    ends = bound(fct_events)
-    after_last = F.add_months(ends["last_month"], 1)
-    length = months_between(F.col("month"), F.coalesce(F.col("next_month"), after_last))
-    plans = dim_customer.select("customer_id", "current_plan_key").filter(F.col("current_plan_key").isNotNull())
+    plans = dim_customer.select("customer_id", "current_plan_key").filter("current_plan_key IS NOT NULL")
     return (
         with_movement(customer_month_deltas(fct_events).join(plans, "customer_id"))
-        .filter(F.col("mrr") > 0)
+        .filter("mrr > 0")
+        .select("current_plan_key", "month", "next_month", bounds(fct_events))
+        .selectExpr(
+            "current_plan_key",
+            f"{months_between('month', 'coalesce(next_month, add_months(ends.last_month, 1))')} AS months",
+        )
         .groupBy("current_plan_key")
-        .agg(F.sum(length).alias("customer_months"))
+        .agg(F.sum("months").alias("customer_months"))
     )
 
 
 def cancellations_by_plan(fct_events: DataFrame) -> DataFrame:
     return (
-        fct_events.filter((F.col("event_type") == "canceled") & F.col("plan_key").isNotNull())
+        fct_events.filter("event_type = 'canceled' AND plan_key IS NOT NULL")
         .groupBy("plan_key")
         .agg(F.count("*").alias("cancellations"))
     )
@@ -91,32 +98,18 @@ def ltv_by_plan(
 ) -> DataFrame:
     """Expected and realized lifetime value; a plan nobody ever left is worth infinity."""
     realized = dim_customer.groupBy(F.col("current_plan_key").alias("plan_key")).agg(
-        (F.sum("lifetime_revenue").cast("double") / F.count("*")).alias("realized_revenue_per_customer")
+        F.expr("cast(sum(lifetime_revenue) AS double) / count(*)").alias("realized_revenue_per_customer")
     )
     months = customer_months.withColumnRenamed("current_plan_key", "plan_key")
-    table = (
+    return (
         plans.select("plan_key", "plan_name", "billing_interval", "mrr_amount")
         .join(months, "plan_key", "left")
         .join(cancellations, "plan_key", "left")
         .join(realized, "plan_key", "left")
         .na.fill(0, ["mrr_amount", "customer_months", "cancellations"])
-    )
-    return (
-        table.withColumn("monthly_churn_pct", ratio(F.col("cancellations"), F.col("customer_months")) * 100)
-        .withColumn("expected_lifetime_months", ratio(F.lit(100.0), F.col("monthly_churn_pct")))
-        .withColumn("expected_ltv", F.col("mrr_amount").cast("double") * F.col("expected_lifetime_months"))
-        .select(
-            "plan_key",
-            "plan_name",
-            "billing_interval",
-            "mrr_amount",
-            "customer_months",
-            "cancellations",
-            "monthly_churn_pct",
-            "expected_lifetime_months",
-            "expected_ltv",
-            "realized_revenue_per_customer",
-        )
+        .selectExpr("*", f"({ratio('cancellations', 'customer_months')}) * 100 AS monthly_churn_pct")
+        .selectExpr("*", f"{ratio('100.0D', 'monthly_churn_pct')} AS expected_lifetime_months")
+        .selectExpr("*", "cast(mrr_amount AS double) * expected_lifetime_months AS expected_ltv")
         .orderBy(F.col("expected_ltv").desc_nulls_last())
     )
 
@@ -126,29 +119,28 @@ def charges_by_status(stg_charges: DataFrame) -> DataFrame:
 
 
 def unpaid_summary(fct_invoices: DataFrame) -> DataFrame:
-    return fct_invoices.filter(~F.col("is_paid")).agg(
-        F.count("*").alias("unpaid_invoices"),
-        F.coalesce(F.sum("amount_unpaid"), F.lit(0)).alias("unpaid_amount"),
+    return fct_invoices.filter("NOT is_paid").selectExpr(
+        "count(*) AS unpaid_invoices", "coalesce(sum(amount_unpaid), 0) AS unpaid_amount"
     )
 
 
 def involuntary_churn(dim_customer: DataFrame, fct_events: DataFrame) -> DataFrame:
     """Customers lost to failed payments and the MRR their cancellations took along."""
-    lost = dim_customer.filter(F.col("cancellation_reason") == "payment_failed").select("customer_id")
+    lost = dim_customer.filter("cancellation_reason = 'payment_failed'").select("customer_id")
     # Sum per customer before the join, so a customer with many cancellations is one row in it.
     canceled = (
-        fct_events.filter(F.col("event_type") == "canceled").groupBy("customer_id").agg(F.sum("mrr_before").alias("mrr"))
+        fct_events.filter("event_type = 'canceled'").groupBy("customer_id").agg(F.sum("mrr_before").alias("mrr"))
     )
     return (
         lost.join(canceled, "customer_id", "left")
-        .agg(F.count("*").alias("lost_customers"), F.coalesce(F.sum("mrr"), F.lit(0)).alias("lost_mrr"))
-        .withColumn("lost_mrr_annualised", F.col("lost_mrr") * 12)
+        .selectExpr("count(*) AS lost_customers", "coalesce(sum(mrr), 0) AS lost_mrr")
+        .selectExpr("*", "lost_mrr * 12 AS lost_mrr_annualised")
     )
 
 
 def unpaid_by_plan(fct_invoices: DataFrame) -> DataFrame:
     return (
-        fct_invoices.filter(~F.col("is_paid") & F.col("plan_name").isNotNull())
+        fct_invoices.filter("NOT is_paid AND plan_name IS NOT NULL")
         .groupBy("plan_name")
         .agg(F.sum("amount_unpaid").alias("amount_unpaid"))
         .orderBy(F.col("amount_unpaid").desc())

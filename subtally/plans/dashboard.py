@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtally.functions.calendar import months_between
 from subtally.functions.numeric import ratio, round_scaled
-from subtally.plans.revenue import bound, customer_month_deltas, with_movement
+from subtally.plans.revenue import bounds, customer_month_deltas, with_movement
 
 SERIES = (
     "mrr",
@@ -30,14 +30,13 @@ def export_mrr_series(mrr_monthly: DataFrame) -> DataFrame:
 
 def export_plans(dim_customer: DataFrame) -> DataFrame:
     """Customers per current plan; those without a subscription form a NULL plan, listed last."""
-    status, reason = F.col("subscription_status"), F.col("cancellation_reason")
     return (
         dim_customer.groupBy(F.col("current_plan_key").alias("plan"))
         .agg(
-            F.count_if(status == "active").alias("active"),
-            F.count_if(status == "canceled").alias("canceled"),
-            F.count_if(reason == "cancellation_requested").alias("cancellation_requested"),
-            F.count_if(reason == "payment_failed").alias("payment_failed"),
+            F.expr("count_if(subscription_status = 'active')").alias("active"),
+            F.expr("count_if(subscription_status = 'canceled')").alias("canceled"),
+            F.expr("count_if(cancellation_reason = 'cancellation_requested')").alias("cancellation_requested"),
+            F.expr("count_if(cancellation_reason = 'payment_failed')").alias("payment_failed"),
         )
         .orderBy(F.col("plan").asc_nulls_last())
     )
@@ -50,79 +49,80 @@ def cohort_retention(dim_customer: DataFrame, fct_events: DataFrame) -> DataFram
     the active count is a running sum of customers turning active or inactive. After the first
     aggregations the rows number cohorts x months.
     """
-    cohorts = dim_customer.select("customer_id", "cohort_month").filter(F.col("cohort_month").isNotNull())
-    turned = (F.col("mrr") > 0).cast("bigint") - (F.col("previous_mrr") > 0).cast("bigint")
-    since = F.greatest(months_between(F.col("cohort_month"), F.col("month")), F.lit(0))
+    cohorts = dim_customer.select("customer_id", "cohort_month").filter("cohort_month IS NOT NULL")
     turns = (
         with_movement(customer_month_deltas(fct_events).join(cohorts, "customer_id"))
-        .groupBy("cohort_month", since.alias("months_since"))
-        .agg(F.sum(turned).alias("turned"))
+        .selectExpr(
+            "cohort_month",
+            f"greatest({months_between('cohort_month', 'month')}, 0) AS months_since",
+            "int(mrr > 0) - int(previous_mrr > 0) AS turned",
+        )
+        .groupBy("cohort_month", "months_since")
+        .agg(F.sum("turned").alias("turned"))
     )
-    ends = bound(fct_events)
-    first = F.greatest(months_between(F.col("cohort_month"), ends["first_month"]), F.lit(0))
-    last = months_between(F.col("cohort_month"), ends["last_month"])
     cells = (
         cohorts.groupBy("cohort_month")
         .agg(F.count("*").alias("n_customers"))
-        .withColumn("months_since", F.explode(F.when(first <= last, F.sequence(first, last))))
-    )
-    running = (
-        Window.partitionBy("cohort_month")
-        .orderBy("months_since")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .select("*", bounds(fct_events))
+        .selectExpr(
+            "cohort_month",
+            "n_customers",
+            f"greatest({months_between('cohort_month', 'ends.first_month')}, 0) AS first",
+            f"{months_between('cohort_month', 'ends.last_month')} AS last",
+        )
+        .selectExpr(
+            "cohort_month", "n_customers", "explode(if(first <= last, sequence(first, last), NULL)) AS months_since"
+        )
     )
-    active = F.sum(F.coalesce("turned", F.lit(0))).over(running)
-    return cells.join(turns, ["cohort_month", "months_since"], "left").select(
-        "cohort_month", "months_since", active.alias("n_active"), "n_customers"
+    return cells.join(turns, ["cohort_month", "months_since"], "left").selectExpr(
+        "cohort_month",
+        "months_since",
+        "sum(coalesce(turned, 0)) OVER (PARTITION BY cohort_month ORDER BY months_since) AS n_active",
+        "n_customers",
     )
 
 
 def export_cohorts(retention: DataFrame) -> DataFrame:
     """Share of each signup month still paying, rounded to two digits."""
-    share = ratio(F.col("n_active"), F.col("n_customers"))
-    return retention.select(
-        F.date_format("cohort_month", "yyyy-MM").alias("cohort"),
+    return retention.selectExpr(
+        "date_format(cohort_month, 'yyyy-MM') AS cohort",
         "months_since",
-        round_scaled(share, 2).alias("retained"),
+        f"{round_scaled(ratio('n_active', 'n_customers'), 2)} AS retained",
     ).orderBy("cohort", "months_since")
 
 
 def export_unpaid(fct_invoices: DataFrame) -> DataFrame:
-    return fct_invoices.filter(~F.col("is_paid")).agg(
-        F.coalesce(F.sum("amount_unpaid"), F.lit(0)).alias("unpaid_amount")
-    )
+    return fct_invoices.filter("NOT is_paid").selectExpr("coalesce(sum(amount_unpaid), 0) AS unpaid_amount")
 
 
 def kpi_latest(mrr_monthly: DataFrame, unpaid: DataFrame) -> DataFrame:
     """The tiles: the latest month against the one before, in one row."""
-    calendar = Window.orderBy("month")  # one row per calendar month
-
-    def before(name: str) -> Column:
-        return F.lag(name).over(calendar)
-
+    before = "lag({}) OVER (ORDER BY month)"  # one row per calendar month
     latest = (
-        mrr_monthly.select(
+        mrr_monthly.selectExpr(
             "month",
             "mrr",
-            (F.col("mrr") - before("mrr")).alias("mrr_delta"),
+            f"mrr - {before.format('mrr')} AS mrr_delta",
             "active_customers",
             "new_customers",
             "churned_customers",
-            ratio(F.col("churned_customers"), before("active_customers")).alias("churn_rate"),
+            f"{before.format('active_customers')} AS active_before",
         )
-        .withColumn("direction", F.when(F.col("mrr_delta") >= 0, "up").when(F.col("mrr_delta") < 0, "down"))
         .orderBy(F.col("month").desc())
         .limit(1)
     )
-    return latest.withColumn("unpaid_amount", unpaid.scalar())
+    return latest.select("*", unpaid.scalar().alias("unpaid_amount")).selectExpr(
+        "* EXCEPT (active_before)",
+        "CASE WHEN mrr_delta >= 0 THEN 'up' WHEN mrr_delta < 0 THEN 'down' END AS direction",
+        f"{ratio('churned_customers', 'active_before')} AS churn_rate",
+    )
 
 
 def plan_churn_table(plans: DataFrame) -> DataFrame:
     """Churn share of each plan among its active and canceled customers."""
-    total = F.col("active") + F.col("canceled")
     return (
-        plans.select("plan", "active", "canceled", total.alias("total"))
-        .withColumn("churn_pct", ratio(F.col("canceled"), F.col("total")) * 100)
+        plans.selectExpr("plan", "active", "canceled", "active + canceled AS total")
+        .selectExpr("*", f"{ratio('canceled', 'total')} * 100 AS churn_pct")
         .orderBy(F.col("churn_pct").desc_nulls_last())
     )
 
@@ -132,13 +132,15 @@ def cohort_matrix(cohorts: DataFrame) -> DataFrame:
 
     One map per cohort, at most one entry per calendar month.
     """
-    shares = F.map_from_entries(F.collect_list(F.struct("months_since", "retained")))
     return (
         cohorts.groupBy("cohort")
-        .agg(shares.alias("shares"), F.max("months_since").alias("longest"))
-        .withColumn("longest", F.max("longest").over(Window.partitionBy()))
-        .withColumn("months_since", F.explode(F.sequence(F.lit(0), F.col("longest"))))
-        .select("cohort", "months_since", F.try_element_at("shares", F.col("months_since")).alias("retained"))
+        .agg(
+            F.expr("map_from_entries(collect_list(struct(months_since, retained)))").alias("shares"),
+            F.max("months_since").alias("oldest"),
+        )
+        .selectExpr("cohort", "shares", "max(oldest) OVER () AS longest")
+        .selectExpr("cohort", "shares", "explode(sequence(0, longest)) AS months_since")
+        .selectExpr("cohort", "months_since", "try_element_at(shares, months_since) AS retained")
     )
 
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from subtally.operators.history import scd2_rebuild
 from subtally.plans import dashboard, marts, revenue, staging
-from subtally.session import prepare
+from subtally.session import prepare, shared_dir
 from subtally.sources import demo_billing
+from subtally.sources.tables import save_mart
 
 
 class Book:
@@ -62,9 +63,19 @@ class Book:
     def dim_customer(self) -> DataFrame:
         return marts.dim_customer(self.stg_customers, self.stg_subscriptions, self.fct_invoices)
 
+    @cached_property
+    def stored_events(self) -> DataFrame:
+        """fct_subscription_events as the table it is in production, for plans that read it more
+        than once."""
+        return self._stored("fct_subscription_events")
+
+    @cached_property
+    def stored_customers(self) -> DataFrame:
+        return self._stored("dim_customer")
+
     @cached_property
     def mrr_customer_monthly(self) -> DataFrame:
-        return revenue.mrr_customer_monthly(self.stg_customers, self.fct_subscription_events)
+        return revenue.mrr_customer_monthly(self.stg_customers, self.stored_events)
 
     @cached_property
     def mrr_monthly(self) -> DataFrame:
@@ -82,7 +93,15 @@ class Book:
 
     @cached_property
     def retention(self) -> DataFrame:
-        return dashboard.cohort_retention(self.dim_customer, self.fct_subscription_events)
+        return dashboard.cohort_retention(self.dim_customer, self.stored_events)
+
+    @cached_property
+    def stored_retention(self) -> DataFrame:
+        """A pivot asks for its width first, so it reads these few thousand rows twice."""
+        return self._stored("retention")
+
+    def _stored(self, name: str) -> DataFrame:
+        return save_mart(getattr(self, name), shared_dir(self.spark, "marts"), name)
 
     def tables(self, *names: str) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in names}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtally.functions.calendar import month_of
@@ -10,27 +10,22 @@ from subtally.functions.numeric import round_scaled
 from subtally.operators.neighbours import SkewPolicy, with_neighbours
 from subtally.operators.sizing import broadcast_if_small
 
-# Lifecycle event types.
-CREATED = "customer.subscription.created"
-DELETED = "customer.subscription.deleted"
-
 SNAPSHOT_CHECK = ("status", "plan_key", "canceled_at")
 
 
 def dim_plan(stg_subscriptions: DataFrame) -> DataFrame:
     """One row per price seen on a current subscription; yearly prices become monthly amounts."""
-    monthly = round_scaled(F.col("price_amount").cast("double") / 12, 2).cast("decimal(12,2)")
+    monthly = f"cast({round_scaled('cast(price_amount AS double) / 12', 2)} AS decimal(12,2))"
+    attributes = ["price_id", "plan_key", "plan_name", "billing_interval", "price_amount"]
     return (
-        stg_subscriptions.select("price_id", "plan_key", "plan_name", "billing_interval", "price_amount")
+        stg_subscriptions.select(*attributes)
         .distinct()
-        .withColumn(
-            "mrr_amount", F.when(F.col("billing_interval") == "year", monthly).otherwise(F.col("price_amount"))
-        )
+        .selectExpr(*attributes, f"CASE billing_interval WHEN 'year' THEN {monthly} ELSE price_amount END AS mrr_amount")
     )
 
 
 def plan_catalog(stg_subscriptions: DataFrame) -> DataFrame:
-    """dim_plan as a join side: evaluated once, broadcast when its row count proves small."""
+    """dim_plan as a join side, broadcast when it proves small."""
     return broadcast_if_small(dim_plan(stg_subscriptions))
 
 
@@ -39,18 +34,19 @@ def customer_subscription_rollup(stg_subscriptions: DataFrame) -> DataFrame:
 
     The newest non-null value wins, so a customer who came back keeps the last reason given.
     """
-    newest = F.struct("started_at", "subscription_id")
 
-    def newest_known(name: str) -> Column:
-        # max_by skips rows whose ordering is NULL, which drops the NULL values.
-        return F.max_by(F.col(name), F.when(F.col(name).isNotNull() & F.col("started_at").isNotNull(), newest))
+    def newest_known(name: str) -> str:
+        return (
+            f"max_by({name}, struct(started_at, subscription_id)) "
+            f"FILTER (WHERE {name} IS NOT NULL AND started_at IS NOT NULL)"
+        )
 
     return stg_subscriptions.groupBy("customer_id").agg(
         F.min("started_at").alias("first_subscribed_at"),
-        newest_known("plan_key").alias("current_plan_key"),
-        newest_known("status").alias("subscription_status"),
+        F.expr(newest_known("plan_key")).alias("current_plan_key"),
+        F.expr(newest_known("status")).alias("subscription_status"),
         F.max("canceled_at").alias("canceled_at"),
-        newest_known("cancellation_reason").alias("cancellation_reason"),
+        F.expr(newest_known("cancellation_reason")).alias("cancellation_reason"),
     )
 
 
@@ -58,7 +54,7 @@ def customer_invoice_rollup(fct_invoices: DataFrame) -> DataFrame:
     return fct_invoices.groupBy("customer_id").agg(
         F.sum("amount_paid").alias("lifetime_revenue"),
         F.count("*").alias("invoice_count"),
-        F.count_if(~F.col("is_paid")).alias("unpaid_invoice_count"),
+        F.expr("count_if(NOT is_paid)").alias("unpaid_invoice_count"),
     )
 
 
@@ -68,26 +64,26 @@ def dim_customer(stg_customers: DataFrame, stg_subscriptions: DataFrame, fct_inv
     return (
         stg_customers.join(subs, "customer_id", "left")
         .join(invoices, "customer_id", "left")
-        .select(
+        .selectExpr(
             "customer_id",
             "customer_name",
             "email",
             "created_at",
-            month_of(F.col("first_subscribed_at")).alias("cohort_month"),
+            f"{month_of('first_subscribed_at')} AS cohort_month",
             "current_plan_key",
             "subscription_status",
             "canceled_at",
             "cancellation_reason",
-            F.coalesce("lifetime_revenue", F.lit(0)).alias("lifetime_revenue"),
-            F.coalesce("invoice_count", F.lit(0)).alias("invoice_count"),
-            F.coalesce("unpaid_invoice_count", F.lit(0)).alias("unpaid_invoice_count"),
+            "coalesce(lifetime_revenue, 0) AS lifetime_revenue",
+            "coalesce(invoice_count, 0) AS invoice_count",
+            "coalesce(unpaid_invoice_count, 0) AS unpaid_invoice_count",
         )
     )
 
 
 def fct_invoices(stg_invoices: DataFrame, plans: DataFrame) -> DataFrame:
     attributes = plans.select("price_id", "plan_key", "plan_name", "billing_interval")
-    return stg_invoices.join(attributes, "price_id", "left").select(
+    return stg_invoices.join(attributes, "price_id", "left").selectExpr(
         "invoice_id",
         "customer_id",
         "subscription_id",
@@ -96,15 +92,15 @@ def fct_invoices(stg_invoices: DataFrame, plans: DataFrame) -> DataFrame:
         "billing_interval",
         "billing_reason",
         "status",
-        (F.col("status") == "paid").alias("is_paid"),
+        "status = 'paid' AS is_paid",
         "created_at",
-        month_of(F.col("period_start")).alias("invoice_month"),
+        f"{month_of('period_start')} AS invoice_month",
         "period_start",
         "period_end",
         "paid_at",
         "amount_due",
         "amount_paid",
-        (F.col("amount_due") - F.col("amount_paid")).cast("decimal(12,2)").alias("amount_unpaid"),
+        "cast(amount_due - amount_paid AS decimal(12,2)) AS amount_unpaid",
         "attempt_count",
     )
 
@@ -115,40 +111,34 @@ def fct_subscription_events(
     """Starts, plan changes and cancellations with the MRR on either side.
 
     Plans come from current subscriptions only, so an event about a plan nobody holds any more has
-    no MRR and an update to or from it cannot be classified. Unclassified events drop out.
+    no MRR and an update to or from it cannot be classified. Unclassified events drop out, before
+    the only shuffle of this plan.
     """
-    now = plans.select(F.col("plan_key"), F.col("plan_key").alias("_plan"), F.col("mrr_amount").alias("_after"))
-    then = plans.select(
-        F.col("plan_key").alias("previous_plan_key"),
-        F.col("plan_key").alias("_previous"),
-        F.col("mrr_amount").alias("_before"),
-    )
+    now = plans.selectExpr("plan_key", "plan_key AS plan_now", "mrr_amount AS mrr_now")
+    then = plans.selectExpr("plan_key AS previous_plan_key", "plan_key AS plan_then", "mrr_amount AS mrr_then")
     known = stg_subscriptions.select("subscription_id")
-    canceled = F.col("event_type") == DELETED
-    kind = (
-        F.when(F.col("event_type") == CREATED, "started")
-        .when(canceled, "canceled")
-        .when(F.col("_after") > F.col("_before"), "upgraded")
-        .when(F.col("_after") < F.col("_before"), "downgraded")
-    )
-    nothing = F.lit(0).cast("decimal(12,2)")
     return (
         stg_subscription_events.join(now, "plan_key", "left")
         .join(then, "previous_plan_key", "left")
-        .withColumn("_kind", kind)
-        # Unclassified events leave before the only shuffle of this plan.
-        .filter(F.col("_kind").isNotNull())
+        .selectExpr(
+            "*",
+            """CASE WHEN event_type = 'customer.subscription.created' THEN 'started'
+                    WHEN event_type = 'customer.subscription.deleted' THEN 'canceled'
+                    WHEN mrr_now > mrr_then THEN 'upgraded'
+                    WHEN mrr_now < mrr_then THEN 'downgraded' END AS kind""",
+        )
+        .filter("kind IS NOT NULL")
         .join(known, "subscription_id", "left_semi")
-        .select(
+        .selectExpr(
             "event_id",
             "subscription_id",
             "customer_id",
-            F.col("_kind").alias("event_type"),
-            F.when(canceled, F.col("canceled_at")).otherwise(F.col("period_start")).alias("occurred_at"),
-            F.col("_plan").alias("plan_key"),
-            F.col("_previous").alias("previous_plan_key"),
-            F.when(canceled, F.col("_after")).otherwise(F.coalesce("_before", nothing)).alias("mrr_before"),
-            F.when(canceled, nothing).otherwise(F.col("_after")).alias("mrr_after"),
+            "kind AS event_type",
+            "if(kind = 'canceled', canceled_at, period_start) AS occurred_at",
+            "plan_now AS plan_key",
+            "plan_then AS previous_plan_key",
+            "if(kind = 'canceled', mrr_now, coalesce(mrr_then, 0)) AS mrr_before",
+            "if(kind = 'canceled', 0, mrr_now) AS mrr_after",
         )
     )
 
@@ -160,33 +150,29 @@ def mrr_segments(fct_events: DataFrame, policy: SkewPolicy = SkewPolicy()) -> Da
         key="subscription_id",
         order=("occurred_at", "event_id"),
         carry=("occurred_at",),
-        following="_next",
+        following="next_event",
         policy=policy,
-    ).select(
+    ).selectExpr(
         "customer_id",
         "subscription_id",
         "event_id",
-        F.col("occurred_at").alias("valid_from"),
-        F.col("_next.occurred_at").alias("valid_to"),
-        F.col("mrr_after").alias("mrr"),
+        "occurred_at AS valid_from",
+        "next_event.occurred_at AS valid_to",
+        "mrr_after AS mrr",
     )
 
 
 def dim_subscription_history(snapshot: DataFrame, plans: DataFrame) -> DataFrame:
     attributes = plans.select("plan_key", "plan_name", "billing_interval", "mrr_amount")
-    return (
-        snapshot.select("subscription_id", "customer_id", "status", "plan_key", "valid_from", "valid_to")
-        .join(attributes, "plan_key", "left")
-        .select(
-            "subscription_id",
-            "customer_id",
-            "status",
-            "plan_key",
-            "plan_name",
-            "billing_interval",
-            "mrr_amount",
-            "valid_from",
-            "valid_to",
-            F.col("valid_to").isNull().alias("is_current"),
-        )
+    return snapshot.join(attributes, "plan_key", "left").selectExpr(
+        "subscription_id",
+        "customer_id",
+        "status",
+        "plan_key",
+        "plan_name",
+        "billing_interval",
+        "mrr_amount",
+        "valid_from",
+        "valid_to",
+        "valid_to IS NULL AS is_current",
     )

@@ -9,44 +9,36 @@ already holds the customer, with no join against a grid.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtally.functions.calendar import month_of, month_range
 
-MONEY = "decimal(22,2)"
 MOVEMENTS = ("new", "expansion", "reactivation", "contraction", "churn")
 
 
-def zero() -> Column:
-    return F.lit(0).cast(MONEY)
-
-
 def event_month_bounds(fct_events: DataFrame) -> DataFrame:
     """First and last month with a lifecycle event, the ends of every monthly series."""
-    return fct_events.agg(
-        F.min(month_of(F.col("occurred_at"))).alias("first_month"),
-        F.max(month_of(F.col("occurred_at"))).alias("last_month"),
+    return fct_events.selectExpr(
+        f"min({month_of('occurred_at')}) AS first_month", f"max({month_of('occurred_at')}) AS last_month"
     )
 
 
-def bound(fct_events: DataFrame) -> Column:
-    """The bounds as a scalar subquery: one aggregate, usable in any row."""
-    return event_month_bounds(fct_events).select(F.struct("first_month", "last_month")).scalar()
+def bounds(fct_events: DataFrame) -> Column:
+    """Both ends as a scalar subquery: one aggregate, usable in any row."""
+    return event_month_bounds(fct_events).selectExpr("struct(first_month, last_month)").scalar().alias("ends")
 
 
 def month_spine(fct_events: DataFrame) -> DataFrame:
-    return event_month_bounds(fct_events).select(
-        F.explode(month_range(F.col("first_month"), F.col("last_month"))).alias("month_start")
-    )
+    return event_month_bounds(fct_events).selectExpr(f"explode({month_range('first_month', 'last_month')}) AS month_start")
 
 
 def customer_month_grid(stg_customers: DataFrame, fct_events: DataFrame) -> DataFrame:
     """Every customer in every month, unfolded next to the customer row."""
-    ends = bound(fct_events)
-    months = month_range(ends["first_month"], ends["last_month"])
-    return stg_customers.select("customer_id", F.explode(months).alias("month_start")).withColumn(
-        "next_month_start", F.add_months("month_start", 1)
+    return (
+        stg_customers.select("customer_id", bounds(fct_events))
+        .selectExpr("customer_id", f"explode({month_range('ends.first_month', 'ends.last_month')}) AS month_start")
+        .selectExpr("*", "add_months(month_start, 1) AS next_month_start")
     )
 
 
@@ -57,47 +49,52 @@ def customer_month_deltas(fct_events: DataFrame) -> DataFrame:
     without a time opens nothing and, sorting last, closes nothing.
     """
     last_of_month = (
-        fct_events.filter(F.col("occurred_at").isNotNull())
-        .groupBy("subscription_id", month_of(F.col("occurred_at")).alias("month"))
+        fct_events.filter("occurred_at IS NOT NULL")
+        .groupBy("subscription_id", F.expr(month_of("occurred_at")).alias("month"))
         .agg(
-            F.max_by(
-                F.struct("customer_id", F.coalesce("mrr_after", F.lit(0)).cast(MONEY).alias("mrr")),
-                F.struct("occurred_at", "event_id"),
+            F.expr(
+                """max_by(struct(customer_id, cast(coalesce(mrr_after, 0) AS decimal(22,2)) AS mrr),
+                          struct(occurred_at, event_id))"""
             ).alias("now")
         )
     )
-    by_subscription = Window.partitionBy("subscription_id").orderBy("month")
-    gains = F.struct(F.col("now.customer_id").alias("customer_id"), F.col("now.mrr").alias("delta"))
-    losses = F.struct(F.col("then.customer_id").alias("customer_id"), (-F.col("then.mrr")).cast(MONEY).alias("delta"))
     return (
-        last_of_month.withColumn("then", F.lag("now").over(by_subscription))
-        .select("month", F.inline(F.filter(F.array(gains, losses), lambda d: d["delta"].isNotNull())))
+        last_of_month.selectExpr("*", "lag(now) OVER (PARTITION BY subscription_id ORDER BY month) AS then")
+        .selectExpr(
+            "month",
+            """inline(filter(
+                 array(struct(now.customer_id AS customer_id, now.mrr AS delta),
+                       struct(then.customer_id AS customer_id, cast(-then.mrr AS decimal(22,2)) AS delta)),
+                 d -> d.delta IS NOT NULL))""",
+        )
         .groupBy("customer_id", "month")
-        .agg(F.sum("delta").cast(MONEY).alias("delta"))
+        .agg(F.expr("cast(sum(delta) AS decimal(22,2))").alias("delta"))
     )
 
 
 def with_movement(deltas: DataFrame) -> DataFrame:
     """Accumulate the deltas of each customer and name the movement of each change."""
-    by_customer = Window.partitionBy("customer_id").orderBy("month")
-    so_far = by_customer.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = by_customer.rowsBetween(Window.unboundedPreceding, -1)
-    mrr, before = F.col("mrr"), F.col("previous_mrr")
+    months = "PARTITION BY customer_id ORDER BY month"
     return (
-        deltas.withColumn("mrr", F.sum("delta").over(so_far).cast(MONEY))
-        .withColumn("previous_mrr", F.coalesce(F.lag("mrr").over(by_customer), zero()))
-        .withColumn("_peak", F.coalesce(F.max("mrr").over(earlier), zero()))
-        .withColumn("next_month", F.lead("month").over(by_customer))
-        .withColumn("is_first", F.lag("month").over(by_customer).isNull())
-        .withColumn(
-            "movement",
-            F.when((before == 0) & (mrr > 0) & (F.col("_peak") == 0), "new")
-            .when((before == 0) & (mrr > 0), "reactivation")
-            .when(mrr > before, "expansion")
-            .when((mrr > 0) & (mrr < before), "contraction")
-            .when((before > 0) & (mrr == 0), "churn"),
+        deltas.selectExpr(
+            "*",
+            f"cast(sum(delta) OVER ({months}) AS decimal(22,2)) AS mrr",
+            f"lead(month) OVER ({months}) AS next_month",
+            f"lag(month) OVER ({months}) IS NULL AS is_first",
+        )
+        .selectExpr(
+            "*",
+            "cast(mrr - delta AS decimal(22,2)) AS previous_mrr",
+            f"coalesce(max(mrr) OVER ({months} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS peak",
+        )
+        .selectExpr(
+            "* EXCEPT (peak, delta)",
+            """CASE WHEN previous_mrr = 0 AND mrr > 0 AND peak = 0 THEN 'new'
+                    WHEN previous_mrr = 0 AND mrr > 0 THEN 'reactivation'
+                    WHEN mrr > previous_mrr THEN 'expansion'
+                    WHEN mrr > 0 AND mrr < previous_mrr THEN 'contraction'
+                    WHEN previous_mrr > 0 AND mrr = 0 THEN 'churn' END AS movement""",
         )
-        .drop("_peak", "delta")
     )
 
 
@@ -107,33 +104,30 @@ def mrr_customer_monthly(stg_customers: DataFrame, fct_events: DataFrame) -> Dat
     Each change row unfolds into the months until the next change; the first one also covers the
     months before it, and a customer without events covers them all at zero.
     """
-    ends = bound(fct_events)
-    changes = with_movement(
-        stg_customers.select("customer_id").join(customer_month_deltas(fct_events), "customer_id", "left")
-    )
-    start = F.when(F.col("is_first"), ends["first_month"]).otherwise(F.col("month"))
-    end = F.coalesce(F.add_months("next_month", -1), ends["last_month"])
-    cells = changes.withColumn("cell", F.explode(month_range(start, end)))
-    changed = F.col("cell") == F.col("month")
-    reached = F.coalesce(F.col("cell") >= F.col("month"), F.lit(False))
+    deltas = customer_month_deltas(fct_events)
+    changes = with_movement(stg_customers.select("customer_id").join(deltas, "customer_id", "left"))
     return (
-        cells.withColumn("_mrr", F.when(reached, F.coalesce("mrr", zero())).otherwise(zero()))
-        .withColumn("_previous", F.when(changed, F.col("previous_mrr")).otherwise(F.col("_mrr")))
-        .select(
+        changes.select("*", bounds(fct_events))
+        .selectExpr(
+            "*",
+            "if(is_first, ends.first_month, month) AS start",
+            "coalesce(add_months(next_month, -1), ends.last_month) AS until",
+        )
+        .selectExpr("*", f"explode({month_range('start', 'until')}) AS cell")
+        .selectExpr("*", "if(cell >= month, coalesce(mrr, 0), 0) AS now_mrr")
+        .selectExpr(
             "customer_id",
-            F.col("cell").alias("month"),
-            F.col("_mrr").alias("mrr"),
-            F.col("_previous").alias("previous_mrr"),
-            (F.col("_mrr") - F.col("_previous")).cast(MONEY).alias("mrr_change"),
-            F.when(changed, F.col("movement")).alias("movement"),
+            "cell AS month",
+            "now_mrr AS mrr",
+            "if(cell = month, previous_mrr, now_mrr) AS previous_mrr",
+            "if(cell = month, cast(now_mrr - previous_mrr AS decimal(22,2)), 0) AS mrr_change",
+            "if(cell = month, movement, NULL) AS movement",
         )
     )
 
 
 def month_end_mrr(stg_customers: DataFrame, fct_events: DataFrame) -> DataFrame:
-    return mrr_customer_monthly(stg_customers, fct_events).select(
-        "customer_id", F.col("month").alias("month_start"), "mrr"
-    )
+    return mrr_customer_monthly(stg_customers, fct_events).selectExpr("customer_id", "month AS month_start", "mrr")
 
 
 def mrr_monthly(stg_customers: DataFrame, fct_events: DataFrame) -> DataFrame:
@@ -143,38 +137,33 @@ def mrr_monthly(stg_customers: DataFrame, fct_events: DataFrame) -> DataFrame:
     there is one row per month, so the unpartitioned window sees the calendar and nothing else.
     """
     # Changes of unknown customers count for nothing, but their months still stretch the calendar.
-    roster = stg_customers.select("customer_id", F.lit(True).alias("is_known"))
+    roster = stg_customers.selectExpr("customer_id", "true AS is_known")
     changes = with_movement(customer_month_deltas(fct_events).join(roster, "customer_id", "left"))
-    known = F.coalesce("is_known", F.lit(False))
-    change = F.col("mrr") - F.col("previous_mrr")
-    turned = (F.col("mrr") > 0).cast("int") - (F.col("previous_mrr") > 0).cast("int")
-
-    def moved(kind: str) -> Column:
-        return known & (F.col("movement") == kind)
-
-    amounts = [
-        F.coalesce(F.sum(F.when(moved(kind), change)), F.lit(0)).cast(MONEY).alias(f"{kind}_mrr") for kind in MOVEMENTS
-    ]
+    flows = [f"{kind}_mrr" for kind in MOVEMENTS] + ["new_customers", "churned_customers"]
     per_month = changes.groupBy("month").agg(
-        F.coalesce(F.sum(F.when(known, change)), F.lit(0)).alias("_change"),
-        F.coalesce(F.sum(F.when(known, turned)), F.lit(0)).alias("_turned"),
-        *amounts,
-        F.count_if(moved("new")).alias("new_customers"),
-        F.count_if(moved("churn")).alias("churned_customers"),
+        F.expr("coalesce(sum(mrr - previous_mrr) FILTER (WHERE is_known), 0)").alias("change"),
+        F.expr("coalesce(sum(int(mrr > 0) - int(previous_mrr > 0)) FILTER (WHERE is_known), 0)").alias("turned"),
+        *[
+            F.expr(
+                f"cast(coalesce(sum(mrr - previous_mrr) FILTER (WHERE is_known AND movement = '{kind}'), 0)"
+                " AS decimal(22,2))"
+            ).alias(f"{kind}_mrr")
+            for kind in MOVEMENTS
+        ],
+        F.expr("count_if(is_known AND movement = 'new')").alias("new_customers"),
+        F.expr("count_if(is_known AND movement = 'churn')").alias("churned_customers"),
     )
-    calendar = Window.orderBy("month")
-    so_far = calendar.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = (
-        per_month.withColumn("mrr", F.sum("_change").over(so_far).cast(MONEY))
-        .withColumn("active_customers", F.sum("_turned").over(so_far))
-        .withColumn("_until", F.coalesce(F.add_months(F.lead("month").over(calendar), -1), F.col("month")))
-        .withColumn("_cell", F.explode(month_range(F.col("month"), F.col("_until"))))
+    return (
+        per_month.selectExpr(
+            "month AS changed",
+            "cast(sum(change) OVER (ORDER BY month) AS decimal(22,2)) AS mrr",
+            "sum(turned) OVER (ORDER BY month) AS active_customers",
+            "coalesce(add_months(lead(month) OVER (ORDER BY month), -1), month) AS until",
+            *flows,
+        )
+        .selectExpr("*", f"explode({month_range('changed', 'until')}) AS month")
+        .selectExpr(
+            "month", "mrr", "active_customers", *[f"if(month = changed, {flow}, 0) AS {flow}" for flow in flows]
+        )
+        .orderBy("month")
     )
-    at_change = F.col("_cell") == F.col("month")
-    flows = [f"{kind}_mrr" for kind in MOVEMENTS] + ["new_customers", "churned_customers"]
-    return filled.select(
-        F.col("_cell").alias("month"),
-        "mrr",
-        "active_customers",
-        *[F.when(at_change, F.col(c)).otherwise(F.lit(0)).alias(c) for c in flows],
-    ).orderBy("month")

@@ -1,6 +1,8 @@
 """Typed views over raw documents, one row per object.
 
-Each document is parsed once with an explicit schema that names only what the view needs.
+Each document is parsed once, with an explicit schema that names only what the view needs, so no key
+can be lost to inference. Leaves are read as text and cast: a number and a quoted number read the same
+way, and bad input raises under ANSI.
 """
 
 from __future__ import annotations
@@ -8,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subtally.functions.documents import cents_to_money, epoch_to_timestamp, first_item
+from subtally.functions.documents import cents, epoch, first_item
 
 CUSTOMER = "struct<name:string,email:string,created:string,delinquent:string>"
 
@@ -43,87 +45,86 @@ SUBSCRIPTION_EVENT = """struct<
             items:struct<data:array<struct<price:struct<lookup_key:string>,current_period_start:string>>>>,
         previous_attributes:struct<items:struct<data:array<struct<price:struct<lookup_key:string>>>>>>>"""
 
-SUBSCRIPTION_EVENT_PREFIX = "customer.subscription."
-
 
 def _parsed(raw: DataFrame, schema: str) -> DataFrame:
     return raw.select("id", F.from_json("data", " ".join(schema.split())).alias("d"))
 
 
 def stg_customers(raw: DataFrame) -> DataFrame:
-    return _parsed(raw, CUSTOMER).select(
-        F.col("id").alias("customer_id"),
-        F.col("d.name").alias("customer_name"),
-        F.col("d.email").alias("email"),
-        epoch_to_timestamp(F.col("d.created")).alias("created_at"),
-        F.col("d.delinquent").cast("boolean").alias("is_delinquent"),
+    return _parsed(raw, CUSTOMER).selectExpr(
+        "id AS customer_id",
+        "d.name AS customer_name",
+        "d.email AS email",
+        f"{epoch('d.created')} AS created_at",
+        "cast(d.delinquent AS boolean) AS is_delinquent",
     )
 
 
 def stg_subscriptions(raw: DataFrame) -> DataFrame:
-    doc = _parsed(raw, SUBSCRIPTION).withColumn("price", first_item(F.col("d.items.data"))["price"])
-    return doc.select(
-        F.col("id").alias("subscription_id"),
-        F.col("d.customer").alias("customer_id"),
-        F.col("d.status").alias("status"),
-        F.col("price.id").alias("price_id"),
-        F.col("price.lookup_key").alias("plan_key"),
-        F.col("price.product").alias("plan_name"),
-        F.col("price.recurring.interval").alias("billing_interval"),
-        cents_to_money(F.col("price.unit_amount")).alias("price_amount"),
-        epoch_to_timestamp(F.col("d.start_date")).alias("started_at"),
-        epoch_to_timestamp(F.col("d.canceled_at")).alias("canceled_at"),
-        F.col("d.cancellation_details.reason").alias("cancellation_reason"),
+    price = f"{first_item('d.items.data')}.price"
+    return _parsed(raw, SUBSCRIPTION).selectExpr(
+        "id AS subscription_id",
+        "d.customer AS customer_id",
+        "d.status AS status",
+        f"{price}.id AS price_id",
+        f"{price}.lookup_key AS plan_key",
+        f"{price}.product AS plan_name",
+        f"{price}.recurring.`interval` AS billing_interval",
+        f"{cents(f'{price}.unit_amount')} AS price_amount",
+        f"{epoch('d.start_date')} AS started_at",
+        f"{epoch('d.canceled_at')} AS canceled_at",
+        "d.cancellation_details.reason AS cancellation_reason",
     )
 
 
 def stg_invoices(raw: DataFrame) -> DataFrame:
-    doc = _parsed(raw, INVOICE).withColumn("line", first_item(F.col("d.lines.data")))
-    return doc.select(
-        F.col("id").alias("invoice_id"),
-        F.col("d.customer").alias("customer_id"),
-        F.col("d.parent.subscription_details.subscription").alias("subscription_id"),
-        F.col("line.pricing.price_details.price").alias("price_id"),
-        F.col("d.status").alias("status"),
-        F.col("d.billing_reason").alias("billing_reason"),
-        epoch_to_timestamp(F.col("d.created")).alias("created_at"),
-        epoch_to_timestamp(F.col("line.period.start")).alias("period_start"),
-        epoch_to_timestamp(F.col("line.period.end")).alias("period_end"),
-        epoch_to_timestamp(F.col("d.status_transitions.paid_at")).alias("paid_at"),
-        cents_to_money(F.col("d.amount_due")).alias("amount_due"),
-        cents_to_money(F.col("d.amount_paid")).alias("amount_paid"),
-        F.col("d.attempt_count").cast("int").alias("attempt_count"),
+    line = first_item("d.lines.data")
+    return _parsed(raw, INVOICE).selectExpr(
+        "id AS invoice_id",
+        "d.customer AS customer_id",
+        "d.parent.subscription_details.subscription AS subscription_id",
+        f"{line}.pricing.price_details.price AS price_id",
+        "d.status AS status",
+        "d.billing_reason AS billing_reason",
+        f"{epoch('d.created')} AS created_at",
+        f"{epoch(f'{line}.period.start')} AS period_start",
+        f"{epoch(f'{line}.period.`end`')} AS period_end",
+        f"{epoch('d.status_transitions.paid_at')} AS paid_at",
+        f"{cents('d.amount_due')} AS amount_due",
+        f"{cents('d.amount_paid')} AS amount_paid",
+        "cast(d.attempt_count AS int) AS attempt_count",
     )
 
 
 def stg_charges(raw: DataFrame) -> DataFrame:
-    return _parsed(raw, CHARGE).select(
-        F.col("id").alias("charge_id"),
-        F.col("d.customer").alias("customer_id"),
-        F.col("d.payment_intent").alias("payment_intent_id"),
-        F.col("d.status").alias("status"),
-        cents_to_money(F.col("d.amount")).alias("amount"),
-        epoch_to_timestamp(F.col("d.created")).alias("created_at"),
-        F.col("d.failure_code").alias("failure_code"),
+    return _parsed(raw, CHARGE).selectExpr(
+        "id AS charge_id",
+        "d.customer AS customer_id",
+        "d.payment_intent AS payment_intent_id",
+        "d.status AS status",
+        f"{cents('d.amount')} AS amount",
+        f"{epoch('d.created')} AS created_at",
+        "d.failure_code AS failure_code",
     )
 
 
 def stg_subscription_events(raw: DataFrame) -> DataFrame:
     """Subscription events only; previous_plan_key is NULL unless the plan changed."""
-    doc = (
+    item = first_item("d.data.object.items.data")
+    before = first_item("d.data.previous_attributes.items.data")
+    return (
         _parsed(raw, SUBSCRIPTION_EVENT)
-        .withColumn("item", first_item(F.col("d.data.object.items.data")))
-        .withColumn("before", first_item(F.col("d.data.previous_attributes.items.data")))
-    )
-    return doc.filter(F.col("d.type").startswith(SUBSCRIPTION_EVENT_PREFIX)).select(
-        F.col("id").alias("event_id"),
-        F.col("d.type").alias("event_type"),
-        F.col("d.data.object.id").alias("subscription_id"),
-        F.col("d.data.object.customer").alias("customer_id"),
-        F.col("before.price.lookup_key").alias("previous_plan_key"),
-        F.col("item.price.lookup_key").alias("plan_key"),
-        epoch_to_timestamp(F.col("item.current_period_start")).alias("period_start"),
-        epoch_to_timestamp(F.col("d.data.object.canceled_at")).alias("canceled_at"),
+        .filter("startswith(d.type, 'customer.subscription.')")
+        .selectExpr(
+            "id AS event_id",
+            "d.type AS event_type",
+            "d.data.object.id AS subscription_id",
+            "d.data.object.customer AS customer_id",
+            f"{before}.price.lookup_key AS previous_plan_key",
+            f"{item}.price.lookup_key AS plan_key",
+            f"{epoch(f'{item}.current_period_start')} AS period_start",
+            f"{epoch('d.data.object.canceled_at')} AS canceled_at",
+        )
     )
 
 

@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Parsing documents is CPU work: when a shuffle is small, spread it over the cores anyway.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
 }
 
 

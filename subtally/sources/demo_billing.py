@@ -7,8 +7,7 @@ it: the first creates it, a final one with status F deletes it, the rest change
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from subtally.operators.neighbours import SkewPolicy, with_neighbours
 
@@ -21,219 +20,189 @@ PLANS = [
     ("enterprise_monthly", 9900),
     ("enterprise_yearly", 99000),
 ]
+PLAN_KEYS = "array({})".format(", ".join(f"'{key}'" for key, _ in PLANS))
+PLAN_CENTS = "array({})".format(", ".join(str(cents) for _, cents in PLANS))
+
+# Rows one landing file of the demo feed holds at most.
+FILE_ROWS = 50_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def padded(prefix: str, number: Column) -> Column:
-    """Zero-padded ids, so they sort as text the way the numbers do."""
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), 12, "0"))
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share when a scan has fewer partitions than there are cores.
 
-
-def epoch(ts: Column) -> Column:
-    return F.unix_seconds(ts.cast("timestamp"))
+    Building and parsing JSON costs far more than moving these narrow rows. Large inputs already
+    come in many splits and pass through.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def _plan(index: Column, field: int) -> Column:
-    return F.get(F.array(*[F.lit(plan[field]) for plan in PLANS]), index.cast("int"))
+def padded(prefix: str, number: str) -> str:
+    """Zero-padded ids, so they sort as text the way the numbers do."""
+    return f"concat('{prefix}', lpad(cast({number} AS string), 12, '0'))"
 
 
-def _price(index: Column) -> Column:
-    key = _plan(index, 0)
-    return F.struct(
-        F.concat(F.lit("price_"), index.cast("string")).alias("id"),
-        key.alias("lookup_key"),
-        F.concat(F.lit("prod_"), F.substring_index(key, "_", 1)).alias("product"),
-        _plan(index, 1).alias("unit_amount"),
-        F.struct(F.when(index % 2 == 0, "month").otherwise("year").alias("interval")).alias("recurring"),
-    )
+def price(index: str) -> str:
+    key = f"get({PLAN_KEYS}, cast({index} AS int))"
+    return f"""named_struct(
+        'id', concat('price_', cast({index} AS string)),
+        'lookup_key', {key},
+        'product', concat('prod_', substring_index({key}, '_', 1)),
+        'unit_amount', get({PLAN_CENTS}, cast({index} AS int)),
+        'recurring', named_struct('interval', if({index} % 2 = 0, 'month', 'year')))"""
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders")
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    return orders.select(
-        key,
-        customer,
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
         "o_orderstatus",
         "o_orderdate",
-        (F.col("o_orderpriority") == "5-LOW").alias("untimed"),
-        (key % len(PLANS)).alias("plan_index"),
-        padded("cus_", customer).alias("customer"),
-        F.concat(padded("sub_", customer), F.lit("_"), (key % 2).cast("string")).alias("subscription"),
-        epoch(F.col("o_orderdate")).alias("at"),
+        "o_orderpriority = '5-LOW' AS untimed",
+        f"o_orderkey % {len(PLANS)} AS plan_index",
+        f"{padded('cus_', 'o_custkey')} AS customer",
+        f"concat({padded('sub_', 'o_custkey')}, '_', cast(o_orderkey % 2 AS string)) AS subscription",
+        "unix_seconds(cast(o_orderdate AS timestamp)) AS at",
     )
 
 
-def _document(**fields: Column) -> Column:
-    return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
-
-
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts of both kinds; one test clock per nation."""
-    buyers = read_table(spark, sf_dir, "customer").select(
-        padded("cus_", F.col("c_custkey")).alias("id"),
-        F.col("c_custkey").alias("key"),
-        F.col("c_name").alias("name"),
-        F.col("c_nationkey").alias("nation"),
-        F.col("c_acctbal").alias("balance"),
+    buyers = read_table(spark, sf_dir, "customer").selectExpr(
+        f"{padded('cus_', 'c_custkey')} AS id",
+        "c_custkey AS key",
+        "c_name AS name",
+        "c_nationkey AS nation",
+        "c_acctbal AS balance",
     )
-    sellers = read_table(spark, sf_dir, "supplier").select(
-        padded("cus_s", F.col("s_suppkey")).alias("id"),
-        F.col("s_suppkey").alias("key"),
-        F.col("s_name").alias("name"),
-        F.col("s_nationkey").alias("nation"),
-        F.col("s_acctbal").alias("balance"),
+    sellers = read_table(spark, sf_dir, "supplier").selectExpr(
+        f"{padded('cus_s', 's_suppkey')} AS id",
+        "s_suppkey AS key",
+        "s_name AS name",
+        "s_nationkey AS nation",
+        "s_acctbal AS balance",
     )
-    opened = F.unix_seconds(F.lit("1995-01-01 00:00:00").cast("timestamp")) + F.col("key")
-    return buyers.unionByName(sellers).select(
+    return buyers.unionByName(sellers).selectExpr(
         "id",
-        _document(
-            id=F.col("id"),
-            object=F.lit("customer"),
-            name=F.col("name"),
-            email=F.concat(F.lower(F.regexp_replace("name", "#", ".")), F.lit("@example.com")),
-            created=opened,
-            delinquent=F.col("balance") < 0,
-            test_clock=F.concat(F.lit("clock_"), F.lpad(F.col("nation").cast("string"), 2, "0")),
-        ).alias("data"),
+        """to_json(named_struct(
+            'id', id,
+            'object', 'customer',
+            'name', name,
+            'email', concat(lower(replace(name, '#', '.')), '@example.com'),
+            'created', unix_seconds(timestamp '1995-01-01 00:00:00') + key,
+            'delinquent', balance < 0,
+            'test_clock', concat('clock_', lpad(cast(nation AS string), 2, '0')))) AS data""",
     )
 
 
+STATUS = "CASE WHEN deletes THEN 'canceled' WHEN o_orderstatus = 'P' THEN 'past_due' ELSE 'active' END"
+
+
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current state of each subscription: the plan and outcome of its last order."""
-    newest = F.struct("o_orderdate", "o_orderkey")
-    state = F.struct("o_orderkey", "o_orderstatus", "plan_index", "at", "untimed")
-    last = (
-        _orders(spark, sf_dir)
-        .groupBy("customer", "subscription")
-        .agg(F.min("at").alias("start"), F.max_by(state, newest).alias("last"), F.count("*").alias("n"))
-    )
-    deleted = (F.col("n") > 1) & (F.col("last.o_orderstatus") == "F")
-    reason = F.when(F.col("last.o_orderkey") % 4 == 0, "payment_failed").otherwise("cancellation_requested")
-    return last.select(
-        F.col("subscription").alias("id"),
-        _document(
-            id=F.col("subscription"),
-            object=F.lit("subscription"),
-            customer=F.col("customer"),
-            status=subscription_status(deleted, F.col("last.o_orderstatus")),
-            start_date=F.col("start"),
-            canceled_at=F.when(deleted & ~F.col("last.untimed"), F.col("last.at")),
-            cancellation_details=F.struct(F.when(deleted, reason).alias("reason")),
-            items=F.struct(F.array(F.struct(_price(F.col("last.plan_index")).alias("price"))).alias("data")),
-        ).alias("data"),
+    last = """max_by(struct(o_orderkey, o_orderstatus, plan_index, at, untimed),
+                     struct(o_orderdate, o_orderkey)) AS last"""
+    return (
+        spark.sql(
+            f"""SELECT customer, subscription, min(at) AS start, count(*) AS n, {last}
+                FROM {{orders}} GROUP BY customer, subscription""",
+            orders=orders(spark, sf_dir),
+        )
+        .selectExpr("customer", "subscription", "start", "last.*", "n > 1 AND last.o_orderstatus = 'F' AS deletes")
+        .selectExpr(
+            "subscription AS id",
+            f"""to_json(named_struct(
+                'id', subscription,
+                'object', 'subscription',
+                'customer', customer,
+                'status', {STATUS},
+                'start_date', start,
+                'canceled_at', if(deletes AND NOT untimed, at, NULL),
+                'cancellation_details', named_struct('reason', CASE
+                    WHEN deletes AND o_orderkey % 4 = 0 THEN 'payment_failed'
+                    WHEN deletes THEN 'cancellation_requested' END),
+                'items', named_struct('data', array(named_struct('price', {price("plan_index")}))))) AS data""",
+        )
     )
 
 
-def subscription_status(deleted: Column, order_status: Column) -> Column:
-    return F.when(deleted, "canceled").when(order_status == "P", "past_due").otherwise("active")
-
-
 def subscription_steps(spark: SparkSession, sf_dir: str, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
     """Orders with the plan before them and whether they end their subscription."""
-    steps = with_neighbours(
-        _orders(spark, sf_dir),
+    return with_neighbours(
+        orders(spark, sf_dir),
         key="subscription",
         order=("o_orderdate", "o_orderkey"),
         carry=("plan_index",),
         previous="before",
         following="after",
         policy=policy,
-    )
-    return steps.withColumn(
-        "deletes", F.col("before").isNotNull() & F.col("after").isNull() & (F.col("o_orderstatus") == "F")
-    )
+    ).selectExpr("*", "before IS NOT NULL AND after IS NULL AND o_orderstatus = 'F' AS deletes")
 
 
 def events(spark: SparkSession, sf_dir: str, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
-    kind = (
-        F.when(F.col("before").isNull(), "created").when(F.col("deletes"), "deleted").otherwise("updated")
-    )
-    subscription = F.struct(
-        F.lit("subscription").alias("object"),
-        F.col("subscription").alias("id"),
-        F.col("customer"),
-        F.when(F.col("deletes") & ~F.col("untimed"), F.col("at")).alias("canceled_at"),
-        F.struct(
-            F.array(
-                F.struct(_price(F.col("plan_index")).alias("price"), F.col("at").alias("current_period_start"))
-            ).alias("data")
-        ).alias("items"),
-    )
-    previous = F.when(
-        F.col("before").isNotNull(),
-        F.struct(
-            F.struct(
-                F.array(F.struct(F.struct(_plan(F.col("before.plan_index"), 0).alias("lookup_key")).alias("price"))).alias(
-                    "data"
-                )
-            ).alias("items")
-        ),
-    )
-    return subscription_steps(spark, sf_dir, policy).select(
-        padded("evt_", F.col("o_orderkey")).alias("id"),
-        _document(
-            id=padded("evt_", F.col("o_orderkey")),
-            type=F.concat(F.lit("customer.subscription."), kind),
-            created=F.col("at"),
-            data=F.struct(subscription.alias("object"), previous.alias("previous_attributes")),
-        ).alias("data"),
+    event_id = padded("evt_", "o_orderkey")
+    return subscription_steps(spark, sf_dir, policy).selectExpr(
+        f"{event_id} AS id",
+        f"""to_json(named_struct(
+            'id', {event_id},
+            'type', concat('customer.subscription.', CASE
+                WHEN before IS NULL THEN 'created' WHEN deletes THEN 'deleted' ELSE 'updated' END),
+            'created', at,
+            'data', named_struct(
+                'object', named_struct(
+                    'object', 'subscription',
+                    'id', subscription,
+                    'customer', customer,
+                    'canceled_at', if(deletes AND NOT untimed, at, NULL),
+                    'items', named_struct('data', array(named_struct(
+                        'price', {price("plan_index")}, 'current_period_start', at)))),
+                'previous_attributes', if(before IS NULL, NULL, named_struct('items', named_struct('data', array(
+                    named_struct('price', named_struct(
+                        'lookup_key', get({PLAN_KEYS}, cast(before.plan_index AS int))))))))))) AS data""",
     )
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paid = F.col("o_orderstatus") == "F"
-    status = (
-        F.when(paid, "paid")
-        .when(F.col("o_orderstatus") == "O", "open")
-        .when(F.col("o_orderkey") % 3 == 0, "void")
-        .otherwise("draft")
-    )
-    cents = _plan(F.col("plan_index"), 1)
-    months = F.when(F.col("plan_index") % 2 == 0, 1).otherwise(12)
-    end = epoch(F.add_months(F.col("o_orderdate").cast("date"), months))
-    line = F.struct(
-        F.struct(F.struct(F.concat(F.lit("price_"), F.col("plan_index").cast("string")).alias("price")).alias("price_details")).alias(
-            "pricing"
-        ),
-        F.struct(F.col("at").alias("start"), end.alias("end")).alias("period"),
-    )
-    return _orders(spark, sf_dir).select(
-        padded("in_", F.col("o_orderkey")).alias("id"),
-        _document(
-            id=padded("in_", F.col("o_orderkey")),
-            object=F.lit("invoice"),
-            customer=F.col("customer"),
-            status=status,
-            billing_reason=F.when(F.col("o_orderstatus") == "P", "subscription_update").otherwise("subscription_cycle"),
-            created=F.col("at"),
-            amount_due=cents,
-            amount_paid=F.when(paid, cents).otherwise(F.lit(0)),
-            attempt_count=F.lit(1) + F.col("o_orderkey") % 4,
-            parent=F.struct(F.struct(F.col("subscription")).alias("subscription_details")),
-            status_transitions=F.struct(F.when(paid, F.col("at") + 3600).alias("paid_at")),
-            lines=F.struct(F.array(line).alias("data")),
-        ).alias("data"),
+    invoice_id = padded("in_", "o_orderkey")
+    return spread(orders(spark, sf_dir)).selectExpr(
+        f"{invoice_id} AS id",
+        f"""to_json(named_struct(
+            'id', {invoice_id},
+            'object', 'invoice',
+            'customer', customer,
+            'status', CASE WHEN o_orderstatus = 'F' THEN 'paid' WHEN o_orderstatus = 'O' THEN 'open'
+                           WHEN o_orderkey % 3 = 0 THEN 'void' ELSE 'draft' END,
+            'billing_reason', if(o_orderstatus = 'P', 'subscription_update', 'subscription_cycle'),
+            'created', at,
+            'amount_due', get({PLAN_CENTS}, cast(plan_index AS int)),
+            'amount_paid', if(o_orderstatus = 'F', get({PLAN_CENTS}, cast(plan_index AS int)), 0),
+            'attempt_count', 1 + o_orderkey % 4,
+            'parent', named_struct('subscription_details', named_struct('subscription', subscription)),
+            'status_transitions', named_struct('paid_at', if(o_orderstatus = 'F', at + 3600, NULL)),
+            'lines', named_struct('data', array(named_struct(
+                'pricing', named_struct('price_details', named_struct(
+                    'price', concat('price_', cast(plan_index AS string)))),
+                'period', named_struct('start', at, 'end', unix_seconds(cast(add_months(
+                    cast(o_orderdate AS date), if(plan_index % 2 = 0, 1, 12)) AS timestamp)))))))) AS data""",
     )
 
 
 def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paid = F.col("o_orderstatus") == "F"
-    return _orders(spark, sf_dir).select(
-        padded("ch_", F.col("o_orderkey")).alias("id"),
-        _document(
-            id=padded("ch_", F.col("o_orderkey")),
-            object=F.lit("charge"),
-            customer=F.col("customer"),
-            payment_intent=padded("pi_", F.col("o_orderkey")),
-            status=F.when(paid, "succeeded").otherwise("failed"),
-            amount=_plan(F.col("plan_index"), 1),
-            created=F.col("at"),
-            failure_code=F.when(~paid, "card_declined"),
-        ).alias("data"),
+    charge_id = padded("ch_", "o_orderkey")
+    return spread(orders(spark, sf_dir)).selectExpr(
+        f"{charge_id} AS id",
+        f"""to_json(named_struct(
+            'id', {charge_id},
+            'object', 'charge',
+            'customer', customer,
+            'payment_intent', {padded("pi_", "o_orderkey")},
+            'status', if(o_orderstatus = 'F', 'succeeded', 'failed'),
+            'amount', get({PLAN_CENTS}, cast(plan_index AS int)),
+            'created', at,
+            'failure_code', if(o_orderstatus = 'F', NULL, 'card_declined'))) AS data""",
     )
 
 
@@ -254,18 +223,17 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def subscription_snapshots(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
     """What a snapshot run at the end of each period finds changed: one row per subscription with
     an event in the period, in its state after the last of them."""
-    steps = subscription_steps(spark, sf_dir)
-    run = F.add_months(F.trunc("o_orderdate", period), {"month": 1, "year": 12}[period]).cast("timestamp")
-    state = F.struct(
-        subscription_status(F.col("deletes"), F.col("o_orderstatus")).alias("status"),
-        _plan(F.col("plan_index"), 0).alias("plan_key"),
-        F.when(F.col("deletes") & ~F.col("untimed"), F.col("o_orderdate").cast("timestamp")).alias("canceled_at"),
-    )
-    return (
-        steps.groupBy(F.col("subscription").alias("subscription_id"), F.col("customer").alias("customer_id"), run.alias("run"))
-        .agg(F.max_by(state, F.struct("o_orderdate", "o_orderkey")).alias("s"))
-        .select("subscription_id", "customer_id", "run", "s.status", "s.plan_key", "s.canceled_at")
-    )
+    months = {"month": 1, "year": 12}[period]
+    return spark.sql(
+        f"""SELECT subscription AS subscription_id, customer AS customer_id,
+                   cast(add_months(trunc(o_orderdate, '{period}'), {months}) AS timestamp) AS run,
+                   max_by(struct({STATUS} AS status,
+                                 get({PLAN_KEYS}, cast(plan_index AS int)) AS plan_key,
+                                 if(deletes AND NOT untimed, cast(o_orderdate AS timestamp), NULL) AS canceled_at),
+                          struct(o_orderdate, o_orderkey)) AS s
+            FROM {{steps}} GROUP BY 1, 2, 3""",
+        steps=subscription_steps(spark, sf_dir),
+    ).selectExpr("subscription_id", "customer_id", "run", "s.*")
 
 
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,45 +242,34 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     Low-valued errors play deleted clocks, other errors an object type nobody loads, and low-valued
     purchases invoice previews without an id. Views carry no clock.
     """
-    user = F.col("user_id").cast("string")
-    k = F.get_json_object("props", "$.k").cast("int")
-    kind = F.col("event_type")
-    clock_deleted = (kind == "error") & (k < 5)
-    object_kind = (
-        F.when(kind == "view", "customer")
-        .when(kind == "signup", "subscription")
-        .when(kind == "purchase", "invoice")
-        .when(kind == "click", "charge")
-        .when(clock_deleted, "test_helpers.test_clock")
-        .otherwise("payment_intent")
-    )
-    object_id = (
-        F.when(clock_deleted, F.concat(F.lit("clock_"), user))
-        .when(kind == "purchase", F.when(k >= 10, F.concat(F.lit("in_"), user)))
-        .otherwise(F.concat(object_kind, F.lit("_"), user))
+    described = spread(read_table(spark, sf_dir, "events")).selectExpr(
+        "event_id",
+        "ts",
+        "cast(user_id AS string) AS user",
+        "cast(get_json_object(props, '$.k') AS int) AS k",
+        "event_type",
     )
-    event_type = F.when(clock_deleted, "test_helpers.test_clock.deleted").otherwise(
-        F.concat(object_kind, F.lit(".updated"))
+    kinds = described.selectExpr(
+        "*",
+        """CASE event_type WHEN 'view' THEN 'customer' WHEN 'signup' THEN 'subscription'
+             WHEN 'purchase' THEN 'invoice' WHEN 'click' THEN 'charge'
+             ELSE if(k < 5, 'test_helpers.test_clock', 'payment_intent') END AS kind""",
     )
-    changed = F.struct(
-        object_kind.alias("object"),
-        object_id.alias("id"),
-        F.when(~kind.isin("view", "error"), F.concat(F.lit("clock_"), user)).alias("test_clock"),
-        k.alias("k"),
+    return kinds.selectExpr(
+        "date_format(ts, 'yyyy-MM-dd') AS batch",
+        "-event_id AS source_pos",
+        f"""to_json(named_struct(
+            'id', {padded("evt_", "event_id")},
+            'type', concat(kind, if(kind = 'test_helpers.test_clock', '.deleted', '.updated')),
+            'created', unix_seconds(cast(ts AS timestamp)),
+            'data', named_struct('object', named_struct(
+                'object', kind,
+                'id', CASE kind WHEN 'test_helpers.test_clock' THEN concat('clock_', user)
+                                WHEN 'invoice' THEN if(k >= 10, concat('in_', user), NULL)
+                                ELSE concat(kind, '_', user) END,
+                'test_clock', if(event_type IN ('view', 'error'), NULL, concat('clock_', user)),
+                'k', k)))) AS data""",
     )
-    return read_table(spark, sf_dir, "events").select(
-        F.date_format("ts", "yyyy-MM-dd").alias("batch"),
-        (-F.col("event_id")).alias("source_pos"),
-        _document(
-            id=padded("evt_", F.col("event_id")),
-            type=event_type,
-            created=epoch(F.col("ts")),
-            data=F.struct(changed.alias("object")),
-        ).alias("data"),
-    )
-
-
-FILE_ROWS = 50_000
 
 
 def write_feed_files(spark: SparkSession, sf_dir: str, root: str) -> None:
@@ -321,14 +278,10 @@ def write_feed_files(spark: SparkSession, sf_dir: str, root: str) -> None:
     Paths (``sync=<day>-<block>/...``) sort in feed order, and no array holds more than FILE_ROWS
     documents because event ids are unique.
     """
-    block = F.lpad((F.floor(-F.col("source_pos") / FILE_ROWS)).cast("string"), 9, "0")
-    arrays = (
-        change_feed(spark, sf_dir)
-        .groupBy("batch", block.alias("block"))
-        .agg(F.sort_array(F.collect_list(F.struct((-F.col("source_pos")).alias("o"), "data"))).alias("docs"))
-        .select(
-            F.concat_ws("-", "batch", "block").alias("sync"),
-            F.concat(F.lit("["), F.array_join(F.transform("docs", lambda d: d["data"]), ",\n"), F.lit("]")).alias("value"),
-        )
-    )
+    arrays = spark.sql(
+        f"""SELECT concat(batch, '-', lpad(cast(-source_pos DIV {FILE_ROWS} AS string), 9, '0')) AS sync,
+                   sort_array(collect_list(struct(-source_pos AS seq, data))) AS docs
+            FROM {{feed}} GROUP BY 1""",
+        feed=change_feed(spark, sf_dir),
+    ).selectExpr("sync", "concat('[', array_join(transform(docs, d -> d.data), ',\\n'), ']') AS value")
     arrays.write.mode("overwrite").partitionBy("sync").text(root)
