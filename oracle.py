@@ -1,7 +1,7 @@
 """DuckDB statements that recompute every query from the plain tables.
 
 They share typed relations instead of documents, and use other constructs where there is a choice: an
-as-of join for month-end MRR instead of accumulated changes, the dense customer x month table instead
+interval join for month-end MRR instead of accumulated changes, the dense customer x month table instead
 of change points, row numbers instead of aggregates by position.
 """
 
@@ -141,7 +141,10 @@ ends AS (
 ),
 sub_months AS (
   SELECT ends.month, t.customer_id, t.mrr_after AS mrr
-  FROM ends ASOF JOIN timed t ON ends.subscription_id = t.subscription_id AND ends.until > t.occurred_at
+  FROM ends JOIN (
+    SELECT *, lead(occurred_at, 1, TIMESTAMP '9999-01-01') OVER (PARTITION BY subscription_id ORDER BY occurred_at)
+                AS next_at FROM timed) t
+    ON ends.subscription_id = t.subscription_id AND ends.until > t.occurred_at AND ends.until <= t.next_at
 ),
 dense AS (
   SELECT c.customer_id, m.month, ifnull(x.mrr, 0)::DECIMAL(22,2) AS mrr

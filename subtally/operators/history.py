@@ -63,7 +63,7 @@ def snapshot_run(
     """
     label = at.strftime("%Y-%m-%dT%H-%M-%SZ")
     earlier = [v for v in versions(spark, root, label="run") if v < label]
-    schema = StructType(batch.schema.fields).add("valid_from", "timestamp").add("valid_to", "timestamp")
+    schema = StructType(list(batch.schema.fields)).add("valid_from", "timestamp").add("valid_to", "timestamp")
     if earlier:
         stored = spark.read.schema(schema.add("is_current", "boolean")).parquet(f"{root}/run={earlier[-1]}")
         open_rows = stored.filter("is_current").drop("is_current")

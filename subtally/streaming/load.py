@@ -69,6 +69,9 @@ def stream_load(spark: SparkSession, landing: str, changes: str, checkpoint: str
 
 
 def read_changes(spark: SparkSession, changes: str) -> DataFrame:
-    """The current document of every object: last arrival first, then file and position."""
+    """The current document of every object: newest file, then position, as in the batch load.
+
+    Arrival order does not count, so a file that shows up late cannot undo a newer one.
+    """
     stored = spark.read.schema(CHANGE_SCHEMA).parquet(changes)
-    return latest_snapshot(stored, by=("type", "id"), order=("batch_id", "file", "pos"))
+    return latest_snapshot(stored, by=("type", "id"))
