@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtally.functions.calendar import months_between
@@ -150,14 +150,14 @@ def dashboard_payload(
     """The dashboard document as one JSON row: months, plans and cohort cells, a few thousand at most."""
 
     def section(name: str, frame: DataFrame, *order: str) -> DataFrame:
-        plain = [
-            F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name)
-            for f in frame.schema.fields
-        ]
-        return frame.select(
-            F.lit(name).alias("section"),
-            F.concat_ws("|", *[F.lpad(F.coalesce(F.col(c).cast("string"), F.lit("~")), 24, " ") for c in order]).alias("key"),
-            F.to_json(F.struct(*plain), {"ignoreNullFields": "false"}).alias("json"),
+        types = dict(frame.dtypes)
+        plain = [f"cast({c} AS double) AS {c}" if t.startswith("decimal") else c for c, t in types.items()]
+        # Text sorts as it is with NULL last, numbers zero-padded.
+        keys = [f"coalesce({c}, '~')" if types[c] == "string" else f"lpad({c}, 9, '0')" for c in order]
+        return frame.selectExpr(
+            f"'{name}' AS section",
+            f"concat_ws('|', {', '.join(keys)}) AS key",
+            f"to_json(struct({', '.join(plain)}), map('ignoreNullFields', 'false')) AS json",
         )
 
     rows = reduce(
@@ -166,27 +166,25 @@ def dashboard_payload(
             section("mrr_monthly", mrr_series, "month"),
             section("plans", plans, "plan"),
             section("cohorts", cohorts, "cohort", "months_since"),
-            unpaid.select(
-                F.lit("unpaid").alias("section"), F.lit("").alias("key"), F.col("unpaid_amount").cast("double").cast("string").alias("json")
+            unpaid.selectExpr(
+                "'unpaid' AS section", "'' AS key", "cast(cast(unpaid_amount AS double) AS string) AS json"
             ),
         ],
     )
 
-    def collected(name: str) -> Column:
-        items = F.collect_list(F.when(F.col("section") == name, F.struct("key", "json")))
-        return F.concat(
-            F.lit("["), F.array_join(F.transform(F.sort_array(items), lambda item: item["json"]), ", "), F.lit("]")
-        )
+    def collected(name: str) -> str:
+        items = f"collect_list(struct(key, json)) FILTER (WHERE section = '{name}')"
+        return f"concat('[', array_join(transform(sort_array({items}), r -> r.json), ', '), ']')"
 
-    document = F.concat(
-        F.lit(f'{{"generated_at": "{generated_at}", "mrr_monthly": '),
+    parts = [
+        f"""'{{"generated_at": "{generated_at}", "mrr_monthly": '""",
         collected("mrr_monthly"),
-        F.lit(', "plans": '),
+        """', "plans": '""",
         collected("plans"),
-        F.lit(', "cohorts": '),
+        """', "cohorts": '""",
         collected("cohorts"),
-        F.lit(', "unpaid_amount": '),
-        F.max(F.when(F.col("section") == "unpaid", F.col("json"))),
-        F.lit("}"),
-    )
-    return rows.agg(document.alias("payload"))
+        """', "unpaid_amount": '""",
+        "max(json) FILTER (WHERE section = 'unpaid')",
+        "'}'",
+    ]
+    return rows.selectExpr(f"concat({', '.join(parts)}) AS payload")

@@ -164,7 +164,8 @@ def mrr_segments(fct_events: DataFrame, policy: SkewPolicy = SkewPolicy()) -> Da
 
 def dim_subscription_history(snapshot: DataFrame, plans: DataFrame) -> DataFrame:
     attributes = plans.select("plan_key", "plan_name", "billing_interval", "mrr_amount")
-    return snapshot.join(attributes, "plan_key", "left").selectExpr(
+    intervals = snapshot.select("subscription_id", "customer_id", "status", "plan_key", "valid_from", "valid_to")
+    return intervals.join(attributes, "plan_key", "left").selectExpr(
         "subscription_id",
         "customer_id",
         "status",
