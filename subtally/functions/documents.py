@@ -1,7 +1,21 @@
-"""SQL expressions that read values inside parsed billing documents."""
+"""Parsing billing documents, and SQL expressions that read values inside them."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def parse_once(df: DataFrame, text: str, schema: str, name: str) -> DataFrame:
+    """Add a parsed document as a struct column that is computed exactly once per row.
+
+    As a plain projection, every filter on a parsed field, also those the optimizer infers from join
+    keys, would move below it and parse the document again. A generator of one element is a step no
+    filter passes.
+    """
+    parsed = F.from_json(text, " ".join(schema.split()))
+    return df.select("*", F.explode(F.array(parsed)).alias(name))
+
 
 def epoch(text: str) -> str:
     """Epoch seconds to a UTC timestamp."""

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from subtally.functions.documents import parse_once
 from subtally.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
 from subtally.sources.landing import OBJECT_FOLDERS
 
@@ -37,18 +38,17 @@ def parse_feed(feed: DataFrame) -> DataFrame:
 
     ``snapshot`` is the JSON text of the changed object.
     """
-    event = feed.withColumn("_e", F.from_json("data", EVENT_SCHEMA))
-    opened = event.withColumn("_o", F.from_json("_e.data.object", OBJECT_SCHEMA))
-    return opened.select(
+    event = parse_once(feed, "data", EVENT_SCHEMA, "event")
+    return parse_once(event.selectExpr("*", "event.data.object AS snapshot"), "snapshot", OBJECT_SCHEMA, "o").selectExpr(
         "batch",
         "source_pos",
-        F.col("_e.id").alias("event_id"),
-        F.col("_e.type").alias("event_type"),
-        F.col("_e.created").cast("bigint").alias("created"),
-        F.col("_o.object").alias("object_kind"),
-        F.col("_o.id").alias("object_id"),
-        F.col("_o.test_clock").alias("test_clock"),
-        F.col("_e.data.object").alias("snapshot"),
+        "event.id AS event_id",
+        "event.type AS event_type",
+        "cast(event.created AS bigint) AS created",
+        "o.object AS object_kind",
+        "o.id AS object_id",
+        "o.test_clock AS test_clock",
+        "snapshot",
         "data",
     )
 

@@ -8,9 +8,8 @@ way, and bad input raises under ANSI.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from subtally.functions.documents import cents, epoch, first_item
+from subtally.functions.documents import cents, epoch, first_item, parse_once
 
 CUSTOMER = "struct<name:string,email:string,created:string,delinquent:string>"
 
@@ -47,7 +46,7 @@ SUBSCRIPTION_EVENT = """struct<
 
 
 def _parsed(raw: DataFrame, schema: str) -> DataFrame:
-    return raw.select("id", F.from_json("data", " ".join(schema.split())).alias("d"))
+    return parse_once(raw.select("id", "data"), "data", schema, "d")
 
 
 def stg_customers(raw: DataFrame) -> DataFrame:
