@@ -1,10 +1,11 @@
-"""spark-submit entry: load | stream | build | check | export.
+"""The batch job: sync | load | stream | build | check | export.
 
-    spark-submit subtally/job.py load   --landing L --warehouse W
-    spark-submit subtally/job.py stream --landing L/events --warehouse W
-    spark-submit subtally/job.py build  --warehouse W
-    spark-submit subtally/job.py check  --warehouse W
-    spark-submit subtally/job.py export --warehouse W --out O
+    spark-submit submit.py sync   --feed F --landing L --warehouse W    change events to landing files
+    spark-submit submit.py load   --landing L --warehouse W --lines     landing files to raw tables
+    spark-submit submit.py stream --landing F --warehouse W             sync and load in one, as a stream
+    spark-submit submit.py build  --warehouse W                         snapshot and marts
+    spark-submit submit.py check  --warehouse W                         data tests, exit code 1 on failure
+    spark-submit submit.py export --warehouse W --out O                 dashboard document
 
 Every step is idempotent: it writes a new version, or overwrites its own output.
 """
@@ -18,13 +19,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subtally.operators.history import read_history, snapshot_run
-from subtally.operators.ingest import latest_snapshot, upsert
+from subtally.operators.ingest import (
+    drop_dead_clock_cascade,
+    incremental_filter,
+    latest_snapshot,
+    next_cursor,
+    parse_feed,
+    route_snapshots,
+    upsert,
+)
 from subtally.operators.quality import check, dashboard_check, declared_rules, freshness
 from subtally.operators.sizing import broadcast_if_small
 from subtally.plans import analyses, dashboard, marts, revenue
 from subtally.plans.staging import staging_views
 from subtally.session import build_session
-from subtally.sources.landing import OBJECT_TYPES, raw_scan, scan_landing, sync_timestamp
+from subtally.sources.landing import OBJECT_TYPES, raw_scan, scan_landing, sync_timestamp, write_landing
+from subtally.sources.state import load_state, save_state
 from subtally.sources.tables import load_marts, object_folders, publish_views, read_current, save_mart, write_version
 from subtally.streaming.load import read_changes, stream_load
 
@@ -39,6 +49,30 @@ MARTS = [
 ]
 
 
+def sync_feed(spark: SparkSession, feed: DataFrame, landing: str, state: str, at: datetime) -> int:
+    """One incremental sync of a change feed (source_pos, data), newest event first.
+
+    Keeps events since the stored cursor, drops the cascades of deleted clocks, lands the events and
+    the object each one carries, and stores the new cursor last. Without a cursor everything is read
+    and the cursor becomes the start time. Returns the cursor.
+    """
+    stamp = sync_timestamp(at)
+    known = load_state(spark, state)
+    since = known.get("cursor", 0)
+    events = incremental_filter(parse_feed(feed.withColumn("batch", F.lit(stamp))), since)
+    kept = drop_dead_clock_cascade(events).persist()  # read once per object type
+    try:
+        objects = route_snapshots(kept).selectExpr("type", "-source_pos AS pos", "data")
+        landed = objects.unionByName(kept.selectExpr("'events' AS type", "seq AS pos", "data"))
+        for name in sorted(r.type for r in landed.select("type").distinct().collect()):  # five at most
+            write_landing(landed.filter(F.col("type") == name), landing, name, stamp)
+        cursor = next_cursor(kept, since).first()["cursor"] if known else int(at.replace(tzinfo=timezone.utc).timestamp())
+    finally:
+        kept.unpersist()
+    save_state(spark, state, cursor, stamp)
+    return cursor
+
+
 def load_all(spark: SparkSession, landing: str, warehouse: str, at: datetime, lines: bool = False) -> DataFrame:
     """Upsert every object folder into its raw table; report (type, upserted, n_rows) from what was written."""
     reports = []
@@ -144,15 +178,22 @@ def ltv(spark: SparkSession, warehouse: str) -> DataFrame:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("step", choices=["load", "stream", "build", "check", "export"])
+    parser.add_argument("step", choices=["sync", "load", "stream", "build", "check", "export"])
     parser.add_argument("--warehouse", required=True)
+    parser.add_argument("--feed", help="folder of JSON-array files of change events, oldest first")
     parser.add_argument("--landing")
     parser.add_argument("--lines", action="store_true", help="landing holds JSON lines instead of arrays")
     parser.add_argument("--out")
     args = parser.parse_args(argv)
     spark = build_session()
     now = datetime.now(timezone.utc).replace(microsecond=0)
-    if args.step == "load":
+    if args.step == "sync":
+        # File names and positions sort oldest first; the feed order is the reverse.
+        scanned = raw_scan(spark, args.feed).selectExpr("struct(file, pos) AS at", "data")
+        numbered = scanned.repartitionByRange("at").sortWithinPartitions("at")
+        feed = numbered.selectExpr("-monotonically_increasing_id() AS source_pos", "data")
+        sync_feed(spark, feed, args.landing, f"{args.warehouse}/state", now)
+    elif args.step == "load":
         load_all(spark, args.landing, args.warehouse, now, args.lines).show(truncate=False)
     elif args.step == "stream":
         stream_load(spark, args.landing, f"{args.warehouse}/changes", f"{args.warehouse}/checkpoints/changes")

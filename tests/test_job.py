@@ -74,3 +74,31 @@ def test_dashboard_check(spark):
     assert quality.dashboard_check(series).first()["passed"]
     assert not quality.dashboard_check(series.filter("month > '2026-01-01'")).first()["passed"]
     assert not quality.dashboard_check(series.filter("false")).first()["passed"]
+
+
+def test_incremental_sync_lands_what_changed(spark, tmp_path):
+    def event(n, obj, type_="x.updated"):
+        return json.dumps({"id": f"evt_{n}", "type": type_, "created": n, "data": {"object": obj}})
+
+    def sync(day, *events):
+        """Events are given oldest first; the feed lists the newest first."""
+        rows = [(i, e) for i, e in enumerate(reversed(events))]
+        feed = spark.createDataFrame(rows, "source_pos bigint, data string")
+        return job.sync_feed(spark, feed, str(tmp_path / "l"), str(tmp_path / "s"), datetime(2026, 1, day))
+
+    def customer(v):
+        return {"object": "customer", "id": "cus_1", "v": v}
+
+    start = int(datetime(2026, 1, 1).timestamp())
+    assert sync(1, event(5, customer(1)), event(6, customer(2))) == start
+    # The overlap of the cursor's own second is read again, older events are not.
+    late = start + 9
+    cursor = sync(2, event(start - 1, customer(0)), event(start, customer(3)), event(late, customer(4)))
+    assert cursor == late
+    assert sync(3) == late
+
+    for _ in range(2):
+        report = job.load_all(spark, str(tmp_path / "l"), str(tmp_path / "w"), datetime(2026, 1, 4), lines=True)
+        assert sorted((r.type, r.n_rows) for r in report.collect()) == [("customers", 1), ("events", 4)]
+    data = job.raw_tables(spark, str(tmp_path / "w"))["customers"].first()["data"]
+    assert json.loads(data)["v"] == 4
