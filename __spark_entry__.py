@@ -165,8 +165,12 @@ def history_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- marts, dashboard, analyses ---------------------------------------------------------------
 
 
-def book(build: Callable[[Book], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(Book(spark, sf_dir))
+EVENTS, CUSTOMERS, INVOICES, MONTHS = "fct_subscription_events", "dim_customer", "fct_invoices", "mrr_monthly"
+
+
+def book(build: Callable[[Book], DataFrame], *keep: str) -> Query:
+    """A query over the billing model; the marts in ``keep`` are read more than once, so stored."""
+    return lambda spark, sf_dir: build(Book(spark, sf_dir, keep))
 
 
 def cohorts(b: Book) -> DataFrame:
@@ -181,9 +185,9 @@ def plan_table(b: Book) -> DataFrame:
 def ltv(b: Book) -> DataFrame:
     table = analyses.ltv_by_plan(
         b.plans,
-        analyses.customer_months_by_plan(b.stored_customers, b.stored_events),
-        analyses.cancellations_by_plan(b.stored_events),
-        b.stored_customers,
+        analyses.customer_months_by_plan(b.dim_customer, b.fct_subscription_events),
+        analyses.cancellations_by_plan(b.fct_subscription_events),
+        b.dim_customer,
     )
     measures = ("monthly_churn_pct", "expected_lifetime_months", "expected_ltv")
     others = [c for c in table.columns if c not in measures]
@@ -195,9 +199,9 @@ def ltv(b: Book) -> DataFrame:
 def payload(b: Book) -> DataFrame:
     return dashboard.dashboard_payload(
         "2026-11-28T06:00:00+00:00",
-        dashboard.export_mrr_series(revenue.mrr_monthly(b.stg_customers, b.stored_events)),
-        dashboard.export_plans(b.stored_customers),
-        dashboard.export_cohorts(dashboard.cohort_retention(b.stored_customers, b.stored_events)),
+        dashboard.export_mrr_series(b.mrr_monthly),
+        dashboard.export_plans(b.dim_customer),
+        cohorts(b),
         dashboard.export_unpaid(b.fct_invoices),
     )
 
@@ -284,9 +288,11 @@ def queries() -> dict[str, Query]:
         "fct_subscription_events": book(lambda b: b.fct_subscription_events),
         "mrr_segments": book(lambda b: marts.mrr_segments(b.fct_subscription_events)),
         "month_spine": book(lambda b: revenue.month_spine(b.fct_subscription_events)),
-        "customer_month_grid": book(lambda b: revenue.customer_month_grid(b.stg_customers, b.stored_events)),
-        "month_end_mrr": book(lambda b: revenue.month_end_mrr(b.stg_customers, b.stored_events)),
-        "mrr_customer_monthly": book(lambda b: b.mrr_customer_monthly),
+        "customer_month_grid": book(
+            lambda b: revenue.customer_month_grid(b.stg_customers, b.fct_subscription_events), EVENTS
+        ),
+        "month_end_mrr": book(lambda b: revenue.month_end_mrr(b.stg_customers, b.fct_subscription_events), EVENTS),
+        "mrr_customer_monthly": book(lambda b: b.mrr_customer_monthly, EVENTS),
         "mrr_monthly": book(lambda b: b.mrr_monthly),
         "scd2_incremental": scd2_incremental,
         "scd2_rebuild": book(lambda b: b.snapshot),
@@ -295,33 +301,33 @@ def queries() -> dict[str, Query]:
         # dashboard
         "export_mrr_series": book(lambda b: dashboard.export_mrr_series(b.mrr_monthly)),
         "export_plans": book(lambda b: dashboard.export_plans(b.dim_customer)),
-        "export_cohorts": book(cohorts),
+        "export_cohorts": book(cohorts, EVENTS),
         "export_unpaid": book(lambda b: dashboard.export_unpaid(b.fct_invoices)),
         "kpi_latest": book(lambda b: dashboard.kpi_latest(b.mrr_monthly, dashboard.export_unpaid(b.fct_invoices))),
         "plan_churn_table": book(plan_table),
-        "cohort_matrix": book(lambda b: dashboard.cohort_matrix(cohorts(b))),
-        "dashboard_payload": book(payload),
+        "cohort_matrix": book(lambda b: dashboard.cohort_matrix(cohorts(b)), EVENTS),
+        "dashboard_payload": book(payload, EVENTS, CUSTOMERS),
         # analyses
         "waterfall_long": book(lambda b: analyses.waterfall_long(b.mrr_monthly)),
         "monthly_churn_rate": book(lambda b: analyses.monthly_churn_rate(b.mrr_monthly)),
         "plan_status_crosstab": book(lambda b: analyses.plan_status_crosstab(b.dim_customer)),
         "plan_reason_crosstab": book(lambda b: analyses.plan_reason_crosstab(b.dim_customer)),
-        "cohort_pivot": book(lambda b: analyses.cohort_pivot(b.stored_retention)),
+        "cohort_pivot": book(lambda b: analyses.cohort_pivot(b.retention), EVENTS, "retention"),
         "customer_months_by_plan": book(
-            lambda b: analyses.customer_months_by_plan(b.dim_customer, b.stored_events)
+            lambda b: analyses.customer_months_by_plan(b.dim_customer, b.fct_subscription_events), EVENTS
         ),
         "cancellations_by_plan": book(lambda b: analyses.cancellations_by_plan(b.fct_subscription_events)),
-        "ltv_by_plan": book(ltv),
+        "ltv_by_plan": book(ltv, EVENTS, CUSTOMERS),
         "charges_by_status": book(lambda b: analyses.charges_by_status(b.stg_charges)),
         "unpaid_summary": book(lambda b: analyses.unpaid_summary(b.fct_invoices)),
         "involuntary_churn": book(lambda b: analyses.involuntary_churn(b.dim_customer, b.fct_subscription_events)),
         "unpaid_by_plan": book(lambda b: analyses.unpaid_by_plan(b.fct_invoices)),
         # quality
-        "dq_unique": book(dq_unique),
-        "dq_not_null": book(dq_not_null),
-        "dq_accepted_values": book(dq_accepted_values),
-        "dq_relationships": book(dq_relationships),
-        "dq_row_count": book(dq_row_count),
+        "dq_unique": book(dq_unique, EVENTS, INVOICES, CUSTOMERS),
+        "dq_not_null": book(dq_not_null, EVENTS, INVOICES, CUSTOMERS),
+        "dq_accepted_values": book(dq_accepted_values, EVENTS),
+        "dq_relationships": book(dq_relationships, INVOICES),
+        "dq_row_count": book(dq_row_count, MONTHS),
         "dq_values_between": book(dq_values_between),
         "dq_one_current_row": book(dq_one_current_row),
         "dq_freshness": book(dq_freshness),

@@ -14,11 +14,19 @@ from subtally.sources.tables import save_mart
 
 
 class Book:
-    """Frames are built on first use, so a query carries only the plan it needs."""
+    """Frames are built on first use, so a query carries only the plan it needs.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    Marts named in ``keep`` are written to the shared folder and read back, as the tables they are in
+    production: right for a query that reads one more than once.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()):
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
+        self.keep = keep
+
+    def _mart(self, name: str, frame: DataFrame) -> DataFrame:
+        return save_mart(frame, shared_dir(self.spark, "marts"), name) if name in self.keep else frame
 
     def raw(self, name: str) -> DataFrame:
         return demo_billing.RAW[name](self.spark, self.sf_dir)
@@ -53,33 +61,25 @@ class Book:
 
     @cached_property
     def fct_invoices(self) -> DataFrame:
-        return marts.fct_invoices(self.stg_invoices, self.plans)
+        return self._mart("fct_invoices", marts.fct_invoices(self.stg_invoices, self.plans))
 
     @cached_property
     def fct_subscription_events(self) -> DataFrame:
-        return marts.fct_subscription_events(self.stg_subscription_events, self.stg_subscriptions, self.plans)
+        events = marts.fct_subscription_events(self.stg_subscription_events, self.stg_subscriptions, self.plans)
+        return self._mart("fct_subscription_events", events)
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return marts.dim_customer(self.stg_customers, self.stg_subscriptions, self.fct_invoices)
-
-    @cached_property
-    def stored_events(self) -> DataFrame:
-        """fct_subscription_events as the table it is in production, for plans that read it more
-        than once."""
-        return self._stored("fct_subscription_events")
-
-    @cached_property
-    def stored_customers(self) -> DataFrame:
-        return self._stored("dim_customer")
+        customers = marts.dim_customer(self.stg_customers, self.stg_subscriptions, self.fct_invoices)
+        return self._mart("dim_customer", customers)
 
     @cached_property
     def mrr_customer_monthly(self) -> DataFrame:
-        return revenue.mrr_customer_monthly(self.stg_customers, self.stored_events)
+        return revenue.mrr_customer_monthly(self.stg_customers, self.fct_subscription_events)
 
     @cached_property
     def mrr_monthly(self) -> DataFrame:
-        return revenue.mrr_monthly(self.stg_customers, self.fct_subscription_events)
+        return self._mart("mrr_monthly", revenue.mrr_monthly(self.stg_customers, self.fct_subscription_events))
 
     @cached_property
     def snapshot(self) -> DataFrame:
@@ -89,19 +89,12 @@ class Book:
 
     @cached_property
     def dim_subscription_history(self) -> DataFrame:
-        return marts.dim_subscription_history(self.snapshot, self.plans)
+        history = marts.dim_subscription_history(self.snapshot, self.plans)
+        return self._mart("dim_subscription_history", history)
 
     @cached_property
     def retention(self) -> DataFrame:
-        return dashboard.cohort_retention(self.dim_customer, self.stored_events)
-
-    @cached_property
-    def stored_retention(self) -> DataFrame:
-        """A pivot asks for its width first, so it reads these few thousand rows twice."""
-        return self._stored("retention")
-
-    def _stored(self, name: str) -> DataFrame:
-        return save_mart(getattr(self, name), shared_dir(self.spark, "marts"), name)
+        return self._mart("retention", dashboard.cohort_retention(self.dim_customer, self.fct_subscription_events))
 
     def tables(self, *names: str) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in names}
