@@ -6,9 +6,10 @@ import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subtally.llm import packing, pieces
-from subtally.llm.common import table
+from subtally.llm import langid, packing, pieces, quality
+from subtally.llm.common import id_crc, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,14 @@ def tokenizer(name: str) -> str:
     return path(name)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_crc() % 4 == 2
+    model = langid.fit(docs.filter(~held_out))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pieces.encode_decode(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), digests_only=True)
     return rows.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -29,10 +38,20 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    statistics = stored(quality.with_statistics(docs, "doc_id"), "quality")
+    verdict = quality.fit(statistics, table(spark, sf_dir, "labels"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return quality.judge(statistics, verdict).select("doc_id", *base, "base_failed", "kept", "score")
+
+
 def queries() -> dict[str, Query]:
     named = {
+        "op1_language_id": op1_language_id,
         "op2_sentencepiece": op2_sentencepiece,
         "op5_packing": op5_packing,
+        "op8_quality": op8_quality,
     }
     if importlib.util.find_spec("corpus_pipeline"):
         import corpus_pipeline
