@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtally.llm import langid, packing, pieces, quality
+from subtally.llm import langid, packing, pieces, quality, simhash
 from subtally.llm.common import id_crc, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,12 +46,19 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(statistics, verdict).select("doc_id", *base, "base_failed", "kept", "score")
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = stored(simhash.fingerprints(table(spark, sf_dir, "documents"), "doc_id"), "prints")
+    found = simhash.near_duplicates(prints)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Query]:
     named = {
         "op1_language_id": op1_language_id,
         "op2_sentencepiece": op2_sentencepiece,
         "op5_packing": op5_packing,
         "op8_quality": op8_quality,
+        "op10_simhash": op10_simhash,
     }
     if importlib.util.find_spec("corpus_pipeline"):
         import corpus_pipeline
