@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtally.llm import langid, packing, pieces, quality, simhash
+from subtally.llm import chunks, langid, packing, pieces, quality, secrets, simhash
 from subtally.llm.common import id_crc, stored, table
+from subtally.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +47,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(statistics, verdict).select("doc_id", *base, "base_failed", "kept", "score")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = secrets.Ledger(spark, shared_dir(spark, "ledger"))
+    return secrets.digest_columns(secrets.with_findings(docs, ledger))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = stored(simhash.fingerprints(table(spark, sf_dir, "documents"), "doc_id"), "prints")
     found = simhash.near_duplicates(prints)
@@ -57,7 +68,9 @@ def queries() -> dict[str, Query]:
         "op1_language_id": op1_language_id,
         "op2_sentencepiece": op2_sentencepiece,
         "op5_packing": op5_packing,
+        "op7_substring_dedup": op7_substring_dedup,
         "op8_quality": op8_quality,
+        "op9_secret_scans": op9_secret_scans,
         "op10_simhash": op10_simhash,
     }
     if importlib.util.find_spec("corpus_pipeline"):
