@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 from subtally.llm.common import stored, text_bytes, texts
 
 WINDOW = 16  # bytes that the 16-bit rolling hash sees
-RARITY = 3  # a word start is a cut where so many upper bits of the hash are zero: one in eight
-LEAST, MOST = 16, 4096  # bytes of a chunk; at the end of a text it may be shorter
+RARITY = 2  # a word start is a cut where so many upper bits of the hash are zero: one in four
+LEAST, MOST = 12, 4096  # bytes of a chunk; at the end of a text it may be shorter
 GEAR = np.random.default_rng(20240229).integers(0, 1 << 16, 256, np.uint16)
 BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 # Lead bytes of the scripts written without blanks (from U+3000) and of everything beyond the basic plane.
@@ -111,7 +111,7 @@ def chunk_rows(docs: DataFrame, row_id: str) -> DataFrame:
     return docs.select(F.col(row_id).alias("row"), "text").mapInArrow(run, schema)
 
 
-def repeats(docs: DataFrame, row_id: str, min_words: int = 20) -> DataFrame:
+def repeats(docs: DataFrame, row_id: str, min_words: int = 16) -> DataFrame:
     """(row, start, end, n_words, first_row): stretches of a text whose chunks all stand earlier, in characters.
 
     Of equal chunks the one in the smallest row and there the first stays. Neighbouring repeated chunks form one
@@ -159,7 +159,7 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
-def repeated_passages(docs: DataFrame, min_words: int = 20) -> DataFrame:
+def repeated_passages(docs: DataFrame, min_words: int = 16) -> DataFrame:
     """(doc_id, start, end, n_words, first_doc_id) of every stretch that ``repeats`` finds."""
     own = numbered(docs.select("doc_id", "text"), "_row")
     spans = stored(repeats(own, "_row", min_words), "repeats")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtally.llm import chunks, langid, packing, pieces, quality, secrets, simhash
+from subtally.llm import chunks, langid, lm, packing, pieces, quality, secrets, simhash, topk, urls
 from subtally.llm.common import id_crc, stored, table
 from subtally.session import shared_dir
 
@@ -35,6 +35,27 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_crc() % 7 == 2
+    found = lm.scores(docs, ~held_out, id_crc() % 7 == 6)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+# The given rules.
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
@@ -47,6 +68,26 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(statistics, verdict).select("doc_id", *base, "base_failed", "kept", "score")
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+OP6_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+), pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs
+) WHERE rank <= 5
+"""
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -67,7 +108,10 @@ def queries() -> dict[str, Query]:
     named = {
         "op1_language_id": op1_language_id,
         "op2_sentencepiece": op2_sentencepiece,
+        "op3_lm_scoring": op3_lm_scoring,
+        "op4_url_filters": op4_url_filters,
         "op5_packing": op5_packing,
+        "op6_top_k": op6_top_k,
         "op7_substring_dedup": op7_substring_dedup,
         "op8_quality": op8_quality,
         "op9_secret_scans": op9_secret_scans,
@@ -81,4 +125,4 @@ def queries() -> dict[str, Query]:
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op6_top_k": OP6_SQL}

@@ -223,15 +223,17 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
     return grouped.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(prints: DataFrame, radius: int = 4) -> DataFrame:
+def near_duplicates(prints: DataFrame, radius: int = 4, by_root: bool = False) -> DataFrame:
     """Adds ``component_id`` to rows with doc_id and fp: the smallest doc_id reachable over links, itself included.
 
     Null doc_ids never are the smallest, unless a component has no other; then its component_id is null. Equal
-    fingerprints are linked, so repeated rows share a component.
+    fingerprints are linked, so repeated rows share a component. With ``by_root`` the component is named by one of its
+    fingerprints instead, in a column ``root``, which is never null.
     """
-    own = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    distinct = stored(own, "fingerprints")
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
     roots = components(links(distinct.select("fp"), radius)).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    if by_root:
+        return prints.join(rooted.select("fp", "root"), "fp")
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return prints.join(rooted.select("fp", "root").join(ids, "root").select("fp", "component_id"), "fp")
