@@ -154,14 +154,13 @@ def cut_out(docs: DataFrame, spans: DataFrame, row_id: str) -> DataFrame:
     return joined.select(*(docs[c] for c in schema.names), "_spans").mapInArrow(run, schema)
 
 
-def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """Adds a unique long, the same whenever a stored table is read again."""
-    return docs.withColumn(name, F.monotonically_increasing_id())
-
-
 def repeated_passages(docs: DataFrame, min_words: int = 16) -> DataFrame:
-    """(doc_id, start, end, n_words, first_doc_id) of every stretch that ``repeats`` finds."""
-    own = numbered(docs.select("doc_id", "text"), "_row")
+    """(doc_id, start, end, n_words, first_doc_id) of every stretch that ``repeats`` finds.
+
+    Other columns are left out; a null doc_id stays null. ``docs`` must be a stored table, so that its rows are
+    numbered alike whenever it is read.
+    """
+    own = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row"))
     spans = stored(repeats(own, "_row", min_words), "repeats")
     ids = own.select(F.col("_row"), "doc_id")
     return (

@@ -98,6 +98,35 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_columns(secrets.with_findings(docs, ledger))
 
 
+def op9_sql() -> str:
+    """For each rule the matches and what lies between them; a match starts after all that is before it."""
+    found = []
+    for kind, (name, (pattern, least)) in enumerate(secrets.RULES.items()):
+        quoted = "'" + pattern.replace("'", "''") + "'"
+        counts = f"length(regexp_extract(own, {quoted}, 2)) >= {least}" if least else "TRUE"
+        found.append(f"""
+    SELECT doc_id, n, '{name}' AS name, {kind} AS kind, start, start + length(own) AS stop FROM (
+        SELECT doc_id, n, ms[i] AS own, list_sum(list_transform(gs[1:i], lambda x: length(x)))
+            + coalesce(list_sum(list_transform(ms[1:i-1], lambda x: length(x))), 0) AS start
+        FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (
+            SELECT doc_id, n, regexp_extract_all(t, {quoted}) AS ms, string_split_regex(t, {quoted}) AS gs FROM d))
+    ) WHERE {counts}""")
+    return f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS n, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(found)}),
+by_doc AS (
+    SELECT n, count(*) FILTER (name = 'assign') AS n_assign, count(*) FILTER (name = 'access') AS n_access,
+        count(*) FILTER (name = 'hex') AS n_hex,
+        string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+        string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) AS spans
+    FROM found GROUP BY n
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN by_doc USING (n)
+"""
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = stored(simhash.fingerprints(table(spark, sf_dir, "documents"), "doc_id"), "prints")
     found = simhash.near_duplicates(prints)
@@ -125,4 +154,4 @@ def queries() -> dict[str, Query]:
 
 
 def statements() -> dict[str, str]:
-    return {"op6_top_k": OP6_SQL}
+    return {"op6_top_k": OP6_SQL, "op9_secret_scans": op9_sql()}
