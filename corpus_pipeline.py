@@ -6,7 +6,9 @@ with null ids or texts, repeated rows and empty tables pass through every stage
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subtally.llm import chunks, packing, quality, secrets, simhash
@@ -14,65 +16,73 @@ from subtally.llm.common import prepared, stored, table
 from subtally.llm.queries import tokenizer
 from subtally.session import shared_dir
 
-ROW = "_row"
+def wrapped(docs: DataFrame) -> DataFrame:
+    """(_doc, doc_id, text, _row): the other columns in one struct, so that no name of theirs clashes with a stage's."""
+    others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"))
+    return docs.select(others.alias("_doc"), "doc_id", "text", F.monotonically_increasing_id().alias("_row"))
+
+
+def unwrapped(rows: DataFrame, columns: list[str], changed: bool = False) -> DataFrame:
+    """The columns of documents again; n_chars, if there is one, counts the characters of a changed text."""
 
+    def column(name: str) -> Column:
+        own = F.col(f"_doc.`{name}`")
+        return F.coalesce(F.length("text").cast("bigint"), own) if changed and name == "n_chars" else own
 
-def with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """The named columns, n_chars counted anew if there is one."""
-    if "n_chars" in columns:
-        docs = docs.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return docs.select(*columns)
+    return rows.select(*(F.col("text") if c == "text" else column(c).alias(c) for c in columns))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go. The forest and its threshold are fitted on what the stage is given."""
-    prepared(spark)
-    own = chunks.numbered(docs, ROW)
-    statistics = stored(quality.with_statistics(own, ROW, "doc_id"), "stage-quality")
+    own = wrapped(docs)
+    statistics = stored(quality.with_statistics(own, "_row", "doc_id"), "stage-quality")
     verdict = quality.fit(statistics, table(spark, sf_dir, "labels"))
-    kept = quality.judge(statistics, verdict).filter("kept").select(ROW)
-    return own.join(kept, ROW, "left_semi").drop(ROW)
+    kept = quality.judge(statistics, verdict).filter("kept").select("_row")
+    return unwrapped(own.join(kept, "_row", "left_semi"), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays, and of rows that share it the first."""
-    prepared(spark)
-    own = chunks.numbered(docs, ROW)
-    prints = stored(simhash.fingerprints(own, ROW, "doc_id"), "stage-prints")
-    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", ROW)
-    # Documents whose group has no other keep their fingerprint as the group's name.
-    found = simhash.near_duplicates(prints, by_root=True)
-    kept = found.groupBy("root").agg(F.min(order).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
-    return own.join(kept, ROW, "left_semi").drop(ROW)
+    own = wrapped(docs)
+    prints = stored(simhash.fingerprints(own, "_row", "doc_id"), "stage-prints")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")
+    groups = simhash.near_duplicates(prints, by_root=True).groupBy("root")
+    kept = groups.agg(F.min(order).alias("first")).select("first._row")
+    return unwrapped(own.join(kept, "_row", "left_semi"), docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that stand in an earlier document, or earlier in the same one, are cut out of the text."""
-    prepared(spark)
-    own = chunks.numbered(docs, ROW)
-    spans = stored(chunks.repeats(own, ROW), "stage-repeats")
-    return with_text(chunks.cut_out(own, spans, ROW), docs.columns)
+    own = wrapped(docs)
+    spans = stored(chunks.repeats(own, "_row"), "stage-repeats")
+    return unwrapped(chunks.cut_out(own, spans, "_row"), docs.columns, changed=True)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret found is replaced by a mark; documents are kept."""
-    prepared(spark)
     ledger = secrets.Ledger(spark, shared_dir(spark, "stage-ledger"))
-    return with_text(secrets.masked(secrets.with_findings(docs, ledger)), docs.columns)
+    found = secrets.masked(secrets.with_findings(wrapped(docs), ledger))
+    return unwrapped(found, docs.columns, changed=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of every document, as the packing operator returns them."""
-    prepared(spark)
     return packing.pack(docs, tokenizer("byte_bpe_50k.json"))
 
 
+def stage(function: Callable) -> Callable:
+    def prepared_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return function(prepared(spark), docs, sf_dir)
+
+    return prepared_stage
+
+
 STAGES = [
-    ("quality rules", quality_rules),
-    ("simhash near-dedup", near_duplicates),
-    ("substring dedup", substring_dedup),
-    ("secret scans", secret_scans),
-    ("packing", packed),
+    ("quality rules", stage(quality_rules)),
+    ("simhash near-dedup", stage(near_duplicates)),
+    ("substring dedup", stage(substring_dedup)),
+    ("secret scans", stage(secret_scans)),
+    ("packing", stage(packed)),
 ]
 
 # A forest, XXH64 fingerprints, a rolling hash and a tokenizer: SQL can't express any stage but the scans.
@@ -80,7 +90,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents table, each written as Parquet in the shared folder and read again for the next."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+    for name, function in STAGES[:-1]:
+        docs = stored(function(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)
