@@ -22,6 +22,8 @@ UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 NGRAMS = 3
 CODES = 1 << 8 * NGRAMS
+# Parts that the rows of a language are dealt to while the sample is drawn.
+SALTS = 64
 # Texts of a batch that are scored by one matrix product.
 BLOCK = 256
 
@@ -74,10 +76,13 @@ def training_grams(docs: DataFrame, sample: Sample) -> DataFrame:
     """(lang, place, codes) of the sample: of each language the rows that come first by a hash of the id."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     order = F.xxhash64(F.col("doc_id"))
+    ordered = usable.select("lang", "doc_id", order.alias("_order"), F.pmod(order, F.lit(SALTS)).alias("_salt"))
+    # First within parts of a language, so that what all tasks send of a common one doesn't meet in one place.
+    for own in (("lang", "_salt"), ("lang",)):
+        place = F.row_number().over(Window.partitionBy(*own).orderBy("_order", "doc_id"))
+        ordered = ordered.withColumn("_place", place).filter(F.col("_place") <= sample.per_language)
     chosen = (
-        usable.select("lang", "doc_id", order.alias("_order"))
-        .withColumn("_place", F.row_number().over(Window.partitionBy("lang").orderBy("_order", "doc_id")))
-        .filter(F.col("_place") <= sample.per_language)
+        ordered
         .orderBy("_place", "lang")
         .limit(sample.most_texts)
         .groupBy("lang", "doc_id")
