@@ -26,14 +26,14 @@ LIMIT = 2**63 - 1
 
 
 def integers(vectors: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
-    """(id, x, norm): components floor(scale * c) as doubles. Rows with a null id, and vectors that are null or hold
+    """(id, x): components floor(scale * c) as doubles. Rows with a null id, and vectors that are null or hold
     nulls or non-finite components, are left out."""
     whole = F.transform(F.col(vector_column).cast("array<double>"), lambda c: F.floor(c * scale).cast("double"))
-    sound = F.forall(F.col(vector_column).cast("array<double>"), lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < 2**52 / scale))
+    sound = F.forall(F.col(vector_column).cast("array<double>"), lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < 2.0**52 / scale))
     large = F.transform(F.col(vector_column).cast("array<double>"), lambda c: c * scale)  # beyond 2^52 every double is whole
     finite = F.forall(F.col(vector_column).cast("array<double>"), lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) <= 1.7e308 / scale))
     rows = vectors.select(F.col(id_column).cast("bigint").alias("id"), F.when(sound, whole).when(finite, large).alias("x"))
-    return rows.filter("id IS NOT NULL AND x IS NOT NULL").withColumn("norm", F.aggregate("x", F.lit(0.0), lambda s, c: s + c * c))
+    return rows.filter("id IS NOT NULL AND x IS NOT NULL")
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -60,7 +60,6 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 class Tree:
     ids: np.ndarray
     x: np.ndarray
-    lifted: np.ndarray  # the coordinate that makes all norms equal
     to_centre: np.ndarray  # of each entry to its page's centre
     starts: np.ndarray  # of each page, one entry more
     centres: np.ndarray  # entry that is the page's centre
@@ -68,15 +67,27 @@ class Tree:
     to_root: np.ndarray  # of each page's centre to the first page's
 
 
+@dataclass(frozen=True)
+class Space:
+    """What distances are taken in: components over the largest one, so that no square overflows."""
+
+    width: int
+    unit: float
+    most: float  # the greatest square norm in that unit
+
+    def points(self, x: np.ndarray) -> np.ndarray:
+        own = x / self.unit
+        return np.column_stack([own, np.sqrt(np.maximum(self.most - (own * own).sum(1), 0))])
+
+
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
     return np.sqrt(np.maximum(square, 0))
 
 
-def build(ids: np.ndarray, x: np.ndarray, most: float) -> Tree:
+def build(ids: np.ndarray, x: np.ndarray, space: Space) -> Tree:
     """Pages from nearest-centre splits, again and again, down to the page size; what can't be told apart is cut evenly."""
-    lifted = np.sqrt(np.maximum(most - (x * x).sum(1), 0))
-    points = np.column_stack([x, lifted])
+    points = space.points(x)
     rng = np.random.default_rng(len(ids))
     pages, waiting = [], [np.arange(len(ids))]
     while waiting:
@@ -98,23 +109,21 @@ def build(ids: np.ndarray, x: np.ndarray, most: float) -> Tree:
         centres.append(centre)
         radii.append(to_centre[a:b].max())
     to_root = distances(points[centres[:1]], points[centres])[0]
-    return Tree(ids[order], x[order], lifted[order], to_centre, starts, np.array(centres), np.array(radii), to_root)
+    return Tree(ids[order], x[order], to_centre, starts, np.array(centres), np.array(radii), to_root)
 
 
-def grow(rows: DataFrame, width: int, most: float) -> DataFrame:
+def grow(rows: DataFrame, space: Space) -> DataFrame:
     """(tree): pickled trees of at most about TREE vectors each, near vectors in one tree.
 
     Vectors go to the nearest of a bounded number of cells; a cell of any size is dealt over as many trees as it fills.
     """
     seeds = rows.select("x").orderBy(F.xxhash64("id", "x")).limit(CELLS).toArrow().combine_chunks()
     column = seeds.column("x").combine_chunks() if seeds.num_rows else None
-    cells = matrix(column, width) if column is not None else np.zeros((1, width))
-    cells = np.column_stack([cells, np.sqrt(np.maximum(most - (cells * cells).sum(1), 0))])
+    cells = space.points(matrix(column, space.width) if column is not None else np.zeros((1, space.width)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = matrix(batch.column("x"), width)
-            points = np.column_stack([x, np.sqrt(np.maximum(most - (x * x).sum(1), 0))])
+            points = space.points(matrix(batch.column("x"), space.width))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("x"), pa.array(distances(points, cells).argmin(1), pa.int32())], ["id", "x", "cell"])
 
     placed = rows.select("id", "x").mapInArrow(place, "id bigint, x array<double>, cell int")
@@ -134,7 +143,7 @@ def grow(rows: DataFrame, width: int, most: float) -> DataFrame:
     named = placed.withColumn("key", numbers[F.col("cell")] + F.pmod(F.monotonically_increasing_id(), parts[F.col("cell")]).cast("int"))
 
     def one(table: pa.Table) -> pa.Table:
-        tree = build(table.column("id").to_numpy(), matrix(table.column("x").combine_chunks(), width), most)
+        tree = build(table.column("id").to_numpy(), matrix(table.column("x").combine_chunks(), space.width), space)
         return pa.table({"tree": pa.array([pickle.dumps(astuple(tree))], pa.binary())})
 
     return named.groupBy("key").applyInArrow(one, "tree binary")
@@ -156,19 +165,19 @@ class Best:
         self.ids[rows] = np.take_along_axis(names, order, 1)
 
 
-def search(tree: Tree, query_ids: np.ndarray, q: np.ndarray, most: float, best: Best) -> None:
+def search(tree: Tree, query_ids: np.ndarray, q: np.ndarray, space: Space, best: Best) -> None:
     """Every query takes the page with the least possible distance next, until that exceeds its k-th best."""
-    norms = (q * q).sum(1)
-    slack = 1e-6 * np.sqrt(norms + most) + 1e-6
+    own, near = q / space.unit, tree.x / space.unit
+    norms = (own * own).sum(1)
+    slack = 1e-6 * np.sqrt(norms + space.most) + 1e-9
 
     def reach(rows: np.ndarray) -> np.ndarray:
-        worst = best.scores[rows, -1].astype(float)
-        limit = np.sqrt(np.maximum(norms[rows] + most - 2 * worst, 0)) + slack[rows]
-        return np.where(best.scores[rows, -1] <= -LIMIT - 1, np.inf, limit)
+        worst = best.scores[rows, -1]
+        limit = np.sqrt(np.maximum(norms[rows] + space.most - 2 * (worst / space.unit / space.unit), 0)) + slack[rows]
+        return np.where(worst <= -LIMIT, np.inf, limit)
 
     def away(rows: np.ndarray, entries: np.ndarray) -> np.ndarray:
-        square = norms[rows][:, None] + most - 2 * (q[rows] @ tree.x[entries].T)
-        return np.sqrt(np.maximum(square, 0))
+        return np.sqrt(np.maximum(norms[rows][:, None] + space.most - 2 * (own[rows] @ near[entries].T), 0))
 
     everyone = np.arange(len(q))
     to_root = away(everyone, tree.centres[:1])[:, 0]
@@ -195,8 +204,8 @@ def search(tree: Tree, query_ids: np.ndarray, q: np.ndarray, most: float, best:
             gap = np.abs(centre[rows, page][:, None] - tree.to_centre[entries][None, :])
             entries = entries[(gap <= reach(rows)[:, None]).any(0)]
             scores = products(q[rows], tree.x[entries])
-            own = tree.ids[entries][None, :] == query_ids[rows][:, None]
-            best.add(rows, np.where(own, -LIMIT - 1, scores), np.where(own, LIMIT, tree.ids[entries][None, :]))
+            itself = tree.ids[entries][None, :] == query_ids[rows][:, None]
+            best.add(rows, np.where(itself, -LIMIT - 1, scores), np.where(itself, LIMIT, tree.ids[entries][None, :]))
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec_id", vector_column: str = "embedding", scale: int = 256) -> DataFrame:
@@ -209,12 +218,15 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec
     """
     spark = vectors.sparkSession
     rows = stored(integers(vectors, id_column, vector_column, scale), "vectors")
-    whole = rows.agg(F.max("norm").alias("most"), F.max(F.size("x")).alias("width")).first()
+    whole = rows.agg(F.max(F.array_max(F.transform("x", F.abs))).alias("unit"), F.max(F.size("x")).alias("width")).first()
     schema = "query_id bigint, rank int, vec_id bigint, score bigint"
-    if whole["most"] is None:
+    if whole["width"] is None:
         return spark.createDataFrame([], schema)
-    most, width = float(whole["most"]), max(int(whole["width"]), 1)
-    trees = stored(grow(rows, width, most), "trees")
+    unit = whole["unit"] or 1.0
+    square = F.aggregate(F.transform("x", lambda c: c / F.lit(unit)), F.lit(0.0), lambda s, c: s + c * c)
+    space = Space(max(whole["width"], 1), unit, rows.agg(F.max(square)).first()[0])
+    width = space.width
+    trees = stored(grow(rows, space), "trees")
     asked = rows.filter(F.col("id") % every == 0).select("id", "x").distinct()
     blocks = max(1, -(-asked.count() // BLOCK))
     found = None
@@ -228,7 +240,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec
             best = Best(len(ids), k)
             for batch in batches:
                 for tree in batch.column("tree"):
-                    search(Tree(*pickle.loads(tree.as_py())), ids, q, most, best)
+                    search(Tree(*pickle.loads(tree.as_py())), ids, q, space, best)
             query, place = np.nonzero(best.scores > -LIMIT - 1)
             columns = [query, ids[query], best.ids[query, place], best.scores[query, place]]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query", "query_id", "vec_id", "score"])
