@@ -10,7 +10,7 @@ import importlib.util
 import os
 import sys
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -24,7 +24,7 @@ from subtally.operators import history, ingest, quality  # noqa: E402
 from subtally.plans import analyses, dashboard, marts, revenue  # noqa: E402
 from subtally.plans.demo import Book  # noqa: E402
 from subtally.session import prepare, shared_dir  # noqa: E402
-from subtally.sources import demo_billing, landing  # noqa: E402
+from subtally.sources import demo_billing, landing, state  # noqa: E402
 from subtally.sources.tables import save_mart  # noqa: E402
 from subtally.streaming.load import read_changes, stream_load  # noqa: E402
 
@@ -34,6 +34,7 @@ SINCE = 1705276800  # 2024-01-15T00:00:00Z
 SPLIT_DAY = "2024-01-16"
 AS_OF = datetime(1998, 3, 15)
 NOW = datetime(2024, 2, 2)
+FIRST_SYNC, SECOND_SYNC = datetime(2024, 1, 20, tzinfo=timezone.utc), datetime(2024, 2, 1, tzinfo=timezone.utc)
 
 
 def presented(df: DataFrame) -> DataFrame:
@@ -72,9 +73,9 @@ def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(prepare(spark), "landing") + "/events"
     demo_billing.write_feed_files(spark, sf_dir, root)
-    sync = F.regexp_extract("file", "sync=([^/]+)/", 1).alias("sync")
+    sync, block = landing.sync_of().alias("sync"), F.split("file", "/")[1].cast("bigint").alias("block")
     k = F.get_json_object("data", "$.data.object.k").cast("int").alias("k")
-    return landing.raw_scan(spark, root).select(sync, "pos", "id", k)
+    return landing.raw_scan(spark, root).select(sync, block, "pos", "id", k)
 
 
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,14 +94,14 @@ def landed(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> str:
     root = shared_dir(prepare(spark), "landing")
     for name in names:
         rows = demo_billing.RAW[name](spark, sf_dir).withColumn("pos", F.monotonically_increasing_id())
-        landing.write_landing(rows, root, name, "2026-09-03T14-05-22Z")
+        landing.write_landing(rows, root, name, "2031-04-17T08-09-10Z")
     return root
 
 
 def load_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = landed(spark, sf_dir, landing.OBJECT_TYPES)
     warehouse = shared_dir(spark, "warehouse")
-    return job.load_all(spark, root, warehouse, datetime(2026, 9, 4), lines=True).select("type", "n_rows")
+    return job.load_all(spark, root, warehouse, datetime(2026, 9, 4)).select("type", "n_rows")
 
 
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,6 +140,16 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_changes(spark, f"{root}/changes").select("type", "id", k.cast("int").alias("k"))
 
 
+def sync_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full sync, then one of what came since; the state that the next would start from."""
+    root = shared_dir(prepare(spark), "sync")
+    rows = demo_billing.change_feed(spark, sf_dir).select("source_pos", "data")
+    for at in (FIRST_SYNC, SECOND_SYNC):
+        job.sync_feed(spark, rows, f"{root}/landing", f"{root}/state", at)
+    known = state.load_state(spark, f"{root}/state")
+    return spark.range(1).select(F.lit(known["cursor"]).alias("cursor"), F.lit(known["last_sync"]).alias("last_sync"))
+
+
 def sample_by_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = demo_billing.raw_documents(prepare(spark), sf_dir)
     return ingest.sample_by_parent(raw, k=2).select("type", "id")
@@ -198,13 +209,14 @@ def ltv(b: Book) -> DataFrame:
 
 
 def payload(b: Book) -> DataFrame:
-    return dashboard.dashboard_payload(
+    document = dashboard.dashboard_payload(
         "2026-11-28T06:00:00+00:00",
         dashboard.export_mrr_series(b.mrr_monthly),
         dashboard.export_plans(b.dim_customer),
         cohorts(b),
         dashboard.export_unpaid(b.fct_invoices),
     )
+    return dashboard.payload_rows(document)
 
 
 # --- quality ----------------------------------------------------------------------------------
@@ -285,6 +297,7 @@ def core_queries() -> dict[str, Query]:
         "dead_clock_suppression": dead_clock_suppression,
         "route_snapshots": route_snapshots,
         "stream_upsert": stream_upsert,
+        "sync_state": sync_state,
         "sample_by_parent": sample_by_parent,
         # staging
         "stg_customers": book(lambda b: b.stg_customers),
@@ -302,9 +315,9 @@ def core_queries() -> dict[str, Query]:
         "mrr_segments": book(lambda b: marts.mrr_segments(b.fct_subscription_events)),
         "month_spine": book(lambda b: revenue.month_spine(b.fct_subscription_events)),
         "customer_month_grid": book(
-            lambda b: revenue.customer_month_grid(b.stg_customers, b.fct_subscription_events), EVENTS
+            lambda b: revenue.customer_month_grid(b.customer_ids, b.fct_subscription_events), EVENTS
         ),
-        "month_end_mrr": book(lambda b: revenue.month_end_mrr(b.stg_customers, b.fct_subscription_events), EVENTS),
+        "month_end_mrr": book(lambda b: revenue.month_end_mrr(b.customer_ids, b.fct_subscription_events), EVENTS),
         "mrr_customer_monthly": book(lambda b: b.mrr_customer_monthly, EVENTS),
         "mrr_monthly": book(lambda b: b.mrr_monthly),
         "scd2_incremental": scd2_incremental,

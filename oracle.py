@@ -7,9 +7,14 @@ of change points, row numbers instead of aggregates by position.
 
 from __future__ import annotations
 
-from subtally.sources.demo_billing import FILE_ROWS, PLANS
+# The demo price list, by order key modulo its length.
+PLAN_VALUES = """(0, 'solo_monthly', 1250), (1, 'solo_yearly', 13500), (2, 'team_monthly', 3700),
+  (3, 'team_yearly', 40400), (4, 'fleet_monthly', 21500), (5, 'fleet_yearly', 230000)"""
+
+
+def padded(number: str) -> str:
+    return f"lpad({number}::VARCHAR, greatest(12, length({number}::VARCHAR))::INT, '0')"
 
-PLAN_VALUES = ", ".join(f"({k}, '{key}', {cents})" for k, (key, cents) in enumerate(PLANS))
 
 BASE = f"""
 WITH plan(k, plan_key, cents) AS (VALUES {PLAN_VALUES}),
@@ -22,9 +27,9 @@ priced AS (
 ),
 o AS (
   SELECT o_orderkey AS ok, o_orderkey % 6 AS k, o_orderstatus AS st, o_orderdate AS d,
-         o_orderpriority = '5-LOW' AS untimed, lpad(o_orderkey::VARCHAR, 12, '0') AS pad,
-         'cus_' || lpad(o_custkey::VARCHAR, 12, '0') AS customer_id,
-         'sub_' || lpad(o_custkey::VARCHAR, 12, '0') || '_' || (o_orderkey % 2) AS subscription_id
+         o_orderpriority = '5-LOW' AS untimed, {padded("o_orderkey")} AS pad,
+         'cus_' || {padded("o_custkey")} AS customer_id,
+         'sub_' || {padded("o_custkey")} || '_' || (o_orderkey % 2) AS subscription_id
   FROM orders
 ),
 steps AS (
@@ -41,13 +46,13 @@ stepped AS (
   FROM steps s JOIN priced p USING (k)
 ),
 stg_customers AS (
-  SELECT 'cus_' || lpad(c_custkey::VARCHAR, 12, '0') AS customer_id, c_name AS customer_name,
+  SELECT 'cus_' || {padded("c_custkey")} AS customer_id, c_name AS customer_name,
          lower(replace(c_name, '#', '.')) || '@example.com' AS email,
          TIMESTAMP '1995-01-01' + to_seconds(c_custkey) AS created_at, c_acctbal < 0 AS is_delinquent,
          c_nationkey AS nation
   FROM customer
   UNION ALL
-  SELECT 'cus_s' || lpad(s_suppkey::VARCHAR, 12, '0'), s_name, lower(replace(s_name, '#', '.')) || '@example.com',
+  SELECT 'cus_s' || {padded("s_suppkey")}, s_name, lower(replace(s_name, '#', '.')) || '@example.com',
          TIMESTAMP '1995-01-01' + to_seconds(s_suppkey), s_acctbal < 0, s_nationkey
   FROM supplier
 ),
@@ -225,8 +230,7 @@ f1 AS (
   FROM f0
 ),
 feed AS (
-  SELECT n, k, batch, created, kind, 'evt_' || lpad(n::VARCHAR, 12, '0') AS event_id,
-         batch || '-' || lpad((n // {FILE_ROWS})::VARCHAR, 9, '0') AS sync,
+  SELECT n, k, batch, created, kind, 'evt_' || {padded("n")} AS event_id,
          CASE kind WHEN 'test_helpers.test_clock' THEN kind || '.deleted' ELSE kind || '.updated' END AS event_type,
          CASE kind WHEN 'test_helpers.test_clock' THEN 'clock_' || u
                    WHEN 'invoice' THEN CASE WHEN k >= 10 THEN 'in_' || u END
@@ -240,10 +244,6 @@ kept AS (
   SELECT * FROM feed f WHERE NOT EXISTS (
     SELECT 1 FROM feed x WHERE x.kind = 'test_helpers.test_clock' AND x.batch = f.batch AND x.object_id = f.test_clock)
 ),
-kept_by_file AS (
-  SELECT * FROM feed f WHERE NOT EXISTS (
-    SELECT 1 FROM feed x WHERE x.kind = 'test_helpers.test_clock' AND x.sync = f.sync AND x.object_id = f.test_clock)
-),
 chosen AS (
   SELECT customer_id FROM stg_customers
   WHERE nation IN (SELECT DISTINCT nation FROM stg_customers ORDER BY lpad(nation::VARCHAR, 2, '0') LIMIT 2)
@@ -323,8 +323,8 @@ def statements() -> dict[str, str]:
     ]
     bodies = {
         # ingest
-        "raw_scan": "SELECT sync, row_number() OVER (PARTITION BY sync ORDER BY n) - 1 AS pos, event_id AS id, "
-        "k::BIGINT AS k FROM feed",
+        "raw_scan": "SELECT batch AS sync, n // 20000 AS block, row_number() OVER (PARTITION BY batch, n // 20000 ORDER BY n) - 1 "
+        "AS pos, event_id AS id, k::BIGINT AS k FROM feed",
         "latest_snapshot": "SELECT type, object_id AS id, arg_max(k, n)::BIGINT AS k FROM feed "
         "WHERE type IS NOT NULL AND object_id IS NOT NULL GROUP BY ALL",
         "upsert_raw": "SELECT object_id AS id, arg_max(k, n)::BIGINT AS k, CASE WHEN max(batch) >= '2024-01-16' "
@@ -333,16 +333,20 @@ def statements() -> dict[str, str]:
         "load_all_counts": "SELECT 'customers' AS type, count(*) AS n_rows FROM stg_customers "
         "UNION ALL SELECT 'subscriptions', count(DISTINCT subscription_id) FROM o "
         "UNION ALL SELECT unnest(['invoices', 'charges', 'events']), count(*) FROM o",
-        "landing_roundtrip": "SELECT '2026-09-03T14-05-22Z' AS sync, 'ch_' || pad AS id, cents::BIGINT AS amount, "
+        "landing_roundtrip": "SELECT '2031-04-17T08-09-10Z' AS sync, 'ch_' || pad AS id, cents::BIGINT AS amount, "
         "CASE WHEN st <> 'F' THEN 'card_declined' END AS failure_code FROM o JOIN plan USING (k)",
         "incremental_events": "SELECT event_id, event_type, created, n AS seq FROM feed WHERE created >= 1705276800",
         "next_cursor": "SELECT ifnull(max(created), 1705276800) AS cursor FROM kept WHERE created >= 1705276800",
         "dead_clock_suppression": "SELECT batch, event_id, event_type, test_clock FROM kept",
         "route_snapshots": "SELECT type, object_id AS id, batch, created, k::BIGINT AS k FROM feed "
         "WHERE type IS NOT NULL AND object_id IS NOT NULL",
-        "stream_upsert": "SELECT type, object_id AS id, arg_max(k, n)::BIGINT AS k FROM kept_by_file "
+        "stream_upsert": "SELECT type, object_id AS id, arg_max(k, n)::BIGINT AS k FROM kept "
         "WHERE type IS NOT NULL AND object_id IS NOT NULL GROUP BY ALL "
-        "UNION ALL SELECT 'events', event_id, k::BIGINT FROM kept_by_file",
+        "UNION ALL SELECT 'events', event_id, k::BIGINT FROM kept",
+        # One sync reads all that came since the first one's start; a clock deleted in it takes its events along.
+        "sync_state": "SELECT max(created) AS cursor, '2024-02-01T00-00-00Z' AS last_sync FROM feed f WHERE created >= 1705708800 "
+        "AND NOT EXISTS (SELECT 1 FROM feed x WHERE x.created >= 1705708800 AND x.kind = 'test_helpers.test_clock' "
+        "AND x.object_id = f.test_clock)",
         "sample_by_parent": "SELECT 'customers' AS type, customer_id AS id FROM chosen "
         "UNION ALL SELECT 'subscriptions', subscription_id FROM stg_subscriptions JOIN chosen USING (customer_id) "
         "UNION ALL SELECT 'invoices', invoice_id FROM stg_invoices JOIN chosen USING (customer_id) "
@@ -409,25 +413,35 @@ def statements() -> dict[str, str]:
         "FROM (SELECT DISTINCT cohort FROM cohort_cells) c CROSS JOIN "
         "(SELECT unnest(range(0, 1 + max(months_since))) AS months_since FROM cohort_cells) m "
         "LEFT JOIN cohort_cells x ON x.cohort = c.cohort AND x.months_since = m.months_since",
+        "dashboard_payload": " UNION ALL ".join(
+            [
+                f"SELECT 'mrr_monthly' AS section, row_number() OVER (ORDER BY month) - 1 AS n, strftime(month, '%Y-%m-%d') AS item, "
+                f"NULL::BIGINT AS months_since, '{m}' AS measure, {m}::DOUBLE AS value FROM mm"
+                for m in ("mrr", "active_customers", *WATERFALL, "new_customers", "churned_customers")
+            ]
+            + [
+                f"SELECT 'plans', row_number() OVER (ORDER BY plan NULLS LAST) - 1, plan, NULL, '{m}', {m}::DOUBLE FROM plan_counts"
+                for m in ("active", "canceled", "cancellation_requested", "payment_failed")
+            ]
+            + [
+                "SELECT 'cohorts', row_number() OVER (ORDER BY cohort, months_since) - 1, cohort, months_since, 'retained', "
+                "round(share, 2) FROM cohort_cells",
+                "SELECT 'unpaid', 0, NULL, NULL, 'unpaid_amount', ifnull(sum(CASE WHEN is_paid THEN 0 ELSE amount_unpaid END), 0)"
+                "::DOUBLE FROM fct_invoices",
+            ]
+        ),
         # analyses
         "waterfall_long": " UNION ALL ".join(
             f"SELECT {_day('month')}, '{m}' AS movement, {m}::DOUBLE AS amount FROM mm" for m in WATERFALL
         ),
         "monthly_churn_rate": f"SELECT {_day('now.month')}, now.churned_customers / old.active_customers AS churn_rate "
         "FROM mm now LEFT JOIN mm old ON old.month = now.month - INTERVAL 1 MONTH",
-        "plan_status_crosstab": "SELECT current_plan_key, "
-        + ", ".join(
-            f"sum((subscription_status = '{s}')::INT)::BIGINT AS {s}"
-            for s in ("active", "past_due", "canceled", "unpaid", "trialing", "incomplete")
-        )
-        + ", round_even(sum((subscription_status = 'canceled')::INT) / count(*) * 100 * 10, 0) / 10 AS churn_pct "
-        "FROM dim_customer WHERE current_plan_key IS NOT NULL AND subscription_status IS NOT NULL GROUP BY 1",
-        "plan_reason_crosstab": "SELECT current_plan_key, "
-        + ", ".join(
-            f"sum((cancellation_reason = '{r}')::INT)::BIGINT AS {r}"
-            for r in ("cancellation_requested", "payment_disputed", "payment_failed")
-        )
-        + " FROM dim_customer WHERE current_plan_key IS NOT NULL AND cancellation_reason IS NOT NULL GROUP BY 1",
+        "plan_status_crosstab": "SELECT c.current_plan_key, c.subscription_status, count(*) AS customers, "
+        "round_even((SELECT avg((x.subscription_status = 'canceled')::INT) FROM dim_customer x "
+        "WHERE x.current_plan_key = c.current_plan_key AND x.subscription_status IS NOT NULL) * 1000, 0) / 10 AS churn_pct "
+        "FROM dim_customer c WHERE c.current_plan_key IS NOT NULL AND c.subscription_status IS NOT NULL GROUP BY ALL",
+        "plan_reason_crosstab": "SELECT current_plan_key, cancellation_reason, count(*) AS customers FROM dim_customer "
+        "WHERE current_plan_key IS NOT NULL AND cancellation_reason IS NOT NULL GROUP BY ALL",
         "cohort_pivot": "SELECT cohort, "
         + ", ".join(f"max(CASE months_since WHEN {m} THEN share END) AS m{m}" for m in range(80))
         + " FROM cohort_cells GROUP BY cohort",

@@ -11,9 +11,9 @@ def parse_once(df: DataFrame, text: str, schema: str, name: str) -> DataFrame:
 
     As a plain projection, every filter on a parsed field, also those the optimizer infers from join
     keys, would move below it and parse the document again. A generator of one element is a step no
-    filter passes.
+    filter passes. Text that isn't a document raises; NULL stays NULL.
     """
-    parsed = F.from_json(text, " ".join(schema.split()))
+    parsed = F.from_json(text, " ".join(schema.split()), {"mode": "FAILFAST"})
     return df.select("*", F.explode(F.array(parsed)).alias(name))
 
 

@@ -1,11 +1,14 @@
-"""The batch job: sync | load | stream | build | check | export.
+"""The batch job: sync | load | stream | build | check | export | analyze | as-of.
 
-    spark-submit submit.py sync   --feed F --landing L --warehouse W    change events to landing files
-    spark-submit submit.py load   --landing L --warehouse W --lines     landing files to raw tables
+    spark-submit submit.py sync   --feed F --landing L --warehouse W    change events to landing files (--full: all)
+    spark-submit submit.py load   --landing L --warehouse W             landing files to raw tables
     spark-submit submit.py stream --landing F --warehouse W             sync and load in one, as a stream
     spark-submit submit.py build  --warehouse W                         snapshot and marts
-    spark-submit submit.py check  --warehouse W                         data tests, exit code 1 on failure
+    spark-submit submit.py check  --warehouse W                         data tests, exit code 1 on failure;
+        --customers --months --mrr --active LOW:HIGH                    bounds that depend on the business
     spark-submit submit.py export --warehouse W --out O                 dashboard document
+    spark-submit submit.py analyze --warehouse W --out O                every analysis as a table
+    spark-submit submit.py as-of  --warehouse W --out O --at T          subscriptions as they were
 
 Every step is idempotent: it writes a new version, or overwrites its own output.
 """
@@ -14,11 +17,12 @@ from __future__ import annotations
 
 import argparse
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from subtally.operators.history import read_history, snapshot_run
+from subtally.operators.history import read_history, snapshot_run, state_as_of
 from subtally.operators.ingest import (
     drop_dead_clock_cascade,
     incremental_filter,
@@ -29,14 +33,20 @@ from subtally.operators.ingest import (
     upsert,
 )
 from subtally.operators.quality import check, dashboard_check, declared_rules, freshness
-from subtally.operators.sizing import broadcast_if_small
 from subtally.plans import analyses, dashboard, marts, revenue
-from subtally.plans.staging import staging_views
+from subtally.plans.staging import ids, staging_views
 from subtally.session import build_session
-from subtally.sources.landing import OBJECT_TYPES, raw_scan, scan_landing, sync_timestamp, write_landing
+from subtally.sources.landing import (
+    OBJECT_TYPES,
+    array_files,
+    explode_array_files,
+    scan,
+    sync_timestamp,
+    write_landing,
+)
 from subtally.sources.state import load_state, save_state
 from subtally.sources.tables import load_marts, object_folders, publish_views, read_current, save_mart, write_version
-from subtally.streaming.load import read_changes, stream_load
+from subtally.streaming.load import newest_batch, read_changes, stream_load
 
 MARTS = [
     "dim_plan",
@@ -49,15 +59,21 @@ MARTS = [
 ]
 
 
-def sync_feed(spark: SparkSession, feed: DataFrame, landing: str, state: str, at: datetime) -> int:
+# Sizes that depend on the business; the check step takes bounds for them.
+BOUNDS = ("customers", "months", "mrr", "active")
+
+
+def sync_feed(
+    spark: SparkSession, feed: DataFrame, landing: str, state: str, at: datetime, full: bool = False
+) -> int:
     """One incremental sync of a change feed (source_pos, data), newest event first.
 
     Keeps events since the stored cursor, drops the cascades of deleted clocks, lands the events and
     the object each one carries, and stores the new cursor last. Without a cursor everything is read
-    and the cursor becomes the start time. Returns the cursor.
+    and the cursor becomes the start time; so it is with ``full``, whatever was stored. Returns the cursor.
     """
     stamp = sync_timestamp(at)
-    known = load_state(spark, state)
+    known = {} if full else load_state(spark, state)
     since = known.get("cursor", 0)
     events = incremental_filter(parse_feed(feed.withColumn("batch", F.lit(stamp))), since)
     kept = drop_dead_clock_cascade(events).persist()  # read once per object type
@@ -73,12 +89,11 @@ def sync_feed(spark: SparkSession, feed: DataFrame, landing: str, state: str, at
     return cursor
 
 
-def load_all(spark: SparkSession, landing: str, warehouse: str, at: datetime, lines: bool = False) -> DataFrame:
+def load_all(spark: SparkSession, landing: str, warehouse: str, at: datetime) -> DataFrame:
     """Upsert every object folder into its raw table; report (type, upserted, n_rows) from what was written."""
     reports = []
     version = sync_timestamp(at)
     for name in object_folders(spark, landing):
-        scan = scan_landing if lines else raw_scan
         batch = latest_snapshot(scan(spark, f"{landing}/{name}"))
         root = f"{warehouse}/raw/{name}"
         # Reading only older versions keeps a repeated run from reading what it overwrites.
@@ -89,24 +104,29 @@ def load_all(spark: SparkSession, landing: str, warehouse: str, at: datetime, li
                 F.count_if(F.col("loaded_at") == F.lit(at)).alias("upserted"), F.count("*").alias("n_rows")
             ).select(F.lit(name).alias("type"), "upserted", "n_rows")
         )
-    result = reports[0]
-    for report in reports[1:]:
-        result = result.unionByName(report)
-    return result
+    return reduce(DataFrame.unionByName, reports)
 
 
 def fold_stream(spark: SparkSession, warehouse: str, at: datetime) -> None:
-    """Bring what the stream collected into the raw tables, in one new version of each."""
-    current = read_changes(spark, f"{warehouse}/changes")
+    """Bring the change sets since the last fold into the raw tables, in one new version of each.
+
+    Rows that the tables have from later files stay, and only folded rows are restamped.
+    """
+    changes, folds = f"{warehouse}/changes", f"{warehouse}/folds"
+    after, newest = load_state(spark, folds).get("cursor", -1), newest_batch(spark, changes)
+    if newest <= after:
+        return
+    current = read_changes(spark, changes, after)
     version = sync_timestamp(at)
     for name in OBJECT_TYPES:
         root = f"{warehouse}/raw/{name}"
-        batch = current.filter(F.col("type") == name).select("id", "data")  # partition pruned
+        batch = current.filter(F.col("type") == name)  # partition pruned
         write_version(upsert(read_current(spark, root, before=version), batch, at), root, version)
+    save_state(spark, folds, newest, version)
 
 
 def raw_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    empty = spark.createDataFrame([], "id string, data string, loaded_at timestamp")
+    empty = spark.createDataFrame([], "id string, data string, loaded_at timestamp, file string, pos bigint")
     tables = {name: read_current(spark, f"{warehouse}/raw/{name}") for name in OBJECT_TYPES}
     return {name: empty if frame is None else frame for name, frame in tables.items()}
 
@@ -115,31 +135,29 @@ def build(spark: SparkSession, warehouse: str, at: datetime) -> dict[str, DataFr
     """Staging views, one snapshot run, and the marts in dependency order, each read back from Parquet."""
     staging = staging_views(raw_tables(spark, warehouse))
     publish_views(staging)
-    out = f"{warehouse}/marts"
-    plan = save_mart(marts.dim_plan(staging["stg_subscriptions"]), out, "dim_plan")
-    plans = broadcast_if_small(plan)
+    out, version = f"{warehouse}/marts", sync_timestamp(at)
+
+    def save(name: str, frame: DataFrame) -> DataFrame:
+        return save_mart(frame, out, name, version)
+
+    plans = save("dim_plan", marts.dim_plan(staging["stg_subscriptions"]))
     history = f"{warehouse}/snapshots/subscriptions"
     snapshot_run(spark, history, staging["stg_subscriptions"], "subscription_id", marts.SNAPSHOT_CHECK, at)
-    invoices = save_mart(marts.fct_invoices(staging["stg_invoices"], plans), out, "fct_invoices")
-    events = save_mart(
-        marts.fct_subscription_events(staging["stg_subscription_events"], staging["stg_subscriptions"], plans),
-        out,
-        "fct_subscription_events",
-    )
-    customers = staging["stg_customers"]
+    raw = raw_tables(spark, warehouse)
+    known, customers = ids(raw["subscriptions"], "subscription_id"), ids(raw["customers"], "customer_id")
+    invoices = save("fct_invoices", marts.fct_invoices(staging["stg_invoices"], plans))
+    events = save("fct_subscription_events", marts.fct_subscription_events(staging["stg_subscription_events"], known, plans))
     built = {
-        "dim_plan": plan,
+        "dim_plan": plans,
         "fct_invoices": invoices,
         "fct_subscription_events": events,
-        "dim_customer": save_mart(
-            marts.dim_customer(customers, staging["stg_subscriptions"], invoices), out, "dim_customer"
-        ),
-        "mrr_customer_monthly": save_mart(
-            revenue.mrr_customer_monthly(customers, events), out, "mrr_customer_monthly"
+        "dim_customer": save(
+            "dim_customer", marts.dim_customer(staging["stg_customers"], staging["stg_subscriptions"], invoices)
         ),
-        "mrr_monthly": save_mart(revenue.mrr_monthly(customers, events), out, "mrr_monthly"),
-        "dim_subscription_history": save_mart(
-            marts.dim_subscription_history(read_history(spark, history), plans), out, "dim_subscription_history"
+        "mrr_customer_monthly": save("mrr_customer_monthly", revenue.mrr_customer_monthly(customers, events)),
+        "mrr_monthly": save("mrr_monthly", revenue.mrr_monthly(customers, events)),
+        "dim_subscription_history": save(
+            "dim_subscription_history", marts.dim_subscription_history(read_history(spark, history), plans)
         ),
     }
     return {**staging, **built}
@@ -165,55 +183,103 @@ def export(spark: SparkSession, warehouse: str, at: datetime) -> DataFrame:
     )
 
 
-def ltv(spark: SparkSession, warehouse: str) -> DataFrame:
-    """The lifetime value table from the stored marts."""
+def analyze(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
+    """Every analysis and dashboard table, by name, from the stored marts."""
     t = load_marts(spark, f"{warehouse}/marts", MARTS)
-    return analyses.ltv_by_plan(
-        t["dim_plan"],
-        analyses.customer_months_by_plan(t["dim_customer"], t["fct_subscription_events"]),
-        analyses.cancellations_by_plan(t["fct_subscription_events"]),
-        t["dim_customer"],
-    )
+    charges = staging_views(raw_tables(spark, warehouse))["stg_charges"]
+    customers, events, invoices, months = t["dim_customer"], t["fct_subscription_events"], t["fct_invoices"], t["mrr_monthly"]
+    retention = dashboard.cohort_retention(customers, events)
+    paying = analyses.customer_months_by_plan(customers, events)
+    lost = analyses.cancellations_by_plan(events)
+    return {
+        "waterfall_long": analyses.waterfall_long(months),
+        "monthly_churn_rate": analyses.monthly_churn_rate(months),
+        "plan_status_crosstab": analyses.plan_status_crosstab(customers),
+        "plan_reason_crosstab": analyses.plan_reason_crosstab(customers),
+        "cohort_pivot": analyses.cohort_pivot(retention),
+        "customer_months_by_plan": paying,
+        "cancellations_by_plan": lost,
+        "ltv_by_plan": analyses.ltv_by_plan(t["dim_plan"], paying, lost, customers),
+        "charges_by_status": analyses.charges_by_status(charges),
+        "unpaid_summary": analyses.unpaid_summary(invoices),
+        "involuntary_churn": analyses.involuntary_churn(customers, events),
+        "unpaid_by_plan": analyses.unpaid_by_plan(invoices),
+        "kpi_latest": dashboard.kpi_latest(months, dashboard.export_unpaid(invoices)),
+        "plan_churn_table": dashboard.plan_churn_table(dashboard.export_plans(customers)),
+        "cohort_matrix": dashboard.cohort_matrix(dashboard.export_cohorts(retention)),
+    }
+
+
+def as_of(spark: SparkSession, warehouse: str, at: datetime) -> DataFrame:
+    """What the stored history says was in force at an instant."""
+    return state_as_of(load_marts(spark, f"{warehouse}/marts", ["dim_subscription_history"])["dim_subscription_history"], at)
+
+
+def feed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """(source_pos, data) of a folder of array files, oldest first; positions run the other way, as in a feed.
+
+    Files are numbered, not their rows: nothing is sorted but one row per file.
+    """
+    rows = explode_array_files(array_files(spark, folder))
+    order = Window.orderBy("file")
+    numbers = rows.select("file").distinct().select("file", F.row_number().over(order).cast("bigint").alias("n"))
+    place = F.shiftleft(F.col("n"), 32) + F.col("pos")
+    return rows.join(numbers, "file").select((-place).alias("source_pos"), "data")
+
+
+def bounds_of(text: str) -> tuple[float | None, float | None]:
+    """``low:high``, either of them empty for an open end."""
+    low, _, high = text.partition(":")
+    return tuple(float(x) if x else None for x in (low, high))
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("step", choices=["sync", "load", "stream", "build", "check", "export"])
+    steps = ["sync", "load", "stream", "build", "check", "export", "analyze", "as-of"]
+    parser.add_argument("step", choices=steps)
     parser.add_argument("--warehouse", required=True)
     parser.add_argument("--feed", help="folder of JSON-array files of change events, oldest first")
+    parser.add_argument("--full", action="store_true", help="sync everything, whatever the stored cursor")
     parser.add_argument("--landing")
-    parser.add_argument("--lines", action="store_true", help="landing holds JSON lines instead of arrays")
     parser.add_argument("--out")
+    parser.add_argument("--at", type=datetime.fromisoformat, help="instant for as-of")
+    for name in BOUNDS:
+        parser.add_argument(f"--{name}", type=bounds_of, metavar="LOW:HIGH", help=f"what check accepts for {name}")
     args = parser.parse_args(argv)
     spark = build_session()
     now = datetime.now(timezone.utc).replace(microsecond=0)
     if args.step == "sync":
-        # File names and positions sort oldest first; the feed order is the reverse.
-        scanned = raw_scan(spark, args.feed).selectExpr("struct(file, pos) AS at", "data")
-        numbered = scanned.repartitionByRange("at").sortWithinPartitions("at")
-        feed = numbered.selectExpr("-monotonically_increasing_id() AS source_pos", "data")
-        sync_feed(spark, feed, args.landing, f"{args.warehouse}/state", now)
+        sync_feed(spark, feed_rows(spark, args.feed), args.landing, f"{args.warehouse}/state", now, args.full)
     elif args.step == "load":
-        load_all(spark, args.landing, args.warehouse, now, args.lines).show(truncate=False)
+        load_all(spark, args.landing, args.warehouse, now).show(truncate=False)
     elif args.step == "stream":
         stream_load(spark, args.landing, f"{args.warehouse}/changes", f"{args.warehouse}/checkpoints/changes")
         fold_stream(spark, args.warehouse, now)
     elif args.step == "build":
         build(spark, args.warehouse, now)
     elif args.step == "check":
-        report = check_all(spark, args.warehouse).cache()
-        report.orderBy("passed", "table_name").show(100, truncate=False)
-        ages = freshness(raw_tables(spark, args.warehouse), now)
-        ages.show(truncate=False)
-        series = load_marts(spark, f"{args.warehouse}/marts", ["mrr_monthly"])["mrr_monthly"]
-        summary = dashboard_check(dashboard.export_mrr_series(series))
-        summary.show(truncate=False)
-        failed = report.filter(~F.col("passed")).count() + ages.filter("status = 'error'").count()
-        return 1 if failed or not summary.first()["passed"] else 0
+        return run_check(spark, args.warehouse, now, {n: getattr(args, n) for n in BOUNDS if getattr(args, n)})
+    elif args.step == "analyze":
+        for name, frame in analyze(spark, args.warehouse).items():
+            frame.write.mode("overwrite").parquet(f"{args.out}/{name}")
+    elif args.step == "as-of":
+        as_of(spark, args.warehouse, args.at).write.mode("overwrite").parquet(args.out)
     else:
         export(spark, args.warehouse, now).coalesce(1).write.mode("overwrite").text(args.out)
     return 0
 
 
+def run_check(spark: SparkSession, warehouse: str, now: datetime, limits: dict) -> int:
+    """Prints all test results; 1 if any fails."""
+    report = check_all(spark, warehouse, **limits).collect()  # one row per rule
+    for row in sorted(report, key=lambda r: (r.passed, r.table_name)):
+        print(*row)
+    ages = freshness(raw_tables(spark, warehouse), now).collect()  # one row per table
+    series = load_marts(spark, f"{warehouse}/marts", ["mrr_monthly"])["mrr_monthly"]
+    summary = dashboard_check(dashboard.export_mrr_series(series)).first()
+    print(*ages, summary, sep="\n")
+    return int(not (all(r.passed for r in report) and all(r.status != "error" for r in ages) and summary.passed))
+
+
 if __name__ == "__main__":
     raise SystemExit(main())

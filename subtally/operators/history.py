@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from subtally.sources.tables import versions
+from subtally.sources.tables import drop_versions, versions
 
 
 def scd2_step(
@@ -59,7 +59,7 @@ def snapshot_run(
     """Advance the stored history by one run.
 
     Each run writes the full open set and only the rows it closed, split by ``is_current``.
-    Repeating a run overwrites its own folder from the state before it.
+    Repeating a run overwrites its own folder from the state before it. Open sets older than that one go.
     """
     label = at.strftime("%Y-%m-%dT%H-%M-%SZ")
     earlier = [v for v in versions(spark, root, label="run") if v < label]
@@ -76,6 +76,8 @@ def snapshot_run(
         .partitionBy("is_current")
         .parquet(f"{root}/run={label}")
     )
+    for run in earlier[:-1]:
+        drop_versions(spark, f"{root}/run={run}", ["true"], label="is_current")
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtally.functions.documents import parse_once
-from subtally.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
 from subtally.sources.landing import OBJECT_FOLDERS
 
 # Fixed value: the event type that announces a deleted clock.
@@ -19,22 +18,29 @@ OBJECT_SCHEMA = "struct<object:string,id:string,test_clock:string>"
 
 
 def latest_snapshot(raw: DataFrame, by: tuple[str, ...] = ("id",), order: tuple[str, ...] = ("file", "pos")) -> DataFrame:
-    """Last document of each id. Partial aggregation leaves one row per id and task to shuffle,
-    so an id that fills a third of the input costs no more than any other."""
-    return raw.groupBy(*by).agg(F.max_by("data", F.struct(*order)).alias("data"))
+    """Last document of each id, with the place it was found at. Partial aggregation leaves one row per id and task
+    to shuffle, so an id that fills a third of the input costs no more than any other."""
+    last = F.max_by(F.struct("data", *order), F.struct(*order)).alias("_last")
+    return raw.groupBy(*by).agg(last).select(*by, "_last.*")
 
 
 def upsert(target: DataFrame | None, batch: DataFrame, loaded_at: datetime | Column) -> DataFrame:
-    """New ids in, known ids replaced, ids absent from the batch kept: history, not a mirror."""
+    """Rows (id, data, loaded_at, file, pos): new ids in, ids absent from the batch kept: history, not a mirror.
+
+    A known id is replaced unless the table has it from a later place in the landing: the order of files decides, not
+    that of loads. The same place again replaces, so a repeated load restamps what is still landed.
+    """
     stamp = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at)
-    fresh = batch.select("id", "data", stamp.cast("timestamp").alias("loaded_at"))
+    fresh = batch.select("id", "data", stamp.cast("timestamp").alias("loaded_at"), "file", "pos")
     if target is None:
         return fresh
-    return target.join(batch.select("id"), "id", "left_anti").unionByName(fresh)
+    both = target.select(*fresh.columns, F.lit(0).alias("_new")).unionByName(fresh.withColumn("_new", F.lit(1)))
+    newest = F.max_by(F.struct("data", "loaded_at", "file", "pos"), F.struct("file", "pos", "_new")).alias("_row")
+    return both.groupBy("id").agg(newest).select("id", "_row.*")
 
 
-def parse_feed(feed: DataFrame) -> DataFrame:
-    """Change-event documents (batch, source_pos, data) with the fields that steer the load.
+def parse_feed(feed: DataFrame, *keep: str) -> DataFrame:
+    """Change-event documents (batch, source_pos, data, kept columns) with the fields that steer the load.
 
     ``snapshot`` is the JSON text of the changed object.
     """
@@ -50,6 +56,7 @@ def parse_feed(feed: DataFrame) -> DataFrame:
         "o.test_clock AS test_clock",
         "snapshot",
         "data",
+        *keep,
     )
 
 
@@ -66,32 +73,36 @@ def next_cursor(events: DataFrame, since: int) -> DataFrame:
     return events.agg(F.coalesce(F.max("created"), F.lit(since).cast("bigint")).alias("cursor"))
 
 
-def drop_dead_clock_cascade(events: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def dead_clocks(events: DataFrame) -> DataFrame:
+    """(batch, _clock) of the clocks that each sync reports as deleted."""
+    deletions = events.filter(F.col("event_type") == CLOCK_DELETED)
+    return deletions.select("batch", F.col("object_id").alias("_clock")).distinct()
+
+
+def without_dead_clocks(rows: DataFrame, dead: DataFrame) -> DataFrame:
+    """The rows (batch, test_clock, ...) whose clock was not deleted in the same sync."""
+    # Most rows have no clock. If the join has to shuffle, a NULL key would put them all into one task; keys of
+    # their own spread them and match nothing.
+    clock = F.coalesce("test_clock", F.concat(F.lit("\0"), F.xxhash64("data").cast("string")))
+    return rows.withColumn("_clock", clock).join(dead, ["batch", "_clock"], "left_anti").select(*rows.columns)
+
+
+def drop_dead_clock_cascade(events: DataFrame) -> DataFrame:
     """Drop events of objects whose clock was deleted in the same sync batch.
 
     Deleting a clock cancels everything on it, which would look like real churn. Events without
     a clock, and the deletion itself, stay.
     """
-    dead = (
-        events.filter(F.col("event_type") == CLOCK_DELETED)
-        .select("batch", F.col("object_id").alias("_clock"))
-        .distinct()
-    )
-    if max_broadcast_rows:
-        dead = broadcast_if_small(dead, max_broadcast_rows)
-    # Most events have no clock. If the join has to shuffle, a NULL key would put them all into
-    # one task; a key of their own spreads them and matches nothing.
-    clock = F.coalesce("test_clock", F.concat(F.lit("\0"), "event_id"))
-    return events.withColumn("_clock", clock).join(dead, ["batch", "_clock"], "left_anti").drop("_clock")
+    return without_dead_clocks(events, dead_clocks(events))
 
 
-def route_snapshots(events: DataFrame) -> DataFrame:
+def route_snapshots(events: DataFrame, *keep: str) -> DataFrame:
     """The object inside each event, addressed to its raw table; previews have no id and drop out."""
     pairs = [F.lit(x) for pair in OBJECT_FOLDERS.items() for x in pair]
     return (
         events.withColumn("type", F.try_element_at(F.create_map(*pairs), F.col("object_kind")))
         .filter(F.col("type").isNotNull() & F.col("object_id").isNotNull())
-        .select("type", F.col("object_id").alias("id"), "batch", "created", "source_pos", F.col("snapshot").alias("data"))
+        .select("type", F.col("object_id").alias("id"), "batch", "created", "source_pos", F.col("snapshot").alias("data"), *keep)
     )
 
 

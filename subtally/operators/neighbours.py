@@ -1,77 +1,33 @@
 """Previous and next row of a key, also when one key holds a large share of all rows.
 
-A window over a key puts the key's rows into one task. That is right for ordinary keys, so they
-take exactly that plan: one exchange. The few keys heavy enough to hurt are found from a sample,
-cut into contiguous chunks of their order, and stitched together at the chunk edges. The sample
-only chooses the route; both routes give the exact neighbours.
+A window over a key puts the key's rows into one task. Keys with more rows than a task should hold are counted, cut into
+stretches of their order by a range partitioning, and stitched together at the edges; all others take a plain window.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from subtally.operators.sizing import input_bytes
+from subtally.session import shared_dir
 
+# Rows of one key that a single task sorts; a key with more is cut into stretches of about as many.
+TASK_ROWS = 5_000_000
 
-SAMPLES_PER_CUT = 64
 
+def _written(df: DataFrame) -> DataFrame:
+    path = f"{shared_dir(df.sparkSession, 'neighbours')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-@dataclass(frozen=True)
-class SkewPolicy:
-    """When a key counts as heavy, and how finely it is cut.
 
-    A key is heavy when it holds at least ``min_share`` of the sampled rows, so there are never
-    more than ``1 / min_share`` heavy keys, and when it has at least ``min_rows`` rows. Inputs
-    below ``min_input_bytes`` are not sampled: no key in them can overload a task.
-    """
-
-    min_input_bytes: int = 4 << 30
-    min_share: float = 0.005
-    min_rows: int = 2_000_000
-    sample_fraction: float = 0.001
-    chunks_per_key: int = 64
-
-
-def _order_key(order: Sequence[str]) -> Column:
-    """The order as one comparable struct; the null flags put NULLs last, as in the windows."""
-    parts = []
-    for i, name in enumerate(order):
-        parts += [F.col(name).isNull().alias(f"n{i}"), F.col(name).alias(f"v{i}")]
-    return F.struct(*parts)
-
-
-def heavy_key_cuts(df: DataFrame, key: str, order: Sequence[str], policy: SkewPolicy) -> DataFrame | None:
-    """(key, cuts) for the heavy keys, pinned to literal values, or None when there are none."""
-    if input_bytes(df) < policy.min_input_bytes:
-        return None
-    sampled = df.select(key, _order_key(order).alias("_order")).sample(policy.sample_fraction, seed=7)
-    counts = sampled.groupBy(key).agg(F.count("*").alias("_n"))
-    total = sampled.count()
-    threshold = max(policy.min_share * total, policy.min_rows * policy.sample_fraction, 1)
-    heavy = counts.filter((F.col("_n") >= threshold) & F.col(key).isNotNull()).collect()
-    if not heavy:
-        return None
-    # Rank a thin sample of each heavy key and keep evenly spaced order keys as cuts. The second
-    # sampling keeps the ranked rows near SAMPLES_PER_CUT per cut, however large the key is.
-    heavy_keys = [row[key] for row in heavy]
-    wanted = SAMPLES_PER_CUT * policy.chunks_per_key * len(heavy)
-    thin = min(1.0, wanted / sum(row["_n"] for row in heavy))
-    ranked = (
-        sampled.filter(F.col(key).isin(heavy_keys))
-        .sample(thin, seed=11)
-        .withColumn("_tile", F.ntile(policy.chunks_per_key).over(Window.partitionBy(key).orderBy("_order")))
-    )
-    cuts = (
-        ranked.groupBy(key, "_tile")
-        .agg(F.min("_order").alias("_cut"))
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
-    )
-    return df.sparkSession.createDataFrame(cuts.collect(), schema=cuts.schema)
+def large_keys(df: DataFrame, key: str, task_rows: int) -> DataFrame:
+    """(_key, _n) of the keys, NULL among them, with more rows than ``task_rows``; counts are formed before the shuffle."""
+    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
+    return counts.filter(F.col("_n") > task_rows)
 
 
 def with_neighbours(
@@ -81,11 +37,12 @@ def with_neighbours(
     carry: Sequence[str],
     previous: str | None = None,
     following: str | None = None,
-    policy: SkewPolicy = SkewPolicy(),
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Add the carried columns of the neighbouring rows as struct columns (NULL at the ends).
 
-    ``order`` must identify a row within its key, so the neighbours are well defined.
+    ``order`` must identify a row within its key, so the neighbours are well defined; NULLs come last. A NULL key is a
+    key. The input is written once, and counts, stretches and windows read what was written.
     """
     carried = F.struct(*carry)
     by_order = [F.col(c).asc_nulls_last() for c in order]
@@ -98,37 +55,38 @@ def with_neighbours(
             frame = frame.withColumn(following, F.lead(carried).over(w))
         return frame
 
-    cuts = heavy_key_cuts(df, key, order, policy)
-    if cuts is None:
-        return add(df, key)
-
-    heavy_keys = [row[0] for row in cuts.select(key).collect()]
-    is_heavy = F.coalesce(F.col(key).isin(heavy_keys), F.lit(False))
-    chunked = (
-        df.filter(is_heavy)
-        .withColumn("_order", _order_key(order))
-        .join(F.broadcast(cuts), key)  # one row per heavy key: at most 1 / min_share rows
-        .withColumn("_chunk", F.size(F.filter("_cuts", lambda cut: cut <= F.col("_order"))))
-        .drop("_cuts")
-    )
-    by_chunk = Window.partitionBy(key).orderBy("_chunk")
+    rows = _written(df)
+    large = _written(large_keys(rows, key, task_rows))
+    total = large.agg(F.sum("_n")).first()[0]
+    if total is None:
+        return add(rows, key)
+
+    def is_large() -> Column:
+        return F.col(key).eqNullSafe(F.col("_key"))
+
+    ordinary = add(rows.join(large, is_large(), "left_anti"), key)
+    hot = rows.join(large, is_large(), "left_semi")
+    ranges = [F.col(key).asc_nulls_last(), *by_order]
+    # Where the ranges end is estimated, so which stretch a row is in is written down before anything builds on it.
+    pieces = -(-total // task_rows)
+    cut = _written(hot.repartitionByRange(pieces, *ranges).withColumn("_piece", F.spark_partition_id()))
+    at = F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"n_{c}"), F.col(c).alias(f"v_{c}"))])
+    by_piece = Window.partitionBy("_edge_key").orderBy("_edge_piece")  # a row for each stretch
     edges = (
-        chunked.groupBy(key, "_chunk")
-        .agg(F.min_by(carried, "_order").alias("_first"), F.max_by(carried, "_order").alias("_last"))
+        cut.groupBy(F.col(key).alias("_edge_key"), F.col("_piece").alias("_edge_piece"))
+        .agg(F.min_by(carried, at).alias("_first"), F.max_by(carried, at).alias("_last"))
         .select(
-            key,
-            "_chunk",
-            F.lag("_last").over(by_chunk).alias("_before"),
-            F.lead("_first").over(by_chunk).alias("_after"),
+            "_edge_key",
+            "_edge_piece",
+            F.lag("_last").over(by_piece).alias("_before"),
+            F.lead("_first").over(by_piece).alias("_after"),
         )
     )
-    # Repartition by both columns: an exchange on the key alone would also satisfy the window
-    # and bring the whole key back into one task.
-    inner = add(chunked.repartition(F.col(key), F.col("_chunk")), key, "_chunk")
-    stitched = inner.join(F.broadcast(edges), [key, "_chunk"])  # heavy keys x chunks rows
+    # Dealt by both columns: an exchange on the key alone would also satisfy the window and gather the whole key again.
+    inner = add(cut.repartition(F.col(key), F.col("_piece")), key, "_piece")
+    stitched = inner.join(edges, F.col(key).eqNullSafe(F.col("_edge_key")) & (F.col("_piece") == F.col("_edge_piece")))
     if previous:
         stitched = stitched.withColumn(previous, F.coalesce(previous, "_before"))
     if following:
         stitched = stitched.withColumn(following, F.coalesce(following, "_after"))
-    ordinary = add(df.filter(~is_heavy), key)
     return ordinary.unionByName(stitched.select(*ordinary.columns))

@@ -9,13 +9,8 @@ from pyspark.sql import functions as F
 
 from subtally.functions.calendar import months_between
 from subtally.functions.numeric import ratio, round_half_even
-from subtally.operators.quality import SUBSCRIPTION_STATUSES
 from subtally.plans.revenue import MOVEMENTS, bounds, customer_month_deltas, with_movement
 
-# The reasons the billing API gives for a cancellation.
-CANCELLATION_REASONS = ("cancellation_requested", "payment_disputed", "payment_failed")
-
-
 def waterfall_long(mrr_monthly: DataFrame) -> DataFrame:
     return mrr_monthly.unpivot(["month"], [f"{m}_mrr" for m in MOVEMENTS], "movement", "amount")
 
@@ -26,27 +21,28 @@ def monthly_churn_rate(mrr_monthly: DataFrame) -> DataFrame:
     return before.selectExpr("month", f"{ratio('churned_customers', 'active')} AS churn_rate")
 
 
-def plan_status_crosstab(dim_customer: DataFrame, statuses: Sequence[str] = SUBSCRIPTION_STATUSES) -> DataFrame:
-    """Customers per plan and status; the share canceled is of all statuses, to one digit."""
+def crosstab(dim_customer: DataFrame, column: str) -> DataFrame:
+    """(current_plan_key, column, customers): a row for every pair of values that occurs, whatever the values are."""
+    known = dim_customer.filter(F.col("current_plan_key").isNotNull() & F.col(column).isNotNull())
+    return known.groupBy("current_plan_key", column).agg(F.count("*").alias("customers"))
+
+
+def plan_status_crosstab(dim_customer: DataFrame) -> DataFrame:
+    """Customers per plan and status; the share canceled is of all the plan's statuses, to one digit."""
+    own = "OVER (PARTITION BY current_plan_key)"  # one row per status
+    counted = crosstab(dim_customer, "subscription_status").selectExpr(
+        "*",
+        f"sum(customers) {own} AS total",
+        f"sum(if(subscription_status = 'canceled', customers, 0)) {own} AS canceled",
+    )
     share = f"({ratio('canceled', 'total')}) * 100"
-    return (
-        dim_customer.filter("current_plan_key IS NOT NULL AND subscription_status IS NOT NULL")
-        .groupBy("current_plan_key")
-        .agg(
-            *[F.expr(f"count_if(subscription_status = '{s}')").alias(s) for s in statuses],
-            F.count("*").alias("total"),
-        )
-        .selectExpr("* EXCEPT (total)", f"{round_half_even(share, 1)} AS churn_pct")
-        .orderBy(F.col("churn_pct").desc())
+    return counted.selectExpr("* EXCEPT (total, canceled)", f"{round_half_even(share, 1)} AS churn_pct").orderBy(
+        F.col("churn_pct").desc(), "current_plan_key", "subscription_status"
     )
 
 
-def plan_reason_crosstab(dim_customer: DataFrame, reasons: Sequence[str] = CANCELLATION_REASONS) -> DataFrame:
-    return (
-        dim_customer.filter("current_plan_key IS NOT NULL AND cancellation_reason IS NOT NULL")
-        .groupBy("current_plan_key")
-        .agg(*[F.expr(f"count_if(cancellation_reason = '{r}')").alias(r) for r in reasons])
-    )
+def plan_reason_crosstab(dim_customer: DataFrame) -> DataFrame:
+    return crosstab(dim_customer, "cancellation_reason")
 
 
 def cohort_pivot(retention: DataFrame, months: Sequence[int] | None = None) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtally.functions.calendar import months_between
@@ -144,47 +145,47 @@ def cohort_matrix(cohorts: DataFrame) -> DataFrame:
     )
 
 
+def listed(frame: DataFrame, *order: str) -> Column:
+    """All rows as one array of structs, by the given columns, NULL last; amounts as plain numbers."""
+    plain = [F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c) for c, t in frame.dtypes]
+    key = F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(f"by_{c}"))])
+    rows = F.sort_array(F.collect_list(F.struct(key.alias("key"), F.struct(*plain).alias("row"))))
+    return frame.agg(F.transform(rows, lambda r: r["row"])).scalar()
+
+
 def dashboard_payload(
     generated_at: str, mrr_series: DataFrame, plans: DataFrame, cohorts: DataFrame, unpaid: DataFrame
 ) -> DataFrame:
     """The dashboard document as one JSON row: months, plans and cohort cells, a few thousand at most."""
+    document = F.struct(
+        F.lit(generated_at).alias("generated_at"),
+        listed(mrr_series, "month").alias("mrr_monthly"),
+        listed(plans, "plan").alias("plans"),
+        listed(cohorts, "cohort", "months_since").alias("cohorts"),
+        unpaid.select(F.col("unpaid_amount").cast("double")).scalar().alias("unpaid_amount"),
+    )
+    return mrr_series.sparkSession.range(1).select(F.to_json(document, {"ignoreNullFields": "false"}).alias("payload"))
 
-    def section(name: str, frame: DataFrame, *order: str) -> DataFrame:
-        types = dict(frame.dtypes)
-        plain = [f"cast({c} AS double) AS {c}" if t.startswith("decimal") else c for c, t in types.items()]
-        # Text sorts as it is with NULL last, numbers zero-padded.
-        keys = [f"coalesce({c}, '~')" if types[c] == "string" else f"lpad({c}, 9, '0')" for c in order]
-        return frame.selectExpr(
-            f"'{name}' AS section",
-            f"concat_ws('|', {', '.join(keys)}) AS key",
-            f"to_json(struct({', '.join(plain)}), map('ignoreNullFields', 'false')) AS json",
-        )
 
-    rows = reduce(
-        DataFrame.unionByName,
-        [
-            section("mrr_monthly", mrr_series, "month"),
-            section("plans", plans, "plan"),
-            section("cohorts", cohorts, "cohort", "months_since"),
-            unpaid.selectExpr(
-                "'unpaid' AS section", "'' AS key", "cast(cast(unpaid_amount AS double) AS string) AS json"
-            ),
-        ],
-    )
+PAYLOAD = f"""struct<generated_at:string, mrr_monthly:array<struct<month:string, {", ".join(f"{c}:double" for c in SERIES)}>>,
+    plans:array<struct<plan:string, active:double, canceled:double, cancellation_requested:double, payment_failed:double>>,
+    cohorts:array<struct<cohort:string, months_since:int, retained:double>>, unpaid_amount:double>"""
+
+
+def payload_rows(payload: DataFrame) -> DataFrame:
+    """(section, n, item, months_since, measure, value): what a reader of the document finds, n by its order."""
+    read = payload.select(F.from_json("payload", " ".join(PAYLOAD.split()), {"mode": "FAILFAST"}).alias("d"))
 
-    def collected(name: str) -> str:
-        items = f"collect_list(struct(key, json)) FILTER (WHERE section = '{name}')"
-        return f"concat('[', array_join(transform(sort_array({items}), r -> r.json), ', '), ']')"
+    def section(name: str, item: str, months: str, measures: Sequence[str]) -> DataFrame:
+        rows = read.select(F.posexplode(f"d.{name}").alias("n", "x"))
+        pairs = ", ".join(f"struct('{m}' AS measure, x.{m} AS value)" for m in measures)
+        return rows.selectExpr(f"'{name}' AS section", "n", f"x.{item} AS item", f"{months} AS months_since", f"inline(array({pairs}))")
 
+    unpaid = read.selectExpr("'unpaid' AS section", "0 AS n", "cast(NULL AS string) AS item", "cast(NULL AS int) AS months_since", "'unpaid_amount' AS measure", "d.unpaid_amount AS value")
     parts = [
-        f"""'{{"generated_at": "{generated_at}", "mrr_monthly": '""",
-        collected("mrr_monthly"),
-        """', "plans": '""",
-        collected("plans"),
-        """', "cohorts": '""",
-        collected("cohorts"),
-        """', "unpaid_amount": '""",
-        "max(json) FILTER (WHERE section = 'unpaid')",
-        "'}'",
+        section("mrr_monthly", "month", "cast(NULL AS int)", SERIES),
+        section("plans", "plan", "cast(NULL AS int)", ("active", "canceled", "cancellation_requested", "payment_failed")),
+        section("cohorts", "cohort", "x.months_since", ("retained",)),
+        unpaid,
     ]
-    return rows.selectExpr(f"concat({', '.join(parts)}) AS payload")
+    return reduce(DataFrame.unionByName, parts)

@@ -53,7 +53,16 @@ class Book:
 
     @cached_property
     def plans(self) -> DataFrame:
-        return marts.plan_catalog(self.stg_subscriptions)
+        """dim_plan as a table, as in production: a few rows that several joins read."""
+        return save_mart(self.dim_plan, shared_dir(self.spark, "marts"), "dim_plan")
+
+    @cached_property
+    def subscription_ids(self) -> DataFrame:
+        return staging.ids(self.raw("subscriptions"), "subscription_id")
+
+    @cached_property
+    def customer_ids(self) -> DataFrame:
+        return staging.ids(self.raw("customers"), "customer_id")
 
     @cached_property
     def dim_plan(self) -> DataFrame:
@@ -65,7 +74,7 @@ class Book:
 
     @cached_property
     def fct_subscription_events(self) -> DataFrame:
-        events = marts.fct_subscription_events(self.stg_subscription_events, self.stg_subscriptions, self.plans)
+        events = marts.fct_subscription_events(self.stg_subscription_events, self.subscription_ids, self.plans)
         return self._mart("fct_subscription_events", events)
 
     @cached_property
@@ -75,11 +84,11 @@ class Book:
 
     @cached_property
     def mrr_customer_monthly(self) -> DataFrame:
-        return revenue.mrr_customer_monthly(self.stg_customers, self.fct_subscription_events)
+        return revenue.mrr_customer_monthly(self.customer_ids, self.fct_subscription_events)
 
     @cached_property
     def mrr_monthly(self) -> DataFrame:
-        return self._mart("mrr_monthly", revenue.mrr_monthly(self.stg_customers, self.fct_subscription_events))
+        return self._mart("mrr_monthly", revenue.mrr_monthly(self.customer_ids, self.fct_subscription_events))
 
     @cached_property
     def snapshot(self) -> DataFrame:

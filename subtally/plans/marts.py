@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from subtally.functions.calendar import month_of
 from subtally.functions.numeric import round_scaled
-from subtally.operators.neighbours import SkewPolicy, with_neighbours
-from subtally.operators.sizing import broadcast_if_small
+from subtally.operators.neighbours import TASK_ROWS, with_neighbours
 
 SNAPSHOT_CHECK = ("status", "plan_key", "canceled_at")
 
@@ -24,11 +23,6 @@ def dim_plan(stg_subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def plan_catalog(stg_subscriptions: DataFrame) -> DataFrame:
-    """dim_plan as a join side, broadcast when it proves small."""
-    return broadcast_if_small(dim_plan(stg_subscriptions))
-
-
 def customer_subscription_rollup(stg_subscriptions: DataFrame) -> DataFrame:
     """First start, and the newest subscription's plan, status and last known reason.
 
@@ -117,16 +111,15 @@ def fct_subscription_events(
     now = plans.selectExpr("plan_key", "plan_key AS plan_now", "mrr_amount AS mrr_now")
     then = plans.selectExpr("plan_key AS previous_plan_key", "plan_key AS plan_then", "mrr_amount AS mrr_then")
     known = stg_subscriptions.select("subscription_id")
+    # An event is named by what the API says happened, else by the direction of the price.
+    said = "try_element_at(map('created', 'started', 'deleted', 'canceled'), substring_index(event_type, '.', -1))"
+    moved = "try_element_at(map(1, 'upgraded', -1, 'downgraded'), int(sign(mrr_now - mrr_then)))"
+    # Revenue before any event, around it, and after the end: an event moves from one place to the next.
+    ladder = "array(coalesce(mrr_then, 0), mrr_now, 0)"
     return (
         stg_subscription_events.join(now, "plan_key", "left")
         .join(then, "previous_plan_key", "left")
-        .selectExpr(
-            "*",
-            """CASE WHEN event_type = 'customer.subscription.created' THEN 'started'
-                    WHEN event_type = 'customer.subscription.deleted' THEN 'canceled'
-                    WHEN mrr_now > mrr_then THEN 'upgraded'
-                    WHEN mrr_now < mrr_then THEN 'downgraded' END AS kind""",
-        )
+        .selectExpr("*", f"coalesce({said}, {moved}) AS kind")
         .filter("kind IS NOT NULL")
         .join(known, "subscription_id", "left_semi")
         .selectExpr(
@@ -137,13 +130,13 @@ def fct_subscription_events(
             "if(kind = 'canceled', canceled_at, period_start) AS occurred_at",
             "plan_now AS plan_key",
             "plan_then AS previous_plan_key",
-            "if(kind = 'canceled', mrr_now, coalesce(mrr_then, 0)) AS mrr_before",
-            "if(kind = 'canceled', 0, mrr_now) AS mrr_after",
+            f"get({ladder}, int(kind = 'canceled')) AS mrr_before",
+            f"get({ladder}, 1 + int(kind = 'canceled')) AS mrr_after",
         )
     )
 
 
-def mrr_segments(fct_events: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+def mrr_segments(fct_events: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """Each event opens an interval of constant MRR that the subscription's next event closes."""
     return with_neighbours(
         fct_events.select("customer_id", "subscription_id", "event_id", "occurred_at", "mrr_after"),
@@ -151,7 +144,7 @@ def mrr_segments(fct_events: DataFrame, policy: SkewPolicy = SkewPolicy()) -> Da
         order=("occurred_at", "event_id"),
         carry=("occurred_at",),
         following="next_event",
-        policy=policy,
+        task_rows=task_rows,
     ).selectExpr(
         "customer_id",
         "subscription_id",

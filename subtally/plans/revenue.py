@@ -89,11 +89,9 @@ def with_movement(deltas: DataFrame) -> DataFrame:
         )
         .selectExpr(
             "* EXCEPT (peak, delta)",
-            """CASE WHEN previous_mrr = 0 AND mrr > 0 AND peak = 0 THEN 'new'
-                    WHEN previous_mrr = 0 AND mrr > 0 THEN 'reactivation'
-                    WHEN mrr > previous_mrr THEN 'expansion'
-                    WHEN mrr > 0 AND mrr < previous_mrr THEN 'contraction'
-                    WHEN previous_mrr > 0 AND mrr = 0 THEN 'churn' END AS movement""",
+            # Down: did anything remain? Up: did anything stand before, and if not, had the customer ever paid?
+            """if(delta < 0, if(mrr = 0, 'churn', 'contraction'),
+                  if(delta > 0, if(previous_mrr <> 0, 'expansion', if(peak > 0, 'reactivation', 'new')), NULL)) AS movement""",
         )
     )
 

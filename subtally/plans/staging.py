@@ -49,6 +49,11 @@ def _parsed(raw: DataFrame, schema: str) -> DataFrame:
     return parse_once(raw.select("id", "data"), "data", schema, "d")
 
 
+def ids(raw: DataFrame, name: str) -> DataFrame:
+    """The objects' ids alone, without parsing a document."""
+    return raw.select(raw["id"].alias(name))
+
+
 def stg_customers(raw: DataFrame) -> DataFrame:
     return _parsed(raw, CUSTOMER).selectExpr(
         "id AS customer_id",

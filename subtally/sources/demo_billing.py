@@ -9,22 +9,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from subtally.operators.neighbours import SkewPolicy, with_neighbours
+from subtally.operators.neighbours import TASK_ROWS, with_neighbours
 
 # The demo price list, by order key modulo its length.
 PLANS = [
-    ("basic_monthly", 1900),
-    ("basic_yearly", 19000),
-    ("pro_monthly", 4900),
-    ("pro_yearly", 49000),
-    ("enterprise_monthly", 9900),
-    ("enterprise_yearly", 99000),
+    ("solo_monthly", 1250),
+    ("solo_yearly", 13500),
+    ("team_monthly", 3700),
+    ("team_yearly", 40400),
+    ("fleet_monthly", 21500),
+    ("fleet_yearly", 230000),
 ]
 PLAN_KEYS = "array({})".format(", ".join(f"'{key}'" for key, _ in PLANS))
 PLAN_CENTS = "array({})".format(", ".join(str(cents) for _, cents in PLANS))
 
-# Rows one landing file of the demo feed holds at most.
-FILE_ROWS = 50_000
+# Rows one landing file of the demo feed holds at most; what the files mean does not depend on it.
+FILE_ROWS = 20_000
 
 
 # The driver's tables. Reading with a schema saves the job that looks for one.
@@ -45,18 +45,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share when a scan has fewer partitions than there are cores.
-
-    Building and parsing JSON costs far more than moving these narrow rows. Large inputs already
-    come in many splits and pass through.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """Building and parsing JSON costs far more than moving these narrow rows, so they are dealt out evenly first."""
+    return df.hint("rebalance")
 
 
 def padded(prefix: str, number: str) -> str:
     """Zero-padded ids, so they sort as text the way the numbers do."""
-    return f"concat('{prefix}', lpad(cast({number} AS string), 12, '0'))"
+    text = f"cast({number} AS string)"
+    return f"concat('{prefix}', lpad({text}, greatest(12, length({text})), '0'))"
 
 
 def price(index: str) -> str:
@@ -142,7 +138,7 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def subscription_steps(spark: SparkSession, sf_dir: str, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+def subscription_steps(spark: SparkSession, sf_dir: str, task_rows: int = TASK_ROWS) -> DataFrame:
     """Orders with the plan before them and whether they end their subscription."""
     return with_neighbours(
         orders(spark, sf_dir),
@@ -151,13 +147,13 @@ def subscription_steps(spark: SparkSession, sf_dir: str, policy: SkewPolicy = Sk
         carry=("plan_index",),
         previous="before",
         following="after",
-        policy=policy,
+        task_rows=task_rows,
     ).selectExpr("*", "before IS NOT NULL AND after IS NULL AND o_orderstatus = 'F' AS deletes")
 
 
-def events(spark: SparkSession, sf_dir: str, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+def events(spark: SparkSession, sf_dir: str, task_rows: int = TASK_ROWS) -> DataFrame:
     event_id = padded("evt_", "o_orderkey")
-    return subscription_steps(spark, sf_dir, policy).selectExpr(
+    return subscription_steps(spark, sf_dir, task_rows).selectExpr(
         f"{event_id} AS id",
         f"""to_json(named_struct(
             'id', {event_id},
@@ -286,15 +282,15 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_feed_files(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Land the feed as JSON-array files, one per day and block of FILE_ROWS event ids.
+    """Land the feed as JSON-array files: a sync is a day, its files hold FILE_ROWS event ids at most.
 
-    Paths (``sync=<day>-<block>/...``) sort in feed order, and no array holds more than FILE_ROWS
-    documents because event ids are unique.
+    Paths (``sync=<day>/block=<block>/...``) sort in feed order.
     """
+    block = f"cast(-source_pos DIV {FILE_ROWS} AS string)"
     arrays = spark.sql(
-        f"""SELECT concat(batch, '-', lpad(cast(-source_pos DIV {FILE_ROWS} AS string), 9, '0')) AS sync,
+        f"""SELECT batch AS sync, lpad({block}, greatest(9, length({block})), '0') AS block,
                    sort_array(collect_list(struct(-source_pos AS seq, data))) AS docs
-            FROM {{feed}} GROUP BY 1""",
+            FROM {{feed}} GROUP BY 1, 2""",
         feed=change_feed(spark, sf_dir),
-    ).selectExpr("sync", "concat('[', array_join(transform(docs, d -> d.data), ',\\n'), ']') AS value")
-    arrays.write.mode("overwrite").partitionBy("sync").text(root)
+    ).selectExpr("sync", "block", "concat('[', array_join(transform(docs, d -> d.data), ',\\n'), ']') AS value")
+    arrays.write.mode("overwrite").partitionBy("sync", "block").text(root)

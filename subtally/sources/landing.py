@@ -7,6 +7,8 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subtally.sources.tables import children
+
 # The object types of the billing API and the folder each one lands in.
 OBJECT_FOLDERS = {
     "customer": "customers",
@@ -14,45 +16,63 @@ OBJECT_FOLDERS = {
     "invoice": "invoices",
     "charge": "charges",
 }
+# The folder name that marks the line form.
+LINES = "sync_ts="
 OBJECT_TYPES = ("charges", "customers", "events", "invoices", "subscriptions")
 
 
 def sync_timestamp(at: datetime | None = None) -> str:
-    """UTC time as a name that sorts chronologically, e.g. 2026-09-03T14-05-22Z."""
+    """UTC time as a name that sorts chronologically, e.g. 2031-04-17T08-09-10Z."""
     return (at or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%dT%H-%M-%SZ")
 
 
+FAIL = {"mode": "FAILFAST"}  # a document that can't be read stops the run; none is left out
+
+
+def relative_file(folder: str) -> Column:
+    """Path below the scanned folder, without the names of partition folders: what comes later sorts later."""
+    name = folder.rstrip("/").rsplit("/", 1)[-1]
+    return F.regexp_replace(F.substring_index(F.col("_metadata.file_path"), f"/{name}/", -1), r"(^|/)\w+=", "$1")
+
+
+def sync_of(file: str = "file") -> Column:
+    """The sync that a file belongs to: its first folder, or in a flat layout the file itself."""
+    return F.regexp_replace(F.substring_index(F.col(file), "/", 1), r"\.json$", "")
+
+
 def explode_array_files(files: DataFrame) -> DataFrame:
-    """(file, value = a whole JSON array) to one row per element that carries an id.
+    """(file, value = a whole JSON array) to (file, pos, data): one row per element.
 
-    Elements stay JSON text: no schema is inferred, so a key that first appears in the last
-    document of the last file survives.
+    Elements stay JSON text: no schema is inferred, so a key that first appears in the last document of the last file
+    survives. A file that is no whole array raises.
     """
-    return (
-        files.select("file", F.posexplode(F.from_json("value", "array<string>")).alias("pos", "data"))
-        .select("file", F.col("pos").cast("bigint").alias("pos"), document_id("data").alias("id"), "data")
-        .filter(F.col("id").isNotNull())
+    return files.select("file", F.posexplode(F.from_json("value", "array<string>", FAIL)).alias("pos", "data")).withColumn(
+        "pos", F.col("pos").cast("bigint")
     )
 
 
 def document_id(data: str) -> Column:
-    return F.get_json_object(data, "$.id")
+    return F.from_json(F.col(data), "id string", FAIL)["id"]
 
 
-def relative_file(folder: str) -> Column:
-    """Path below the scanned folder: the plain file name in a flat layout."""
-    name = folder.rstrip("/").rsplit("/", 1)[-1]
-    return F.substring_index(F.col("_metadata.file_path"), f"/{name}/", -1)
+def with_id(rows: DataFrame) -> DataFrame:
+    """Rows (file, pos, id, data) of the documents that have an id; text that isn't a document raises."""
+    return rows.select("file", "pos", document_id("data").alias("id"), "data").filter(F.col("id").isNotNull())
 
 
-def raw_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows (file, pos, id, data) of every JSON-array file of one object type.
+def array_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, value) of every file.
 
     An array file is read whole by one task, so it has to stay well under 2 GB; the line form
     written by ``write_landing`` has no such limit because it splits.
     """
-    files = spark.read.text(folder, wholetext=True).select(relative_file(folder).alias("file"), "value")
-    return explode_array_files(files)
+    text = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
+    return text.select(relative_file(folder).alias("file"), "value")
+
+
+def raw_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows (file, pos, id, data) of every JSON-array file of one object type."""
+    return with_id(explode_array_files(array_files(spark, folder)))
 
 
 def write_landing(df: DataFrame, root: str, object_type: str, sync_ts: str) -> str:
@@ -60,16 +80,21 @@ def write_landing(df: DataFrame, root: str, object_type: str, sync_ts: str) -> s
 
     Overwriting the sync's own folder makes a repeated sync harmless.
     """
-    path = f"{root}/{object_type}/sync_ts={sync_ts}"
+    path = f"{root}/{object_type}/{LINES}{sync_ts}"
     df.select(F.col("pos").cast("bigint").alias("pos"), "data").write.mode("overwrite").json(path)
     return path
 
 
 def scan_landing(spark: SparkSession, folder: str) -> DataFrame:
     """Rows (file, pos, id, data) of the line form; the sync folder plays the part of the file name."""
-    return (
-        spark.read.schema("pos bigint, data string, sync_ts string")
-        .json(folder)
-        .select(F.col("sync_ts").alias("file"), "pos", document_id("data").alias("id"), "data")
-        .filter(F.col("id").isNotNull())
-    )
+    lines = spark.read.schema("pos bigint, data string, sync_ts string").options(**FAIL).json(folder)
+    return with_id(lines.withColumnRenamed("sync_ts", "file"))
+
+
+def scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows (file, pos, id, data) of a folder in either form, told apart by its sub-folders."""
+    names = [name for name in children(spark, folder) if not name.startswith(("_", "."))]
+    lines = [name for name in names if name.startswith(LINES)]
+    if lines and len(lines) < len(names):
+        raise ValueError(f"{folder} holds both landing forms: {names[:5]}")
+    return scan_landing(spark, folder) if lines else raw_scan(spark, folder)

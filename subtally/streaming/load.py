@@ -1,7 +1,8 @@
 """The load as a stream: new landing files in, one change set per micro-batch out.
 
-The checkpoint is the cursor. Each micro-batch overwrites its own folder, so a replay after a crash
-leaves the same files; readers take the last document of each id over all change sets.
+The checkpoint is the cursor. Each micro-batch overwrites its own folders, so a replay after a crash leaves the same
+files. A sync may have any number of files in any number of micro-batches: what a deleted clock takes along is decided
+when the change sets are read, with all clocks of the sync known.
 """
 
 from __future__ import annotations
@@ -9,38 +10,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtally.operators.ingest import drop_dead_clock_cascade, latest_snapshot, parse_feed, route_snapshots
-from subtally.sources.landing import relative_file
+from subtally.operators.ingest import dead_clocks, latest_snapshot, parse_feed, route_snapshots, without_dead_clocks
+from subtally.sources.landing import explode_array_files, relative_file, sync_of
 
-CHANGE_SCHEMA = "id string, file string, pos bigint, data string, batch_id bigint, type string"
+CHANGE_SCHEMA = "id string, batch string, test_clock string, file string, pos bigint, data string, batch_id bigint, type string"
+CLOCK_SCHEMA = "batch string, _clock string, batch_id bigint"
 
 
 def feed_from_files(files: DataFrame) -> DataFrame:
-    """(file, value = JSON array of change events, oldest first) to feed rows; a file is a sync batch."""
-    return files.select(
-        F.col("file").alias("batch"), F.posexplode(F.from_json("value", "array<string>")).alias("p", "data")
-    ).select("batch", (-F.col("p")).cast("bigint").alias("source_pos"), "data")
-
-
-def changed_objects(files: DataFrame) -> DataFrame:
-    """Rows (type, id, file, pos, data): the last snapshot of each object in these files, without
-    the cascades of deleted clocks, and the surviving events themselves."""
-    # Inside a stream the size check would read the files once more, so AQE decides from measured sizes.
-    kept = drop_dead_clock_cascade(parse_feed(feed_from_files(files)), max_broadcast_rows=0)
-    objects = route_snapshots(kept).select(
-        "type", "id", F.col("batch").alias("file"), (-F.col("source_pos")).alias("pos"), "data"
-    )
-    events = kept.select(
-        F.lit("events").alias("type"),
-        F.col("event_id").alias("id"),
-        F.col("batch").alias("file"),
-        (-F.col("source_pos")).alias("pos"),
-        "data",
-    )
-    everything = objects.unionByName(events)
-    return everything.groupBy("type", "id").agg(
-        F.max_by(F.struct("file", "pos", "data"), F.struct("file", "pos")).alias("last")
-    ).select("type", "id", "last.*")
+    """(file, value = JSON array of change events, oldest first) to feed rows; ``batch`` is the sync they came with."""
+    rows = explode_array_files(files)
+    return rows.select(sync_of().alias("batch"), "file", (-F.col("pos")).alias("source_pos"), "data")
+
+
+def changed_objects(feed: DataFrame) -> DataFrame:
+    """(type, id, batch, test_clock, file, pos, data): the last snapshot of each object for each sync and clock, and the
+    events themselves. Clocks are told apart, so that dropping a dead one uncovers the snapshot before it."""
+    events = feed.withColumns({"type": F.lit("events"), "id": F.col("event_id")})
+    objects = route_snapshots(feed, "file", "test_clock")
+    columns = ["type", "id", "batch", "test_clock", "file", (-F.col("source_pos")).alias("pos"), "data"]
+    everything = objects.select(*columns).unionByName(events.select(*columns))
+    return latest_snapshot(everything, by=("type", "id", "batch", "test_clock"))
 
 
 def stream_load(spark: SparkSession, landing: str, changes: str, checkpoint: str, max_files: int = 1000) -> None:
@@ -48,19 +38,16 @@ def stream_load(spark: SparkSession, landing: str, changes: str, checkpoint: str
     files = (
         spark.readStream.format("text")
         .option("wholetext", True)
+        .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
         .load(landing)
         .select(relative_file(landing).alias("file"), "value")
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()  # parsed twice: for the deleted clocks and for the documents
-        try:
-            changed_objects(batch).write.mode("overwrite").partitionBy("type").parquet(
-                f"{changes}/batch_id={batch_id}"
-            )
-        finally:
-            batch.unpersist()
+        feed = parse_feed(feed_from_files(batch), "file")
+        dead_clocks(feed).write.mode("overwrite").parquet(f"{changes}/clocks/batch_id={batch_id}")
+        changed_objects(feed).write.mode("overwrite").partitionBy("type").parquet(f"{changes}/objects/batch_id={batch_id}")
 
     query = (
         files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -68,10 +55,18 @@ def stream_load(spark: SparkSession, landing: str, changes: str, checkpoint: str
     query.awaitTermination()
 
 
-def read_changes(spark: SparkSession, changes: str) -> DataFrame:
-    """The current document of every object: newest file, then position, as in the batch load.
+def read_changes(spark: SparkSession, changes: str, after: int = -1) -> DataFrame:
+    """(type, id, file, pos, data): the current document of every object in the change sets after a micro-batch.
 
-    Arrival order does not count, so a file that shows up late cannot undo a newer one.
+    Newest file, then position, as in the batch load: arrival order does not count, so a file that shows up late cannot
+    undo a newer one. Clocks are read from all change sets.
     """
-    stored = spark.read.schema(CHANGE_SCHEMA).parquet(changes)
-    return latest_snapshot(stored, by=("type", "id"))
+    objects = spark.read.schema(CHANGE_SCHEMA).parquet(f"{changes}/objects").filter(F.col("batch_id") > after)
+    clocks = spark.read.schema(CLOCK_SCHEMA).parquet(f"{changes}/clocks").select("batch", "_clock").distinct()
+    return latest_snapshot(without_dead_clocks(objects, clocks), by=("type", "id"))
+
+
+def newest_batch(spark: SparkSession, changes: str) -> int:
+    """Number of the newest change set, -1 without one."""
+    last = spark.read.schema(CHANGE_SCHEMA).parquet(f"{changes}/objects").agg(F.max("batch_id")).first()[0]
+    return -1 if last is None else last

@@ -15,7 +15,7 @@ def test_load_build_check_export(spark, sf_dir, tmp_path):
         landing.write_landing(rows, root, name, "2026-09-01T00-00-00Z")
     for day in (2, 3):  # the second run finds nothing new
         at = datetime(2026, 9, day)
-        job.load_all(spark, root, warehouse, at, lines=True)
+        job.load_all(spark, root, warehouse, at)
         built = job.build(spark, warehouse, at)
     history = built["dim_subscription_history"]
     assert history.count() == built["stg_subscriptions"].count()
@@ -33,7 +33,15 @@ def test_load_build_check_export(spark, sf_dir, tmp_path):
     assert [p["plan"] for p in document["plans"]][-1] is None
     assert set(document["cohorts"][0]) == {"cohort", "months_since", "retained"}
     assert document["unpaid_amount"] > 0
-    assert job.ltv(spark, warehouse).count() == built["dim_plan"].count()
+    found = job.analyze(spark, warehouse)
+    assert len(found) == 15 and found["ltv_by_plan"].count() == built["dim_plan"].count()
+    assert all(frame.columns for frame in found.values()) and found["kpi_latest"].count() == 1
+    assert job.as_of(spark, warehouse, datetime(2026, 9, 2, 12)).count() == history.count()
+    assert job.as_of(spark, warehouse, datetime(2026, 9, 1)).count() == 0
+    limits = {"customers": (1, 5)}
+    assert [r.rule for r in job.check_all(spark, warehouse, **limits).filter("NOT passed").collect()] == ["row_count_between"]
+    assert job.run_check(spark, warehouse, datetime(2026, 9, 3), {}) == 0
+    assert job.run_check(spark, warehouse, datetime(2026, 9, 3), limits) == 1
 
 
 def test_rules_report_failures(spark):
@@ -96,9 +104,15 @@ def test_incremental_sync_lands_what_changed(spark, tmp_path):
     cursor = sync(2, event(start - 1, customer(0)), event(start, customer(3)), event(late, customer(4)))
     assert cursor == late
     assert sync(3) == late
+    # A forced full sync reads everything again and starts from its own time.
+    rows = spark.createDataFrame([(0, event(7, customer(0)))], "source_pos bigint, data string")
+    full = job.sync_feed(spark, rows, str(tmp_path / "l2"), str(tmp_path / "s"), datetime(2026, 1, 5), full=True)
+    assert full == int(datetime(2026, 1, 5).timestamp())
+    assert spark.read.json(str(tmp_path / "l2/events")).count() == 1
+    assert job.bounds_of("3:") == (3.0, None) and job.bounds_of(":7.5") == (None, 7.5)
 
     for _ in range(2):
-        report = job.load_all(spark, str(tmp_path / "l"), str(tmp_path / "w"), datetime(2026, 1, 4), lines=True)
+        report = job.load_all(spark, str(tmp_path / "l"), str(tmp_path / "w"), datetime(2026, 1, 4))
         assert sorted((r.type, r.n_rows) for r in report.collect()) == [("customers", 1), ("events", 4)]
     data = job.raw_tables(spark, str(tmp_path / "w"))["customers"].first()["data"]
     assert json.loads(data)["v"] == 4

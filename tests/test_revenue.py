@@ -5,7 +5,6 @@ import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
-import duckdb
 import pytest
 
 from subtally.functions.numeric import finite, ratio, round_half_even, round_scaled
@@ -81,7 +80,7 @@ def test_lifecycle_classification(spark):
         ],
         EVENT,
     )
-    facts = marts.fct_subscription_events(events, subs, marts.plan_catalog(subs))
+    facts = marts.fct_subscription_events(events, subs, marts.dim_plan(subs))
     got = {r.event_id: (r.event_type, r.occurred_at, r.mrr_before, r.mrr_after) for r in facts.collect()}
     assert got == {
         "start": ("started", day, 0, 10),
@@ -154,31 +153,44 @@ def random_facts(seed, customers=40):
     return rows
 
 
-BRUTE = """
-WITH seg AS (SELECT customer_id, occurred_at AS a, mrr_after AS m,
-                    lead(occurred_at) OVER (PARTITION BY subscription_id ORDER BY occurred_at NULLS LAST, event_id) AS z FROM ev),
-mo AS (SELECT unnest(range(date_trunc('month', min(a)), max(a) + INTERVAL 1 SECOND, INTERVAL 1 MONTH)) AS d FROM seg),
-g AS (SELECT c.customer_id, d, ifnull(sum(m), 0) AS mrr FROM cu c CROSS JOIN mo
-      LEFT JOIN seg ON seg.customer_id = c.customer_id AND a < d + INTERVAL 1 MONTH AND (z IS NULL OR z >= d + INTERVAL 1 MONTH)
-      GROUP BY ALL),
-h AS (SELECT *, lag(mrr, 1, 0) OVER w AS p, ifnull(max(mrr) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS top
-      FROM g WINDOW w AS (PARTITION BY customer_id ORDER BY d))
-SELECT customer_id, d::DATE AS month, mrr, CASE WHEN p = 0 AND mrr > 0 THEN CASE top WHEN 0 THEN 'new' ELSE 'reactivation' END
-  WHEN mrr > p THEN 'expansion' WHEN mrr > 0 AND mrr < p THEN 'contraction' WHEN mrr < p THEN 'churn' END AS movement, mrr - p AS delta
-FROM h
-"""
+def month_after(month):
+    return date(month.year + month.month // 12, month.month % 12 + 1, 1)
+
+
+def by_hand(rows, customers):
+    """(customer, month, mrr, movement, change) by walking through the calendar with each customer."""
+    timed = sorted((t, e, s, c, m) for e, s, c, _, t, m in rows if t is not None)
+    month, last = timed[0][0].date().replace(day=1), timed[-1][0].date()
+    calendar = []
+    while month <= last:
+        calendar.append(month)
+        month = month_after(month)
+    found = []
+    for customer in customers:
+        before, paid = Decimal(0), False
+        for month in calendar:
+            end = datetime.combine(month_after(month), datetime.min.time())
+            open_now = {}
+            for at, _, subscription, owner, mrr in timed:
+                if at < end:
+                    open_now[subscription] = (owner, mrr or 0)  # the last event before the month's end stands
+            now = Decimal(sum(mrr for owner, mrr in open_now.values() if owner == customer))
+            if now == before:
+                movement = None
+            elif now > before:
+                movement = "expansion" if before else "reactivation" if paid else "new"
+            else:
+                movement = "contraction" if now else "churn"
+            found.append((customer, month, now, movement, now - before))
+            before, paid = now, paid or now > 0
+    return found
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_change_points_equal_the_dense_interval_join(spark, seed):
+def test_change_points_equal_a_walk_through_the_calendar(spark, seed):
     rows = random_facts(seed)
     names = [f"c{i}" for i in range(40)]
-    duck = duckdb.connect()
-    duck.execute("CREATE TABLE ev (event_id VARCHAR, subscription_id VARCHAR, customer_id VARCHAR, occurred_at TIMESTAMP, mrr_after DECIMAL(12,2))")
-    duck.executemany("INSERT INTO ev VALUES (?, ?, ?, ?, ?)", [(e, s, c, t, m) for e, s, c, _, t, m in rows])
-    duck.execute("CREATE TABLE cu (customer_id VARCHAR)")
-    duck.executemany("INSERT INTO cu VALUES (?)", [(n,) for n in names])
-    brute = duck.sql(BRUTE).fetchall()
+    brute = by_hand(rows, names)
 
     events, customers = facts(spark, *rows), roster(spark, *names)
     dense = revenue.mrr_customer_monthly(customers, events).collect()
@@ -216,6 +228,40 @@ def test_change_points_equal_the_dense_interval_join(spark, seed):
     assert {r[0]: r[1] for r in analyses.customer_months_by_plan(dim, events).collect()} == paying
 
 
+def test_crosstabs_show_values_nobody_listed(spark):
+    rows = [("p", "active", None), ("p", "paused", "customer_service"), ("p", "paused", "moved"), ("q", "canceled", "moved"), (None, "active", "moved")]
+    customers = spark.createDataFrame(rows, "current_plan_key string, subscription_status string, cancellation_reason string")
+    statuses = {(r.current_plan_key, r.subscription_status): (r.customers, r.churn_pct) for r in analyses.plan_status_crosstab(customers).collect()}
+    assert statuses == {("p", "active"): (1, 0.0), ("p", "paused"): (2, 0.0), ("q", "canceled"): (1, 100.0)}
+    reasons = {tuple(r) for r in analyses.plan_reason_crosstab(customers).collect()}
+    assert reasons == {("p", "customer_service", 1), ("p", "moved", 1), ("q", "moved", 1)}
+
+
+def test_the_document_sorts_and_quotes_whatever_names_it_gets(spark):
+    series = spark.createDataFrame([("2026-02-01", 2.0), ("2026-01-01", 1.0)], "month string, mrr double")
+    plans = spark.createDataFrame([(None, 1), ("\x7fplan", 2), ('a "b"', 3)], "plan string, active bigint")
+    cohorts = spark.createDataFrame([("2026-01", 10, 0.5), ("2026-01", 9, None)], "cohort string, months_since int, retained double")
+    unpaid = spark.createDataFrame([(Decimal("1.50"),)], "unpaid_amount decimal(12,2)")
+    made = json.loads(dashboard.dashboard_payload("at 'noon'", series, plans, cohorts, unpaid).first()["payload"])
+    assert made["generated_at"] == "at 'noon'" and made["unpaid_amount"] == 1.5
+    assert [m["month"] for m in made["mrr_monthly"]] == ["2026-01-01", "2026-02-01"]
+    assert [p["plan"] for p in made["plans"]] == ['a "b"', "\x7fplan", None]
+    assert [(c["months_since"], c["retained"]) for c in made["cohorts"]] == [(9, None), (10, 0.5)]
+
+
+def test_a_document_that_cannot_be_read_raises(spark):
+    broken = spark.createDataFrame([("ch_1", '{"id": "ch_1", "amount": 1')], "id string, data string")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        staging.stg_charges(broken).collect()
+
+
+def test_long_numbers_keep_all_their_digits(spark):
+    from subtally.sources.demo_billing import padded
+
+    ids = spark.createDataFrame([(n,) for n in (7, 1000000000000, 10000000000012)], "n bigint").selectExpr(f"{padded('x', 'n')} AS id")
+    assert [r.id for r in ids.collect()] == ["x000000000007", "x1000000000000", "x10000000000012"]
+
+
 def test_waterfall_explains_every_month(spark, sf_dir):
     from subtally.plans.demo import Book
 
