@@ -7,7 +7,6 @@ function per language (one versus the rest) on top of that is fitted by ridge re
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +18,6 @@ from pyspark.sql import functions as F
 from subtally.llm.common import text_bytes, texts
 
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
 NGRAMS = 3
 CODES = 1 << 8 * NGRAMS
 # Parts that the rows of a language are dealt to while the sample is drawn.
@@ -68,6 +66,10 @@ class Model:
     bias: np.ndarray
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 def lowered(text: pa.Array) -> list[str]:
     return [x.lower() for x in text.to_pylist()]
 
@@ -81,19 +83,14 @@ def training_grams(docs: DataFrame, sample: Sample) -> DataFrame:
     for own in (("lang", "_salt"), ("lang",)):
         place = F.row_number().over(Window.partitionBy(*own).orderBy("_order", "doc_id"))
         ordered = ordered.withColumn("_place", place).filter(F.col("_place") <= sample.per_language)
-    chosen = (
-        ordered
-        .orderBy("_place", "lang")
-        .limit(sample.most_texts)
-        .groupBy("lang", "doc_id")
-        .agg(F.min("_place").alias("place"))
-    )
+    first = ordered.orderBy("_place", "lang").limit(sample.most_texts)
+    chosen = first.groupBy("lang", "doc_id").agg(F.min("_place").alias("place"))
     rows = usable.select("lang", "doc_id", "text").join(F.broadcast(chosen), ["lang", "doc_id"])  # at most most_texts rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
         for batch in batches:
-            kept = [i for i, x in enumerate(batch.column("text").to_pylist()) if LETTER.search(x)]
+            kept = [i for i, x in enumerate(batch.column("text").to_pylist()) if has_letter(x)]
             part = batch.take(pa.array(kept, pa.int64()))
             codes = [grams.of(np.frombuffer(x.encode(), np.uint8)).tobytes() for x in lowered(part.column("text"))]
             yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("place"), pa.array(codes, pa.binary())], ["lang", "place", "codes"])
@@ -155,7 +152,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             own = texts(batch.column("text")).to_pylist()
             names, scores = [UNDETERMINED] * len(own), np.zeros(len(own))
-            lettered = [i for i, x in enumerate(own) if LETTER.search(x)] if model is not None else []
+            lettered = [i for i, x in enumerate(own) if has_letter(x)] if model is not None else []
             for at in range(0, len(lettered), BLOCK):
                 block = lettered[at : at + BLOCK]
                 starts, raw = text_bytes(pa.array([own[i].lower() for i in block], pa.string()))

@@ -28,7 +28,7 @@ def labelled(documents):
 def test_texts_without_letters_and_clashing_columns(documents, labelled):
     model = langid.fit(labelled)
     assert model.languages == ["de", "en", "fr"]
-    texts = [None, *HARD, "der die und das haus", "the house and the street"]
+    texts = [None, *HARD, "½ Ⅻ ² 12", "der die und das haus", "the house and the street"]
     docs = documents([(i, t, "zz", "x") for i, t in enumerate(texts)], "doc_id bigint, text string, lang_pred string, lang string")
     found = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, model).collect()}
     assert len(found) == len(texts)
