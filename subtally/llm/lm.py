@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from subtally.llm.common import split_words, stored, texts, word_ids
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 # Kinds of documents: counted; counted, and the weights are learned on it; scored only.
 COUNTED, LEARNED_ON, SCORED = 0, 1, 2
 END, START = b" end", b" start"  # no word has a blank
