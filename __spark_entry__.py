@@ -23,6 +23,7 @@ from subtally.functions.numeric import finite  # noqa: E402
 from subtally.operators import history, ingest, quality  # noqa: E402
 from subtally.plans import analyses, dashboard, marts, revenue  # noqa: E402
 from subtally.plans.demo import Book  # noqa: E402
+from subtally.plans.staging import id_columns  # noqa: E402
 from subtally.session import prepare, shared_dir  # noqa: E402
 from subtally.sources import demo_billing, landing, state  # noqa: E402
 from subtally.sources.tables import save_mart  # noqa: E402
@@ -225,7 +226,8 @@ def payload(b: Book) -> DataFrame:
 def rules_of(kind: type, b: Book, *extra: quality.Rule, **more: DataFrame) -> DataFrame:
     rules = [r for r in quality.declared_rules() if isinstance(r, kind)]
     tables = b.tables(*{r.table for r in rules}, *{r.parent for r in rules if isinstance(r, quality.Relationship)})
-    return quality.check({**tables, **more}, [*rules, *extra])
+    raw = {name: b.raw(name) for name in landing.OBJECT_TYPES}
+    return quality.check({**tables, **more}, [*rules, *extra], id_columns(raw))
 
 
 def dq_unique(b: Book) -> DataFrame:

@@ -34,7 +34,7 @@ from subtally.operators.ingest import (
 )
 from subtally.operators.quality import check, dashboard_check, declared_rules, freshness
 from subtally.plans import analyses, dashboard, marts, revenue
-from subtally.plans.staging import ids, staging_views
+from subtally.plans.staging import id_columns, ids, staging_views
 from subtally.session import build_session
 from subtally.sources.landing import (
     OBJECT_TYPES,
@@ -168,7 +168,7 @@ def everything(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
 
 
 def check_all(spark: SparkSession, warehouse: str, **bounds) -> DataFrame:
-    return check(everything(spark, warehouse), declared_rules(**bounds))
+    return check(everything(spark, warehouse), declared_rules(**bounds), id_columns(raw_tables(spark, warehouse)))
 
 
 def export(spark: SparkSession, warehouse: str, at: datetime) -> DataFrame:

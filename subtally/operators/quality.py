@@ -122,8 +122,8 @@ def _repeated(frame: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _single(tables: dict[str, DataFrame], rule: Rule) -> DataFrame:
-    frame = tables[rule.table]
+def _single(tables: dict[str, DataFrame], rule: Rule, columns: dict[tuple[str, str], DataFrame]) -> DataFrame:
+    frame = columns.get((rule.table, rule.column), tables[rule.table])
     if isinstance(rule, Unique):
         counted = _repeated(frame, rule.column)
     elif isinstance(rule, OneCurrentRow):
@@ -147,15 +147,20 @@ def _single(tables: dict[str, DataFrame], rule: Rule) -> DataFrame:
     return counted.select(F.inline(F.array(_row(rule, F.col("n")))))
 
 
-def check(tables: dict[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
-    """One row (rule, table_name, column_name, n_failed, passed) per rule."""
+def check(
+    tables: dict[str, DataFrame], rules: Sequence[Rule], columns: dict[tuple[str, str], DataFrame] | None = None
+) -> DataFrame:
+    """One row (rule, table_name, column_name, n_failed, passed) per rule.
+
+    ``columns`` may hold, by table and column, a cheaper frame of that column alone for rules that need no more.
+    """
     rowwise: dict[str, list[Rule]] = {}
     parts = []
     for rule in rules:
         if hasattr(rule, "broken"):
             rowwise.setdefault(rule.table, []).append(rule)
         else:
-            parts.append(_single(tables, rule))
+            parts.append(_single(tables, rule, columns or {}))
     parts += [_rowwise(tables[name], group) for name, group in rowwise.items()]
     return reduce(DataFrame.unionByName, parts)
 

@@ -141,5 +141,11 @@ STAGING = {
 }
 
 
+def id_columns(raw: dict[str, DataFrame]) -> dict[tuple[str, str], DataFrame]:
+    """By view and key column: the keys of the views that keep every document, read without parsing any."""
+    keys = {"customers": "customer_id", "subscriptions": "subscription_id", "invoices": "invoice_id", "charges": "charge_id"}
+    return {(f"stg_{name}", key): ids(raw[name], key) for name, key in keys.items()}
+
+
 def staging_views(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: view(raw[source]) for name, (view, source) in STAGING.items()}
