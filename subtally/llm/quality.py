@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subtally.llm.common import split_words, text_bytes, texts, word_ids
+from subtally.llm.common import first_by_hash, split_words, text_bytes, texts, word_ids
 
 WINDOW = 5
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_marks", "n_letters")
@@ -228,8 +228,7 @@ class Verdict:
 
 def sample_rows(statistics: DataFrame, rows: int) -> np.ndarray:
     """Features of at most ``rows`` rows, those that come first by a hash of id and counts."""
-    order = F.xxhash64("doc_id", *COUNTS)
-    kept = statistics.select(*COUNTS, order.alias("_order")).orderBy("_order").limit(rows).toPandas()
+    kept = first_by_hash(statistics.select("doc_id", *COUNTS), rows, "doc_id", *COUNTS).toPandas()
     return features({c: kept[c].to_numpy() for c in COUNTS})
 
 
@@ -265,6 +264,19 @@ def fit(statistics: DataFrame, labels: DataFrame, sample: int = 8192, good_lost:
     return Verdict(forest, threshold_of(histogram, good_lost))
 
 
+def passing_rows(docs: DataFrame, verdict: Verdict) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns, in one pass without a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = statistics_of(texts(batch.column("text")))
+            failed = (found["n_words"] < 10) | (100 * found["n_repeat_words"] > 20 * found["n_words"])
+            score = verdict.forest.score(features(found)) if verdict.forest else np.zeros(len(failed))
+            yield batch.filter(pa.array(~failed & (score < verdict.threshold)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def judge(statistics: DataFrame, verdict: Verdict) -> DataFrame:
     """Adds ``score`` and ``kept``: false if the base rule failed or the score reaches the threshold."""
     return scored(statistics, verdict.forest).withColumn("kept", ~F.col("base_failed") & (F.col("score") < verdict.threshold))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from subtally.llm.common import stored
+from subtally.llm.common import first_by_hash, stored
 
 # Vectors of a tree and of a page; cells that the vectors are dealt to before trees are made; queries searched at once.
 TREE, PAGE, CELLS, BLOCK = 8192, 128, 512, 8192
@@ -117,7 +117,7 @@ def grow(rows: DataFrame, space: Space) -> DataFrame:
 
     Vectors go to the nearest of a bounded number of cells; a cell of any size is dealt over as many trees as it fills.
     """
-    seeds = rows.select("x").orderBy(F.xxhash64("id", "x")).limit(CELLS).toArrow().combine_chunks()
+    seeds = first_by_hash(rows, CELLS, "id", "x").select("x").toArrow().combine_chunks()
     column = seeds.column("x").combine_chunks() if seeds.num_rows else None
     cells = space.points(matrix(column, space.width) if column is not None else np.zeros((1, space.width)))
 
@@ -227,7 +227,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec
     space = Space(max(whole["width"], 1), unit, rows.agg(F.max(square)).first()[0])
     width = space.width
     trees = stored(grow(rows, space), "trees")
-    asked = rows.filter(F.col("id") % every == 0).select("id", "x").distinct()
+    asked = stored(rows.filter(F.col("id") % every == 0).select("id", "x").distinct(), "queries")
     blocks = max(1, -(-asked.count() // BLOCK))
     found = None
     for block in range(blocks):
