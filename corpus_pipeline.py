@@ -35,10 +35,9 @@ def unwrapped(rows: DataFrame, columns: list[str], changed: bool = False) -> Dat
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go. The forest and its threshold are fitted on what the stage is given."""
     own = wrapped(docs)
-    statistics = stored(quality.with_statistics(own, "_row", "doc_id"), "stage-quality")
+    statistics = stored(quality.with_statistics(own, "doc_id"), "stage-quality")
     verdict = quality.fit(statistics, table(spark, sf_dir, "labels"))
-    kept = quality.judge(statistics, verdict).filter("kept").select("_row")
-    return unwrapped(own.join(kept, "_row", "left_semi"), docs.columns)
+    return unwrapped(quality.passing_rows(own, verdict), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
