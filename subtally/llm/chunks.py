@@ -1,4 +1,4 @@
-"""Substring dedup by content-defined chunking: a gear rolling hash cuts texts, chunks are deduplicated by digest.
+"""Substring dedup by content-defined chunking: a gear rolling hash cuts texts, runs of chunks are deduplicated by digest.
 
 A cut depends on the sixteen bytes before it and on the cuts just before, so an insertion moves the chunks next to it
 only. Cuts lie at word starts (for scripts without blanks, at characters), never inside a word.
@@ -64,10 +64,33 @@ def cuts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([found, forced]))
 
 
-def chunk_rows(docs: DataFrame, row_id: str) -> DataFrame:
-    """(row, start, end, n_words, again, high, low): every chunk of every text with its 128-bit digest.
+def long_runs(edges: np.ndarray, ends: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of whole chunks of one text that are just long enough: (places in ``edges`` where they begin, where they end).
 
-    Start and end count characters; ``again`` marks a chunk whose like stands earlier in the same text.
+    From every chunk the shortest run on that has ``min_words`` words, and to every chunk the shortest one back. Runs
+    depend on their chunks only, and those within a longer run of chunks cover all of it. ``ends`` has for each chunk
+    the place where its text ends, ``words`` the words before each place.
+    """
+    n = len(edges) - 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.arange(n)
+    on = np.searchsorted(words, words[:-1] + min_words)
+    inside = on <= ends
+    last = np.arange(1, n + 1)
+    back = np.searchsorted(words, words[1:] - min_words, side="right") - 1
+    opening = np.concatenate([[0], np.flatnonzero(np.diff(ends)) + 1])  # first chunk of each text
+    begin = opening[np.searchsorted(opening, first, side="right") - 1]
+    fits = back >= begin
+    runs = np.unique(np.concatenate([first[inside] * (n + 1) + on[inside], back[fits] * (n + 1) + last[fits]]))
+    return runs // (n + 1), runs % (n + 1)
+
+
+def run_rows(docs: DataFrame, row_id: str, min_words: int) -> DataFrame:
+    """(row, start, end, word, n_words, again, high, low): every run of ``long_runs`` with its 128-bit digest.
+
+    Start and end count characters, ``word`` the words before; ``again`` marks a run whose like stands earlier in the
+    same text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,16 +98,17 @@ def chunk_rows(docs: DataFrame, row_id: str) -> DataFrame:
         for batch in batches:
             starts, raw = text_bytes(texts(batch.column("text")))
             edges = cuts(raw, starts)
-            begins = edges[:-1]
-            owner = np.searchsorted(starts, begins, side="right") - 1
+            owner = np.searchsorted(starts, edges[:-1], side="right") - 1
             characters = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
             blank = BLANK[raw]
             first_of_text = np.zeros(len(raw), bool)
             first_of_text[starts[:-1][np.diff(starts) > 0]] = True
             opens = ~blank & (np.concatenate([[True], blank[:-1]])[: len(raw)] | first_of_text)
             words = np.concatenate([[0], np.cumsum(opens)])
-            whole, places = raw.tobytes(), edges.tolist()
-            names = [digest(whole[a:b]) for a, b in zip(places[:-1], places[1:], strict=True)]
+            ends = np.searchsorted(edges, starts[owner + 1])
+            left, right = long_runs(edges, ends, words[edges], min_words)
+            whole, begins, stops, owner = raw.tobytes(), edges[left], edges[right], owner[left]
+            names = [digest(whole[a:b]) for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]
             seen: set[bytes] = set()
             again, last = [], -1
             for name, text in zip(names, owner.tolist(), strict=True):
@@ -98,38 +122,38 @@ def chunk_rows(docs: DataFrame, row_id: str) -> DataFrame:
                 [
                     batch.column("row").take(pa.array(owner)),
                     pa.array((characters[begins] - base).astype(np.int32)),
-                    pa.array((characters[edges[1:]] - base).astype(np.int32)),
-                    pa.array((words[edges[1:]] - words[begins]).astype(np.int32)),
+                    pa.array((characters[stops] - base).astype(np.int32)),
+                    pa.array((words[begins] - words[starts[owner]]).astype(np.int32)),
+                    pa.array((words[stops] - words[begins]).astype(np.int32)),
                     pa.array(again, pa.bool_()),
                     pa.array(halves[:, 0]),
                     pa.array(halves[:, 1]),
                 ],
-                ["row", "start", "end", "n_words", "again", "high", "low"],
+                ["row", "start", "end", "word", "n_words", "again", "high", "low"],
             )
 
-    schema = "row bigint, start int, end int, n_words int, again boolean, high bigint, low bigint"
+    schema = "row bigint, start int, end int, word int, n_words int, again boolean, high bigint, low bigint"
     return docs.select(F.col(row_id).alias("row"), "text").mapInArrow(run, schema)
 
 
 def repeats(docs: DataFrame, row_id: str, min_words: int = 16) -> DataFrame:
-    """(row, start, end, n_words, first_row): stretches of a text whose chunks all stand earlier, in characters.
+    """(row, start, end, n_words, first_row): stretches of a text that stand earlier, in characters.
 
-    Of equal chunks the one in the smallest row and there the first stays. Neighbouring repeated chunks form one
-    stretch; those of fewer than ``min_words`` words are chance or boilerplate too short to cut, and left out.
-    ``first_row`` has the text that keeps the first of the stretch's chunks. ``row_id`` is a long that is unique in a
-    stored table; null and empty texts have no chunk.
+    A run of neighbouring chunks with at least ``min_words`` words repeats if it stands as one run in a smaller row or
+    before in the same one; what is shorter is chance or boilerplate too short to cut. Of equal runs the one in the
+    smallest row and there the first stays. Overlapping runs form one stretch, whose ``first_row`` has the text that
+    keeps its first run. ``row_id`` is a long that is unique in a stored table; null and empty texts have no chunk.
     """
-    chunks = chunk_rows(docs, row_id)
-    known = chunks.groupBy("high", "low").agg(F.min("row").alias("first_row"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    found = chunks.join(known, ["high", "low"]).filter("again OR row <> first_row")
-    order = Window.partitionBy("row").orderBy("start")
-    fresh = F.when(F.lag("end").over(order) == F.col("start"), 0).otherwise(1)
-    stretches = found.withColumn("fresh", fresh).withColumn("stretch", F.sum("fresh").over(order)).groupBy("row", "stretch")
-    return (
-        stretches.agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").cast("int").alias("n_words"), F.min_by("first_row", "start").alias("first_row"))
-        .filter(F.col("n_words") >= min_words)
-        .drop("stretch")
-    )
+    runs = run_rows(docs, row_id, min_words)
+    known = runs.groupBy("high", "low").agg(F.min("row").alias("first_row"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    found = runs.join(known, ["high", "low"]).filter("again OR row <> first_row")
+    order = Window.partitionBy("row").orderBy("start", "end")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.when(F.max("end").over(before) > F.col("start"), 0).otherwise(1)
+    stretches = found.withColumn("fresh", fresh).withColumn("stretch", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    words = (F.max(F.col("word") + F.col("n_words")) - F.min("word")).alias("n_words")
+    ends = (F.min("start").alias("start"), F.max("end").alias("end"))
+    return stretches.groupBy("row", "stretch").agg(*ends, words, F.min_by("first_row", F.struct("start", "end")).alias("first_row")).drop("stretch")
 
 
 def cut_out(docs: DataFrame, spans: DataFrame, row_id: str) -> DataFrame:

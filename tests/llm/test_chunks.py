@@ -75,5 +75,26 @@ def test_what_is_cut_stands_elsewhere(documents):
             assert left[50 + i, "x"] == text
 
 
+def test_phrases_of_different_documents_do_not_make_up_a_passage(documents):
+    parts = [pieces(prose(300 + k, 200, 10**6)) for k in range(12)]
+    phrases = [next(p for p in part[3:] if 4 <= len(p.split()) <= 9).decode() for part in parts]
+    stitched = "".join(phrases)
+    assert len(stitched.split()) >= 48
+    rows = [(k, b"".join(part).decode(), "x") for k, part in enumerate(parts)]
+    # Neighbours stand together in pairs as well, but never 16 words of them.
+    rows += [(100 + k, f"{prose(700 + k, 40, 10**6)}\n{a}{b}\n{prose(800 + k, 40, 10**6)}", "x") for k, (a, b) in enumerate(zip(phrases, phrases[1:], strict=False)) if len((a + b).split()) < 16]
+    assert spans(documents, [*rows, (1000, f"{prose(950, 60, 10**6)} {stitched}{prose(951, 60, 10**6)}", "x")]) == []
+
+
+def test_runs_cover_a_passage_from_its_first_whole_chunk_to_its_last(documents):
+    passage = prose(41, 150, 10**6)
+    texts = [f"{prose(950 + k, 90, 10**6)} {passage} {prose(960 + k, 90, 10**6)}" for k in range(2)]
+    own, other = (pieces(t) for t in texts)
+    common = [p for p in own if p in set(other)]
+    [found] = spans(documents, [(k, t, "x") for k, t in enumerate(texts)])
+    assert texts[found.doc_id][found.start : found.end].encode() == b"".join(common)
+    assert found.n_words == len(b"".join(common).split())
+
+
 def test_empty_table(documents):
     assert spans(documents, []) == []
