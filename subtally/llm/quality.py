@@ -131,6 +131,9 @@ def features(counts: dict[str, np.ndarray]) -> np.ndarray:
     )
 
 
+N_FEATURES = 6
+
+
 def average_path(n: np.ndarray | float) -> np.ndarray:
     """Mean path length of an unsuccessful search among n, the unit of path lengths."""
     n = np.asarray(n, float)
@@ -226,6 +229,24 @@ class Verdict:
     threshold: float
 
 
+def box_of(statistics: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """The least and the greatest of each feature over all rows; None if there are none. Six pairs reach the driver."""
+    names = [f"f{k}" for k in range(N_FEATURES)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = np.full(N_FEATURES, np.inf), np.full(N_FEATURES, -np.inf)
+        for batch in batches:
+            if batch.num_rows:
+                x = features({c: batch.column(c).to_numpy() for c in COUNTS})
+                low, high = np.minimum(low, x.min(0)), np.maximum(high, x.max(0))
+        if (low <= high).all():
+            yield pa.RecordBatch.from_arrays([pa.array([a, b]) for a, b in zip(low, high, strict=True)], names)
+
+    found = statistics.select(*COUNTS).mapInArrow(run, ", ".join(f"{c} double" for c in names))
+    [row] = found.agg(*(F.min(c) for c in names), *(F.max(c) for c in names)).collect()
+    return None if row[0] is None else (np.array(row[:N_FEATURES]), np.array(row[N_FEATURES:]))
+
+
 def sample_rows(statistics: DataFrame, rows: int) -> np.ndarray:
     """Features of at most ``rows`` rows, those that come first by a hash of id and counts."""
     kept = first_by_hash(statistics.select("doc_id", *COUNTS), rows, "doc_id", *COUNTS).toPandas()
@@ -248,14 +269,14 @@ def fit(statistics: DataFrame, labels: DataFrame, sample: int = 8192, good_lost:
     """A forest on a bounded sample of the rows that pass the base rule, and its threshold from all labelled rows.
 
     ``statistics`` has doc_id and the counts; ``labels`` doc_id and quality (1 good, 0 bad; others and nulls are left
-    out). Trees see rows labelled good, or any where there are none; their box is that of all rows of a sample. Among
-    equal or repeated ids every pair counts. Without labels nothing is rejected.
+    out). Trees see rows labelled good, or any where there are none; their box is that of all rows that pass. Among equal
+    or repeated ids every pair counts. Without labels nothing is rejected.
     """
     passing = statistics.filter(~F.col("base_failed"))
     known = labels.filter(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality"))
     labelled = passing.join(known, "doc_id")
-    every, good = sample_rows(passing, sample), sample_rows(labelled.filter("quality = 1"), sample)
-    forest = grow(good if len(good) else every, every.min(0), every.max(0)) if len(every) else None
+    box, good = box_of(passing), sample_rows(labelled.filter("quality = 1"), sample)
+    forest = grow(good if len(good) else sample_rows(passing, sample), *box) if box else None
     rows = scored(labelled.select("quality", *COUNTS), forest)
     bins = rows.groupBy("quality", F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")).count()
     histogram = np.zeros((2, BINS))

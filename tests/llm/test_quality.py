@@ -57,6 +57,19 @@ def test_the_forest_rejects_what_labels_call_bad(spark, corpus):
     assert sum(kept[i] for i in range(150)) >= 147
 
 
+def test_a_bad_kind_outside_the_sample_spans_the_box(spark, documents):
+    plain = [(i, prose(i, 60 + i % 40)) for i in range(300)]
+    rare = [(1000 + i, " ".join(w[0] + "|" + w[2:] for w in prose(2000 + i, 70).split())) for i in range(2)]  # differ in symbols only
+    statistics = quality.with_statistics(documents([*plain, *rare]), "doc_id").filter("NOT base_failed").localCheckpoint()
+    labels = spark.createDataFrame([(i, 1) for i in range(300)] + [(1000, 0), (1001, 0)], "doc_id bigint, quality int")
+    every = quality.features({c: np.array([r[c] for r in statistics.collect()]) for c in quality.COUNTS})
+    low, high = quality.box_of(statistics)
+    assert (low == every.min(0)).all() and (high == every.max(0)).all()
+    kept = {r.doc_id: r.kept for r in quality.judge(statistics, quality.fit(statistics, labels, sample=20)).collect()}
+    assert {1000, 1001} <= set(kept) and not kept[1000] and not kept[1001]
+    assert sum(kept[i] for i in range(300)) >= 297
+
+
 def test_without_labels_only_the_base_rule_rejects(spark, corpus):
     labels = spark.createDataFrame([], "doc_id bigint, quality int")
     statistics = quality.with_statistics(corpus, "doc_id")
