@@ -12,14 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subtally.llm import chunks, packing, quality, secrets, simhash
-from subtally.llm.common import prepared, stored, table
+from subtally.llm.common import numbered, prepared, stored, table
 from subtally.llm.queries import tokenizer
 from subtally.session import shared_dir
 
 def wrapped(docs: DataFrame) -> DataFrame:
-    """(_doc, doc_id, text, _row): the other columns in one struct, so that no name of theirs clashes with a stage's."""
+    """(_doc, doc_id, text): the other columns in one struct, so that no name of theirs clashes with a stage's."""
     others = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"))
-    return docs.select(others.alias("_doc"), "doc_id", "text", F.monotonically_increasing_id().alias("_row"))
+    return docs.select(others.alias("_doc"), "doc_id", "text")
 
 
 def unwrapped(rows: DataFrame, columns: list[str], changed: bool = False) -> DataFrame:
@@ -42,7 +42,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays, and of rows that share it the first."""
-    own = wrapped(docs)
+    own = numbered(wrapped(docs))
     prints = stored(simhash.fingerprints(own, "_row", "doc_id"), "stage-prints")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")
     groups = simhash.near_duplicates(prints, by_root=True).groupBy("root")
@@ -52,7 +52,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that stand in an earlier document, or earlier in the same one, are cut out of the text."""
-    own = wrapped(docs)
+    own = numbered(wrapped(docs))
     spans = stored(chunks.repeats(own, "_row"), "stage-repeats")
     return unwrapped(chunks.cut_out(own, spans, "_row"), docs.columns, changed=True)
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subtally.llm.common import stored, text_bytes, texts
+from subtally.llm.common import numbered, stored, text_bytes, texts
 
 WINDOW = 16  # bytes that the 16-bit rolling hash sees
 RARITY = 2  # a word start is a cut where so many upper bits of the hash are zero: one in four
@@ -181,10 +181,10 @@ def cut_out(docs: DataFrame, spans: DataFrame, row_id: str) -> DataFrame:
 def repeated_passages(docs: DataFrame, min_words: int = 16) -> DataFrame:
     """(doc_id, start, end, n_words, first_doc_id) of every stretch that ``repeats`` finds.
 
-    Other columns are left out; a null doc_id stays null. ``docs`` must be a stored table, so that its rows are
-    numbered alike whenever it is read.
+    Other columns are left out; a null doc_id stays null. Rows are named by file and place in it, so ``docs`` should be a
+    stored table; another one is stored first.
     """
-    own = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row"))
+    own = numbered(docs).select("doc_id", "text", "_row")
     spans = stored(repeats(own, "_row", min_words), "repeats")
     ids = own.select(F.col("_row"), "doc_id")
     return (

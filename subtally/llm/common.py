@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,27 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+FILE_ROWS = 1 << 40  # more than a file has
+
+
+def numbered(docs: DataFrame, name: str = "_row") -> DataFrame:
+    """The rows with a long that is unique and the same whenever the files are read, however they are split.
+
+    It is the file's number in the order of paths and the row's place in the file. What isn't read from files that tell
+    these is stored first. The driver sees one row a file.
+    """
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+    except AnalysisException:
+        docs = stored(docs, "numbered")
+    place = docs.metadataColumn("_metadata")
+    files = sorted(r[0] for r in docs.select(place["file_path"].alias("file")).distinct().collect())
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(files)), "_number bigint, _file string")
+    placed = docs.select("*", place["file_path"].alias("_path"), place["row_index"].alias("_place"))
+    joined = placed.join(F.broadcast(numbers), F.col("_path") == F.col("_file"))
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), (F.col("_number") * FILE_ROWS + F.col("_place")).alias(name))
+
+
 def id_crc(column: str = "doc_id") -> Column:
     """crc32 of the id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))

@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from subtally.llm import quality
+from subtally.llm.common import numbered
 from tests.llm.test_secrets import KINDS
 from tests.llm.test_simhash import brute_components, brute_print
 from tests.llm.texts import HARD, prose
@@ -141,3 +142,25 @@ def test_empty_tables(spark, tmp_path, sf):
 def test_no_labels_and_only_odd_rows(spark, sf):
     root = sf([row(None, None), row(1, ""), row(1, ""), row(2, "\n \t"), row(None, None)], [])
     assert corpus_pipeline.run(spark, root).count() == 0  # all fail the base rule
+
+
+def test_row_names_do_not_depend_on_how_files_are_split(spark, tmp_path):
+    path = str(tmp_path / "split")
+    rows = [(i, prose(i, 300, 10**6)) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.option("parquet.block.size", 1 << 16).parquet(path)
+    seen = []
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("32k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found = numbered(corpus_pipeline.wrapped(spark.read.parquet(path)))
+            seen.append((found.rdd.getNumPartitions(), {r.doc_id: r._row for r in found.select("doc_id", "_row").collect()}))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert seen[0][0] > seen[1][0] and seen[0][1] == seen[1][1]
+    assert len(set(seen[0][1].values())) == len(rows)
+
+
+def test_what_is_not_read_from_files_is_stored_before_it_is_numbered(spark):
+    found = numbered(spark.range(50).selectExpr("id AS doc_id", "uuid() AS text"))
+    assert found.collect() == found.collect() and found.select("_row").distinct().count() == 50
