@@ -6,6 +6,7 @@ only. Cuts lie at word starts (for scripts without blanks, at characters), never
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,35 @@ GEAR = np.random.default_rng(20240229).integers(0, 1 << 16, 256, np.uint16)
 BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 # Lead bytes of the scripts written without blanks (from U+3000) and of everything beyond the basic plane.
 WIDE = np.arange(256) >= 0xE3
+# Without blanks characters stand for words: UNIT is one, an ideograph one, kana half of one, and a quarter each letter
+# of Thai, Lao, Tibetan, Burmese and Khmer (by code point, without the marks above and below).
+UNIT = 4
+SIZE = np.select([np.arange(256) == 0xE3, (np.arange(256) >= 0xE4) & (np.arange(256) <= 0xE9)], [2, UNIT], 0)
+LETTERS = np.zeros(0x2000, bool)
+LETTERS[[c for c in (*range(0xE00, 0x10A0), *range(0x1780, 0x1800)) if unicodedata.category(chr(c))[0] == "L"]] = True
+WORD_BYTES = 16  # so many bytes for each word asked for are long as well, whatever they are made of
+
+
+def loose_letters(raw: np.ndarray) -> np.ndarray:
+    """Marks the first byte of each character in LETTERS."""
+    at = np.flatnonzero((raw == 0xE0) | (raw == 0xE1))
+    code = (raw[at].astype(np.int64) & 0xF) << 12
+    for k in (1, 2):
+        code |= (raw[at + k].astype(np.int64) & 0x3F) << 6 * (2 - k)
+    found = np.zeros(len(raw), bool)
+    found[at] = LETTERS[code]
+    return found
+
+
+def sizes(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Words before every byte and before the end, in units of a quarter: a word counts where it starts."""
+    blank = BLANK[raw]
+    first_of_text = np.zeros(len(raw), bool)
+    first_of_text[starts[:-1][np.diff(starts) > 0]] = True
+    opens = ~blank & (np.concatenate([[True], blank[:-1]])[: len(raw)] | first_of_text)
+    own = np.maximum(SIZE[raw], loose_letters(raw))
+    own[:-1][(raw[:-1] == 0xF0) & (raw[1:] >= 0xA0)] = UNIT  # the rarer ideographs
+    return np.concatenate([[0], np.cumsum(np.maximum(own, UNIT * opens))])
 
 
 def rolling_hash(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -46,7 +76,7 @@ def cuts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return np.unique(starts)
     blank = BLANK[raw]
     opens = np.zeros(len(raw), bool)
-    opens[1:] = (blank[:-1] & ~blank[1:]) | WIDE[raw[1:]]
+    opens[1:] = (blank[:-1] & ~blank[1:]) | WIDE[raw[1:]] | loose_letters(raw)[1:]
     chosen = np.zeros(len(raw), bool)
     chosen[1:] = opens[1:] & (rolling_hash(raw, starts)[:-1] >> np.uint16(16 - RARITY) == 0)
     found = np.unique(np.concatenate([np.flatnonzero(chosen), starts]))
@@ -67,18 +97,19 @@ def cuts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
 def long_runs(edges: np.ndarray, ends: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     """Runs of whole chunks of one text that are just long enough: (places in ``edges`` where they begin, where they end).
 
-    From every chunk the shortest run on that has ``min_words`` words, and to every chunk the shortest one back. Runs
-    depend on their chunks only, and those within a longer run of chunks cover all of it. ``ends`` has for each chunk
-    the place where its text ends, ``words`` the words before each place.
+    From every chunk the shortest run on that has ``min_words`` words or WORD_BYTES times as many bytes, and to every
+    chunk the shortest one back. Runs depend on their chunks only, and those within a longer run of chunks cover all of
+    it. ``ends`` has for each chunk the place where its text ends, ``words`` what ``sizes`` counts before each place.
     """
     n = len(edges) - 1
     if n < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     first = np.arange(n)
-    on = np.searchsorted(words, words[:-1] + min_words)
+    measures = ((words, UNIT * min_words), (edges, WORD_BYTES * min_words))
+    on = np.min([np.searchsorted(m, m[:-1] + least) for m, least in measures], axis=0)
     inside = on <= ends
     last = np.arange(1, n + 1)
-    back = np.searchsorted(words, words[1:] - min_words, side="right") - 1
+    back = np.max([np.searchsorted(m, m[1:] - least, side="right") - 1 for m, least in measures], axis=0)
     opening = np.concatenate([[0], np.flatnonzero(np.diff(ends)) + 1])  # first chunk of each text
     begin = opening[np.searchsorted(opening, first, side="right") - 1]
     fits = back >= begin
@@ -89,7 +120,7 @@ def long_runs(edges: np.ndarray, ends: np.ndarray, words: np.ndarray, min_words:
 def run_rows(docs: DataFrame, row_id: str, min_words: int) -> DataFrame:
     """(row, start, end, word, n_words, again, high, low): every run of ``long_runs`` with its 128-bit digest.
 
-    Start and end count characters, ``word`` the words before; ``again`` marks a run whose like stands earlier in the
+    Start and end count characters, ``word`` the words before, these and n_words in units; ``again`` marks a run whose like stands earlier in the
     same text.
     """
 
@@ -100,11 +131,7 @@ def run_rows(docs: DataFrame, row_id: str, min_words: int) -> DataFrame:
             edges = cuts(raw, starts)
             owner = np.searchsorted(starts, edges[:-1], side="right") - 1
             characters = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-            blank = BLANK[raw]
-            first_of_text = np.zeros(len(raw), bool)
-            first_of_text[starts[:-1][np.diff(starts) > 0]] = True
-            opens = ~blank & (np.concatenate([[True], blank[:-1]])[: len(raw)] | first_of_text)
-            words = np.concatenate([[0], np.cumsum(opens)])
+            words = sizes(raw, starts)
             ends = np.searchsorted(edges, starts[owner + 1])
             left, right = long_runs(edges, ends, words[edges], min_words)
             whole, begins, stops, owner = raw.tobytes(), edges[left], edges[right], owner[left]
@@ -139,7 +166,7 @@ def run_rows(docs: DataFrame, row_id: str, min_words: int) -> DataFrame:
 def repeats(docs: DataFrame, row_id: str, min_words: int = 16) -> DataFrame:
     """(row, start, end, n_words, first_row): stretches of a text that stand earlier, in characters.
 
-    A run of neighbouring chunks with at least ``min_words`` words repeats if it stands as one run in a smaller row or
+    A run of neighbouring chunks with at least ``min_words`` words (see UNIT) or sixteen times as many bytes repeats if it stands as one run in a smaller row or
     before in the same one; what is shorter is chance or boilerplate too short to cut. Of equal runs the one in the
     smallest row and there the first stays. Overlapping runs form one stretch, whose ``first_row`` has the text that
     keeps its first run. ``row_id`` is a long that is unique in a stored table; null and empty texts have no chunk.
@@ -151,7 +178,7 @@ def repeats(docs: DataFrame, row_id: str, min_words: int = 16) -> DataFrame:
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     fresh = F.when(F.max("end").over(before) > F.col("start"), 0).otherwise(1)
     stretches = found.withColumn("fresh", fresh).withColumn("stretch", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    words = (F.max(F.col("word") + F.col("n_words")) - F.min("word")).alias("n_words")
+    words = F.expr(f"CAST((max(word + n_words) - min(word)) DIV {UNIT} AS INT)").alias("n_words")
     ends = (F.min("start").alias("start"), F.max("end").alias("end"))
     return stretches.groupBy("row", "stretch").agg(*ends, words, F.min_by("first_row", F.struct("start", "end")).alias("first_row")).drop("stretch")
 

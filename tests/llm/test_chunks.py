@@ -96,5 +96,28 @@ def test_runs_cover_a_passage_from_its_first_whole_chunk_to_its_last(documents):
     assert found.n_words == len(b"".join(common).split())
 
 
+def letters(seed, n, first, last):
+    rng = np.random.default_rng(seed)
+    return "".join(chr(c) for c in rng.integers(first, last, n))
+
+
+def test_passages_without_blanks_are_caught(documents):
+    scripts = {"japanese": (0x3041, 0x3097), "chinese": (0x4E00, 0x9FA0), "thai": (0xE01, 0xE2F), "lao": (0xE94, 0xE98), "latin": (0x61, 0x7B)}
+    rows, want = [], {}
+    for k, (script, span) in enumerate(scripts.items()):
+        n = 300
+        passage = letters(k, n, *span)
+        copies = [passage, passage] if script == "latin" else [f"{letters(50 + 2 * k + i, 200, *span)}{passage}{letters(90 + 2 * k + i, 200, *span)}" for i in range(2)]
+        rows += [(10 * k + i, text, "x") for i, text in enumerate(copies)]
+        want[k] = passage
+    texts = {i: t for i, t, _ in rows}
+    found = spans(documents, rows)
+    assert sorted(r.doc_id // 10 for r in found) == sorted(want)
+    for r in found:
+        cut = texts[r.doc_id][r.start : r.end]
+        assert cut in want[r.doc_id // 10] and len(cut) >= 200 and r.first_doc_id // 10 == r.doc_id // 10
+    assert spans(lambda rows, schema: documents(rows, schema, "clean"), [(k, letters(700 + k, 900, *s), "x") for k, s in enumerate([*scripts.values()] * 2)]) == []
+
+
 def test_empty_table(documents):
     assert spans(documents, []) == []
