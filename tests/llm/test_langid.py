@@ -60,3 +60,11 @@ def test_without_labels_everything_is_undetermined(documents):
     assert langid.fit(docs) is None
     assert [tuple(r) for r in langid.identify(docs, None).collect()] == [(1, "und", 0.0)]
     assert langid.identify(docs.limit(0), None).count() == 0
+
+
+def test_a_repeated_id_takes_one_place_of_the_sample(documents):
+    rows = [(7, f"the same house {k}", "en") for k in range(300)] + [(1000 + k, f"a house of number {k}", "en") for k in range(600)]
+    docs = documents(rows, "doc_id bigint, text string, lang string", "repeated")
+    for most in (10, 600, 601):  # whether the repeated id is among the first or not
+        grams = langid.training_grams(docs, langid.Sample(per_language=most, most_texts=most)).collect()
+        assert sorted(r.place for r in grams) == list(range(1, most + 1))
