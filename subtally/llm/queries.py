@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtally.llm import chunks, langid, lm, packing, pieces, quality, secrets, simhash, topk, urls
+from subtally.llm import chat, chunks, langid, lm, packing, pieces, quality, secrets, simhash, topk, urls
 from subtally.llm.common import id_crc, stored, table
 from subtally.session import shared_dir
 
@@ -133,6 +133,40 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# The conversation that the contract adds to the table.
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], rows.schema)
+    found = chat.read_back(chat.format_replies(chat.as_replies(rows.unionByName(probe))))
+    return found.select(F.col("tree").alias("conv_id"), *chat.digest_columns(found))
+
+
+def op13_sql() -> str:
+    def escaped(column: str) -> str:
+        text = f"replace({column}, '\\', '\\\\')"
+        for mark in (chat.BEGIN, chat.END, chat.OPEN, chat.CLOSE):
+            text = f"replace({text}, '{mark}', '{mark[0]}\\{mark[1:]}')"
+        return text
+
+    marks = len(chat.OPEN + chat.CLOSE + chat.END)
+    return f"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role IS NULL AS r, text IS NULL AS t FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '{PROBE}', false, false
+    UNION ALL SELECT -1, 1, 'assistant', '{PROBE}', false, false
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, r, role, t, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, t, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST({len(chat.BEGIN)} + sum({marks} + length({escaped("role")}) + length({escaped("text")})) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
 def queries() -> dict[str, Query]:
     named = {
         "op1_language_id": op1_language_id,
@@ -145,6 +179,7 @@ def queries() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_secret_scans": op9_secret_scans,
         "op10_simhash": op10_simhash,
+        "op13_chat_formatting": op13_chat_formatting,
     }
     if importlib.util.find_spec("corpus_pipeline"):
         import corpus_pipeline
@@ -154,4 +189,4 @@ def queries() -> dict[str, Query]:
 
 
 def statements() -> dict[str, str]:
-    return {"op6_top_k": OP6_SQL, "op9_secret_scans": op9_sql()}
+    return {"op6_top_k": OP6_SQL, "op9_secret_scans": op9_sql(), "op13_chat_formatting": op13_sql()}

@@ -21,6 +21,7 @@ COLUMNS = {
     8: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     9: "doc_id n_assign n_access n_hex base_sha256 spans",
     10: "doc_id fingerprint component_id",
+    13: "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
 }
 
 
@@ -42,7 +43,7 @@ def test_columns(spark, sf_dir, number):
 @pytest.mark.parametrize("name", sorted(queries.statements()))
 def test_queries_match_their_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     frame = queries.queries()[name](spark, sf_dir)
     columns = sorted(frame.columns)
@@ -54,7 +55,7 @@ def test_queries_match_their_sql(spark, sf_dir, name):
 
 
 def test_native_operators_run_no_python(spark, sf_dir):
-    for name in ("op4_url_filters", "op9_secret_scans"):
+    for name in ("op4_url_filters", "op9_secret_scans", "op13_chat_formatting"):
         plan = queries.queries()[name](spark, sf_dir)
         text = plan._jdf.queryExecution().toString()
         assert not re.search("Python|Pandas|Arrow", text)
