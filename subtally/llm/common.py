@@ -113,9 +113,9 @@ def blank_parts(text: pa.Array) -> tuple[np.ndarray, pa.Array, list[str]]:
     return bounds, coded.indices, coded.dictionary.to_numpy(zero_copy_only=False).tolist()
 
 
-def joined(values: list[bytes], numbers: pa.Array, bounds: np.ndarray) -> tuple[memoryview, np.ndarray]:
+def joined(values: list[bytes] | pa.Array, numbers: pa.Array, bounds: np.ndarray) -> tuple[memoryview, np.ndarray]:
     """The values at the given numbers in one buffer, and where each text's values start in it (one entry more)."""
-    taken = pa.array(values, pa.large_binary()).take(numbers)
+    taken = (values if isinstance(values, pa.Array) else pa.array(values, pa.large_binary())).take(numbers)
     _, offsets, data = taken.buffers()
     starts = np.frombuffer(offsets, np.int64, len(taken) + 1, taken.offset * 8)
     return memoryview(data if data is not None else b""), starts[bounds]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtally.llm import chat, chunks, langid, lm, packing, pieces, quality, secrets, simhash, topk, urls
+from subtally.llm import alignment, chat, chunks, langid, lm, packing, pieces, quality, secrets, simhash, topk, urls
 from subtally.llm.common import id_crc, stored, table
 from subtally.session import shared_dir
 
@@ -133,6 +133,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.aligned_documents(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")).drop("groups")
+
+
 # The conversation that the contract adds to the table.
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -179,6 +184,7 @@ def queries() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_secret_scans": op9_secret_scans,
         "op10_simhash": op10_simhash,
+        "op11_tokenizer_alignment": op11_tokenizer_alignment,
         "op13_chat_formatting": op13_chat_formatting,
     }
     if importlib.util.find_spec("corpus_pipeline"):

@@ -21,6 +21,7 @@ COLUMNS = {
     8: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     9: "doc_id n_assign n_access n_hex base_sha256 spans",
     10: "doc_id fingerprint component_id",
+    11: "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
     13: "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
 }
 
