@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtally.llm import alignment, chat, chunks, langid, lm, packing, pieces, quality, secrets, simhash, topk, urls
+from subtally.llm import alignment, chat, chunks, langid, lexical, lm, packing, pieces, quality, secrets, simhash, topk, urls
 from subtally.llm.common import id_crc, stored, table
 from subtally.session import shared_dir
 
@@ -138,6 +138,40 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned_documents(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")).drop("groups")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_sql() -> str:
+    def terms(name: str, key: str) -> str:
+        lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return f"""
+    SELECT {key}, unnest(regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM {name}"""
+
+    return f"""
+WITH d AS (SELECT doc_id, text, row_number() OVER () AS doc FROM documents),
+b AS (SELECT item_id, text, row_number() OVER () AS item FROM benchmark),
+dt AS ({terms("d", "doc")}),
+bt AS (SELECT DISTINCT item, term FROM ({terms("b", "item")})),
+sizes AS (SELECT doc, count(*) AS n FROM dt GROUP BY doc),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+tf AS (SELECT doc, term, count(*) AS tf FROM dt WHERE term IN (SELECT term FROM bt) GROUP BY doc, term),
+w AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM tf, totals GROUP BY term
+),
+scored AS (
+    SELECT item, doc, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+    FROM bt JOIN tf USING (term) JOIN w USING (term) JOIN sizes USING (doc), totals GROUP BY item, doc
+),
+ranked AS (
+    SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM scored JOIN d USING (doc) JOIN b USING (item) WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 # The conversation that the contract adds to the table.
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -185,6 +219,7 @@ def queries() -> dict[str, Query]:
         "op9_secret_scans": op9_secret_scans,
         "op10_simhash": op10_simhash,
         "op11_tokenizer_alignment": op11_tokenizer_alignment,
+        "op12_lexical_search": op12_lexical_search,
         "op13_chat_formatting": op13_chat_formatting,
     }
     if importlib.util.find_spec("corpus_pipeline"):
@@ -195,4 +230,9 @@ def queries() -> dict[str, Query]:
 
 
 def statements() -> dict[str, str]:
-    return {"op6_top_k": OP6_SQL, "op9_secret_scans": op9_sql(), "op13_chat_formatting": op13_sql()}
+    return {
+        "op6_top_k": OP6_SQL,
+        "op9_secret_scans": op9_sql(),
+        "op12_lexical_search": op12_sql(),
+        "op13_chat_formatting": op13_sql(),
+    }

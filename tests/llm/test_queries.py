@@ -22,6 +22,7 @@ COLUMNS = {
     9: "doc_id n_assign n_access n_hex base_sha256 spans",
     10: "doc_id fingerprint component_id",
     11: "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    12: "item_id rank doc_id score",
     13: "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
 }
 
@@ -44,7 +45,7 @@ def test_columns(spark, sf_dir, number):
 @pytest.mark.parametrize("name", sorted(queries.statements()))
 def test_queries_match_their_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "conversations"):
+    for table in ("documents", "embeddings", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     frame = queries.queries()[name](spark, sf_dir)
     columns = sorted(frame.columns)
