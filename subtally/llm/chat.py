@@ -55,27 +55,30 @@ def messages(replies: DataFrame) -> DataFrame:
     return own.filter("node IS NOT NULL").groupBy("tree", "node").agg(least).select("tree", "node", "_m.*")
 
 
-def jumps(nodes: DataFrame) -> list[DataFrame]:
-    """Table j holds (tree, node, up, steps, total): the ancestor 2**j steps up, null above the root; how many messages lie
-    from the node to below that ancestor and their scores' sum.
+def jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """The tables of jumps, and (tree, node, steps, total) of every node that a root is above: messages on the way down to it
+    and their scores' sum.
 
-    A parent that isn't in the tree counts as none. Nodes on a cycle, and below one, never reach a root: the number of
-    rounds is bounded by the size of the largest tree, and their ``up`` is still there in the last table.
+    Table j holds (tree, node, up, steps, total) where there is an ancestor 2**j steps up. Only its rows go on into the
+    next round. A parent that isn't in the tree counts as none. Nodes on a cycle, and below one, never reach a root; the
+    size of the largest tree bounds the number of rounds for them.
     """
     same = F.col("tree").eqNullSafe(F.col("_tree")) & (F.col("up") == F.col("_node"))
     known = nodes.selectExpr("tree AS _tree", "node AS _node")
     first = nodes.selectExpr("tree", "node", "parent AS up", "1L AS steps", "score AS total").join(known, same, "left")
-    tables = [stored(first.selectExpr("tree", "node", "_node AS up", "steps", "total"), "replies")]
+    step = stored(first.selectExpr("tree", "node", "_node AS up", "steps", "total"), "replies")
     largest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    tables, done = [], step.filter("up IS NULL")
     for _ in range(largest.bit_length()):
-        last = tables[-1]
-        if last.filter("up IS NOT NULL").isEmpty():
+        going = step.filter("up IS NOT NULL")
+        if going.isEmpty():
             break
-        further = last.selectExpr("tree AS _tree", "node AS _node", "up AS _up", "steps AS _steps", "total AS _total")
-        doubled = last.join(further, same, "left")
-        sums = ("steps + coalesce(_steps, 0L) AS steps", "total + coalesce(_total, 0D) AS total")
-        tables.append(stored(doubled.selectExpr("tree", "node", "_up AS up", *sums), "replies"))
-    return tables
+        tables.append(going)
+        further = going.unionByName(done).selectExpr("tree AS _tree", "node AS _node", "up AS _up", "steps AS _steps", "total AS _total")
+        doubled = going.join(further, same)
+        step = stored(doubled.selectExpr("tree", "node", "_up AS up", "steps + _steps AS steps", "total + _total AS total"), "replies")
+        done = done.unionByName(step.filter("up IS NULL"))
+    return tables, done.drop("up")
 
 
 def ranked_branches(nodes: DataFrame, far: DataFrame, keep: int) -> DataFrame:
@@ -84,8 +87,7 @@ def ranked_branches(nodes: DataFrame, far: DataFrame, keep: int) -> DataFrame:
     Spark cuts each task's rows at ``keep`` per tree before it brings a tree together.
     """
     replied = nodes.filter("parent IS NOT NULL").selectExpr("tree AS _tree", "parent AS _node").distinct()
-    paths = far.filter("up IS NULL")
-    leaves = paths.join(replied, paths["tree"].eqNullSafe(F.col("_tree")) & (paths["node"] == F.col("_node")), "left_anti")
+    leaves = far.join(replied, far["tree"].eqNullSafe(F.col("_tree")) & (far["node"] == F.col("_node")), "left_anti")
     order = Window.partitionBy("tree").orderBy(F.col("total").desc(), F.col("node"))
     return leaves.select("tree", "node", F.row_number().over(order).alias("branch")).filter(F.col("branch") <= keep)
 
@@ -98,11 +100,10 @@ def paths(replies: DataFrame, keep: int = 1) -> DataFrame:
     root; messages on a cycle or below one are on no path. A message may be on several paths.
     """
     nodes = stored(messages(replies), "messages")
-    tables = jumps(nodes)
-    far = tables[-1]
+    tables, far = jumps(nodes)
     on_path = ranked_branches(nodes, far, keep)
-    for table in reversed(tables[:-1]):
-        up = table.filter("up IS NOT NULL").selectExpr("tree AS _tree", "node AS _node", "up")
+    for table in reversed(tables):
+        up = table.selectExpr("tree AS _tree", "node AS _node", "up")
         same = F.col("tree").eqNullSafe(F.col("_tree")) & (F.col("node") == F.col("_node"))
         above = on_path.join(up, same).selectExpr("tree", "up AS node", "branch")
         on_path = stored(on_path.select("tree", "node", "branch").unionByName(above), "paths")
