@@ -1,7 +1,7 @@
 """The batch job: sync | load | stream | build | check | export | analyze | as-of.
 
     spark-submit submit.py sync   --feed F --landing L --warehouse W    change events to landing files (--full: all)
-    spark-submit submit.py load   --landing L --warehouse W             landing files to raw tables
+    spark-submit submit.py load   --landing L --warehouse W             new landing files to raw tables (--full: all)
     spark-submit submit.py stream --landing F --warehouse W             sync and load in one, as a stream
     spark-submit submit.py build  --warehouse W                         snapshot and marts
     spark-submit submit.py check  --warehouse W                         data tests, exit code 1 on failure;
@@ -36,16 +36,28 @@ from subtally.operators.quality import check, dashboard_check, declared_rules, f
 from subtally.plans import analyses, dashboard, marts, revenue
 from subtally.plans.staging import id_columns, ids, staging_views
 from subtally.session import build_session
+from subtally.sources.buckets import read_buckets, update_buckets
 from subtally.sources.landing import (
     OBJECT_TYPES,
     array_files,
+    entries,
     explode_array_files,
+    folder_stamp,
+    in_utc,
     scan,
-    sync_timestamp,
     write_landing,
 )
 from subtally.sources.state import load_state, save_state
-from subtally.sources.tables import load_marts, object_folders, publish_views, read_current, save_mart, write_version
+from subtally.sources.tables import (
+    changed_at,
+    load_marts,
+    object_folders,
+    plain_path,
+    publish_views,
+    read_current,
+    save_mart,
+    write_version,
+)
 from subtally.streaming.load import newest_batch, read_changes, stream_load
 
 MARTS = [
@@ -72,7 +84,7 @@ def sync_feed(
     the object each one carries, and stores the new cursor last. Without a cursor everything is read
     and the cursor becomes the start time; so it is with ``full``, whatever was stored. Returns the cursor.
     """
-    stamp = sync_timestamp(at)
+    stamp = folder_stamp(at)
     known = {} if full else load_state(spark, state)
     since = known.get("cursor", 0)
     events = incremental_filter(parse_feed(feed.withColumn("batch", F.lit(stamp))), since)
@@ -82,23 +94,54 @@ def sync_feed(
         landed = objects.unionByName(kept.selectExpr("'events' AS type", "seq AS pos", "data"))
         for name in sorted(r.type for r in landed.select("type").distinct().collect()):  # five at most
             write_landing(landed.filter(F.col("type") == name), landing, name, stamp)
-        cursor = next_cursor(kept, since).first()["cursor"] if known else int(at.replace(tzinfo=timezone.utc).timestamp())
+        cursor = next_cursor(kept, since).first()["cursor"] if known else int(in_utc(at).timestamp())
     finally:
         kept.unpersist()
     save_state(spark, state, cursor, stamp)
     return cursor
 
 
-def load_all(spark: SparkSession, landing: str, warehouse: str, at: datetime) -> DataFrame:
-    """Upsert every object folder into its raw table; report (type, upserted, n_rows) from what was written."""
+RAW = "id string, data string, loaded_at timestamp, file string, pos bigint"
+LOADED = "entry string, changed bigint"
+
+
+def merge_raw(spark: SparkSession, root: str, version: str, batch: DataFrame, at: datetime) -> None:
+    """Upserts a batch into a raw table; only the buckets of its ids are read and written."""
+    update_buckets(
+        spark, root, version, batch, "id", RAW, lambda old, new: upsert(old, new, F.lit(at).cast("timestamp"), deal="bucket")
+    )
+
+
+def unseen(spark: SparkSession, folder: str, seen: DataFrame | None) -> tuple[list[str], DataFrame]:
+    """Entries of a landing folder that no load has read, or that changed since, and the list of all that are read then.
+
+    A sync is recognised by its name and by when it last changed, so files inside old syncs needn't be listed.
+    """
+    root, changed = plain_path(spark, folder), changed_at(spark, folder)
+    known = {} if seen is None else {r["entry"]: r["changed"] for r in seen.collect()}  # a row per sync
+    now = {f"{root}/{name}": changed[name] for name in entries(spark, folder)}
+    fresh = [e.rsplit("/", 1)[1] for e, at in now.items() if known.get(e) != at]
+    return fresh, spark.createDataFrame(sorted({**known, **now}.items()), LOADED)
+
+
+def load_all(spark: SparkSession, landing: str, warehouse: str, at: datetime, only_new: bool = False) -> DataFrame:
+    """Upsert every object folder into its raw table; report (type, upserted, n_rows) from what was written.
+
+    ``only_new`` reads the syncs that no such load has read before: what a load costs then follows what arrived. Files
+    that come late win or lose by their names, as in a load of everything. Which syncs were read is stored last, so a
+    crash makes the next load read them again, which is harmless.
+    """
     reports = []
-    version = sync_timestamp(at)
+    version = folder_stamp(at)
     for name in object_folders(spark, landing):
-        batch = latest_snapshot(scan(spark, f"{landing}/{name}"))
-        root = f"{warehouse}/raw/{name}"
-        # Reading only older versions keeps a repeated run from reading what it overwrites.
-        write_version(upsert(read_current(spark, root, before=version), batch, at), root, version)
-        table = spark.read.parquet(f"{root}/version={version}")
+        root, folder, log = f"{warehouse}/raw/{name}", f"{landing}/{name}", f"{warehouse}/loads/{name}"
+        names, read = unseen(spark, folder, read_current(spark, log, before=version))
+        if not only_new:
+            names = None
+        if names is None or names:
+            merge_raw(spark, root, version, latest_snapshot(scan(spark, folder, names)), at)
+        write_version(read.coalesce(1), log, version)
+        table = read_buckets(spark, root, RAW)
         reports.append(
             table.agg(
                 F.count_if(F.col("loaded_at") == F.lit(at)).alias("upserted"), F.count("*").alias("n_rows")
@@ -117,25 +160,22 @@ def fold_stream(spark: SparkSession, warehouse: str, at: datetime) -> None:
     if newest <= after:
         return
     current = read_changes(spark, changes, after)
-    version = sync_timestamp(at)
+    version = folder_stamp(at)
     for name in OBJECT_TYPES:
-        root = f"{warehouse}/raw/{name}"
         batch = current.filter(F.col("type") == name)  # partition pruned
-        write_version(upsert(read_current(spark, root, before=version), batch, at), root, version)
+        merge_raw(spark, f"{warehouse}/raw/{name}", version, batch.select("id", "data", "file", "pos"), at)
     save_state(spark, folds, newest, version)
 
 
 def raw_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    empty = spark.createDataFrame([], "id string, data string, loaded_at timestamp, file string, pos bigint")
-    tables = {name: read_current(spark, f"{warehouse}/raw/{name}") for name in OBJECT_TYPES}
-    return {name: empty if frame is None else frame for name, frame in tables.items()}
+    return {name: read_buckets(spark, f"{warehouse}/raw/{name}", RAW) for name in OBJECT_TYPES}
 
 
 def build(spark: SparkSession, warehouse: str, at: datetime) -> dict[str, DataFrame]:
     """Staging views, one snapshot run, and the marts in dependency order, each read back from Parquet."""
     staging = staging_views(raw_tables(spark, warehouse))
     publish_views(staging)
-    out, version = f"{warehouse}/marts", sync_timestamp(at)
+    out, version = f"{warehouse}/marts", folder_stamp(at)
 
     def save(name: str, frame: DataFrame) -> DataFrame:
         return save_mart(frame, out, name, version)
@@ -239,7 +279,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("step", choices=steps)
     parser.add_argument("--warehouse", required=True)
     parser.add_argument("--feed", help="folder of JSON-array files of change events, oldest first")
-    parser.add_argument("--full", action="store_true", help="sync everything, whatever the stored cursor")
+    parser.add_argument("--full", action="store_true", help="sync or load everything, whatever was read before")
     parser.add_argument("--landing")
     parser.add_argument("--out")
     parser.add_argument("--at", type=datetime.fromisoformat, help="instant for as-of")
@@ -251,7 +291,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.step == "sync":
         sync_feed(spark, feed_rows(spark, args.feed), args.landing, f"{args.warehouse}/state", now, args.full)
     elif args.step == "load":
-        load_all(spark, args.landing, args.warehouse, now).show(truncate=False)
+        load_all(spark, args.landing, args.warehouse, now, only_new=not args.full).show(truncate=False)
     elif args.step == "stream":
         stream_load(spark, args.landing, f"{args.warehouse}/changes", f"{args.warehouse}/checkpoints/changes")
         fold_stream(spark, args.warehouse, now)

@@ -80,9 +80,16 @@ def snapshot_run(
         drop_versions(spark, f"{root}/run={run}", ["true"], label="is_current")
 
 
-def read_history(spark: SparkSession, root: str) -> DataFrame:
-    """Rows closed by any complete run and the open set of the newest one (partition pruned)."""
+def read_history(spark: SparkSession, root: str, schema: str | StructType | None = None) -> DataFrame:
+    """Rows closed by any complete run and the open set of the newest one (partition pruned).
+
+    Before the first run there are no rows; ``schema`` says what they would look like.
+    """
     runs = versions(spark, root, label="run")
+    if not runs:
+        if schema is None:
+            raise ValueError(f"no snapshot run under {root} and no schema given")
+        return spark.createDataFrame([], schema)
     paths = [f"{root}/run={r}" for r in runs]
     frame = spark.read.option("basePath", root).parquet(*paths)
     newest = F.col("run").cast("string") == runs[-1]

@@ -24,19 +24,22 @@ def latest_snapshot(raw: DataFrame, by: tuple[str, ...] = ("id",), order: tuple[
     return raw.groupBy(*by).agg(last).select(*by, "_last.*")
 
 
-def upsert(target: DataFrame | None, batch: DataFrame, loaded_at: datetime | Column) -> DataFrame:
+def upsert(target: DataFrame | None, batch: DataFrame, loaded_at: datetime | Column, deal: str | None = None) -> DataFrame:
     """Rows (id, data, loaded_at, file, pos): new ids in, ids absent from the batch kept: history, not a mirror.
 
     A known id is replaced unless the table has it from a later place in the landing: the order of files decides, not
-    that of loads. The same place again replaces, so a repeated load restamps what is still landed.
+    that of loads. The same place again replaces, so a repeated load restamps what is still landed. ``deal`` names a column
+    of both that follows from the id; rows are dealt by it, once, and keep it.
     """
     stamp = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at)
-    fresh = batch.select("id", "data", stamp.cast("timestamp").alias("loaded_at"), "file", "pos")
+    key = [deal] if deal else []
+    fresh = batch.select("id", "data", stamp.cast("timestamp").alias("loaded_at"), "file", "pos", *key)
     if target is None:
         return fresh
     both = target.select(*fresh.columns, F.lit(0).alias("_new")).unionByName(fresh.withColumn("_new", F.lit(1)))
     newest = F.max_by(F.struct("data", "loaded_at", "file", "pos"), F.struct("file", "pos", "_new")).alias("_row")
-    return both.groupBy("id").agg(newest).select("id", "_row.*")
+    dealt = both.repartition(deal) if deal else both
+    return dealt.groupBy(*key, "id").agg(newest).select("id", "_row.*", *key)
 
 
 def parse_feed(feed: DataFrame, *keep: str) -> DataFrame:

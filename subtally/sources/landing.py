@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtally.sources.tables import children
+from subtally.sources.tables import children, plain_path
 
 # The object types of the billing API and the folder each one lands in.
 OBJECT_FOLDERS = {
@@ -21,18 +21,31 @@ LINES = "sync_ts="
 OBJECT_TYPES = ("charges", "customers", "events", "invoices", "subscriptions")
 
 
-def sync_timestamp(at: datetime | None = None) -> str:
-    """UTC time as a name that sorts chronologically, e.g. 2031-04-17T08-09-10Z."""
-    return (at or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%dT%H-%M-%SZ")
+def in_utc(at: datetime) -> datetime:
+    """A time without a zone counts as UTC."""
+    return at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
+
+
+def folder_stamp(at: datetime) -> str:
+    """What a sync's folder or file is called: sorting by name is sorting by time, e.g. 2031-04-17T08-09-10Z."""
+    return f"{in_utc(at):%Y-%m-%dT%H-%M-%SZ}"
 
 
 FAIL = {"mode": "FAILFAST"}  # a document that can't be read stops the run; none is left out
 
 
 def relative_file(folder: str) -> Column:
-    """Path below the scanned folder, without the names of partition folders: what comes later sorts later."""
-    name = folder.rstrip("/").rsplit("/", 1)[-1]
-    return F.regexp_replace(F.substring_index(F.col("_metadata.file_path"), f"/{name}/", -1), r"(^|/)\w+=", "$1")
+    """Path below the scanned folder, without the names of partition folders: what comes later sorts later.
+
+    Spark reports paths with URL escapes, so they are undone first; a plus sign is one.
+    """
+    escaped = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    path = F.regexp_replace(F.url_decode(escaped), r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "")
+    root = plain_path(SparkSession.active(), folder)
+    below = F.substring(path, len(root) + 2, 1 << 20)
+    # A file system may answer under another root than it was asked for.
+    elsewhere = F.substring_index(path, f"/{root.rsplit('/', 1)[-1]}/", -1)
+    return F.regexp_replace(F.when(F.startswith(path, F.lit(f"{root}/")), below).otherwise(elsewhere), r"(^|/)\w+=", "$1")
 
 
 def sync_of(file: str = "file") -> Column:
@@ -60,19 +73,23 @@ def with_id(rows: DataFrame) -> DataFrame:
     return rows.select("file", "pos", document_id("data").alias("id"), "data").filter(F.col("id").isNotNull())
 
 
-def array_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(file, value) of every file.
+def array_files(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
+    """(file, value) of every file, or of those entries of the folder that ``names`` lists.
 
     An array file is read whole by one task, so it has to stay well under 2 GB; the line form
     written by ``write_landing`` has no such limit because it splits.
     """
-    text = spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
+    text = spark.read.option("recursiveFileLookup", True).text(paths(folder, names), wholetext=True)
     return text.select(relative_file(folder).alias("file"), "value")
 
 
-def raw_scan(spark: SparkSession, folder: str) -> DataFrame:
+def paths(folder: str, names: list[str] | None) -> list[str]:
+    return [folder] if names is None else [f"{folder}/{name}" for name in names]
+
+
+def raw_scan(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
     """Rows (file, pos, id, data) of every JSON-array file of one object type."""
-    return with_id(explode_array_files(array_files(spark, folder)))
+    return with_id(explode_array_files(array_files(spark, folder, names)))
 
 
 def write_landing(df: DataFrame, root: str, object_type: str, sync_ts: str) -> str:
@@ -85,16 +102,21 @@ def write_landing(df: DataFrame, root: str, object_type: str, sync_ts: str) -> s
     return path
 
 
-def scan_landing(spark: SparkSession, folder: str) -> DataFrame:
+def scan_landing(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
     """Rows (file, pos, id, data) of the line form; the sync folder plays the part of the file name."""
-    lines = spark.read.schema("pos bigint, data string, sync_ts string").options(**FAIL).json(folder)
-    return with_id(lines.withColumnRenamed("sync_ts", "file"))
+    reader = spark.read.schema("pos bigint, data string, sync_ts string").options(basePath=folder, **FAIL)
+    return with_id(reader.json(paths(folder, names)).withColumnRenamed("sync_ts", "file"))
+
+
+def entries(spark: SparkSession, folder: str) -> list[str]:
+    """What lies in a folder of one object type: files or the folders of syncs."""
+    return [name for name in children(spark, folder) if not name.startswith(("_", "."))]
 
 
-def scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows (file, pos, id, data) of a folder in either form, told apart by its sub-folders."""
-    names = [name for name in children(spark, folder) if not name.startswith(("_", "."))]
-    lines = [name for name in names if name.startswith(LINES)]
-    if lines and len(lines) < len(names):
-        raise ValueError(f"{folder} holds both landing forms: {names[:5]}")
-    return scan_landing(spark, folder) if lines else raw_scan(spark, folder)
+def scan(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
+    """Rows (file, pos, id, data) of a folder in either form, told apart by its entries; ``names`` picks some of these."""
+    found = entries(spark, folder) if names is None else names
+    lines = [name for name in found if name.startswith(LINES)]
+    if lines and len(lines) < len(found):
+        raise ValueError(f"{folder} holds both landing forms: {found[:5]}")
+    return scan_landing(spark, folder, names) if lines else raw_scan(spark, folder, names)

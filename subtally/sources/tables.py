@@ -14,6 +14,19 @@ def children(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(path))
 
 
+def plain_path(spark: SparkSession, folder: str) -> str:
+    """The folder's absolute path without scheme, host and URL escapes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().getPath().rstrip("/")
+
+
+def changed_at(spark: SparkSession, folder: str) -> dict[str, int]:
+    """By name when each entry of a folder was last changed; file systems that don't keep that for folders say 0."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(path)} if fs.exists(path) else {}
+
+
 def object_folders(spark: SparkSession, root: str) -> list[str]:
     """Object types present under a landing root, sorted."""
     return [name for name in children(spark, root) if not name.startswith(("_", "."))]
