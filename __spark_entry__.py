@@ -20,7 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle  # noqa: E402
 from subtally import job  # noqa: E402
 from subtally.functions.numeric import finite  # noqa: E402
-from subtally.operators import history, ingest, quality  # noqa: E402
+from subtally.operators import history, ingest, intervals, quality  # noqa: E402
 from subtally.plans import analyses, dashboard, marts, revenue  # noqa: E402
 from subtally.plans.demo import Book  # noqa: E402
 from subtally.plans.staging import id_columns  # noqa: E402
@@ -175,6 +175,16 @@ def history_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("subscription_id", "customer_id", "status", "plan_key", "mrr_amount", "valid_from", "valid_to")
 
 
+def history_as_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan that was in force at every order, and at its ship dates: questions on, before and after every change."""
+    b = Book(spark, sf_dir)
+    months = demo_billing.subscription_snapshots(b.spark, sf_dir, "month").select("subscription_id", F.col("run").alias("at"))
+    orders = demo_billing.orders(b.spark, sf_dir).selectExpr("subscription AS subscription_id", "cast(o_orderdate AS timestamp) AS at")
+    asked = orders.unionByName(months).distinct()
+    history_rows = b.dim_subscription_history.select("subscription_id", "status", "plan_key", "mrr_amount", "valid_from", "valid_to")
+    return intervals.state_as_of_many(history_rows, asked, "subscription_id")
+
+
 # --- marts, dashboard, analyses ---------------------------------------------------------------
 
 
@@ -320,12 +330,19 @@ def core_queries() -> dict[str, Query]:
             lambda b: revenue.customer_month_grid(b.customer_ids, b.fct_subscription_events), EVENTS
         ),
         "month_end_mrr": book(lambda b: revenue.month_end_mrr(b.customer_ids, b.fct_subscription_events), EVENTS),
+        "month_end_mrr_join": book(
+            lambda b: revenue.month_end_mrr_join(
+                b.customer_ids, b.fct_subscription_events, marts.mrr_segments(b.fct_subscription_events)
+            ),
+            EVENTS,
+        ),
         "mrr_customer_monthly": book(lambda b: b.mrr_customer_monthly, EVENTS),
         "mrr_monthly": book(lambda b: b.mrr_monthly),
         "scd2_incremental": scd2_incremental,
         "scd2_rebuild": book(lambda b: b.snapshot),
         "dim_subscription_history": book(lambda b: b.dim_subscription_history),
         "history_as_of": history_as_of,
+        "history_as_of_many": history_as_of_many,
         # dashboard
         "export_mrr_series": book(lambda b: dashboard.export_mrr_series(b.mrr_monthly)),
         "export_plans": book(lambda b: dashboard.export_plans(b.dim_customer)),

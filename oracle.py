@@ -385,6 +385,7 @@ def statements() -> dict[str, str]:
         "customer_month_grid": "SELECT customer_id, strftime(month, '%Y-%m-%d') AS month_start, "
         "strftime(month + INTERVAL 1 MONTH, '%Y-%m-%d') AS next_month_start FROM stg_customers, months",
         "month_end_mrr": "SELECT customer_id, strftime(month, '%Y-%m-%d') AS month_start, mrr::DOUBLE AS mrr FROM dense",
+        "month_end_mrr_join": "SELECT customer_id, strftime(month, '%Y-%m-%d') AS month_start, mrr::DOUBLE AS mrr FROM dense",
         "mrr_customer_monthly": f"SELECT customer_id, {_day('month')}, {_money('mrr', 'previous_mrr', 'mrr_change')}, "
         "movement FROM mcm",
         "mrr_monthly": f"SELECT {SERIES} FROM mm",
@@ -395,6 +396,10 @@ def statements() -> dict[str, str]:
         "history_as_of": f"SELECT subscription_id, customer_id, status, plan_key, {_money('mrr_amount')}, "
         f"{_ts('valid_from', 'valid_to')} FROM sub_history WHERE valid_from <= TIMESTAMP '1998-03-15' "
         "AND ifnull(valid_to, TIMESTAMP '9999-01-01') > TIMESTAMP '1998-03-15'",
+        "history_as_of_many": f"SELECT a.subscription_id, {_ts('a.at')}, h.status, h.plan_key, h.mrr_amount::DOUBLE AS mrr_amount, "
+        f"{_ts('h.valid_from', 'h.valid_to')} FROM (SELECT subscription_id, d AS at FROM o UNION SELECT subscription_id, run FROM month_states) a "
+        "LEFT JOIN sub_history h ON h.subscription_id = a.subscription_id AND h.valid_from <= a.at "
+        "AND (h.valid_to IS NULL OR a.at < h.valid_to)",
         # dashboard
         "export_mrr_series": f"SELECT {SERIES} FROM mm",
         "export_plans": "SELECT * FROM plan_counts",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtally.functions.calendar import month_of
@@ -99,6 +99,10 @@ def fct_invoices(stg_invoices: DataFrame, plans: DataFrame) -> DataFrame:
     )
 
 
+# The event types that open and end a subscription.
+CREATED, DELETED = "customer.subscription.created", "customer.subscription.deleted"
+
+
 def fct_subscription_events(
     stg_subscription_events: DataFrame, stg_subscriptions: DataFrame, plans: DataFrame
 ) -> DataFrame:
@@ -111,28 +115,45 @@ def fct_subscription_events(
     now = plans.selectExpr("plan_key", "plan_key AS plan_now", "mrr_amount AS mrr_now")
     then = plans.selectExpr("plan_key AS previous_plan_key", "plan_key AS plan_then", "mrr_amount AS mrr_then")
     known = stg_subscriptions.select("subscription_id")
-    # An event is named by what the API says happened, else by the direction of the price.
-    said = "try_element_at(map('created', 'started', 'deleted', 'canceled'), substring_index(event_type, '.', -1))"
-    moved = "try_element_at(map(1, 'upgraded', -1, 'downgraded'), int(sign(mrr_now - mrr_then)))"
-    # Revenue before any event, around it, and after the end: an event moves from one place to the next.
-    ladder = "array(coalesce(mrr_then, 0), mrr_now, 0)"
+    priced = stg_subscription_events.join(now, "plan_key", "left").join(then, "previous_plan_key", "left")
     return (
-        stg_subscription_events.join(now, "plan_key", "left")
-        .join(then, "previous_plan_key", "left")
-        .selectExpr("*", f"coalesce({said}, {moved}) AS kind")
-        .filter("kind IS NOT NULL")
+        priced.withColumn("step", lifecycle_step())
+        .filter("step IS NOT NULL")
         .join(known, "subscription_id", "left_semi")
         .selectExpr(
             "event_id",
             "subscription_id",
             "customer_id",
-            "kind AS event_type",
-            "if(kind = 'canceled', canceled_at, period_start) AS occurred_at",
+            "step.event_type",
+            "step.occurred_at",
             "plan_now AS plan_key",
             "plan_then AS previous_plan_key",
-            f"get({ladder}, int(kind = 'canceled')) AS mrr_before",
-            f"get({ladder}, 1 + int(kind = 'canceled')) AS mrr_after",
+            "step.mrr_before",
+            "step.mrr_after",
+        )
+    )
+
+
+def lifecycle_step() -> Column:
+    """What an event does to a subscription: its kind, when, and the MRR that it takes from one value to another.
+
+    The API names starts and ends; other events are told by the direction of the price, and are nothing without one.
+    """
+    mrr_now, mrr_then, nothing = F.col("mrr_now"), F.col("mrr_then"), F.lit(0).cast("decimal(12,2)")
+
+    def step(kind: str, at: str, before: Column, after: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("event_type"),
+            F.col(at).alias("occurred_at"),
+            before.cast("decimal(12,2)").alias("mrr_before"),
+            after.cast("decimal(12,2)").alias("mrr_after"),
         )
+
+    return (
+        F.when(F.col("event_type") == CREATED, step("started", "period_start", F.coalesce(mrr_then, nothing), mrr_now))
+        .when(F.col("event_type") == DELETED, step("canceled", "canceled_at", mrr_now, nothing))
+        .when(mrr_now > mrr_then, step("upgraded", "period_start", mrr_then, mrr_now))
+        .when(mrr_now < mrr_then, step("downgraded", "period_start", mrr_then, mrr_now))
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subtally.functions.calendar import month_of, month_range
+from subtally.operators.intervals import covering
 
 MOVEMENTS = ("new", "expansion", "reactivation", "contraction", "churn")
 
@@ -128,6 +129,19 @@ def month_end_mrr(stg_customers: DataFrame, fct_events: DataFrame) -> DataFrame:
     return mrr_customer_monthly(stg_customers, fct_events).selectExpr("customer_id", "month AS month_start", "mrr")
 
 
+def month_end_mrr_join(stg_customers: DataFrame, fct_events: DataFrame, segments: DataFrame) -> DataFrame:
+    """The same by its definition: every cell of the grid with the segments that are open at the month's end.
+
+    An interval join; useful where segments come from elsewhere and changes alone can't be summed.
+    """
+    grid = customer_month_grid(stg_customers, fct_events)
+    open_then = covering(
+        grid, segments.select("customer_id", "valid_from", "valid_to", "mrr"), ["customer_id"], "next_month_start",
+        "valid_from", "valid_to", closed="right",
+    )
+    return open_then.groupBy("customer_id", "month_start").agg(F.expr("cast(coalesce(sum(mrr), 0) AS decimal(22,2))").alias("mrr"))
+
+
 def mrr_monthly(stg_customers: DataFrame, fct_events: DataFrame) -> DataFrame:
     """Monthly waterfall straight from the changes, without the customer x month table.
 

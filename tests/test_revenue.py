@@ -293,3 +293,20 @@ def test_ltv_of_a_plan_nobody_left_is_infinite(spark):
     rows = {r.plan_key: r for r in analyses.ltv_by_plan(plans, months, cancellations, customers).collect()}
     assert (rows["p"].expected_ltv, rows["p"].realized_revenue_per_customer) == (500.0, 8.0)
     assert (rows["q"].expected_ltv, rows["q"].cancellations) == (float("inf"), 0)
+
+
+def test_the_whole_event_type_decides(spark):
+    """Only the API's own two types start and end a subscription; a longer type with the same last word doesn't."""
+    at = datetime(2026, 1, 1)
+    types = ["customer.subscription.created", "customer.subscription.x.created", "customer.subscription.deleted", "x.deleted"]
+    rows = [(f"e{i}", t, "s", "c", None, "p", at, at) for i, t in enumerate(types)]
+    staged = spark.createDataFrame(
+        rows, "event_id string, event_type string, subscription_id string, customer_id string, previous_plan_key string, "
+        "plan_key string, period_start timestamp, canceled_at timestamp"
+    )
+    plans = spark.createDataFrame([("p", Decimal("5.00"))], "plan_key string, mrr_amount decimal(12,2)")
+    found = marts.fct_subscription_events(staged, spark.createDataFrame([("s",)], "subscription_id string"), plans)
+    assert sorted((r.event_id, r.event_type, r.mrr_before, r.mrr_after) for r in found.collect()) == [
+        ("e0", "started", 0, 5),
+        ("e2", "canceled", 5, 0),
+    ]
