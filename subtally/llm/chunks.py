@@ -1,7 +1,8 @@
 """Substring dedup by content-defined chunking: a gear rolling hash cuts texts, runs of chunks are deduplicated by digest.
 
 A cut depends on the sixteen bytes before it and on the cuts just before, so an insertion moves the chunks next to it
-only. Cuts lie at word starts (for scripts without blanks, at characters), never inside a word.
+only. Cuts lie at word starts (for scripts without blanks, at characters), and inside a word only where it is longer
+than words are: encoded data, minified code, long numbers.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from subtally.llm.common import numbered, stored, text_bytes, texts
 
 WINDOW = 16  # bytes that the 16-bit rolling hash sees
 RARITY = 2  # a word start is a cut where so many upper bits of the hash are zero: one in four
+# Past so many bytes without a place to cut, any character may be one, where more of the upper bits are zero: one in 64.
+ENDLESS, RARER = 64, 6
 LEAST, MOST = 12, 4096  # bytes of a chunk; at the end of a text it may be shorter
 GEAR = np.random.default_rng(20240229).integers(0, 1 << 16, 256, np.uint16)
 BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
@@ -28,7 +31,7 @@ WIDE = np.arange(256) >= 0xE3
 # Without blanks characters stand for words: UNIT is one, an ideograph one, kana half of one, and a quarter each letter
 # of Thai, Lao, Tibetan, Burmese and Khmer (by code point, without the marks above and below).
 UNIT = 4
-SIZE = np.select([np.arange(256) == 0xE3, (np.arange(256) >= 0xE4) & (np.arange(256) <= 0xE9)], [2, UNIT], 0)
+SIZE = np.select([np.arange(256) == 0xE3, (np.arange(256) >= 0xE4) & (np.arange(256) <= 0xE9)], [2, UNIT], 0).astype(np.int8)
 LETTERS = np.zeros(0x2000, bool)
 LETTERS[[c for c in (*range(0xE00, 0x10A0), *range(0x1780, 0x1800)) if unicodedata.category(chr(c))[0] == "L"]] = True
 WORD_BYTES = 16  # so many bytes for each word asked for are long as well, whatever they are made of
@@ -53,45 +56,68 @@ def sizes(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
     opens = ~blank & (np.concatenate([[True], blank[:-1]])[: len(raw)] | first_of_text)
     own = np.maximum(SIZE[raw], loose_letters(raw))
     own[:-1][(raw[:-1] == 0xF0) & (raw[1:] >= 0xA0)] = UNIT  # the rarer ideographs
-    return np.concatenate([[0], np.cumsum(np.maximum(own, UNIT * opens))])
+    return np.concatenate([[0], np.cumsum(np.maximum(own, np.int8(UNIT) * opens), dtype=narrow(raw))])
+
+
+def narrow(raw: np.ndarray) -> type:
+    """The smaller type that counts of quarters over all bytes fit."""
+    return np.int32 if len(raw) < (1 << 31) // UNIT else np.int64
 
 
 def rolling_hash(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sum of gear values shifted by their distance over the last sixteen bytes of the same text, at every byte."""
-    lengths = np.diff(starts)
-    place = np.arange(len(raw)) + WINDOW * np.repeat(np.arange(1, len(lengths) + 1), lengths)  # zeros between texts
-    value = np.zeros(len(raw) + WINDOW * (len(lengths) + 1), np.uint16)
-    value[place] = GEAR[raw]
+    value = GEAR[raw]
     width = 1
     while width < WINDOW:
         shifted = value[:-width] << np.uint16(width)
         value[width:] += shifted
         width *= 2
-    return value[place]
+    # What reached over from the text before: the sum at its end, shifted on. All sums are of the bytes as they lie.
+    inner = starts[1:-1][(starts[1:-1] > 0) & (starts[1:-1] < len(raw))]
+    over = value[inner - 1]
+    inner, first = np.unique(inner, return_index=True)
+    over = over[first]
+    ends = np.append(inner[1:], len(raw))
+    for k in range(min(WINDOW - 1, len(raw))):
+        there = inner + k < ends
+        value[inner[there] + k] -= over[there] << np.uint16(k + 1)
+    return value
+
+
+def openings(raw: np.ndarray) -> np.ndarray:
+    """Marks the bytes at which a chunk may begin as a rule: word starts, and characters of scripts without blanks."""
+    blank = BLANK[raw]
+    opens = WIDE[raw] | loose_letters(raw)
+    opens[1:] |= blank[:-1] & ~blank[1:]
+    return opens
 
 
 def cuts(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Ascending places at which a chunk begins; each text's start is one, and the end of all is the last."""
     if not len(raw):
         return np.unique(starts)
-    blank = BLANK[raw]
-    opens = np.zeros(len(raw), bool)
-    opens[1:] = (blank[:-1] & ~blank[1:]) | WIDE[raw[1:]] | loose_letters(raw)[1:]
-    chosen = np.zeros(len(raw), bool)
-    chosen[1:] = opens[1:] & (rolling_hash(raw, starts)[:-1] >> np.uint16(16 - RARITY) == 0)
+    opens = openings(raw)
+    upper = np.zeros(len(raw), np.uint16)  # of the sixteen bytes before
+    upper[1:] = rolling_hash(raw, starts)[:-1]
+    chosen = opens & (upper >> np.uint16(16 - RARITY) == 0)
+    opens[starts[:-1][np.diff(starts) > 0]] = True
+    last = np.maximum.accumulate(np.where(opens, np.arange(len(raw), dtype=np.int32 if len(raw) < 1 << 31 else np.int64), 0))
+    endless = np.flatnonzero((upper >> np.uint16(16 - RARER) == 0) & ~opens & ((raw & 0xC0) != 0x80))
+    chosen[endless[endless - last[endless] >= ENDLESS]] = True
+    chosen[0] = False
     found = np.unique(np.concatenate([np.flatnonzero(chosen), starts]))
     # A cut too close to the one before goes; this looks at its own surroundings only, whatever lies further ahead.
     edge = np.isin(found, starts)
     near = np.concatenate([[False], np.diff(found) < LEAST])
     found = found[edge | ~near]
     gaps = np.diff(found)
-    if not (gaps > MOST).any():
-        return found
-    more = [a + MOST * np.arange(1, (n - 1) // MOST + 1) for a, n in zip(found[:-1][gaps > MOST], gaps[gaps > MOST], strict=True)]
-    forced = np.concatenate(more)
-    for _ in range(3):  # back to the first byte of a character
-        forced = forced - ((raw[forced] & 0xC0) == 0x80)
-    return np.unique(np.concatenate([found, forced]))
+    forced = []
+    for a, b in zip(found[:-1][gaps > MOST].tolist(), found[1:][gaps > MOST].tolist(), strict=True):
+        while b - a > MOST:  # the last resort: of the second half of what a chunk may have, the character after the least hash
+            own = np.where((raw[a + MOST // 2 : a + MOST] & 0xC0) != 0x80, upper[a + MOST // 2 : a + MOST].astype(np.int32), 1 << 16)
+            a += MOST // 2 + int(own.argmin())
+            forced.append(a)
+    return np.unique(np.concatenate([found, np.array(forced, np.int64)])) if forced else found
 
 
 def long_runs(edges: np.ndarray, ends: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +156,7 @@ def run_rows(docs: DataFrame, row_id: str, min_words: int) -> DataFrame:
             starts, raw = text_bytes(texts(batch.column("text")))
             edges = cuts(raw, starts)
             owner = np.searchsorted(starts, edges[:-1], side="right") - 1
-            characters = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+            characters = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80, dtype=narrow(raw))])
             words = sizes(raw, starts)
             ends = np.searchsorted(edges, starts[owner + 1])
             left, right = long_runs(edges, ends, words[edges], min_words)
@@ -211,7 +237,7 @@ def repeated_passages(docs: DataFrame, min_words: int = 16) -> DataFrame:
     Other columns are left out; a null doc_id stays null. Rows are named by file and place in it, so ``docs`` should be a
     stored table; another one is stored first.
     """
-    own = numbered(docs).select("doc_id", "text", "_row")
+    own = numbered(docs.select("doc_id", "text"))
     spans = stored(repeats(own, "_row", min_words), "repeats")
     ids = own.select(F.col("_row"), "doc_id")
     return (

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from subtally.session import prepare, shared_dir
@@ -34,24 +34,28 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 FILE_ROWS = 1 << 40  # more than a file has
+BROADCAST_FILES = 50_000  # paths of so many files, some 10 MB, are sent to every task at most
 
 
 def numbered(docs: DataFrame, name: str = "_row") -> DataFrame:
     """The rows with a long that is unique and the same whenever the files are read, however they are split.
 
     It is the file's number in the order of paths and the row's place in the file. What isn't read from files that tell
-    these is stored first. The driver sees one row a file.
+    these is stored first. The numbers are a written table of one row a file; none of it reaches the driver.
     """
     try:
         docs.select(docs.metadataColumn("_metadata")["row_index"])
     except AnalysisException:
         docs = stored(docs, "numbered")
     place = docs.metadataColumn("_metadata")
-    files = sorted(r[0] for r in docs.select(place["file_path"].alias("file")).distinct().collect())
-    numbers = docs.sparkSession.createDataFrame(list(enumerate(files)), "_number bigint, _file string")
-    placed = docs.select("*", place["file_path"].alias("_path"), place["row_index"].alias("_place"))
-    joined = placed.join(F.broadcast(numbers), F.col("_path") == F.col("_file"))
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), (F.col("_number") * FILE_ROWS + F.col("_place")).alias(name))
+    paths = docs.select(place["file_path"].alias("_file")).distinct()
+    order = Window.orderBy("_file")  # one row a file
+    files = stored(paths.select((F.row_number().over(order) - 1).cast("bigint").alias("_number"), "_file"), "files")
+    rows = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    placed = docs.select(rows.alias("_own"), place["file_path"].alias("_path"), place["row_index"].alias("_place"))
+    files = F.broadcast(files) if files.count() <= BROADCAST_FILES else files
+    joined = placed.join(files, F.col("_path") == F.col("_file"))
+    return joined.select(*(F.col(f"_own.`{c}`") for c in docs.columns), (F.col("_number") * FILE_ROWS + F.col("_place")).alias(name))
 
 
 def id_crc(column: str = "doc_id") -> Column:

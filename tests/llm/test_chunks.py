@@ -1,5 +1,8 @@
+import random
+
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from subtally.llm import chunks
 from subtally.llm.common import text_bytes
@@ -119,5 +122,74 @@ def test_passages_without_blanks_are_caught(documents):
     assert spans(lambda rows, schema: documents(rows, schema, "clean"), [(k, letters(700 + k, 900, *s), "x") for k, s in enumerate([*scripts.values()] * 2)]) == []
 
 
+@pytest.mark.parametrize("n", [3_000, 20_000, 200_000])
+def test_long_runs_without_blanks_are_caught_behind_any_head(documents, n):
+    rng = np.random.default_rng(n)
+    symbols = np.array([*"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"])
+    passage, *heads = ("".join(rng.choice(symbols, k)) for k in (n, 100, 137, 9, 5000))
+    rows = [(k, f"{heads[k]}{passage}{heads[-1 - k]}", "x") for k in range(3)]
+    cut = {}
+    for r in spans(documents, rows):
+        own = rows[r.doc_id][1][r.start : r.end]
+        assert own in passage
+        cut[r.doc_id] = cut.get(r.doc_id, 0) + len(own)
+    assert len(cut) == 2 and min(cut.values()) > n - 1200  # the first copy stays
+
+
+def test_forced_cuts_depend_on_content_too():
+    """A long stretch in which the hash opens nothing: cuts behind different heads fall together again."""
+    rng = np.random.default_rng(5)
+    quiet = ""
+    while len(quiet) < 40_000:  # letters that don't end in an opening hash
+        part = quiet + "".join(rng.choice([*"abcdef"], 40))
+        starts, raw = text_bytes(pa.array([part]))
+        upper = chunks.rolling_hash(raw, starts)[max(0, len(quiet) - 1) :]
+        quiet = part if not (upper >> np.uint16(16 - chunks.RARER) == 0).any() else quiet
+    own, other = pieces("x" * 90 + quiet), pieces("y" * 1117 + quiet)
+    assert max(map(len, own)) <= chunks.MOST
+    assert len(set(own) & set(other)) >= len(own) // 2
+
+
+def covered(texts, min_words):
+    """By row the characters of every run of whole chunks, long enough, that stands in an earlier row or place."""
+    seen, found = set(), {}
+    for row, text in enumerate(texts):
+        own = pieces(text) if text else []
+        starts, raw = text_bytes(pa.array([text or ""]))
+        words = chunks.sizes(raw, starts)
+        at = np.cumsum([0, *map(len, own)])
+        fresh = []
+        for i in range(len(own)):
+            for j in range(i + 1, len(own) + 1):
+                if words[at[j]] - words[at[i]] >= chunks.UNIT * min_words or at[j] - at[i] >= chunks.WORD_BYTES * min_words:
+                    run = b"".join(own[i:j])
+                    if run in seen:
+                        first = len(raw[: at[i]].tobytes().decode())
+                        found.setdefault(row, set()).update(range(first, first + len(run.decode())))
+                    seen.add(run)
+                    fresh.append(run)
+    return found
+
+
+def test_repeats_are_those_of_all_runs(documents):
+    rng = random.Random(13)
+    shared = [prose(60 + k, rng.choice([18, 30, 45]), 10**6) for k in range(6)] + ["一二三四五六七八九十" * 4, "b64" * 120]
+    texts = [" ".join(rng.choice([rng.choice(shared), prose(rng.random(), rng.randint(1, 25), 10**6)]) for _ in range(rng.randint(1, 6))) for _ in range(40)]
+    texts += ["", None, texts[3], f"{shared[0]} {shared[0]}"]
+    docs = documents([(k, t) for k, t in enumerate(texts)])
+    got = {}
+    for r in chunks.repeats(docs.withColumnRenamed("doc_id", "_own"), "_own").collect():
+        got.setdefault(r.row, set()).update(range(r.start, r.end))
+    assert got == covered(texts, 16)
+
+
+def test_columns_with_the_operators_own_names(documents):
+    copy = prose(71, 90, 10**6)
+    rows = [(k, copy, 5, "a", 6, 7, "b") for k in (1, 2)]
+    docs = documents(rows, "doc_id bigint, text string, _row int, _path string, _place int, _number int, _file string")
+    [found] = chunks.repeated_passages(docs).collect()
+    assert (found.doc_id, found.first_doc_id) in {(1, 2), (2, 1)}
+
+
 def test_empty_table(documents):
     assert spans(documents, []) == []
