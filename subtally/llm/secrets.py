@@ -71,7 +71,9 @@ class Ledger:
         self.spark, self.path, self.rules, self.version = spark, path.rstrip("/"), rules, rules_version(rules)
 
     def entries(self) -> DataFrame:
-        """(blob, spans) of all blobs that this version of the rules has seen."""
+        """(blob, spans) of all blobs that this version of the rules has seen, each once: scans that overlap in time may both
+        have appended a blob, with the same spans.
+        """
         schema = f"blob string, spans {SPANS}, version string"
         try:
             rows = self.spark.read.schema(schema).parquet(self.path)
@@ -79,7 +81,8 @@ class Ledger:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             rows = self.spark.createDataFrame([], schema)  # nothing was ever scanned
-        return rows.filter(F.col("version") == self.version).drop("version")
+        own = rows.filter(F.col("version") == self.version)
+        return own.groupBy("blob").agg(F.any_value("spans").alias("spans"))
 
     def scan(self, docs: DataFrame) -> None:
         """Scans what is unseen among the texts of ``docs`` and appends it; a run that fails appends nothing."""

@@ -82,3 +82,13 @@ def test_masks_cover_overlapping_spans(spark, documents, tmp_path):
 
 def test_empty_table(spark, documents, tmp_path):
     assert secrets.with_findings(documents([]), ledger(spark, tmp_path)).count() == 0
+
+
+def test_blobs_that_overlapping_scans_appended_twice_count_once(spark, documents, tmp_path):
+    docs = documents([(i, t) for i, t in enumerate(TEXTS)])
+    own = ledger(spark, tmp_path)
+    before = secrets.digest_columns(secrets.with_findings(docs, own)).collect()
+    twice = spark.read.parquet(own.path).limit(10).collect()
+    again = spark.createDataFrame(twice, f"blob string, spans {secrets.SPANS}, version string")
+    again.write.mode("append").partitionBy("version").parquet(own.path)
+    assert sorted(map(str, secrets.digest_columns(secrets.with_findings(docs, own)).collect())) == sorted(map(str, before))
