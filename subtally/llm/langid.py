@@ -75,19 +75,24 @@ def lowered(text: pa.Array) -> list[str]:
 
 
 def training_grams(docs: DataFrame, sample: Sample) -> DataFrame:
-    """(lang, place, codes) of the sample: of each language the rows that come first by a hash of the id."""
-    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = F.xxhash64(F.col("doc_id"))
+    """(lang, place, codes) of the sample: of each language the rows that come first by a hash of the id, or of the text
+    where the id is null.
+    """
+    unnamed = F.when(F.col("doc_id").isNull(), F.sha2("text", 256)).alias("_unnamed")
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "doc_id", unnamed, "text")
+    name = ["doc_id", "_unnamed"]
+    order = F.xxhash64(*name)  # a null changes nothing in it
     # Repeated rows of an id are one candidate: a sample's places and texts are of different ids.
-    ordered = usable.select("lang", "doc_id").distinct().select("*", order.alias("_order"), F.pmod(order, F.lit(SALTS)).alias("_salt"))
+    ordered = usable.select("lang", *name).distinct().select("*", order.alias("_order"), F.pmod(order, F.lit(SALTS)).alias("_salt"))
     # First within parts of a language, so that what all tasks send of a common one doesn't meet in one place.
     for own in (("lang", "_salt"), ("lang",)):
-        place = F.row_number().over(Window.partitionBy(*own).orderBy("_order", "doc_id"))
+        place = F.row_number().over(Window.partitionBy(*own).orderBy("_order", *name))
         ordered = ordered.withColumn("_place", place).filter(F.col("_place") <= sample.per_language)
     first = ordered.orderBy("_place", "lang").limit(sample.most_texts)
-    chosen = first.groupBy("lang", "doc_id").agg(F.min("_place").alias("place"))
-    rows = usable.select("lang", "doc_id", "text").join(F.broadcast(chosen), ["lang", "doc_id"])
-    rows = rows.groupBy("lang", "doc_id").agg(F.min("place").alias("place"), F.max("text").alias("text"))  # at most most_texts rows
+    chosen = F.broadcast(first.groupBy("lang", *name).agg(F.min("_place").alias("place")).alias("chosen"))
+    same = [F.col(f"chosen.{c}").eqNullSafe(F.col(f"usable.{c}")) for c in ("lang", *name)]
+    rows = usable.alias("usable").join(chosen, same).select("usable.*", "place")
+    rows = rows.groupBy("lang", *name).agg(F.min("place").alias("place"), F.max("text").alias("text"))  # at most most_texts rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()

@@ -68,3 +68,11 @@ def test_a_repeated_id_takes_one_place_of_the_sample(documents):
     for most in (10, 600, 601):  # whether the repeated id is among the first or not
         grams = langid.training_grams(docs, langid.Sample(per_language=most, most_texts=most)).collect()
         assert sorted(r.place for r in grams) == list(range(1, most + 1))
+
+
+def test_rows_without_an_id_are_learned_from(spark, documents, labelled):
+    named = langid.fit(labelled)
+    unnamed = langid.fit(documents([(None, r.text, r.lang) for r in labelled.collect()], "doc_id bigint, text string, lang string", "unnamed"))
+    assert unnamed.languages == named.languages
+    texts = documents([(1, "der die und das haus"), (2, "the house and the street")], name="asked")
+    assert {r.doc_id: r.lang_pred for r in langid.identify(texts, unnamed).collect()} == {1: "de", 2: "en"}
