@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from subtally.llm.common import blank_parts, joined, texts
 
 MARK = "▁"
-# A table of distinct chunks never holds more; when full it starts afresh, which only costs time.
-TABLE_ROWS = 500_000
+# Bytes of a table of distinct chunks: beyond, it starts afresh with the next batch of texts, which only costs time.
+TABLE_BYTES = 192 << 20
+ENTRY_BYTES = 330  # of an entry besides its texts and ids
 
 
 def chunks_are_independent(model: bytes) -> bool:
@@ -49,6 +50,7 @@ class ChunkTable:
         self.decimal = [str(i) for i in range(self.processor.get_piece_size())]
         self.ids: dict[str, bytes] = {}
         self.decoded: dict[str, bytes] = {}
+        self.held = 0
         self.cut = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
     def encode(self, chunks: list[str]) -> list[list[int]]:
@@ -81,8 +83,12 @@ class ChunkTable:
             return
         found = self.encode(missing)
         name = self.decimal.__getitem__
-        self.ids.update(zip(missing, [(" ".join(map(name, x)) + " ").encode() for x in found], strict=True))
-        self.decoded.update(zip(missing, [x.encode() for x in self.decode(missing, found)], strict=True))
+        ids = [(" ".join(map(name, x)) + " ").encode() for x in found]
+        decoded = [x.encode() for x in self.decode(missing, found)]
+        self.ids.update(zip(missing, ids, strict=True))
+        self.decoded.update(zip(missing, decoded, strict=True))
+        # A chunk in Python takes up to four bytes a character, its decoded text is as long.
+        self.held += sum(map(len, ids)) + 3 * sum(map(len, decoded)) + ENTRY_BYTES * len(ids)
 
     def batch(self, text: pa.Array) -> Iterator[tuple[bytes, bytes]]:
         """(decimal ids joined by blanks, decoded UTF-8) of each text."""
@@ -99,10 +105,10 @@ class ChunkTable:
         named = {i: self.names(text[i].as_py()) for i in np.flatnonzero(odd).tolist()}
         wanted = list({*distinct}.union(*named.values())) if named else distinct
         missing = [x for x in wanted if x not in self.ids]
-        if len(self.ids) + len(missing) > TABLE_ROWS:
+        if self.held > TABLE_BYTES:
             self.ids.clear()
             self.decoded.clear()
-            missing = wanted
+            self.held, missing = 0, wanted
         self.fill([x for x in missing if " " not in x])
         self.fill([x for x in missing if " " in x])
         ids, at = joined(list(map(self.ids.__getitem__, distinct)), numbers, bounds)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pyarrow as pa
 from public_tokenizers import path
@@ -45,7 +46,7 @@ def test_a_model_whose_pieces_may_cross_markers_takes_whole_texts():
 
 
 def test_the_table_may_overflow(monkeypatch):
-    monkeypatch.setattr(pieces, "TABLE_ROWS", 10)
+    monkeypatch.setattr(pieces, "TABLE_BYTES", 3000)
     model = pieces.read_model(FILE)
     small, large = pieces.ChunkTable(model, True), pieces.ChunkTable(model, False)
     for seed in range(3):
@@ -53,5 +54,23 @@ def test_the_table_may_overflow(monkeypatch):
         assert list(small.batch(texts)) == list(large.batch(texts))
 
 
+def test_the_table_is_bounded_by_bytes():
+    """Long texts without blanks are chunks of many bytes each."""
+    table = pieces.ChunkTable(pieces.read_model(FILE), True)
+    rng = random.Random(2)
+    wide = ["".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(1000)) for _ in range(20)]
+    list(table.batch(pa.array(wide)))
+    one = table.held
+    real = sum(len(k.encode("utf-16")) + len(v) for part in (table.ids, table.decoded) for k, v in part.items())
+    assert one >= real
+    pieces_limit, pieces.TABLE_BYTES = pieces.TABLE_BYTES, one
+    try:
+        for k in range(5):
+            list(table.batch(pa.array([f"{k}{x}" for x in wide])))
+            assert table.held <= 2 * one + 100_000 and len(table.ids) <= 2 * len(wide)
+    finally:
+        pieces.TABLE_BYTES = pieces_limit
+
+
 def test_an_empty_table(documents):
     assert pieces.encode_decode(documents([]), FILE).count() == 0
