@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from subtally.llm.common import blank_parts, joined, texts
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, bucket int"
-# A table of distinct chunks never holds more; when full it starts afresh, which only costs time.
-TABLE_ROWS = 500_000
+# Bytes of a table of distinct chunks: beyond, it starts afresh with the next batch of texts, which only costs time.
+TABLE_BYTES = 192 << 20
+ENTRY_BYTES = 220  # of an entry besides its texts and ids
 # Stands for the ids of a blank-led chunk that could depend on its neighbours: the library gets the whole text.
 UNSAFE = b"?"
 # Fixed value: the public split pattern of byte-level BPE vocabularies of this kind.
@@ -49,6 +50,7 @@ class ChunkEncoder:
         self.odd = re.compile("|".join([r"[^\S \n]", *map(re.escape, self.special)]))
         self.by_rank = self.ranked(json.loads(tokenizer_json))
         self.table: dict[str, bytes] = {}
+        self.held = 0
 
     def ranked(self, spec: dict):
         """An encoder by rank, or None where the vocabulary isn't plain byte-level BPE in order of its merges."""
@@ -90,17 +92,20 @@ class ChunkEncoder:
         else:
             unsafe = {x for x in missing if x[:1] in ("", "\n")}
         safe = [x for x in missing if x not in unsafe] if unsafe else missing
-        self.table.update(zip(safe, self.chunks(safe), strict=True))
+        found = self.chunks(safe)
+        self.table.update(zip(safe, found, strict=True))
         self.table.update(dict.fromkeys(unsafe, UNSAFE))
+        # A chunk in Python takes up to four bytes a character.
+        self.held += sum(map(len, found)) + 4 * sum(map(len, missing)) + ENTRY_BYTES * len(missing)
 
     def batch(self, text: pa.Array) -> Iterator[bytes]:
         bounds, numbers, distinct = blank_parts(text)
         values = list(map(self.table.get, distinct))
         missing = [x for x, value in zip(distinct, values, strict=True) if value is None]
         if missing:
-            if len(self.table) + len(missing) > TABLE_ROWS:
+            if self.held > TABLE_BYTES:
                 self.table.clear()
-                missing = distinct
+                self.held, missing = 0, distinct
             self.fill(missing)
             values = list(map(self.table.__getitem__, distinct))
         flags = np.fromiter((x is UNSAFE for x in values), bool, len(values))[numbers.to_numpy()]

@@ -52,7 +52,7 @@ def test_the_table_of_chunks_may_overflow(monkeypatch):
 
     with open(FILE, encoding="utf-8") as file:
         encoder = packing.ChunkEncoder(file.read())
-    monkeypatch.setattr(packing, "TABLE_ROWS", 20)
+    monkeypatch.setattr(packing, "TABLE_BYTES", 6000)
     for seed in range(4):
         texts = mixed(seed, 30) + [prose(seed, 30)]
         for text, ids in zip(texts, encoder.batch(pa.array(texts)), strict=True):
