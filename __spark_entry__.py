@@ -21,7 +21,7 @@ import oracle  # noqa: E402
 from subtally import job  # noqa: E402
 from subtally.functions.numeric import finite  # noqa: E402
 from subtally.operators import history, ingest, intervals, quality  # noqa: E402
-from subtally.plans import analyses, dashboard, marts, revenue  # noqa: E402
+from subtally.plans import analyses, dashboard, marts, refresh, revenue, staging  # noqa: E402
 from subtally.plans.demo import Book  # noqa: E402
 from subtally.plans.staging import id_columns  # noqa: E402
 from subtally.session import prepare, shared_dir  # noqa: E402
@@ -156,6 +156,31 @@ def sample_by_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.sample_by_parent(raw, k=2).select("type", "id")
 
 
+def refreshed(read: Callable[[SparkSession, str, DataFrame], DataFrame]) -> Query:
+    """Revenue tables built after a first sync and refreshed after a second one.
+
+    The first has nine tenths of all objects; the second the others, and some that were there already.
+    """
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = shared_dir(prepare(spark), "refresh")
+        landing_dir, warehouse = f"{root}/landing", f"{root}/warehouse"
+        kinds = ("customers", "subscriptions", "events")
+        raw = {name: demo_billing.RAW[name](spark, sf_dir) for name in kinds}
+        for day, part in enumerate(("pmod(xxhash64(id), 10) < 9", "pmod(xxhash64(id), 10) >= 8"), 1):
+            for name in kinds:
+                rows = raw[name].filter(part).withColumn("pos", F.monotonically_increasing_id())
+                landing.write_landing(rows, landing_dir, name, f"2026-09-0{day}T00-00-00Z")
+            job.load_all(spark, landing_dir, warehouse, datetime(2026, 9, day, 6), only_new=True)
+            staged = staging.stg_subscriptions(job.raw_tables(spark, warehouse)["subscriptions"])
+            plans = save_mart(marts.dim_plan(staged), f"{root}/marts", "dim_plan", str(day))
+            tables = job.refresh_revenue(spark, warehouse, f"2026-09-0{day}T07-00-00Z", plans)
+        customers = staging.ids(job.raw_tables(spark, warehouse)["customers"], "customer_id")
+        return read(spark, tables, customers)
+
+    return query
+
+
 # --- history ----------------------------------------------------------------------------------
 
 
@@ -338,6 +363,8 @@ def core_queries() -> dict[str, Query]:
         ),
         "mrr_customer_monthly": book(lambda b: b.mrr_customer_monthly, EVENTS),
         "mrr_monthly": book(lambda b: b.mrr_monthly),
+        "mrr_monthly_refresh": refreshed(lambda spark, tables, customers: refresh.mrr_monthly(spark, tables)),
+        "mrr_customer_monthly_refresh": refreshed(refresh.mrr_customer_monthly),
         "scd2_incremental": scd2_incremental,
         "scd2_rebuild": book(lambda b: b.snapshot),
         "dim_subscription_history": book(lambda b: b.dim_subscription_history),

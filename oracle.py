@@ -389,6 +389,9 @@ def statements() -> dict[str, str]:
         "mrr_customer_monthly": f"SELECT customer_id, {_day('month')}, {_money('mrr', 'previous_mrr', 'mrr_change')}, "
         "movement FROM mcm",
         "mrr_monthly": f"SELECT {SERIES} FROM mm",
+        "mrr_monthly_refresh": f"SELECT {SERIES} FROM mm",
+        "mrr_customer_monthly_refresh": f"SELECT customer_id, {_day('month')}, {_money('mrr', 'previous_mrr', 'mrr_change')}, "
+        "movement FROM mcm",
         "scd2_incremental": f"SELECT {HISTORY} FROM year_history",
         "scd2_rebuild": f"SELECT {HISTORY} FROM month_history",
         "dim_subscription_history": "SELECT subscription_id, customer_id, status, plan_key, plan_name, billing_interval, "

@@ -33,10 +33,10 @@ from subtally.operators.ingest import (
     upsert,
 )
 from subtally.operators.quality import check, dashboard_check, declared_rules, freshness
-from subtally.plans import analyses, dashboard, marts, revenue
-from subtally.plans.staging import id_columns, ids, staging_views
+from subtally.plans import analyses, dashboard, marts, refresh
+from subtally.plans.staging import id_columns, ids, staging_views, stg_subscription_events
 from subtally.session import build_session
-from subtally.sources.buckets import read_buckets, update_buckets
+from subtally.sources.buckets import manifest, read_buckets, update_buckets
 from subtally.sources.landing import (
     OBJECT_TYPES,
     array_files,
@@ -50,25 +50,21 @@ from subtally.sources.landing import (
 from subtally.sources.state import load_state, save_state
 from subtally.sources.tables import (
     changed_at,
+    children,
+    drop_versions,
     load_marts,
     object_folders,
     plain_path,
     publish_views,
     read_current,
     save_mart,
+    versions,
     write_version,
 )
 from subtally.streaming.load import newest_batch, read_changes, stream_load
 
-MARTS = [
-    "dim_plan",
-    "dim_customer",
-    "fct_invoices",
-    "fct_subscription_events",
-    "mrr_customer_monthly",
-    "mrr_monthly",
-    "dim_subscription_history",
-]
+# Marts that a build writes in full; those of revenue follow the change set, see plans/refresh.py.
+MARTS = ["dim_plan", "dim_customer", "fct_invoices", "dim_subscription_history"]
 
 
 # Sizes that depend on the business; the check step takes bounds for them.
@@ -171,6 +167,60 @@ def raw_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     return {name: read_buckets(spark, f"{warehouse}/raw/{name}", RAW) for name in OBJECT_TYPES}
 
 
+def loaded_since(spark: SparkSession, root: str, since: str | None) -> DataFrame:
+    """The rows of a raw table that a load has written at or after a version; only buckets written since are read."""
+    if since is None:
+        return read_buckets(spark, root, RAW)
+    wanted = [b for b, v in manifest(spark, root).items() if v is not None and v >= since]
+    return read_buckets(spark, root, RAW, only=wanted).filter(F.col("loaded_at") >= F.to_timestamp(F.lit(since), "yyyy-MM-dd'T'HH-mm-ss'Z'"))
+
+
+def revenue_root(warehouse: str, plans: DataFrame) -> str:
+    """Where the revenue tables for a price list are: other prices make other amounts of events that didn't change."""
+    mark = plans.agg(F.concat_ws("-", F.count("*"), F.hex(F.expr(f"bit_xor(xxhash64({', '.join(sorted(plans.columns))}))")))).first()[0]
+    return f"{warehouse}/revenue/prices-{mark}"
+
+
+def refresh_revenue(spark: SparkSession, warehouse: str, version: str, plans: DataFrame) -> str:
+    """Brings the revenue tables up to date with what was loaded since; returns where they are.
+
+    With another price list than before everything is new, and the tables of the old one go afterwards.
+    """
+    root, raw = revenue_root(warehouse, plans), f"{warehouse}/raw"
+    since = max((v for v in versions(spark, f"{root}/flows") if v < version), default=None)
+    changed = {name: loaded_since(spark, f"{raw}/{name}", since) for name in ("events", "subscriptions", "customers")}
+    tables = raw_tables(spark, warehouse)
+    loaded = refresh.Loaded(
+        events=stg_subscription_events(changed["events"]),
+        event_ids=ids(changed["events"], "event_id"),
+        subscriptions=ids(changed["subscriptions"], "subscription_id"),
+        customers=ids(changed["customers"], "customer_id"),
+        subscription_ids=ids(tables["subscriptions"], "subscription_id"),
+        customer_ids=ids(tables["customers"], "customer_id"),
+    )
+    refresh.refresh(spark, root, version, loaded, plans)
+    name = root.rsplit("/", 1)[1]
+    drop_versions(spark, f"{warehouse}/revenue", [n.removeprefix("prices-") for n in children(spark, f"{warehouse}/revenue") if n != name], label="prices", joint="-")
+    return root
+
+
+def revenue_marts(spark: SparkSession, warehouse: str, plans: DataFrame) -> dict[str, DataFrame]:
+    root = revenue_root(warehouse, plans)
+    if refresh.last_refresh(spark, root) is None:
+        raise ValueError(f"never built under {root}: fct_subscription_events, mrr_customer_monthly, mrr_monthly")
+    customers = ids(raw_tables(spark, warehouse)["customers"], "customer_id")
+    return {
+        "fct_subscription_events": refresh.lifecycle_events(spark, root),
+        "mrr_customer_monthly": refresh.mrr_customer_monthly(spark, root, customers),
+        "mrr_monthly": refresh.mrr_monthly(spark, root),
+    }
+
+
+def all_marts(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
+    stored = load_marts(spark, f"{warehouse}/marts", MARTS)
+    return {**stored, **revenue_marts(spark, warehouse, stored["dim_plan"])}
+
+
 def build(spark: SparkSession, warehouse: str, at: datetime) -> dict[str, DataFrame]:
     """Staging views, one snapshot run, and the marts in dependency order, each read back from Parquet."""
     staging = staging_views(raw_tables(spark, warehouse))
@@ -183,28 +233,23 @@ def build(spark: SparkSession, warehouse: str, at: datetime) -> dict[str, DataFr
     plans = save("dim_plan", marts.dim_plan(staging["stg_subscriptions"]))
     history = f"{warehouse}/snapshots/subscriptions"
     snapshot_run(spark, history, staging["stg_subscriptions"], "subscription_id", marts.SNAPSHOT_CHECK, at)
-    raw = raw_tables(spark, warehouse)
-    known, customers = ids(raw["subscriptions"], "subscription_id"), ids(raw["customers"], "customer_id")
+    refresh_revenue(spark, warehouse, version, plans)
     invoices = save("fct_invoices", marts.fct_invoices(staging["stg_invoices"], plans))
-    events = save("fct_subscription_events", marts.fct_subscription_events(staging["stg_subscription_events"], known, plans))
     built = {
         "dim_plan": plans,
         "fct_invoices": invoices,
-        "fct_subscription_events": events,
         "dim_customer": save(
             "dim_customer", marts.dim_customer(staging["stg_customers"], staging["stg_subscriptions"], invoices)
         ),
-        "mrr_customer_monthly": save("mrr_customer_monthly", revenue.mrr_customer_monthly(customers, events)),
-        "mrr_monthly": save("mrr_monthly", revenue.mrr_monthly(customers, events)),
         "dim_subscription_history": save(
             "dim_subscription_history", marts.dim_subscription_history(read_history(spark, history), plans)
         ),
     }
-    return {**staging, **built}
+    return {**staging, **built, **revenue_marts(spark, warehouse, plans)}
 
 
 def everything(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    return {**staging_views(raw_tables(spark, warehouse)), **load_marts(spark, f"{warehouse}/marts", MARTS)}
+    return {**staging_views(raw_tables(spark, warehouse)), **all_marts(spark, warehouse)}
 
 
 def check_all(spark: SparkSession, warehouse: str, **bounds) -> DataFrame:
@@ -212,7 +257,7 @@ def check_all(spark: SparkSession, warehouse: str, **bounds) -> DataFrame:
 
 
 def export(spark: SparkSession, warehouse: str, at: datetime) -> DataFrame:
-    tables = load_marts(spark, f"{warehouse}/marts", MARTS)
+    tables = all_marts(spark, warehouse)
     retention = dashboard.cohort_retention(tables["dim_customer"], tables["fct_subscription_events"])
     return dashboard.dashboard_payload(
         at.isoformat(timespec="seconds"),
@@ -225,7 +270,7 @@ def export(spark: SparkSession, warehouse: str, at: datetime) -> DataFrame:
 
 def analyze(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     """Every analysis and dashboard table, by name, from the stored marts."""
-    t = load_marts(spark, f"{warehouse}/marts", MARTS)
+    t = all_marts(spark, warehouse)
     charges = staging_views(raw_tables(spark, warehouse))["stg_charges"]
     customers, events, invoices, months = t["dim_customer"], t["fct_subscription_events"], t["fct_invoices"], t["mrr_monthly"]
     retention = dashboard.cohort_retention(customers, events)
@@ -315,7 +360,7 @@ def run_check(spark: SparkSession, warehouse: str, now: datetime, limits: dict)
     for row in sorted(report, key=lambda r: (r.passed, r.table_name)):
         print(*row)
     ages = freshness(raw_tables(spark, warehouse), now).collect()  # one row per table
-    series = load_marts(spark, f"{warehouse}/marts", ["mrr_monthly"])["mrr_monthly"]
+    series = all_marts(spark, warehouse)["mrr_monthly"]
     summary = dashboard_check(dashboard.export_mrr_series(series)).first()
     print(*ages, summary, sep="\n")
     return int(not (all(r.passed for r in report) and all(r.status != "error" for r in ages) and summary.passed))

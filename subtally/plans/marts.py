@@ -112,25 +112,40 @@ def fct_subscription_events(
     no MRR and an update to or from it cannot be classified. Unclassified events drop out, before
     the only shuffle of this plan.
     """
+    known = stg_subscriptions.select("subscription_id")
+    return classified(stg_subscription_events, plans).join(known, "subscription_id", "left_semi").select(*LIFECYCLE)
+
+
+# The columns of the mart.
+LIFECYCLE = (
+    "event_id",
+    "subscription_id",
+    "customer_id",
+    "event_type",
+    "occurred_at",
+    "plan_key",
+    "previous_plan_key",
+    "mrr_before",
+    "mrr_after",
+)
+
+
+def classified(stg_subscription_events: DataFrame, plans: DataFrame) -> DataFrame:
+    """The lifecycle rows of all events, whether their subscription is known or not."""
     now = plans.selectExpr("plan_key", "plan_key AS plan_now", "mrr_amount AS mrr_now")
     then = plans.selectExpr("plan_key AS previous_plan_key", "plan_key AS plan_then", "mrr_amount AS mrr_then")
-    known = stg_subscriptions.select("subscription_id")
     priced = stg_subscription_events.join(now, "plan_key", "left").join(then, "previous_plan_key", "left")
-    return (
-        priced.withColumn("step", lifecycle_step())
-        .filter("step IS NOT NULL")
-        .join(known, "subscription_id", "left_semi")
-        .selectExpr(
-            "event_id",
-            "subscription_id",
-            "customer_id",
-            "step.event_type",
-            "step.occurred_at",
-            "plan_now AS plan_key",
-            "plan_then AS previous_plan_key",
-            "step.mrr_before",
-            "step.mrr_after",
-        )
+    own = priced.withColumn("step", lifecycle_step()).filter("step IS NOT NULL")
+    return own.selectExpr(
+        "event_id",
+        "subscription_id",
+        "customer_id",
+        "step.event_type",
+        "step.occurred_at",
+        "plan_now AS plan_key",
+        "plan_then AS previous_plan_key",
+        "step.mrr_before",
+        "step.mrr_after",
     )
 
 

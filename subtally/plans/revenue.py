@@ -43,8 +43,8 @@ def customer_month_grid(stg_customers: DataFrame, fct_events: DataFrame) -> Data
     )
 
 
-def customer_month_deltas(fct_events: DataFrame) -> DataFrame:
-    """Change of each customer's month-end MRR, for the months in which anything happened.
+def subscription_deltas(fct_events: DataFrame) -> DataFrame:
+    """(customer_id, subscription_id, month, delta): what each subscription changes in the months in which anything happened.
 
     Only the last event of a subscription's month is still open at the month's end. An event
     without a time opens nothing and, sorting last, closes nothing.
@@ -59,20 +59,25 @@ def customer_month_deltas(fct_events: DataFrame) -> DataFrame:
             ).alias("now")
         )
     )
-    return (
-        last_of_month.selectExpr("*", "lag(now) OVER (PARTITION BY subscription_id ORDER BY month) AS then")
-        .selectExpr(
-            "month",
-            """inline(filter(
-                 array(struct(now.customer_id AS customer_id, now.mrr AS delta),
-                       struct(then.customer_id AS customer_id, cast(-then.mrr AS decimal(22,2)) AS delta)),
-                 d -> d.delta IS NOT NULL))""",
-        )
-        .groupBy("customer_id", "month")
-        .agg(F.expr("cast(sum(delta) AS decimal(22,2))").alias("delta"))
+    return last_of_month.selectExpr("*", "lag(now) OVER (PARTITION BY subscription_id ORDER BY month) AS then").selectExpr(
+        "subscription_id",
+        "month",
+        """inline(filter(
+             array(struct(now.customer_id AS customer_id, now.mrr AS delta),
+                   struct(then.customer_id AS customer_id, cast(-then.mrr AS decimal(22,2)) AS delta)),
+             d -> d.delta IS NOT NULL))""",
     )
 
 
+def summed(deltas: DataFrame) -> DataFrame:
+    """Change of each customer's month-end MRR, from those of its subscriptions."""
+    return deltas.groupBy("customer_id", "month").agg(F.expr("cast(sum(delta) AS decimal(22,2))").alias("delta"))
+
+
+def customer_month_deltas(fct_events: DataFrame) -> DataFrame:
+    return summed(subscription_deltas(fct_events))
+
+
 def with_movement(deltas: DataFrame) -> DataFrame:
     """Accumulate the deltas of each customer and name the movement of each change."""
     months = "PARTITION BY customer_id ORDER BY month"
@@ -98,15 +103,17 @@ def with_movement(deltas: DataFrame) -> DataFrame:
 
 
 def mrr_customer_monthly(stg_customers: DataFrame, fct_events: DataFrame) -> DataFrame:
-    """Customer x month: month-end MRR, the month before, and the movement between them.
+    """Customer x month: month-end MRR, the month before, and the movement between them."""
+    changes = with_movement(stg_customers.select("customer_id").join(customer_month_deltas(fct_events), "customer_id", "left"))
+    return unfolded(changes, bounds(fct_events))
+
 
-    Each change row unfolds into the months until the next change; the first one also covers the
-    months before it, and a customer without events covers them all at zero.
+def unfolded(changes: DataFrame, ends: Column) -> DataFrame:
+    """Each change row unfolds into the months until the next change; the first one also covers the
+    months before it, and a customer without events, whose one row has no month, covers them all at zero.
     """
-    deltas = customer_month_deltas(fct_events)
-    changes = with_movement(stg_customers.select("customer_id").join(deltas, "customer_id", "left"))
     return (
-        changes.select("*", bounds(fct_events))
+        changes.select("*", ends)
         .selectExpr(
             "*",
             "if(is_first, ends.first_month, month) AS start",
@@ -143,17 +150,24 @@ def month_end_mrr_join(stg_customers: DataFrame, fct_events: DataFrame, segments
 
 
 def mrr_monthly(stg_customers: DataFrame, fct_events: DataFrame) -> DataFrame:
-    """Monthly waterfall straight from the changes, without the customer x month table.
+    """Monthly waterfall straight from the changes, without the customer x month table."""
+    changes = with_movement(customer_month_deltas(fct_events).transform(marked_known, stg_customers))
+    return series(month_flows(changes))
 
-    A month's totals are the running sums of the changes up to it. After the first aggregation
-    there is one row per month, so the unpartitioned window sees the calendar and nothing else.
-    """
-    # Changes of unknown customers count for nothing, but their months still stretch the calendar.
-    roster = stg_customers.selectExpr("customer_id", "true AS is_known")
-    changes = with_movement(customer_month_deltas(fct_events).join(roster, "customer_id", "left"))
-    flows = [f"{kind}_mrr" for kind in MOVEMENTS] + ["new_customers", "churned_customers"]
-    per_month = changes.groupBy("month").agg(
-        F.expr("coalesce(sum(mrr - previous_mrr) FILTER (WHERE is_known), 0)").alias("change"),
+
+def marked_known(rows: DataFrame, stg_customers: DataFrame) -> DataFrame:
+    """Changes of unknown customers count for nothing, but their months still stretch the calendar."""
+    return rows.join(stg_customers.selectExpr("customer_id", "true AS is_known"), "customer_id", "left")
+
+
+FLOWS = [f"{kind}_mrr" for kind in MOVEMENTS] + ["new_customers", "churned_customers"]
+
+
+def month_flows(changes: DataFrame) -> DataFrame:
+    """What the changes of each month add up to. Every column is a sum, so flows of disjoint sets of customers add."""
+    return changes.groupBy("month").agg(
+        F.count("*").alias("n_changes"),
+        F.expr("cast(coalesce(sum(mrr - previous_mrr) FILTER (WHERE is_known), 0) AS decimal(32,2))").alias("change"),
         F.expr("coalesce(sum(int(mrr > 0) - int(previous_mrr > 0)) FILTER (WHERE is_known), 0)").alias("turned"),
         *[
             F.expr(
@@ -165,17 +179,23 @@ def mrr_monthly(stg_customers: DataFrame, fct_events: DataFrame) -> DataFrame:
         F.expr("count_if(is_known AND movement = 'new')").alias("new_customers"),
         F.expr("count_if(is_known AND movement = 'churn')").alias("churned_customers"),
     )
+
+
+def series(flows: DataFrame) -> DataFrame:
+    """A month's totals are the running sums of the flows up to it. There is one row per month, so the
+    unpartitioned window sees the calendar and nothing else.
+    """
     return (
-        per_month.selectExpr(
+        flows.selectExpr(
             "month AS changed",
             "cast(sum(change) OVER (ORDER BY month) AS decimal(22,2)) AS mrr",
             "sum(turned) OVER (ORDER BY month) AS active_customers",
             "coalesce(add_months(lead(month) OVER (ORDER BY month), -1), month) AS until",
-            *flows,
+            *FLOWS,
         )
         .selectExpr("*", f"explode({month_range('changed', 'until')}) AS month")
         .selectExpr(
-            "month", "mrr", "active_customers", *[f"if(month = changed, {flow}, 0) AS {flow}" for flow in flows]
+            "month", "mrr", "active_customers", *[f"if(month = changed, {flow}, 0) AS {flow}" for flow in FLOWS]
         )
         .orderBy("month")
     )

@@ -74,6 +74,12 @@ def replace_buckets(root: str, version: str, rows: DataFrame, touched: Iterable[
     return touched
 
 
+def forget_after(spark: SparkSession, root: str, version: str) -> None:
+    """Takes back what was written after a version, for a table that is one of several that change together."""
+    newer = [v for v in versions(spark, f"{root}/manifest") if v > version]
+    drop_versions(spark, f"{root}/manifest", newer)
+
+
 def drop_unnamed(spark: SparkSession, root: str, keep: int) -> None:
     """Deletes manifests but the newest ``keep``, and every bucket folder that none of those names."""
     known = versions(spark, f"{root}/manifest")

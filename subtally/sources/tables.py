@@ -48,9 +48,9 @@ def write_version(df: DataFrame, root: str, version: str, keep: int = 2) -> None
     drop_versions(df.sparkSession, root, versions(df.sparkSession, root)[:-keep])
 
 
-def drop_versions(spark: SparkSession, root: str, names: list[str], label: str = "version") -> None:
+def drop_versions(spark: SparkSession, root: str, names: list[str], label: str = "version", joint: str = "=") -> None:
     for name in names:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{label}={name}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{label}{joint}{name}")
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
