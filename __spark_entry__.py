@@ -27,6 +27,7 @@ from subtally.plans.staging import id_columns  # noqa: E402
 from subtally.session import prepare, shared_dir  # noqa: E402
 from subtally.sources import demo_billing, landing, state  # noqa: E402
 from subtally.sources.tables import save_mart  # noqa: E402
+from subtally.streaming.history import read_stream_history, stream_history  # noqa: E402
 from subtally.streaming.load import read_changes, stream_load  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,6 +196,18 @@ def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.read_history(spark, f"{root}/history")
 
 
+def history_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly snapshots that arrive in three lots, each taken up by a stream that starts again."""
+    root = shared_dir(prepare(spark), "history-stream")
+    batches = save_mart(demo_billing.subscription_snapshots(spark, sf_dir, "month"), root, "batches")
+    for lot in ("run < '1994-01-01'", "run >= '1994-01-01' AND run < '1997-01-01'", "run >= '1997-01-01'"):
+        batches.filter(lot).write.mode("append").parquet(f"{root}/landing")
+        stream_history(
+            spark, f"{root}/landing", batches.schema, f"{root}/history", f"{root}/checkpoint", "subscription_id", marts.SNAPSHOT_CHECK
+        )
+    return read_stream_history(spark, f"{root}/history", batches.schema)
+
+
 def history_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = history.state_as_of(Book(spark, sf_dir).dim_subscription_history, AS_OF)
     return rows.select("subscription_id", "customer_id", "status", "plan_key", "mrr_amount", "valid_from", "valid_to")
@@ -349,6 +362,12 @@ def core_queries() -> dict[str, Query]:
         "dim_customer": book(lambda b: b.dim_customer),
         "fct_invoices": book(lambda b: b.fct_invoices),
         "fct_subscription_events": book(lambda b: b.fct_subscription_events),
+        "plan_prices": book(lambda b: marts.plan_prices(staging.event_prices(b.raw("events")))),
+        "fct_subscription_events_own_prices": book(
+            lambda b: marts.fct_subscription_events_at_own_prices(
+                b.stg_subscription_events, b.subscription_ids, b.stored("plan_prices", marts.plan_prices(staging.event_prices(b.raw("events"))))
+            )
+        ),
         "mrr_segments": book(lambda b: marts.mrr_segments(b.fct_subscription_events)),
         "month_spine": book(lambda b: revenue.month_spine(b.fct_subscription_events)),
         "customer_month_grid": book(
@@ -366,6 +385,7 @@ def core_queries() -> dict[str, Query]:
         "mrr_monthly_refresh": refreshed(lambda spark, tables, customers: refresh.mrr_monthly(spark, tables)),
         "mrr_customer_monthly_refresh": refreshed(refresh.mrr_customer_monthly),
         "scd2_incremental": scd2_incremental,
+        "history_stream": history_stream,
         "scd2_rebuild": book(lambda b: b.snapshot),
         "dim_subscription_history": book(lambda b: b.dim_subscription_history),
         "history_as_of": history_as_of,

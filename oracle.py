@@ -378,6 +378,10 @@ def statements() -> dict[str, str]:
         f"{_money('amount_due', 'amount_paid', 'amount_unpaid')}, attempt_count FROM fct_invoices",
         "fct_subscription_events": "SELECT event_id, subscription_id, customer_id, event_type, plan_key, previous_plan_key, "
         f"{_ts('occurred_at')}, {_money('mrr_before', 'mrr_after')} FROM fct_events",
+        "plan_prices": "SELECT plan_key, mrr_amount::DOUBLE AS mrr_amount, NULL::VARCHAR AS valid_from, NULL::VARCHAR AS valid_to FROM priced "
+        "WHERE k IN (SELECT k FROM o)",
+        "fct_subscription_events_own_prices": f"SELECT event_id, subscription_id, customer_id, event_type, {_ts('occurred_at')}, plan_key, "
+        f"previous_plan_key, {_money('mrr_before', 'mrr_after')} FROM fct_events",
         "mrr_segments": f"SELECT customer_id, subscription_id, event_id, {_ts('valid_from', 'valid_to')}, mrr::DOUBLE AS mrr FROM "
         "(SELECT *, occurred_at AS valid_from, mrr_after AS mrr, lead(occurred_at) OVER (PARTITION BY subscription_id "
         "ORDER BY occurred_at NULLS LAST, event_id) AS valid_to FROM fct_events)",
@@ -393,6 +397,7 @@ def statements() -> dict[str, str]:
         "mrr_customer_monthly_refresh": f"SELECT customer_id, {_day('month')}, {_money('mrr', 'previous_mrr', 'mrr_change')}, "
         "movement FROM mcm",
         "scd2_incremental": f"SELECT {HISTORY} FROM year_history",
+        "history_stream": f"SELECT {HISTORY} FROM month_history",
         "scd2_rebuild": f"SELECT {HISTORY} FROM month_history",
         "dim_subscription_history": "SELECT subscription_id, customer_id, status, plan_key, plan_name, billing_interval, "
         f"{_money('mrr_amount')}, {_ts('valid_from', 'valid_to')}, is_current FROM sub_history",

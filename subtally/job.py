@@ -19,7 +19,7 @@ import argparse
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from subtally.operators.history import read_history, snapshot_run, state_as_of
@@ -38,10 +38,11 @@ from subtally.plans.staging import id_columns, ids, staging_views, stg_subscript
 from subtally.session import build_session
 from subtally.sources.buckets import manifest, read_buckets, update_buckets
 from subtally.sources.landing import (
+    LINES,
     OBJECT_TYPES,
-    array_files,
+    array_elements,
     entries,
-    explode_array_files,
+    files_of,
     folder_stamp,
     in_utc,
     scan,
@@ -120,6 +121,15 @@ def unseen(spark: SparkSession, folder: str, seen: DataFrame | None) -> tuple[li
     return fresh, spark.createDataFrame(sorted({**known, **now}.items()), LOADED)
 
 
+def load_entries(spark: SparkSession, root: str, version: str, folder: str, names: list[str] | None, at: datetime) -> None:
+    """Merges entries of a landing folder into a raw table; an array file without an end raises, and is read again next time."""
+    ended = Observation()
+    lines = any(name.startswith(LINES) for name in (entries(spark, folder) if names is None else names))
+    merge_raw(spark, root, version, latest_snapshot(scan(spark, folder, names, ended)), at)
+    if not lines and ended.get["files"] < files_of(spark, folder, names):
+        raise ValueError(f"MALFORMED_RECORD: an array file under {folder} has no end")
+
+
 def load_all(spark: SparkSession, landing: str, warehouse: str, at: datetime, only_new: bool = False) -> DataFrame:
     """Upsert every object folder into its raw table; report (type, upserted, n_rows) from what was written.
 
@@ -135,7 +145,7 @@ def load_all(spark: SparkSession, landing: str, warehouse: str, at: datetime, on
         if not only_new:
             names = None
         if names is None or names:
-            merge_raw(spark, root, version, latest_snapshot(scan(spark, folder, names)), at)
+            load_entries(spark, root, version, folder, names, at)
         write_version(read.coalesce(1), log, version)
         table = read_buckets(spark, root, RAW)
         reports.append(
@@ -305,10 +315,10 @@ def feed_rows(spark: SparkSession, folder: str) -> DataFrame:
 
     Files are numbered, not their rows: nothing is sorted but one row per file.
     """
-    rows = explode_array_files(array_files(spark, folder))
+    rows = array_elements(spark, folder)
     order = Window.orderBy("file")
     numbers = rows.select("file").distinct().select("file", F.row_number().over(order).cast("bigint").alias("n"))
-    place = F.shiftleft(F.col("n"), 32) + F.col("pos")
+    place = F.shiftleft(F.col("n"), 40) + F.col("pos")
     return rows.join(numbers, "file").select((-place).alias("source_pos"), "data")
 
 

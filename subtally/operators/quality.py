@@ -1,6 +1,7 @@
 """Data tests: every rule reports how many rows or values break it, and passes at zero.
 
-Rules that look at one row at a time share a single aggregation per table.
+Rules that look at one row at a time, and counts of rows, share a single aggregation per table. Rules about repeated values
+share one aggregation for all tables: their values are stacked as (rule, value).
 """
 
 from __future__ import annotations
@@ -109,41 +110,47 @@ def _row(rule: Rule, failed: Column) -> Column:
 
 
 def _rowwise(table: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    counted = table.agg(*[F.count_if(rule.broken()).alias(f"r{i}") for i, rule in enumerate(rules)])
+    def failures(rule: Rule) -> Column:
+        if not isinstance(rule, RowCountBetween):
+            return F.count_if(rule.broken())
+        rows, outside = F.count(F.lit(1)), F.lit(False)
+        if rule.low is not None:
+            outside = outside | (rows < rule.low)
+        if rule.high is not None:
+            outside = outside | (rows > rule.high)
+        return outside.cast("int")
+
+    counted = table.agg(*[failures(rule).alias(f"r{i}") for i, rule in enumerate(rules)])
     return counted.select(F.inline(F.array(*[_row(rule, F.col(f"r{i}")) for i, rule in enumerate(rules)])))
 
 
-def _repeated(frame: DataFrame, column: str) -> DataFrame:
-    return (
-        frame.filter(F.col(column).isNotNull())
-        .groupBy(column)
+def _repeated(
+    tables: dict[str, DataFrame], rules: Sequence[Unique | OneCurrentRow], columns: dict[tuple[str, str], DataFrame]
+) -> DataFrame:
+    """How many values occur more than once, for all rules by one exchange; every table is read once."""
+    frames: dict[tuple, tuple[DataFrame, list[Column]]] = {}
+    for i, rule in enumerate(rules):
+        cheap = (rule.table, rule.column) if isinstance(rule, Unique) and (rule.table, rule.column) in columns else None
+        frame, values = frames.setdefault(cheap or (rule.table,), (columns[cheap] if cheap else tables[rule.table], []))
+        value = F.col(rule.column).cast("string")
+        own = F.when(F.col(rule.flag), value) if isinstance(rule, OneCurrentRow) else value
+        values.append(F.struct(F.lit(i).alias("rule"), own.alias("value")))
+    stacked = reduce(DataFrame.unionByName, [f.select(F.inline(F.array(*values))) for f, values in frames.values()])
+    counts = stacked.filter("value IS NOT NULL").groupBy("rule", "value").agg(F.count("*").alias("n"))
+    failed = counts.agg(*[F.count_if((F.col("rule") == i) & (F.col("n") > 1)).alias(f"r{i}") for i in range(len(rules))])
+    return failed.select(F.inline(F.array(*[_row(rule, F.col(f"r{i}")) for i, rule in enumerate(rules)])))
+
+
+def _orphans(tables: dict[str, DataFrame], rule: Relationship) -> DataFrame:
+    # Count the children per key first, so a hot key is one row in the join.
+    children = (
+        tables[rule.table]
+        .filter(F.col(rule.column).isNotNull())
+        .groupBy(F.col(rule.column).alias("k"))
         .agg(F.count("*").alias("n"))
-        .agg(F.count_if(F.col("n") > 1).alias("n"))
     )
-
-
-def _single(tables: dict[str, DataFrame], rule: Rule, columns: dict[tuple[str, str], DataFrame]) -> DataFrame:
-    frame = columns.get((rule.table, rule.column), tables[rule.table])
-    if isinstance(rule, Unique):
-        counted = _repeated(frame, rule.column)
-    elif isinstance(rule, OneCurrentRow):
-        counted = _repeated(frame.filter(rule.flag), rule.column)
-    elif isinstance(rule, Relationship):
-        # Count the children per key first, so a hot key is one row in the join.
-        children = (
-            frame.filter(F.col(rule.column).isNotNull())
-            .groupBy(F.col(rule.column).alias("k"))
-            .agg(F.count("*").alias("n"))
-        )
-        parents = tables[rule.parent].select(F.col(rule.parent_column).alias("k"))
-        counted = children.join(parents, "k", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    else:
-        outside = F.lit(False)
-        if rule.low is not None:
-            outside = outside | (F.col("rows") < rule.low)
-        if rule.high is not None:
-            outside = outside | (F.col("rows") > rule.high)
-        counted = frame.agg(F.count("*").alias("rows")).select(outside.cast("int").alias("n"))
+    parents = tables[rule.parent].select(F.col(rule.parent_column).alias("k"))
+    counted = children.join(parents, "k", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     return counted.select(F.inline(F.array(_row(rule, F.col("n")))))
 
 
@@ -155,13 +162,17 @@ def check(
     ``columns`` may hold, by table and column, a cheaper frame of that column alone for rules that need no more.
     """
     rowwise: dict[str, list[Rule]] = {}
-    parts = []
+    repeated, parts = [], []
     for rule in rules:
-        if hasattr(rule, "broken"):
-            rowwise.setdefault(rule.table, []).append(rule)
+        if isinstance(rule, (Unique, OneCurrentRow)):
+            repeated.append(rule)
+        elif isinstance(rule, Relationship):
+            parts.append(_orphans(tables, rule))
         else:
-            parts.append(_single(tables, rule, columns or {}))
+            rowwise.setdefault(rule.table, []).append(rule)
     parts += [_rowwise(tables[name], group) for name, group in rowwise.items()]
+    if repeated:
+        parts.append(_repeated(tables, repeated, columns or {}))
     return reduce(DataFrame.unionByName, parts)
 
 

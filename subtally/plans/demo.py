@@ -26,7 +26,10 @@ class Book:
         self.keep = keep
 
     def _mart(self, name: str, frame: DataFrame) -> DataFrame:
-        return save_mart(frame, shared_dir(self.spark, "marts"), name) if name in self.keep else frame
+        return self.stored(name, frame) if name in self.keep else frame
+
+    def stored(self, name: str, frame: DataFrame) -> DataFrame:
+        return save_mart(frame, shared_dir(self.spark, "marts"), name)
 
     def raw(self, name: str) -> DataFrame:
         return demo_billing.RAW[name](self.spark, self.sf_dir)
@@ -54,7 +57,7 @@ class Book:
     @cached_property
     def plans(self) -> DataFrame:
         """dim_plan as a table, as in production: a few rows that several joins read."""
-        return save_mart(self.dim_plan, shared_dir(self.spark, "marts"), "dim_plan")
+        return self.stored("dim_plan", self.dim_plan)
 
     @cached_property
     def subscription_ids(self) -> DataFrame:

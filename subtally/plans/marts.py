@@ -12,14 +12,36 @@ from subtally.operators.neighbours import TASK_ROWS, with_neighbours
 SNAPSHOT_CHECK = ("status", "plan_key", "canceled_at")
 
 
+MONTHLY = (
+    f"CASE billing_interval WHEN 'year' THEN cast({round_scaled('cast(price_amount AS double) / 12', 2)} AS decimal(12,2)) "
+    "ELSE price_amount END"
+)
+
+
 def dim_plan(stg_subscriptions: DataFrame) -> DataFrame:
     """One row per price seen on a current subscription; yearly prices become monthly amounts."""
-    monthly = f"cast({round_scaled('cast(price_amount AS double) / 12', 2)} AS decimal(12,2))"
     attributes = ["price_id", "plan_key", "plan_name", "billing_interval", "price_amount"]
     return (
         stg_subscriptions.select(*attributes)
         .distinct()
-        .selectExpr(*attributes, f"CASE billing_interval WHEN 'year' THEN {monthly} ELSE price_amount END AS mrr_amount")
+        .selectExpr(*attributes, f"{MONTHLY} AS mrr_amount")
+    )
+
+
+def plan_prices(event_prices: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """(plan_key, mrr_amount, valid_from, valid_to): what each plan cost when, as the events themselves tell.
+
+    A price holds from the first event that shows it until another one is seen; of two at one instant that of the later
+    event id counts. Before a plan was first seen it counts at its first price, so that interval has no beginning. A plan
+    may be on a large share of all events, so neighbours are found by stretches; price changes are few.
+    """
+    seen = event_prices.filter("plan_key IS NOT NULL AND seen_at IS NOT NULL AND price_amount IS NOT NULL")
+    at_once = seen.groupBy("plan_key", "seen_at").agg(F.expr(f"max_by({MONTHLY}, event_id)").alias("mrr_amount"))
+    steps = with_neighbours(at_once, "plan_key", ("seen_at",), ("mrr_amount",), previous="before", task_rows=task_rows)
+    changes = steps.filter("before IS NULL OR before.mrr_amount <> mrr_amount")
+    by_time = "OVER (PARTITION BY plan_key ORDER BY seen_at)"
+    return changes.selectExpr(
+        "plan_key", "mrr_amount", "if(before IS NULL, NULL, seen_at) AS valid_from", f"lead(seen_at) {by_time} AS valid_to"
     )
 
 
@@ -130,11 +152,31 @@ LIFECYCLE = (
 )
 
 
+def fct_subscription_events_at_own_prices(
+    stg_subscription_events: DataFrame, stg_subscriptions: DataFrame, prices: DataFrame
+) -> DataFrame:
+    """The same with the prices of ``plan_prices`` as of each event: plans that nobody holds any more have theirs too."""
+
+    def as_of(side: str, key: str) -> tuple[DataFrame, Column]:
+        own = prices.selectExpr(f"plan_key AS plan_{side}", f"mrr_amount AS mrr_{side}", f"valid_from AS from_{side}", f"valid_to AS to_{side}")
+        began = f"(from_{side} IS NULL OR from_{side} <= period_start)"
+        return own, F.expr(f"{key} = plan_{side} AND {began} AND (to_{side} IS NULL OR period_start < to_{side})")
+
+    now, then = as_of("now", "plan_key"), as_of("then", "previous_plan_key")
+    priced = stg_subscription_events.join(*now, "left").join(*then, "left")
+    known = stg_subscriptions.select("subscription_id")
+    return lifecycle_rows(priced).join(known, "subscription_id", "left_semi").select(*LIFECYCLE)
+
+
 def classified(stg_subscription_events: DataFrame, plans: DataFrame) -> DataFrame:
     """The lifecycle rows of all events, whether their subscription is known or not."""
     now = plans.selectExpr("plan_key", "plan_key AS plan_now", "mrr_amount AS mrr_now")
     then = plans.selectExpr("plan_key AS previous_plan_key", "plan_key AS plan_then", "mrr_amount AS mrr_then")
-    priced = stg_subscription_events.join(now, "plan_key", "left").join(then, "previous_plan_key", "left")
+    return lifecycle_rows(stg_subscription_events.join(now, "plan_key", "left").join(then, "previous_plan_key", "left"))
+
+
+def lifecycle_rows(priced: DataFrame) -> DataFrame:
+    """Of events with (plan_now, mrr_now, plan_then, mrr_then) those that are steps of a subscription's life."""
     own = priced.withColumn("step", lifecycle_step()).filter("step IS NOT NULL")
     return own.selectExpr(
         "event_id",

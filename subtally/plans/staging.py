@@ -132,6 +132,26 @@ def stg_subscription_events(raw: DataFrame) -> DataFrame:
     )
 
 
+EVENT_PRICE = f"""struct<
+    type:string, data:struct<object:struct<items:struct<data:array<struct<price:{PRICE}, current_period_start:string>>>>>>"""
+
+
+def event_prices(raw: DataFrame) -> DataFrame:
+    """(event_id, plan_key, billing_interval, price_amount, seen_at): the price that each subscription event itself carries."""
+    item = first_item("d.data.object.items.data")
+    return (
+        _parsed(raw, EVENT_PRICE)
+        .filter("startswith(d.type, 'customer.subscription.')")
+        .selectExpr(
+            "id AS event_id",
+            f"{item}.price.lookup_key AS plan_key",
+            f"{item}.price.recurring.`interval` AS billing_interval",
+            f"{cents(f'{item}.price.unit_amount')} AS price_amount",
+            f"{epoch(f'{item}.current_period_start')} AS seen_at",
+        )
+    )
+
+
 STAGING = {
     "stg_customers": (stg_customers, "customers"),
     "stg_subscriptions": (stg_subscriptions, "subscriptions"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from subtally.sources.tables import children, plain_path
@@ -74,11 +74,7 @@ def with_id(rows: DataFrame) -> DataFrame:
 
 
 def array_files(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
-    """(file, value) of every file, or of those entries of the folder that ``names`` lists.
-
-    An array file is read whole by one task, so it has to stay well under 2 GB; the line form
-    written by ``write_landing`` has no such limit because it splits.
-    """
+    """(file, value) of every file, or of those entries of the folder that ``names`` lists, each read whole."""
     text = spark.read.option("recursiveFileLookup", True).text(paths(folder, names), wholetext=True)
     return text.select(relative_file(folder).alias("file"), "value")
 
@@ -87,9 +83,52 @@ def paths(folder: str, names: list[str] | None) -> list[str]:
     return [folder] if names is None else [f"{folder}/{name}" for name in names]
 
 
-def raw_scan(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
+# Fixed value: what stands before every element but the first of an array file as syncs write it, indented by two. Text
+# inside an element is indented further, and a string holds no line break.
+BETWEEN = ",\n  {"
+
+
+def array_elements(
+    spark: SparkSession, folder: str, names: list[str] | None = None, ended: Observation | None = None
+) -> DataFrame:
+    """(file, pos, data) of every element of every array file; a file of the landing form is read by as many tasks as it
+    has splits.
+
+    The text between two separators is an element without its opening brace. Other forms hold no separator, so such a
+    file is one row and one task. A file cut off inside an element leaves text that is no document, which raises; one cut
+    off between two elements has no end, and ``ended`` observes as ``files`` how many have one. ``pos`` rises with the
+    place in the file: the index in a file that is one row, else the first byte of the split and the count of elements
+    in the task, which is always less than the bytes of a split.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("lineSep", BETWEEN)
+    count = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    text = reader.text(paths(folder, names)).select(
+        relative_file(folder).alias("file"),
+        F.regexp_replace("value", r"\s+$", "").alias("value"),
+        (F.col("_metadata.file_block_start") + count).alias("_place"),
+    )
+    closes = F.endswith("value", F.lit("}\n]"))
+    opens = F.startswith("value", F.lit("[\n  {"))
+    # A list that opens here and isn't cut by a separator: what comes before its last bracket isn't an element's own list.
+    whole = F.startswith("value", F.lit("[")) & F.col("value").rlike(r"(\n\]|[^\s\[]\]|^\[\s*\])$")
+    ends = whole | (~F.startswith("value", F.lit("[")) & closes)
+    if ended is not None:
+        text = text.observe(ended, F.count_if(ends).alias("files"))
+    begun = F.when(opens | whole, F.col("value")).otherwise(F.concat(F.lit("[{"), "value"))
+    lists = text.select("file", "_place", whole.alias("_whole"), F.when(ends, begun).otherwise(F.concat(begun, F.lit("]"))).alias("value"))
+    elements = lists.select("file", "_place", "_whole", F.posexplode(F.from_json("value", "array<string>", FAIL)).alias("pos", "data"))
+    return elements.select("file", F.when(F.col("_whole"), F.col("pos").cast("bigint")).otherwise(F.col("_place")).alias("pos"), "data")
+
+
+def raw_scan(
+    spark: SparkSession, folder: str, names: list[str] | None = None, ended: Observation | None = None
+) -> DataFrame:
     """Rows (file, pos, id, data) of every JSON-array file of one object type."""
-    return with_id(explode_array_files(array_files(spark, folder, names)))
+    return with_id(array_elements(spark, folder, names, ended))
+
+
+def files_of(spark: SparkSession, folder: str, names: list[str] | None = None) -> int:
+    return len(spark.read.option("recursiveFileLookup", True).text(paths(folder, names)).inputFiles())
 
 
 def write_landing(df: DataFrame, root: str, object_type: str, sync_ts: str) -> str:
@@ -113,10 +152,15 @@ def entries(spark: SparkSession, folder: str) -> list[str]:
     return [name for name in children(spark, folder) if not name.startswith(("_", "."))]
 
 
-def scan(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
-    """Rows (file, pos, id, data) of a folder in either form, told apart by its entries; ``names`` picks some of these."""
+def scan(
+    spark: SparkSession, folder: str, names: list[str] | None = None, ended: Observation | None = None
+) -> DataFrame:
+    """Rows (file, pos, id, data) of a folder in either form, told apart by its entries; ``names`` picks some of these.
+
+    ``ended`` is observed where the folder holds array files.
+    """
     found = entries(spark, folder) if names is None else names
     lines = [name for name in found if name.startswith(LINES)]
     if lines and len(lines) < len(found):
         raise ValueError(f"{folder} holds both landing forms: {found[:5]}")
-    return scan_landing(spark, folder, names) if lines else raw_scan(spark, folder, names)
+    return scan_landing(spark, folder, names) if lines else raw_scan(spark, folder, names, ended)

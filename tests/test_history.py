@@ -1,9 +1,12 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from subtally.operators.history import read_history, scd2_apply, scd2_rebuild, snapshot_run, state_as_of
+from subtally.sources.tables import versions
+from subtally.streaming.history import apply_snapshots, read_stream_history, stream_history
 
 CHECK = ("status", "plan_key")
 BATCH = "sub string, status string, plan_key string, note int, run timestamp"
@@ -66,3 +69,34 @@ def test_state_as_of_is_half_open(spark):
     assert at(datetime(2025, 12, 31)) == []
     assert at(datetime(2026, 2, 1)) == ["active"]
     assert at(datetime(2026, 3, 1)) == ["canceled"]
+
+
+def test_a_stream_of_snapshots_leaves_the_rebuilt_history(spark, tmp_path):
+    """Lots with one run and with several, a restart before each, and a batch that is replayed."""
+    rows = random_batches(4, keys=20, runs=7)
+    whole = spark.createDataFrame(rows, BATCH)
+    landing, root, checkpoint = (str(tmp_path / name) for name in ("landing", "history", "checkpoint"))
+    days = sorted({r[-1] for r in rows})
+    for lot in (days[:1], days[1:4], [], days[4:]):
+        spark.createDataFrame([r for r in rows if r[-1] in lot], BATCH).coalesce(1).write.mode("append").parquet(landing)
+        stream_history(spark, landing, whole.schema, root, checkpoint, "sub", CHECK)
+    rebuilt = as_set(scd2_rebuild(whole, "sub", CHECK, "run"))
+    assert as_set(read_stream_history(spark, root, whole.schema)) == rebuilt
+    last = spark.createDataFrame([r for r in rows if r[-1] in days[4:]], BATCH)
+    label = versions(spark, f"{root}/open/manifest")[-1]
+    apply_snapshots(spark, root, last, "sub", CHECK, "run", label)
+    assert as_set(read_stream_history(spark, root, whole.schema)) == rebuilt
+    known = last.first()
+    late = spark.createDataFrame([(known["sub"], "late", None, 0, days[0] - timedelta(days=9))], BATCH)
+    with pytest.raises(Exception, match="older than the open row"):
+        apply_snapshots(spark, root, late, "sub", CHECK, "run", f"{int(label) + 1:012d}")
+    assert as_set(read_stream_history(spark, root, whole.schema)) == rebuilt
+
+
+def test_a_history_without_runs(spark, tmp_path):
+    schema = "sub string, status string, valid_from timestamp, valid_to timestamp"
+    assert read_history(spark, str(tmp_path / "h"), schema).count() == 0
+    with pytest.raises(ValueError, match="no snapshot run"):
+        read_history(spark, str(tmp_path / "h"))
+    empty = spark.createDataFrame([], BATCH)
+    assert read_stream_history(spark, str(tmp_path / "s"), empty.schema).count() == 0

@@ -310,3 +310,45 @@ def test_the_whole_event_type_decides(spark):
         ("e0", "started", 0, 5),
         ("e2", "canceled", 5, 0),
     ]
+
+
+def priced_event(i, kind, sub, day, plan, cents, before=None, interval="month"):
+    price = {"lookup_key": plan, "unit_amount": cents, "recurring": {"interval": interval}}
+    at = int((datetime(2026, 1, 1) + timedelta(days=day)).timestamp())
+    previous = {"items": {"data": [{"price": {"lookup_key": before}}]}} if before else None
+    items = {"data": [{"price": price, "current_period_start": at}]}
+    return {"id": i, "type": kind, "data": {"object": {"id": sub, "customer": "c", "items": items}, "previous_attributes": previous}}
+
+
+def test_events_can_be_priced_by_what_they_carry(spark):
+    """A plan nobody holds now, a price that rose, and a yearly one; the plan list of today knows none of the three."""
+    events = raw(
+        spark,
+        priced_event("e1", CREATED, "s", 1, "old", 1000),
+        priced_event("e2", UPDATED, "s", 40, "gone", 24000, "old", "year"),
+        priced_event("e3", CREATED, "t", 50, "old", 3000),
+        priced_event("e4", UPDATED, "s", 60, "old", 3000, "gone"),
+        priced_event("e5", CREATED, "t", 50, "old", 2900),  # the same instant: the later id counts
+        {"id": "e6", "type": UPDATED, "data": {"object": {"id": "s", "items": {"data": []}}}},
+    )
+    prices = marts.plan_prices(staging.event_prices(events))
+    day = [datetime(2026, 1, 1) + timedelta(days=d) for d in range(61)]
+    assert sorted((r.plan_key, float(r.mrr_amount), r.valid_from, r.valid_to) for r in prices.collect()) == [
+        ("gone", 20.0, None, None),
+        ("old", 10.0, None, day[50]),
+        ("old", 29.0, day[50], day[60]),
+        ("old", 30.0, day[60], None),
+    ]
+    found = {r.event_id: r for r in prices_of(spark, events, prices).collect()}
+    assert {i: (r.event_type, r.plan_key, float(r.mrr_before), float(r.mrr_after)) for i, r in found.items()} == {
+        "e1": ("started", "old", 0.0, 10.0),
+        "e2": ("upgraded", "gone", 10.0, 20.0),
+        "e3": ("started", "old", 0.0, 29.0),
+        "e4": ("upgraded", "old", 20.0, 30.0),
+        "e5": ("started", "old", 0.0, 29.0),
+    }
+
+
+def prices_of(spark, events, prices):
+    known = spark.createDataFrame([("s",), ("t",)], "subscription_id string")
+    return marts.fct_subscription_events_at_own_prices(staging.stg_subscription_events(events), known, prices)
