@@ -249,5 +249,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_column: str = "vec
         order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
         ranked = own.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
         ranked = ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        # Several blocks are answered one after another, so that the driver and the plan hold the queries of one at a time.
+        ranked = ranked if blocks == 1 else stored(ranked, "answers")
         found = ranked if found is None else found.unionByName(ranked)
     return found if found is not None else spark.createDataFrame([], schema)
