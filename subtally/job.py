@@ -62,7 +62,7 @@ from subtally.sources.tables import (
     versions,
     write_version,
 )
-from subtally.streaming.load import newest_batch, read_changes, stream_load
+from subtally.streaming.load import newest_batch, read_changes, stream_load, taken_back
 
 # Marts that a build writes in full; those of revenue follow the change set, see plans/refresh.py.
 MARTS = ["dim_plan", "dim_customer", "fct_invoices", "dim_subscription_history"]
@@ -102,11 +102,20 @@ RAW = "id string, data string, loaded_at timestamp, file string, pos bigint"
 LOADED = "entry string, changed bigint"
 
 
-def merge_raw(spark: SparkSession, root: str, version: str, batch: DataFrame, at: datetime) -> None:
-    """Upserts a batch into a raw table; only the buckets of its ids are read and written."""
-    update_buckets(
-        spark, root, version, batch, "id", RAW, lambda old, new: upsert(old, new, F.lit(at).cast("timestamp"), deal="bucket")
-    )
+def merge_raw(spark: SparkSession, root: str, version: str, batch: DataFrame, at: datetime, gone: DataFrame | None = None) -> None:
+    """Upserts a batch into a raw table; only the buckets of its ids are read and written.
+
+    ``gone`` (id, file, pos) are rows that the table may have and that no longer count.
+    """
+    own = batch.select("id", "data", "file", "pos", F.lit(False).alias("gone"))
+    if gone is not None:
+        own = own.unionByName(gone.select("id", F.lit(None).cast("string").alias("data"), "file", "pos", F.lit(True).alias("gone")))
+
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        kept = old if gone is None else old.join(new.filter("gone").select("id", "file", "pos"), ["id", "file", "pos"], "left_anti")
+        return upsert(kept, new.filter("NOT gone"), F.lit(at).cast("timestamp"), deal="bucket")
+
+    update_buckets(spark, root, version, own, "id", RAW, merge)
 
 
 def unseen(spark: SparkSession, folder: str, seen: DataFrame | None) -> tuple[list[str], DataFrame]:
@@ -159,17 +168,20 @@ def load_all(spark: SparkSession, landing: str, warehouse: str, at: datetime, on
 def fold_stream(spark: SparkSession, warehouse: str, at: datetime) -> None:
     """Bring the change sets since the last fold into the raw tables, in one new version of each.
 
-    Rows that the tables have from later files stay, and only folded rows are restamped.
+    Rows that the tables have from later files stay, and only folded rows are restamped. A clock that was deleted since
+    takes back what earlier folds had of its sync: the objects fall back on what the change sets have without it, or go.
     """
     changes, folds = f"{warehouse}/changes", f"{warehouse}/folds"
     after, newest = load_state(spark, folds).get("cursor", -1), newest_batch(spark, changes)
     if newest <= after:
         return
     current = read_changes(spark, changes, after)
+    dead, left = taken_back(spark, changes, after)
     version = folder_stamp(at)
     for name in OBJECT_TYPES:
-        batch = current.filter(F.col("type") == name)  # partition pruned
-        merge_raw(spark, f"{warehouse}/raw/{name}", version, batch.select("id", "data", "file", "pos"), at)
+        fresh, again, gone = (rows.filter(F.col("type") == name) for rows in (current, left, dead))  # partition pruned
+        both = latest_snapshot(fresh.select("id", "file", "pos", "data").unionByName(again.select("id", "file", "pos", "data")))
+        merge_raw(spark, f"{warehouse}/raw/{name}", version, both, at, gone)
     save_state(spark, folds, newest, version)
 
 

@@ -66,6 +66,22 @@ def read_changes(spark: SparkSession, changes: str, after: int = -1) -> DataFram
     return latest_snapshot(without_dead_clocks(objects, clocks), by=("type", "id"))
 
 
+def taken_back(spark: SparkSession, changes: str, after: int) -> tuple[DataFrame, DataFrame]:
+    """What clocks that were reported deleted after a micro-batch undo of the change sets up to it.
+
+    (type, id, file, pos) of the rows that no longer count, and as ``read_changes`` the documents that their objects have
+    without them. Only change sets that came with such a clock's sync are looked at again in full.
+    """
+    objects = spark.read.schema(CHANGE_SCHEMA).parquet(f"{changes}/objects")
+    clocks = spark.read.schema(CLOCK_SCHEMA).parquet(f"{changes}/clocks")
+    late = clocks.filter(F.col("batch_id") > after).select("batch", F.col("_clock").alias("test_clock")).distinct()
+    folded = objects.filter(F.col("batch_id") <= after)
+    dead = folded.join(late, ["batch", "test_clock"], "left_semi").select("type", "id", "file", "pos").distinct()
+    theirs = objects.join(dead.select("type", "id").distinct(), ["type", "id"], "left_semi")
+    left = without_dead_clocks(theirs, clocks.select("batch", "_clock").distinct())
+    return dead, latest_snapshot(left, by=("type", "id"))
+
+
 def newest_batch(spark: SparkSession, changes: str) -> int:
     """Number of the newest change set, -1 without one."""
     last = spark.read.schema(CHANGE_SCHEMA).parquet(f"{changes}/objects").agg(F.max("batch_id")).first()[0]

@@ -91,3 +91,34 @@ def test_folding_keeps_what_came_from_later_files(spark, tmp_path):
     assert customers() == {"cus_0": (1, 1), "cus_1": (10, 10), "cus_2": (1, 11)}
     job.fold_stream(spark, warehouse, datetime(2026, 1, 12))  # no new change set: nothing is written
     assert {day for _, day in customers().values()} == {1, 10, 11}
+
+
+def test_a_clock_deleted_after_the_fold_takes_folded_rows_back(spark, tmp_path):
+    """The deletion lands later, in another file of the same sync: the tables are as if it had been there at once."""
+    feed = tmp_path / "feed"
+
+    def fold(warehouse, day):
+        stream_load(spark, str(feed), f"{warehouse}/changes", f"{warehouse}/cp")
+        job.fold_stream(spark, warehouse, datetime(2026, 1, day))
+
+    def tables(warehouse):
+        return {n: sorted((r.id, r.data) for r in t.collect()) for n, t in job.raw_tables(spark, warehouse).items()}
+
+    late, at_once = str(tmp_path / "late"), str(tmp_path / "once")
+    land(feed, "sync=2025-12-31/block=1/a", [event(0, "subscription", {"id": "sub_3", "v": 0})])
+    own = [event(11, "subscription", {"id": "sub_3", "test_clock": "dead", "v": 1}), event(12, "customer", {"id": "cus_9", "test_clock": "dead"})]
+    land(feed, "sync=2026-01-01/block=1/a", FIRST + own)
+    fold(late, 1)
+    before = tables(late)
+    assert {i for i, _ in before["subscriptions"]} == {"sub_1", "sub_2", "sub_3"} and ("cus_9" in dict(before["customers"]))
+    land(feed, "sync=2026-01-01/block=2/a", SECOND)
+    fold(late, 2)
+    fold(at_once, 2)
+    assert tables(late) == tables(at_once)
+    after = dict(tables(late)["subscriptions"])
+    assert set(after) == {"sub_2", "sub_3"} and json.loads(after["sub_2"])["v"] == 1 and json.loads(after["sub_3"])["v"] == 0
+    assert "cus_9" not in dict(tables(late)["customers"])
+    land(feed, "sync=2026-01-02/block=1/a", THIRD)
+    fold(late, 3)
+    fold(at_once, 3)
+    assert tables(late) == tables(at_once)
