@@ -195,7 +195,8 @@ def repeats(docs: DataFrame, row_id: str, min_words: int = 16) -> DataFrame:
     A run of neighbouring chunks with at least ``min_words`` words (see UNIT) or sixteen times as many bytes repeats if it stands as one run in a smaller row or
     before in the same one; what is shorter is chance or boilerplate too short to cut. Of equal runs the one in the
     smallest row and there the first stays. Overlapping runs form one stretch, whose ``first_row`` has the text that
-    keeps its first run. ``row_id`` is a long that is unique in a stored table; null and empty texts have no chunk.
+    keeps its first run. ``row_id`` is a long that is unique in a stored table; null and empty texts have no chunk. A text of
+    any length is cut whole by one task; its runs are rows of their own.
     """
     runs = run_rows(docs, row_id, min_words)
     known = runs.groupBy("high", "low").agg(F.min("row").alias("first_row"), F.count("*").alias("n")).filter("n > 1").drop("n")

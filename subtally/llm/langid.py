@@ -148,7 +148,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
     The highest of the languages' functions wins, the first by name among equals. A null text, and one without a
     letter, is undetermined with score 0, and so is every text when there is no model. Other columns are left out;
-    repeated rows give repeated rows.
+    repeated rows give repeated rows. A text of any length is one row of a batch, and its distinct n-grams are what it costs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

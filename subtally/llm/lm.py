@@ -348,7 +348,7 @@ def scores(docs: DataFrame, trained_on: Column, learned_on: Column, parts: int |
     ``trained_on`` says which rows are counted, ``learned_on`` which of those the weights are learned on; nulls count
     as no. Tokens are the words, A-Z lower-cased, and one end per text; ``base_score`` is the add-one unigram score,
     ``score`` the model's log10 probability. A null text is empty, a null doc_id stays null, repeated rows are counted
-    and scored each. Without training texts every probability is the uniform one. ``parts`` is the number of
+    and scored each. A text is never cut: a very long one is a block of its own. Without training texts every probability is the uniform one. ``parts`` is the number of
     partitions that the keys are dealt to, by default spark.sql.shuffle.partitions; ``docs`` must be a stored table.
     """
     spark = docs.sparkSession

@@ -129,7 +129,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, max_length: int
 
     ``bucket`` is the base-2 logarithm of the length. Sequence ids carry it in their highest bits, so equal
     lengths lie next to each other: batches of one shape are ranges of ids. A null or empty text is the end id
-    alone; a null doc_id stays null; repeated rows are packed each. Only doc_id and text are read. There is no
+    alone; a null doc_id stays null; repeated rows are packed each. Only doc_id and text are read, texts of
+    any length whole. There is no
     shuffle: ids are numbered within the input's partitions, so ``docs`` must be a stored table.
     """
     if max_length < 1 or max_length & (max_length - 1):

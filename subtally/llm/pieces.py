@@ -130,8 +130,8 @@ def encode_decode(docs: DataFrame, model_path: str, digests_only: bool = False)
     """(doc_id, ids, decoded, n_tokens, ids_sha256, decoded_sha256) of every whole text; ``ids`` end with the end id.
 
     Ids and decoded text are those of the library on the whole text. The table of distinct chunks is one per task and
-    bounded. A null text counts as empty; a null doc_id stays null; repeated rows give repeated rows. With
-    ``digests_only`` the columns ids and decoded are null: they are made and digested, but don't leave the task.
+    bounded. A null text counts as empty; a null doc_id stays null; repeated rows give repeated rows. A text of any length is encoded whole, in a batch of its own
+    where it fills one. With ``digests_only`` the columns ids and decoded are null: they are made and digested, but don't leave the task.
     """
     model = read_model(model_path)
     independent = chunks_are_independent(model)

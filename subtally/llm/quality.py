@@ -104,7 +104,11 @@ def base_failed() -> Column:
 
 
 def with_statistics(docs: DataFrame, *keep: str) -> DataFrame:
-    """The kept columns, the counts of COUNTS (a null text has no word) and base_failed."""
+    """The kept columns, the counts of COUNTS and base_failed, for every row.
+
+    A null or empty text has no word and fails the base rule; repeated rows are counted each; columns that aren't kept are
+    left out. A text of any length is counted whole, in a batch of its own where it fills one.
+    """
     schema = T.StructType([*docs.select(*keep).schema, *(T.StructField(name, T.LongType()) for name in COUNTS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,5 +303,8 @@ def passing_rows(docs: DataFrame, verdict: Verdict) -> DataFrame:
 
 
 def judge(statistics: DataFrame, verdict: Verdict) -> DataFrame:
-    """Adds ``score`` and ``kept``: false if the base rule failed or the score reaches the threshold."""
+    """Adds ``score`` and ``kept``: false if the base rule failed or the score reaches the threshold.
+
+    Rows with equal statistics have equal scores, so ties and repeated rows share a verdict; without a forest the score is 0.
+    """
     return scored(statistics, verdict.forest).withColumn("kept", ~F.col("base_failed") & (F.col("score") < verdict.threshold))

@@ -66,7 +66,10 @@ def fingerprints_of(text: pa.Array, width: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, *keep: str, width: int = 4) -> DataFrame:
-    """The kept columns and ``fp``, the fingerprint as a signed long; 0 for a text without a word or a null text."""
+    """The kept columns and ``fp``, the fingerprint as a signed long; 0 for a text without a word or a null text.
+
+    Repeated rows have a fingerprint each. A text of any length is hashed whole, its shingles in slices.
+    """
     schema = T.StructType([*docs.select(*keep).schema, T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -132,7 +132,8 @@ def filter_urls(pages: DataFrame, rules: list[Rule], mining: Mining = Mining(),
     """(page_id, host, path, rule, verdict) of every page.
 
     The verdict is the fitting given rule's, else the mined rules', else the default; so it is for a null url and one
-    without a host. A null page_id stays null; repeated rows are judged each; other columns are left out.
+    without a host. A null page_id stays null; repeated rows are judged each; other columns are left out. A
+    url of any length has nine kinds of tokens at most.
     """
     host, path = host_and_path()
     own = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
