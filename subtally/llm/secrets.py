@@ -81,8 +81,8 @@ class Ledger:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             rows = self.spark.createDataFrame([], schema)  # nothing was ever scanned
-        own = rows.filter(F.col("version") == self.version)
-        return own.groupBy("blob").agg(F.any_value("spans").alias("spans"))
+        # By both columns: grouped by the blob alone, a join on it would bring a common text's rows to one task.
+        return rows.filter(F.col("version") == self.version).drop("version").distinct()
 
     def scan(self, docs: DataFrame) -> None:
         """Scans what is unseen among the texts of ``docs`` and appends it; a run that fails appends nothing."""
@@ -98,7 +98,8 @@ class Ledger:
 def with_findings(docs: DataFrame, ledger: Ledger) -> DataFrame:
     """The rows of ``docs`` with ``blob`` and ``spans`` (start, kind, end), by start and then kind.
 
-    A null text counts as empty and has no finding. Equal texts, repeated rows among them, share one scan. Columns of
+    A null text counts as empty and has no finding. A text of any length is scanned whole, as one row. Equal texts,
+    repeated rows among them, share one scan. Columns of
     ``docs`` named blob or spans are replaced.
     """
     ledger.scan(docs)
