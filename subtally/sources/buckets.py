@@ -111,10 +111,11 @@ def update_buckets(
 ) -> list[int]:
     """Merges a batch into the buckets of its keys: ``merge`` gets their old rows and the batch, both with ``bucket``.
 
-    Its result has to be dealt by ``bucket`` for files of a good size. Returns the buckets written.
+    Its result has to be dealt by ``bucket`` for files of a good size. Returns the buckets written, all for a new table.
     """
     held = manifest(spark, root, before=version)
     n = len(held) or n
-    fresh, touched = staged(batch, key, n)
+    # A new table has nothing to read; else the batch is written first, which tells the buckets that it touches.
+    fresh, touched = staged(batch, key, n) if held else (batch.withColumn("bucket", bucket_of(key, n)), list(range(n)))
     old = read_buckets(spark, root, schema, before=version, only=touched).withColumn("bucket", bucket_of(key, n))
     return replace_buckets(root, version, merge(old, fresh), touched, n)
