@@ -27,6 +27,8 @@ def covering(
 
     Time is cut into bins. A point lies in one bin and an interval is put into every bin that it meets, so rows meet by
     equality of keys and bin and only then by time: what a key costs follows its points and intervals, not their product.
+    Both sides are shuffled and merged: a size estimated before intervals are put into bins says nothing about the rows
+    after it, and would have them all sent through the driver.
     ``closed`` says which end belongs to an interval: start <= at < end (left) or start < at <= end (right). Intervals are
     cut to the bins that hold points. NULL keys and times match nothing; a left join keeps such points. Other column names
     of the two sides have to differ.
@@ -51,7 +53,7 @@ def covering(
     low, high = ("<=", ">") if closed == "left" else ("<", ">=")
     inside = F.expr(f"{start} {low} {at} AND ({end} IS NULL OR {end} {high} {at})")
     same = F.expr(" AND ".join([*(f"{k} = _{k}" for k in keys), "_bin = _in"]))
-    return placed.join(spread, same & inside, how).drop("_bin", "_in", *(f"_{k}" for k in keys))
+    return placed.join(spread.hint("merge"), same & inside, how).drop("_bin", "_in", *(f"_{k}" for k in keys))
 
 
 def state_as_of_many(

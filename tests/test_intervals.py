@@ -49,6 +49,14 @@ def test_points_meet_the_intervals_that_cover_them(spark, closed, bin_seconds):
     assert sorted(map(str, ((r.point, r.name) for r in found.collect()))) == sorted(map(str, want))
 
 
+def test_intervals_in_their_bins_are_not_sent_to_all_tasks(spark):
+    points = spark.createDataFrame([("a", day(30 * n)) for n in range(12)], "key string, at timestamp")
+    long = spark.createDataFrame([("a", "x", day(0), None)], "key string, name string, first timestamp, last timestamp")
+    found = covering(points, long, ["key"], "at", "first", "last")
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r.name for r in found.collect()] == ["x"] * 12
+
+
 def test_covering_without_rows(spark):
     points = spark.createDataFrame([("a", day(1))], "key string, at timestamp")
     none = spark.createDataFrame([], "key string, name string, first timestamp, last timestamp")
