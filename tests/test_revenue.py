@@ -6,6 +6,7 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from subtally.functions.numeric import finite, ratio, round_half_even, round_scaled
 from subtally.plans import analyses, dashboard, marts, revenue, staging
@@ -134,6 +135,14 @@ def test_no_events_give_no_months(spark):
     assert revenue.mrr_monthly(roster(spark, "a"), events).count() == 0
 
 
+def test_customers_of_one_split_unfold_in_many_tasks(spark):
+    events = facts(spark, ("e1", "s", "a", "any", datetime(2026, 1, 5), 10), ("e2", "s", "a", "any", datetime(2026, 3, 5), 20))
+    customers = spark.range(0, 50_000, 1, 1).selectExpr("sha2(string(id), 256) AS customer_id")
+    grid = revenue.customer_month_grid(customers, events).cache()
+    assert grid.count() == 150_000
+    assert grid.select(F.spark_partition_id()).distinct().count() > 1
+
+
 def random_facts(seed, customers=40):
     """Concurrent subscriptions, returns, ties, untimed events, unknown customers and plans."""
     rng = random.Random(seed)
