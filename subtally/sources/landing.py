@@ -18,6 +18,8 @@ OBJECT_FOLDERS = {
 }
 # The folder name that marks the line form.
 LINES = "sync_ts="
+# Documents that a file of the line form holds at most; of half a kilobyte each these are what a split has of plain text.
+FILE_LINES = 250_000
 OBJECT_TYPES = ("charges", "customers", "events", "invoices", "subscriptions")
 
 
@@ -132,12 +134,14 @@ def files_of(spark: SparkSession, folder: str, names: list[str] | None = None) -
 
 
 def write_landing(df: DataFrame, root: str, object_type: str, sync_ts: str) -> str:
-    """Land (pos, data) rows of one type and one sync as splittable JSON lines.
+    """Land (pos, data) rows of one type and one sync as JSON lines, compressed.
 
-    Overwriting the sync's own folder makes a repeated sync harmless.
+    Documents repeat their keys, so they take a fraction of their text. A compressed file is read by one task, so none
+    holds more than ``FILE_LINES``. Overwriting the sync's own folder makes a repeated sync harmless.
     """
     path = f"{root}/{object_type}/{LINES}{sync_ts}"
-    df.select(F.col("pos").cast("bigint").alias("pos"), "data").write.mode("overwrite").json(path)
+    lines = df.select(F.col("pos").cast("bigint").alias("pos"), "data").write.mode("overwrite")
+    lines.option("maxRecordsPerFile", FILE_LINES).json(path, compression="gzip")
     return path
 
 
