@@ -227,6 +227,7 @@ def history_as_of_many(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EVENTS, CUSTOMERS, INVOICES, MONTHS = "fct_subscription_events", "dim_customer", "fct_invoices", "mrr_monthly"
+STAGED_EVENTS, STAGED_INVOICES, STAGED_SUBSCRIPTIONS = "stg_subscription_events", "stg_invoices", "stg_subscriptions"
 
 
 def book(build: Callable[[Book], DataFrame], *keep: str) -> Query:
@@ -415,7 +416,7 @@ def core_queries() -> dict[str, Query]:
         "involuntary_churn": book(lambda b: analyses.involuntary_churn(b.dim_customer, b.fct_subscription_events)),
         "unpaid_by_plan": book(lambda b: analyses.unpaid_by_plan(b.fct_invoices)),
         # quality
-        "dq_unique": book(dq_unique, EVENTS, INVOICES, CUSTOMERS),
+        "dq_unique": book(dq_unique, EVENTS, INVOICES, CUSTOMERS, STAGED_EVENTS, STAGED_SUBSCRIPTIONS),
         "dq_not_null": book(dq_not_null, EVENTS, INVOICES, CUSTOMERS),
         "dq_accepted_values": book(dq_accepted_values, EVENTS),
         "dq_relationships": book(dq_relationships, INVOICES),

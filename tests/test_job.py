@@ -1,10 +1,11 @@
 """The batch job end to end on landing files derived from the demo tables."""
 
 import json
-from datetime import datetime
+from datetime import date, datetime
 
 from subtally import job
 from subtally.operators import quality
+from subtally.plans.demo import Book
 from subtally.sources import demo_billing, landing
 
 
@@ -68,6 +69,29 @@ def test_rules_report_failures(spark):
     }
 
 
+def test_values_of_several_types_are_counted_in_their_type(spark):
+    rows = [(1, "a", date(2026, 1, 1), True), (1, "1", date(2026, 1, 1), True), (2, "a", None, None), (None, None, None, True)]
+    tables = {"t": spark.createDataFrame(rows, "n bigint, s string, d date, open boolean")}
+    columns = ("n", "s", "d")
+    rules = [quality.Unique("t", c) for c in columns] + [quality.OneCurrentRow("t", "n", "open"), quality.Unique("none", "n")]
+    tables["none"] = tables["t"].filter("false")
+    found = quality.check(tables, rules)
+    got = [(r.rule, r.table_name, r.column_name, r.n_failed, r.passed) for r in found.collect()]
+    assert got == [*(("unique", "t", c, 1, False) for c in columns), ("one_current_row", "t", "n", 1, False), ("unique", "none", "n", 0, True)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(n#" not in plan and "cast(d#" not in plan
+
+
+def test_a_stored_view_is_parsed_once(spark, sf_dir):
+    names = ("stg_subscriptions", "stg_invoices", "stg_subscription_events")
+    kept, plain = Book(spark, sf_dir, names), Book(spark, sf_dir)
+    for name in names:
+        plan = getattr(kept, name)._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_json" not in plan
+        assert getattr(kept, name).exceptAll(getattr(plain, name)).count() == 0
+    assert "from_json" not in kept.fct_invoices._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_freshness_levels(spark):
     def loaded(day):
         return spark.createDataFrame([(day,)], "loaded_at timestamp")
