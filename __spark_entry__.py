@@ -417,7 +417,9 @@ def core_queries() -> dict[str, Query]:
         "unpaid_by_plan": book(lambda b: analyses.unpaid_by_plan(b.fct_invoices)),
         # quality
         "dq_unique": book(dq_unique, EVENTS, INVOICES, CUSTOMERS, STAGED_EVENTS, STAGED_SUBSCRIPTIONS),
-        "dq_not_null": book(dq_not_null, EVENTS, INVOICES, CUSTOMERS),
+        "dq_not_null": book(
+            dq_not_null, EVENTS, INVOICES, CUSTOMERS, STAGED_EVENTS, STAGED_INVOICES, STAGED_SUBSCRIPTIONS
+        ),
         "dq_accepted_values": book(dq_accepted_values, EVENTS),
         "dq_relationships": book(dq_relationships, INVOICES),
         "dq_row_count": book(dq_row_count, MONTHS),
