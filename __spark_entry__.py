@@ -399,7 +399,7 @@ def core_queries() -> dict[str, Query]:
         "kpi_latest": book(lambda b: dashboard.kpi_latest(b.mrr_monthly, dashboard.export_unpaid(b.fct_invoices))),
         "plan_churn_table": book(plan_table),
         "cohort_matrix": book(lambda b: dashboard.cohort_matrix(cohorts(b)), EVENTS),
-        "dashboard_payload": book(payload, EVENTS, CUSTOMERS),
+        "dashboard_payload": book(payload, EVENTS, CUSTOMERS, INVOICES, STAGED_SUBSCRIPTIONS),
         # analyses
         "waterfall_long": book(lambda b: analyses.waterfall_long(b.mrr_monthly)),
         "monthly_churn_rate": book(lambda b: analyses.monthly_churn_rate(b.mrr_monthly)),
