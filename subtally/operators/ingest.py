@@ -99,11 +99,16 @@ def drop_dead_clock_cascade(events: DataFrame) -> DataFrame:
     return without_dead_clocks(events, dead_clocks(events))
 
 
+def folder_of_object() -> Column:
+    """The raw table of the object inside an event, NULL for one that nobody loads."""
+    pairs = [F.lit(x) for pair in OBJECT_FOLDERS.items() for x in pair]
+    return F.try_element_at(F.create_map(*pairs), F.col("object_kind"))
+
+
 def route_snapshots(events: DataFrame, *keep: str) -> DataFrame:
     """The object inside each event, addressed to its raw table; previews have no id and drop out."""
-    pairs = [F.lit(x) for pair in OBJECT_FOLDERS.items() for x in pair]
     return (
-        events.withColumn("type", F.try_element_at(F.create_map(*pairs), F.col("object_kind")))
+        events.withColumn("type", folder_of_object())
         .filter(F.col("type").isNotNull() & F.col("object_id").isNotNull())
         .select("type", F.col("object_id").alias("id"), "batch", "created", "source_pos", F.col("snapshot").alias("data"), *keep)
     )

@@ -14,6 +14,13 @@ def children(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(path))
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern of names, on whatever file system it belongs to."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(status.getPath().toString() for status in found or [])
+
+
 def plain_path(spark: SparkSession, folder: str) -> str:
     """The folder's absolute path without scheme, host and URL escapes."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -10,11 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subtally.operators.ingest import dead_clocks, latest_snapshot, parse_feed, route_snapshots, without_dead_clocks
+from subtally.operators.ingest import CLOCK_DELETED, folder_of_object, latest_snapshot, parse_feed, without_dead_clocks
 from subtally.sources.landing import explode_array_files, relative_file, sync_of
+from subtally.sources.tables import children, matching
 
 CHANGE_SCHEMA = "id string, batch string, test_clock string, file string, pos bigint, data string, batch_id bigint, type string"
 CLOCK_SCHEMA = "batch string, _clock string, batch_id bigint"
+# What a deleted clock is filed under in a change set; no object type is called so.
+CLOCKS = "clocks"
 
 
 def feed_from_files(files: DataFrame) -> DataFrame:
@@ -24,12 +27,20 @@ def feed_from_files(files: DataFrame) -> DataFrame:
 
 
 def changed_objects(feed: DataFrame) -> DataFrame:
-    """(type, id, batch, test_clock, file, pos, data): the last snapshot of each object for each sync and clock, and the
-    events themselves. Clocks are told apart, so that dropping a dead one uncovers the snapshot before it."""
-    events = feed.withColumns({"type": F.lit("events"), "id": F.col("event_id")})
-    objects = route_snapshots(feed, "file", "test_clock")
-    columns = ["type", "id", "batch", "test_clock", "file", (-F.col("source_pos")).alias("pos"), "data"]
-    everything = objects.select(*columns).unionByName(events.select(*columns))
+    """(type, id, batch, test_clock, file, pos, data): the last snapshot of each object for each sync and clock, the
+    events themselves, and as ``CLOCKS`` the clocks that were deleted. Clocks are told apart, so that dropping a dead one
+    uncovers the snapshot before it. An event unfolds into all its rows at once, so files are read and parsed once."""
+    row = "struct<type:string,id:string,data:string>"
+    event = F.struct(F.lit("events").alias("type"), F.col("event_id").alias("id"), "data").cast(row)
+    inside = F.struct(folder_of_object().alias("type"), F.col("object_id").alias("id"), F.col("snapshot").alias("data")).cast(row)
+    clock = F.struct(F.lit(CLOCKS).alias("type"), F.col("object_id").alias("id"), F.lit(None).alias("data")).cast(row)
+    rows = F.array(
+        event,
+        F.when(inside["type"].isNotNull() & inside["id"].isNotNull(), inside),
+        F.when(F.col("event_type") == CLOCK_DELETED, clock),
+    )
+    columns = ["batch", "test_clock", "file", (-F.col("source_pos")).alias("pos")]
+    everything = feed.select(*columns, F.inline(F.array_compact(rows)))
     return latest_snapshot(everything, by=("type", "id", "batch", "test_clock"))
 
 
@@ -46,7 +57,6 @@ def stream_load(spark: SparkSession, landing: str, changes: str, checkpoint: str
 
     def write(batch: DataFrame, batch_id: int) -> None:
         feed = parse_feed(feed_from_files(batch), "file")
-        dead_clocks(feed).write.mode("overwrite").parquet(f"{changes}/clocks/batch_id={batch_id}")
         changed_objects(feed).write.mode("overwrite").partitionBy("type").parquet(f"{changes}/objects/batch_id={batch_id}")
 
     query = (
@@ -55,15 +65,31 @@ def stream_load(spark: SparkSession, landing: str, changes: str, checkpoint: str
     query.awaitTermination()
 
 
+def change_sets(spark: SparkSession, changes: str) -> tuple[DataFrame, DataFrame]:
+    """The objects of all change sets, and (batch, _clock, batch_id) of the clocks that were deleted with them.
+
+    Change sets that older code wrote have their clocks in a folder beside.
+    """
+    root = f"{changes}/objects"
+    reader = spark.read.schema(CHANGE_SCHEMA)
+    # Read by their own folders, so that what they are joined with is planned for their size.
+    own = matching(spark, f"{root}/batch_id=*/type={CLOCKS}")
+    rows = reader.option("basePath", root).parquet(*own) if own else spark.createDataFrame([], CHANGE_SCHEMA)
+    clocks = rows.select("batch", F.col("id").alias("_clock"), "batch_id")
+    if children(spark, f"{changes}/clocks"):
+        clocks = clocks.unionByName(spark.read.schema(CLOCK_SCHEMA).parquet(f"{changes}/clocks"))
+    return spark.read.schema(CHANGE_SCHEMA).parquet(root).filter(F.col("type") != CLOCKS), clocks
+
+
 def read_changes(spark: SparkSession, changes: str, after: int = -1) -> DataFrame:
     """(type, id, file, pos, data): the current document of every object in the change sets after a micro-batch.
 
     Newest file, then position, as in the batch load: arrival order does not count, so a file that shows up late cannot
     undo a newer one. Clocks are read from all change sets.
     """
-    objects = spark.read.schema(CHANGE_SCHEMA).parquet(f"{changes}/objects").filter(F.col("batch_id") > after)
-    clocks = spark.read.schema(CLOCK_SCHEMA).parquet(f"{changes}/clocks").select("batch", "_clock").distinct()
-    return latest_snapshot(without_dead_clocks(objects, clocks), by=("type", "id"))
+    objects, clocks = change_sets(spark, changes)
+    dead = clocks.select("batch", "_clock").distinct()
+    return latest_snapshot(without_dead_clocks(objects.filter(F.col("batch_id") > after), dead), by=("type", "id"))
 
 
 def taken_back(spark: SparkSession, changes: str, after: int) -> tuple[DataFrame, DataFrame]:
@@ -72,8 +98,7 @@ def taken_back(spark: SparkSession, changes: str, after: int) -> tuple[DataFrame
     (type, id, file, pos) of the rows that no longer count, and as ``read_changes`` the documents that their objects have
     without them. Only change sets that came with such a clock's sync are looked at again in full.
     """
-    objects = spark.read.schema(CHANGE_SCHEMA).parquet(f"{changes}/objects")
-    clocks = spark.read.schema(CLOCK_SCHEMA).parquet(f"{changes}/clocks")
+    objects, clocks = change_sets(spark, changes)
     late = clocks.filter(F.col("batch_id") > after).select("batch", F.col("_clock").alias("test_clock")).distinct()
     folded = objects.filter(F.col("batch_id") <= after)
     dead = folded.join(late, ["batch", "test_clock"], "left_semi").select("type", "id", "file", "pos").distinct()

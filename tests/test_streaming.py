@@ -5,7 +5,7 @@ import pytest
 
 from subtally import job
 from subtally.operators.ingest import drop_dead_clock_cascade, latest_snapshot, parse_feed, route_snapshots
-from subtally.streaming.load import read_changes, stream_load
+from subtally.streaming.load import changed_objects, feed_from_files, read_changes, stream_load
 
 
 def event(n, kind, obj, type_="x.updated"):
@@ -122,3 +122,28 @@ def test_a_clock_deleted_after_the_fold_takes_folded_rows_back(spark, tmp_path):
     fold(late, 3)
     fold(at_once, 3)
     assert tables(late) == tables(at_once)
+
+
+def test_a_micro_batch_reads_and_parses_its_files_once(spark, tmp_path):
+    land(tmp_path / "events", "sync=2026-01-01/block=1/a", FIRST + SECOND)
+    files = spark.read.text(str(tmp_path / "events"), wholetext=True, recursiveFileLookup=True).selectExpr("'2026-01-01/1/a' AS file", "value")
+    changed = changed_objects(parse_feed(feed_from_files(files), "file"))
+    plan = changed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [value") == 1 and plan.count("array<string>") <= 1
+    found = {(r.type, r.id, r.test_clock): r.data and json.loads(r.data) for r in changed.collect()}
+    assert found.pop(("clocks", "dead", None)) is None
+    assert {k: v["v"] for k, v in found.items() if k[0] != "events"} == {
+        ("customers", "cus_1", None): 2, ("customers", "cus_2", None): 1, ("subscriptions", "sub_1", "dead"): 1,
+        ("subscriptions", "sub_2", None): 1, ("subscriptions", "sub_2", "dead"): 2,
+    }
+    assert len([k for k in found if k[0] == "events"]) == 8
+
+
+def test_clocks_of_change_sets_written_beside_still_count(spark, tmp_path):
+    """Change sets of the layout before had their deleted clocks in a folder of their own."""
+    changes = str(tmp_path / "changes")
+    land(tmp_path / "events", "sync=2026-01-01/block=1/a", FIRST)
+    stream_load(spark, str(tmp_path / "events"), changes, str(tmp_path / "cp"))
+    assert read_changes(spark, changes).filter("id = 'sub_1'").count() == 1
+    spark.createDataFrame([("2026-01-01", "dead")], "batch string, _clock string").write.parquet(f"{changes}/clocks/batch_id=0")
+    assert read_changes(spark, changes).filter("id = 'sub_1'").count() == 0
