@@ -69,9 +69,22 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer("byte_bpe_50k.json"))
 
 
+# The workers of all stages live in one session, so here a batch is half of what an operator takes by itself.
+STAGE_ROWS, STAGE_BYTES = "500", "8m"
+
+
+def in_small_batches(spark: SparkSession) -> SparkSession:
+    prepared(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", STAGE_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", STAGE_BYTES)
+    return spark
+
+
 def stage(function: Callable) -> Callable:
     def prepared_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        return function(prepared(spark), docs, sf_dir)
+        rows = function(in_small_batches(spark), docs, sf_dir)
+        in_small_batches(spark)  # reading a table sets an operator's own size again, and the rows are made after this
+        return rows
 
     return prepared_stage
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subtally.llm.common import numbered, stored, text_bytes, texts
+from subtally.llm.common import lean, numbered, stored, text_bytes, texts
 
 WINDOW = 16  # bytes that the 16-bit rolling hash sees
 RARITY = 2  # a word start is a cut where so many upper bits of the hash are zero: one in four
@@ -186,7 +186,7 @@ def run_rows(docs: DataFrame, row_id: str, min_words: int) -> DataFrame:
             )
 
     schema = "row bigint, start int, end int, word int, n_words int, again boolean, high bigint, low bigint"
-    return docs.select(F.col(row_id).alias("row"), "text").mapInArrow(run, schema)
+    return docs.select(F.col(row_id).alias("row"), "text").mapInArrow(lean(run), schema)
 
 
 def repeats(docs: DataFrame, row_id: str, min_words: int = 16) -> DataFrame:
@@ -229,7 +229,7 @@ def cut_out(docs: DataFrame, spans: DataFrame, row_id: str) -> DataFrame:
             columns = [pa.array(own, pa.string()) if c == "text" else batch.column(c) for c in schema.names]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return joined.select(*(docs[c] for c in schema.names), "_spans").mapInArrow(run, schema)
+    return joined.select(*(docs[c] for c in schema.names), "_spans").mapInArrow(lean(run), schema)
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 16) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subtally.llm.common import blank_parts, joined, texts
+from subtally.llm.common import blank_parts, joined, lean, texts
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, bucket int"
 # Bytes of a table of distinct chunks: beyond, it starts afresh with the next batch of texts, which only costs time.
@@ -159,4 +159,4 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, max_length: int
             kinds = [pa.int64()] * 7 + [pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(lean(run), SCHEMA)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subtally.llm.common import split_words, stored, text_bytes, texts
+from subtally.llm.common import lean, split_words, stored, text_bytes, texts
 from subtally.llm.components import components
 
 SEED = 42
@@ -45,8 +45,11 @@ def shingle_hashes(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     first = np.arange(len(document)) - np.repeat(np.cumsum(shingles) - shingles, shingles) + bounds[document]
     last = np.minimum(first + width, bounds[document + 1])
     whole, digest = buffer.tobytes(), xxhash.xxh64_intdigest
-    pairs = zip(begins[first].tolist(), (begins[last] - 1).tolist(), strict=True)
-    return np.fromiter((digest(whole[a:b], SEED) for a, b in pairs), np.uint64, len(document)), document
+    found = np.empty(len(document), np.uint64)
+    for at in range(0, len(document), SLICE):  # places as Python numbers take several times the texts
+        pairs = zip(begins[first[at : at + SLICE]].tolist(), (begins[last[at : at + SLICE]] - 1).tolist(), strict=True)
+        found[at : at + SLICE] = [digest(whole[a:b], SEED) for a, b in pairs]
+    return found, document
 
 
 def bits_of(values: np.ndarray) -> np.ndarray:
@@ -77,7 +80,7 @@ def fingerprints(docs: DataFrame, *keep: str, width: int = 4) -> DataFrame:
             found = fingerprints_of(texts(batch.column("_text")), width)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(found, pa.int64())], [*keep, "fp"])
 
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(lean(run), schema)
 
 
 def table_keys(radius: int, clean: int = 2) -> list[Column]:
@@ -223,7 +226,7 @@ def links(fps: DataFrame, radius: int = 4) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(own[a], pa.int64()), pa.array(own[b], pa.int64())], ["a", "b"])
 
     grouped = dealt.select("key", F.coalesce("low", F.lit(-1)).alias("low"), F.coalesce("high", F.lit(-1)).alias("high"), "fp")
-    return grouped.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(run, "a bigint, b bigint")
+    return grouped.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(lean(run), "a bigint, b bigint")
 
 
 def near_duplicates(prints: DataFrame, radius: int = 4, by_root: bool = False) -> DataFrame:

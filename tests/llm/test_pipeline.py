@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from subtally.llm import quality
-from subtally.llm.common import numbered
+from subtally.llm.common import lean, numbered
 from tests.llm.test_secrets import KINDS
 from tests.llm.test_simhash import brute_components, brute_print
 from tests.llm.texts import HARD, prose
@@ -164,3 +164,32 @@ def test_row_names_do_not_depend_on_how_files_are_split(spark, tmp_path):
 def test_what_is_not_read_from_files_is_stored_before_it_is_numbered(spark):
     found = numbered(spark.range(50).selectExpr("id AS doc_id", "uuid() AS text"))
     assert found.collect() == found.collect() and found.select("_row").distinct().count() == 50
+
+
+def test_a_stage_is_made_in_small_batches(spark, tmp_path, good_and_bad):
+    """Also what is read from the result after the stage has read other tables, which set an operator's own size."""
+    root, *_ = good_and_bad
+    STAGES["quality rules"](spark, spark.read.parquet(f"{root}/documents.parquet"), root)
+    found = tuple(spark.conf.get(f"spark.sql.execution.arrow.{k}") for k in ("maxRecordsPerBatch", "maxBytesPerBatch"))
+    assert found == (corpus_pipeline.STAGE_ROWS, corpus_pipeline.STAGE_BYTES)
+
+
+def test_a_task_hands_freed_memory_back():
+    """Small blocks between kept ones stay with the process unless it is told to give them back."""
+
+    def resident():
+        with open("/proc/self/statm", encoding="ascii") as file:
+            return int(file.read().split()[1]) * 4096
+
+    held = []
+
+    def run(batches):
+        blocks = [bytearray(64 << 10) for _ in range(4000)]
+        held.append(bytearray(64 << 10))  # the heap ends in something that stays
+        full.append(resident())
+        blocks.clear()
+        yield from batches
+
+    full = []
+    assert list(lean(run)(iter([1, 2]))) == [1, 2]
+    assert resident() < full[0] - (180 << 20)

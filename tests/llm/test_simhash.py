@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -120,3 +121,15 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert found == {**{i: 0 for i in range(301)}, **{i: 1000 for i in range(1000, 1200)}}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_places_of_shingles_are_not_all_python_numbers_at_once():
+    words = 600_000
+    text = pa.array([" ".join(str(i % 977) for i in range(words))])
+    tracemalloc.start()
+    hashes, document = simhash.shingle_hashes(text, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(hashes) == len(document) == words - 3
+    assert peak < 115 * words  # 82 to 90 bytes a word; all places in lists made it 140 and more
+    assert hashes[200_000] == xxhash.xxh64_intdigest(" ".join(str(i % 977) for i in range(200_000, 200_004)), simhash.SEED)
