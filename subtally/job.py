@@ -103,7 +103,7 @@ LOADED = "entry string, changed bigint"
 
 
 def merge_raw(spark: SparkSession, root: str, version: str, batch: DataFrame, at: datetime, gone: DataFrame | None = None) -> None:
-    """Upserts a batch into a raw table; only the buckets of its ids are read and written.
+    """Upserts a batch, which has an id once, into a raw table; only the buckets of its ids are read and written.
 
     ``gone`` (id, file, pos) are rows that the table may have and that no longer count.
     """
@@ -111,9 +111,11 @@ def merge_raw(spark: SparkSession, root: str, version: str, batch: DataFrame, at
     if gone is not None:
         own = own.unionByName(gone.select("id", F.lit(None).cast("string").alias("data"), "file", "pos", F.lit(True).alias("gone")))
 
+    is_new = not manifest(spark, root, before=version)  # then the batch is the table, with no rows to compare
+
     def merge(old: DataFrame, new: DataFrame) -> DataFrame:
         kept = old if gone is None else old.join(new.filter("gone").select("id", "file", "pos"), ["id", "file", "pos"], "left_anti")
-        return upsert(kept, new.filter("NOT gone"), F.lit(at).cast("timestamp"), deal="bucket")
+        return upsert(None if is_new else kept, new.filter("NOT gone"), F.lit(at).cast("timestamp"), deal="bucket")
 
     update_buckets(spark, root, version, own, "id", RAW, merge)
 

@@ -29,13 +29,14 @@ def upsert(target: DataFrame | None, batch: DataFrame, loaded_at: datetime | Col
 
     A known id is replaced unless the table has it from a later place in the landing: the order of files decides, not
     that of loads. The same place again replaces, so a repeated load restamps what is still landed. ``deal`` names a column
-    of both that follows from the id; rows are dealt by it, once, and keep it.
+    of both that follows from the id; rows are dealt by it, once, and keep it. Without a target the batch, which has an id
+    once, is the table already.
     """
     stamp = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at)
     key = [deal] if deal else []
     fresh = batch.select("id", "data", stamp.cast("timestamp").alias("loaded_at"), "file", "pos", *key)
     if target is None:
-        return fresh
+        return fresh.repartition(deal) if deal else fresh
     both = target.select(*fresh.columns, F.lit(0).alias("_new")).unionByName(fresh.withColumn("_new", F.lit(1)))
     newest = F.max_by(F.struct("data", "loaded_at", "file", "pos"), F.struct("file", "pos", "_new")).alias("_row")
     dealt = both.repartition(deal) if deal else both

@@ -49,9 +49,9 @@ class Loaded:
     customer_ids: DataFrame
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, by: str | None = None) -> DataFrame:
     path = shared_dir(df.sparkSession, "refresh")
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -63,10 +63,17 @@ def same(left: DataFrame, right: DataFrame, key: str) -> Column:
     return left[key].eqNullSafe(right[key])
 
 
+def dealt(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """Rows with the bucket of their key, a task for each bucket: joins by bucket and key need no other shuffle."""
+    return rows.withColumn("bucket", bucket_of(key, n)).repartition("bucket")
+
+
+def columns_of(schema: str) -> list[str]:
+    return [c.strip().split(" ")[0] for c in schema.replace("(12,2)", "").replace("(22,2)", "").split(",")]
+
+
 def replace(root: str, version: str, rows: DataFrame, schema: str, key: str, touched: list[int], n: int) -> None:
-    columns = [c.strip().split(" ")[0] for c in schema.replace("(12,2)", "").replace("(22,2)", "").split(",")]
-    own = rows.select(*columns).withColumn("bucket", bucket_of(key, n)).repartition("bucket")
-    replace_buckets(root, version, own, touched, n)
+    replace_buckets(root, version, dealt(rows.select(*columns_of(schema)), key, n), touched, n)
 
 
 def refresh(spark: SparkSession, root: str, version: str, loaded: Loaded, plans: DataFrame, n: int = BUCKETS) -> list[int]:
@@ -82,22 +89,24 @@ def refresh(spark: SparkSession, root: str, version: str, loaded: Loaded, plans:
     drop_versions(spark, flows, [v for v in versions(spark, flows) if v >= version])
     n = len(manifest(spark, lifecycle)) or n
 
-    # Events: those that came again replace what they were, and subscriptions that came now make older ones count.
-    known = loaded.subscription_ids.selectExpr("subscription_id", "true AS is_known")
-    fresh = written(
-        marts.classified(loaded.events, plans).join(known, "subscription_id", "left").withColumn("is_known", F.coalesce("is_known", F.lit(False)))
-    )
-    before = read_buckets(spark, lifecycle, LIFECYCLE)
-    replaced = before.join(loaded.event_ids, "event_id", "left_semi")
+    # Events: those that came again replace what they were, and subscriptions that came now make older ones count. All are
+    # dealt by the bucket of their subscription, once, and stay where they are up to the table.
+    known = dealt(loaded.subscription_ids.selectExpr("subscription_id", "true AS is_known"), "subscription_id", n)
+    classified = dealt(marts.classified(loaded.events, plans), "subscription_id", n).join(known, ["bucket", "subscription_id"], "left")
+    fresh = written(classified.withColumn("is_known", F.coalesce("is_known", F.lit(False))), by="bucket")
+    before = read_buckets(spark, lifecycle, LIFECYCLE).select("event_id", "subscription_id")
+    replaced = written(before.join(loaded.event_ids, "event_id", "left_semi"))
     moved = fresh.select("subscription_id").unionByName(replaced.select("subscription_id"))
     subscriptions = written(moved.unionByName(loaded.subscriptions.select("subscription_id")).distinct())
     touched = buckets_of(subscriptions, "subscription_id", n)
     old = read_buckets(spark, lifecycle, LIFECYCLE, only=touched)
-    came = loaded.subscriptions.selectExpr("subscription_id", "true AS _came").distinct()
-    kept = old.join(loaded.event_ids, "event_id", "left_anti").join(came, "subscription_id", "left")
-    kept = kept.withColumn("is_known", F.col("is_known") | F.coalesce("_came", F.lit(False))).drop("_came")
+    came = dealt(loaded.subscriptions.selectExpr("subscription_id", "true AS _came").distinct(), "subscription_id", n)
+    again = dealt(replaced, "subscription_id", n).select("bucket", "event_id")
+    kept = dealt(old, "subscription_id", n).join(again, ["bucket", "event_id"], "left_anti").join(came, ["bucket", "subscription_id"], "left")
+    kept = kept.withColumn("is_known", F.col("is_known") | F.coalesce("_came", F.lit(False)))
     old_customers = written(counted(old, subscriptions).select("customer_id").distinct())
-    replace(lifecycle, version, kept.unionByName(fresh), LIFECYCLE, "subscription_id", touched, n)
+    columns = [*columns_of(LIFECYCLE), "bucket"]
+    replace_buckets(lifecycle, version, kept.select(*columns).unionByName(fresh.select(*columns)), touched, n)
     now = counted(read_buckets(spark, lifecycle, LIFECYCLE, only=touched), subscriptions)
 
     # Customers: of those subscriptions as they were and as they are, and those that came themselves.

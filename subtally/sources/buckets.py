@@ -43,16 +43,20 @@ def read_buckets(
     held = manifest(spark, root, before)
     wanted = held if only is None else {b: held.get(b) for b in only}
     paths = [f"{root}/data/version={v}/bucket={b}" for b, v in wanted.items() if v is not None]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    # Without a limit of none the planner would not know that there are no rows, and would shuffle and join them.
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema).limit(0)
 
 
 def staged(df: DataFrame, key: str, n: int) -> tuple[DataFrame, list[int]]:
-    """The rows written by bucket to the shared folder, with their column ``bucket``, and the buckets that there are."""
+    """The rows written to the shared folder, with their column ``bucket``, and the buckets that there are.
+
+    They are dealt by bucket when they are merged, so here every task writes one file.
+    """
     path = shared_dir(df.sparkSession, "staged")
-    df.withColumn("bucket", bucket_of(key, n)).write.partitionBy("bucket").parquet(path)
-    found = sorted(int(name.removeprefix("bucket=")) for name in children(df.sparkSession, path) if name.startswith("bucket="))
+    df.withColumn("bucket", bucket_of(key, n)).write.parquet(path)
     schema = StructType([*df.schema.fields, StructField("bucket", IntegerType())])
-    return df.sparkSession.read.schema(schema).parquet(path), found
+    rows = df.sparkSession.read.schema(schema).parquet(path)
+    return rows, sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())  # one row a bucket
 
 
 def replace_buckets(root: str, version: str, rows: DataFrame, touched: Iterable[int], n: int, keep: int = 2) -> list[int]:

@@ -65,15 +65,22 @@ def price(index: str) -> str:
         'recurring', named_struct('interval', if({index} % 2 = 0, 'month', 'year')))"""
 
 
+def subscription_ids(custkey: str, parity: str) -> tuple[str, str]:
+    return (
+        f"{padded('cus_', custkey)} AS customer",
+        f"concat({padded('sub_', custkey)}, '_', cast({parity} AS string)) AS subscription",
+    )
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
+        "o_custkey",
         "o_orderstatus",
         "o_orderdate",
         "o_orderpriority = '5-LOW' AS untimed",
         f"o_orderkey % {len(PLANS)} AS plan_index",
-        f"{padded('cus_', 'o_custkey')} AS customer",
-        f"concat({padded('sub_', 'o_custkey')}, '_', cast(o_orderkey % 2 AS string)) AS subscription",
+        *subscription_ids("o_custkey", "o_orderkey % 2"),
         "unix_seconds(cast(o_orderdate AS timestamp)) AS at",
     )
 
@@ -111,16 +118,21 @@ STATUS = "CASE WHEN deletes THEN 'canceled' WHEN o_orderstatus = 'P' THEN 'past_
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Current state of each subscription: the plan and outcome of its last order."""
+    """Current state of each subscription: the plan and outcome of its last order.
+
+    Grouped by the numbers that its id is made of, which sort faster than texts that begin alike.
+    """
     last = """max_by(struct(o_orderkey, o_orderstatus, plan_index, at, untimed),
                      struct(o_orderdate, o_orderkey)) AS last"""
     return (
         spark.sql(
-            f"""SELECT customer, subscription, min(at) AS start, count(*) AS n, {last}
-                FROM {{orders}} GROUP BY customer, subscription""",
+            f"""SELECT o_custkey, if(o_custkey IS NULL, NULL, o_orderkey % 2) AS parity, min(at) AS start, count(*) AS n, {last}
+                FROM {{orders}} GROUP BY 1, 2""",
             orders=orders(spark, sf_dir),
         )
-        .selectExpr("customer", "subscription", "start", "last.*", "n > 1 AND last.o_orderstatus = 'F' AS deletes")
+        .selectExpr(
+            *subscription_ids("o_custkey", "parity"), "start", "last.*", "n > 1 AND last.o_orderstatus = 'F' AS deletes"
+        )
         .selectExpr(
             "subscription AS id",
             f"""to_json(named_struct(

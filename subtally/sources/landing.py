@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from subtally.functions.documents import parse_once
 from subtally.sources.tables import children, plain_path
 
 # The object types of the billing API and the folder each one lands in.
@@ -66,13 +67,10 @@ def explode_array_files(files: DataFrame) -> DataFrame:
     )
 
 
-def document_id(data: str) -> Column:
-    return F.from_json(F.col(data), "id string", FAIL)["id"]
-
-
 def with_id(rows: DataFrame) -> DataFrame:
-    """Rows (file, pos, id, data) of the documents that have an id; text that isn't a document raises."""
-    return rows.select("file", "pos", document_id("data").alias("id"), "data").filter(F.col("id").isNotNull())
+    """Rows (file, pos, id, data) of the documents that have an id, parsed once; text that isn't a document raises."""
+    parsed = parse_once(rows.select("file", "pos", "data"), "data", "struct<id:string>", "d")
+    return parsed.select("file", "pos", F.col("d.id").alias("id"), "data").filter(F.col("id").isNotNull())
 
 
 def array_files(spark: SparkSession, folder: str, names: list[str] | None = None) -> DataFrame:
