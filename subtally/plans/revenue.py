@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subtally.functions.calendar import month_of, month_range
+from subtally.functions.calendar import month_of, month_range, months_between
 from subtally.operators.intervals import covering
 
 MOVEMENTS = ("new", "expansion", "reactivation", "contraction", "churn")
@@ -49,15 +49,17 @@ def customer_month_grid(stg_customers: DataFrame, fct_events: DataFrame) -> Data
     )
 
 
-def subscription_deltas(fct_events: DataFrame) -> DataFrame:
+def subscription_deltas(fct_events: DataFrame, *also: str) -> DataFrame:
     """(customer_id, subscription_id, month, delta): what each subscription changes in the months in which anything happened.
 
     Only the last event of a subscription's month is still open at the month's end. An event
-    without a time opens nothing and, sorting last, closes nothing.
+    without a time opens nothing and, sorting last, closes nothing. ``also`` names columns that follow from the
+    subscription; rows that are dealt by one of them stay where they are, and are sorted by them first.
     """
+    key = ", ".join((*also, "subscription_id"))
     last_of_month = (
         fct_events.filter("occurred_at IS NOT NULL")
-        .groupBy("subscription_id", F.expr(month_of("occurred_at")).alias("month"))
+        .groupBy(*also, "subscription_id", F.expr(month_of("occurred_at")).alias("month"))
         .agg(
             F.expr(
                 """max_by(struct(customer_id, cast(coalesce(mrr_after, 0) AS decimal(22,2)) AS mrr),
@@ -65,7 +67,8 @@ def subscription_deltas(fct_events: DataFrame) -> DataFrame:
             ).alias("now")
         )
     )
-    return last_of_month.selectExpr("*", "lag(now) OVER (PARTITION BY subscription_id ORDER BY month) AS then").selectExpr(
+    return last_of_month.selectExpr("*", f"lag(now) OVER (PARTITION BY {key} ORDER BY month) AS then").selectExpr(
+        *also,
         "subscription_id",
         "month",
         """inline(filter(
@@ -75,18 +78,18 @@ def subscription_deltas(fct_events: DataFrame) -> DataFrame:
     )
 
 
-def summed(deltas: DataFrame) -> DataFrame:
-    """Change of each customer's month-end MRR, from those of its subscriptions."""
-    return deltas.groupBy("customer_id", "month").agg(F.expr("cast(sum(delta) AS decimal(22,2))").alias("delta"))
+def summed(deltas: DataFrame, *also: str) -> DataFrame:
+    """Change of each customer's month-end MRR, from those of its subscriptions; ``also`` follows from the customer."""
+    return deltas.groupBy(*also, "customer_id", "month").agg(F.expr("cast(sum(delta) AS decimal(22,2))").alias("delta"))
 
 
 def customer_month_deltas(fct_events: DataFrame) -> DataFrame:
     return summed(subscription_deltas(fct_events))
 
 
-def with_movement(deltas: DataFrame) -> DataFrame:
-    """Accumulate the deltas of each customer and name the movement of each change."""
-    months = "PARTITION BY customer_id ORDER BY month"
+def with_movement(deltas: DataFrame, *also: str) -> DataFrame:
+    """Accumulate the deltas of each customer and name the movement of each change; ``also`` follows from the customer."""
+    months = f"PARTITION BY {', '.join((*also, 'customer_id'))} ORDER BY month"
     return (
         deltas.selectExpr(
             "*",
@@ -125,7 +128,9 @@ def unfolded(changes: DataFrame, ends: Column) -> DataFrame:
             "if(is_first, ends.first_month, month) AS start",
             "coalesce(add_months(next_month, -1), ends.last_month) AS until",
         )
-        .selectExpr("*", f"explode({month_range('start', 'until')}) AS cell")
+        # Counting months and adding the count costs a fraction of a sequence of dates.
+        .selectExpr("*", f"explode(if(start <= until, sequence(0, {months_between('start', 'until')}), NULL)) AS _n")
+        .selectExpr("*", "add_months(start, _n) AS cell")
         .selectExpr("*", "if(cell >= month, coalesce(mrr, 0), 0) AS now_mrr")
         .selectExpr(
             "customer_id",

@@ -152,3 +152,28 @@ def test_both_syncs_land_documents_that_are_made_once(spark, tmp_path, monkeypat
     whole = entry.queries()["mrr_monthly"](spark, str(tmp_path))
     assert len(read) == 6 and not [f for files in read for f in files if f.startswith(f"file://{tmp_path}")]
     assert rows_of(found) == rows_of(whole)
+
+
+def test_a_first_refresh_writes_each_table_once_and_none_sorts_rows_to_look_up_ids(spark, tmp_path, monkeypatch):
+    """With broadcasts off, as large tables have it: a build from nothing stores no rows aside, and marks are hashed."""
+    world, root, aside, tables = World(spark, 6), str(tmp_path / "r"), [], []
+    replace, written = refresh.replace_buckets, refresh.written
+
+    def seen(table, version, rows, *rest):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        tables.append(table.rsplit("/", 1)[1])
+        assert tables[-1] == "deltas" or "SortMergeJoin" not in plan
+        return replace(table, version, rows, *rest)
+
+    monkeypatch.setattr(refresh, "replace_buckets", seen)
+    monkeypatch.setattr(refresh, "written", lambda df, *rest, **more: aside.append(df) or written(df, *rest, **more))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        refresh.refresh(spark, root, "v1", world.step(60, 20, 15), world.plans.hint("broadcast"), n=8)
+        assert not aside and tables == ["lifecycle", "deltas", "changes"]
+        loaded = world.step(40, 5, 4)
+        refresh.refresh(spark, root, "v2", loaded, world.plans.hint("broadcast"), n=8)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(tables) == 6
+    assert_same(spark, root, world, loaded)
